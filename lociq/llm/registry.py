@@ -11,8 +11,31 @@ def op9_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op1_suffix_array_dedup(spark, sf_dir):
+    from lociq.llm.suffix import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op2_best_fit_packing(spark, sf_dir):
+    from lociq.llm import packing, tokens
+
+    return packing.pack(table(spark, sf_dir, "documents"), tokens.path("byte_bpe_50k.json"))
+
+
+def op3_token_binary_output(spark, sf_dir):
+    from lociq.llm import binary, tokens
+
+    return binary.read_tokens(*binary.write_tokens(table(spark, sf_dir, "documents"), tokens.path("word_bpe_49k.json")))
+
+
 def queries() -> dict:
-    return {"op9_minhash_near_dedup": op9_minhash_near_dedup}
+    return {
+        "op1_suffix_array_dedup": op1_suffix_array_dedup,
+        "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_token_binary_output": op3_token_binary_output,
+        "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

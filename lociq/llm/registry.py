@@ -29,11 +29,18 @@ def op3_token_binary_output(spark, sf_dir):
     return binary.read_tokens(*binary.write_tokens(table(spark, sf_dir, "documents"), tokens.path("word_bpe_49k.json")))
 
 
+def op8_warc_index_merge(spark, sf_dir):
+    from lociq.llm import warc
+
+    return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")))
+
+
 def queries() -> dict:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_token_binary_output": op3_token_binary_output,
+        "op8_warc_index_merge": op8_warc_index_merge,
         "op9_minhash_near_dedup": op9_minhash_near_dedup,
     }
 

@@ -29,6 +29,32 @@ def op3_token_binary_output(spark, sf_dir):
     return binary.read_tokens(*binary.write_tokens(table(spark, sf_dir, "documents"), tokens.path("word_bpe_49k.json")))
 
 
+def op4_toxicity(spark, sf_dir):
+    from lociq.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_embedding_near_dedup(spark, sf_dir):
+    from lociq.llm.embeddings import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op6_decontamination(spark, sf_dir):
+    from lociq.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_secret_scan(spark, sf_dir):
+    from lociq.llm import secrets
+
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_entropy", "base_sha256", "spans")
+
+
 def op8_warc_index_merge(spark, sf_dir):
     from lociq.llm import warc
 
@@ -40,6 +66,10 @@ def queries() -> dict:
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_token_binary_output": op3_token_binary_output,
+        "op4_toxicity": op4_toxicity,
+        "op5_embedding_near_dedup": op5_embedding_near_dedup,
+        "op6_decontamination": op6_decontamination,
+        "op7_secret_scan": op7_secret_scan,
         "op8_warc_index_merge": op8_warc_index_merge,
         "op9_minhash_near_dedup": op9_minhash_near_dedup,
     }

@@ -61,6 +61,12 @@ def op8_warc_index_merge(spark, sf_dir):
     return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")))
 
 
+def op10_html_extraction(spark, sf_dir):
+    from lociq.llm.html import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -72,6 +78,7 @@ def queries() -> dict:
         "op7_secret_scan": op7_secret_scan,
         "op8_warc_index_merge": op8_warc_index_merge,
         "op9_minhash_near_dedup": op9_minhash_near_dedup,
+        "op10_html_extraction": op10_html_extraction,
     }
 
 

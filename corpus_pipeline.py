@@ -1,2 +1,55 @@
-"""Placeholder until the stages exist."""
-STAGES = []
+"""The corpus pipeline: toxicity, near duplicates, benchmark decontamination, secrets, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; ``run`` writes each stage's rows and reads them again.
+All stages but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lociq.llm import decontaminate, minhash, packing, secrets, tokens, toxicity
+from lociq.llm.common import staged, table
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of an expected severity below the limit."""
+    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, that of the smallest doc_id."""
+    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with no benchmark item."""
+    return decontaminate.without_overlaps(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by a mark; n_chars follows the text."""
+    found = secrets.scan(docs)
+    text = F.when(F.size("found") > 0, secrets.redacted(F.col("text"), F.col("found"))).otherwise(F.col("text"))
+    n_chars = F.when(F.size("found") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    return found.select(*({"text": text.alias("text"), "n_chars": n_chars.alias("n_chars")}.get(c, F.col(c)) for c in docs.columns))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequence and offset."""
+    return packing.pack(docs, tokens.path("byte_bpe_50k.json"))
+
+
+STAGES = [("toxicity", toxicity_filter), ("near_dedup", near_dedup), ("decontamination", decontamination), ("secrets", secret_redaction), ("packing", best_fit_packing)]
+# learned models, similarity components and token ids have no SQL form; tests hold the stages against brute force
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole table."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

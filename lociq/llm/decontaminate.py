@@ -96,29 +96,48 @@ def best_stretch(same: np.ndarray, share: float) -> tuple[int, int, int]:
     return i, j, n
 
 
+def matches(seeds: Seeds, buf: np.ndarray, offsets: np.ndarray, least: int, share: float) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """Best stretch (matched, begin, end) of each (row, item) that overlaps."""
+    found: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for i, j in row_blocks(offsets, 1 << 20):
+        row, _, _, token = hasher().words(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        first = np.searchsorted(row, np.arange(j - i + 1))
+        for item, d, r in seeds.hits(token, row).T.tolist():
+            want = seeds.tokens[item]
+            lo, hi = max(d, int(first[r])), min(d + len(want), int(first[r + 1]))
+            begin, end, n = best_stretch(token[lo:hi] == want[lo - d : hi - d], share)
+            if end - begin >= min(least, len(want)) and n > found.get((i + r, item), (0,))[0]:
+                found[i + r, item] = (n, lo - int(first[r]) + begin, lo - int(first[r]) + end)
+    return found
+
+
 def _scan(items: list[tuple[int, np.ndarray]], least: int, share: float):
     seeds = Seeds(items)
 
     def run(batches):
         for batch in batches:
             buf, off = utf8(batch.column("text"))
-            ids, out = batch.column("doc_id").to_pylist(), []
-            for i, j in row_blocks(off, 1 << 20):
-                row, _, _, token = hasher().words(buf[off[i] : off[j]], off[i : j + 1] - off[i])
-                first = np.searchsorted(row, np.arange(j - i + 1))
-                found: dict[tuple[int, int], tuple] = {}
-                for item, d, r in seeds.hits(token, row).T.tolist():
-                    want = seeds.tokens[item]
-                    lo, hi = max(d, int(first[r])), min(d + len(want), int(first[r + 1]))
-                    begin, end, n = best_stretch(token[lo:hi] == want[lo - d : hi - d], share)
-                    if end - begin >= min(least, len(want)) and n > found.get((r, item), (0,))[0]:
-                        found[r, item] = (n, lo - int(first[r]) + begin, lo - int(first[r]) + end)
-                out += [{"doc_id": ids[i + r], "item_id": seeds.ids[item], "begin": b, "end": e, "matched": n, "item_tokens": len(seeds.tokens[item])} for (r, item), (n, b, e) in sorted(found.items())]
+            ids = batch.column("doc_id").to_pylist()
+            out = [{"doc_id": ids[r], "item_id": seeds.ids[item], "begin": b, "end": e, "matched": n, "item_tokens": len(seeds.tokens[item])} for (r, item), (n, b, e) in sorted(matches(seeds, buf, off, least, share).items())]
             yield pa.RecordBatch.from_pylist(out, FOUND)
 
     return run
 
 
+def _kept(items: list[tuple[int, np.ndarray]], least: int, share: float):
+    """Rows without an overlap; the searched text is the last column, which goes."""
+    seeds = Seeds(items)
+
+    def run(batches):
+        for batch in batches:
+            buf, off = utf8(batch.column(batch.num_columns - 1))
+            keep = np.ones(batch.num_rows, bool)
+            keep[[r for r, _ in matches(seeds, buf, off, least, share)]] = False
+            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(keep))
+
+    return run
+
+
 FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("matched", pa.int64()), ("item_tokens", pa.int64())])
 FOUND_DDL = "doc_id long, item_id long, begin long, end long, matched long, item_tokens long"
 
@@ -131,6 +150,23 @@ def _item_tokens(batches):
         yield pa.RecordBatch.from_pydict({"item_id": batch.column("item_id"), "tokens": pa.array([token[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())})
 
 
+def item_blocks(benchmark: DataFrame, block_tokens: int):
+    """Items as (item_id, tokens) in blocks of at most ``block_tokens`` tokens, one empty block at least."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text"))
+    block, size, any_block = [], 0, False
+    for r in items.mapInArrow(_item_tokens, "item_id long, tokens binary").toLocalIterator():  # an item at a time
+        token = np.frombuffer(bytes(r["tokens"]), U64)
+        if len(token) < SHORTEST:
+            continue
+        if block and size + len(token) > block_tokens:
+            yield block
+            block, size, any_block = [], 0, True
+        block.append((r["item_id"], token))
+        size += len(token)
+    if block or not any_block:
+        yield block
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: float = 0.75, block_tokens: int = 1_000_000) -> DataFrame:
     """Verified overlaps of ``docs`` (doc_id, text, more) with ``benchmark`` (item_id, text, more), one row for each pair of a document and an item.
 
@@ -141,24 +177,20 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: floa
 
     Nulls, empty texts and items of under five tokens overlap with nothing. Repeated rows give repeated rows. Empty tables give no rows.
     """
-    low = lambda df, key: df.select(F.col(key).cast("long").alias(key), F.lower(F.col("text").cast("string")).alias("text"))
-    docs = low(docs, "doc_id")
-    items = low(benchmark, "item_id").mapInArrow(_item_tokens, "item_id long, tokens binary")
-    out, block, size = None, [], 0
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
+    parts = [docs.mapInArrow(_scan(block, least, share), FOUND_DDL) for block in item_blocks(benchmark, block_tokens)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
-    def searched(block, out):
-        part = docs.mapInArrow(_scan(block, least, share), FOUND_DDL)
-        return part if out is None else out.unionByName(part)
 
-    for r in items.toLocalIterator():  # an item at a time
-        token = np.frombuffer(bytes(r["tokens"]), U64)
-        if len(token) < SHORTEST:
-            continue
-        if block and size + len(token) > block_tokens:
-            out, block, size = searched(block, out), [], 0
-        block.append((r["item_id"], token))
-        size += len(token)
-    return searched(block, out)
+def without_overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: float = 0.75, block_tokens: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs``, with all columns, that overlap with no item (see ``overlaps``)."""
+    for block in item_blocks(benchmark, block_tokens):
+        low = docs.select("*", F.lower(F.col("text").cast("string")).alias("searched text"))
+        docs = low.mapInArrow(_kept(block, least, share), docs.schema)
+    return docs
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:

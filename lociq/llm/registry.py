@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from lociq.llm.common import table
 
 
@@ -79,6 +80,7 @@ def queries() -> dict:
         "op8_warc_index_merge": op8_warc_index_merge,
         "op9_minhash_near_dedup": op9_minhash_near_dedup,
         "op10_html_extraction": op10_html_extraction,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -171,3 +171,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_scored(model), "doc_id long, severity double, grade int, toxic boolean")
+
+
+def _clean(model: Model):
+    def run(batches):
+        for batch in batches:
+            buf, off = utf8(batch.column("text"))
+            keep = np.ones(batch.num_rows, bool)
+            for i, j in row_blocks(off, 1 << 19):
+                row, feature, _ = features(buf[off[i] : off[j]], off[i : j + 1] - off[i])
+                keep[i:j] = model.severity(row, feature, j - i) < REJECT
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose expected severity is below REJECT."""
+    return docs.mapInArrow(_clean(model), docs.schema)

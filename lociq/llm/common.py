@@ -94,8 +94,8 @@ class WordHasher:
             self.inverse[0] = 1
             self.inverse = np.multiply.accumulate(self.inverse)
 
-    def words(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of each word: row, first byte, end byte, hash."""
+    def words(self, buf: np.ndarray, offsets: np.ndarray, head: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word: row, first byte, end byte, hash; with ``head``, the hash is that of the word's first ``head`` bytes."""
         n = len(buf)
         if not n:
             empty = np.zeros(0, np.int64)
@@ -111,7 +111,8 @@ class WordHasher:
         end = np.flatnonzero(part & (~after | edge[1:])) + 1
         total = np.zeros(n + 1, U64)
         np.cumsum((self.lower[buf].astype(U64) + U64(1)) * self.power[:n], out=total[1:])
-        return np.searchsorted(offsets, start, side="right") - 1, start, end, mix64((total[end] - total[start]) * self.inverse[start])
+        until = np.minimum(end, start + head) if head else end
+        return np.searchsorted(offsets, start, side="right") - 1, start, end, mix64((total[until] - total[start]) * self.inverse[start])
 
 
 def ascii_lower() -> np.ndarray:
@@ -126,29 +127,53 @@ def ascii_space() -> np.ndarray:
     return out
 
 
+def _contract(batches):
+    """Replace the links of a partition by stars (node, smallest id that the partition links it with)."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = root[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+    nodes = np.array([x for x in root if find(x) != x], np.int64)
+    for at in range(0, len(nodes), 65536):
+        part = nodes[at : at + 65536]
+        yield pa.RecordBatch.from_pydict({"hi": pa.array(part), "lo": pa.array([find(x) for x in part.tolist()], pa.int64())})
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected links of long ids: rows (id, component), component the smallest id reachable.
 
-    Alternating large-star and small-star rounds, each written to the shared folder; all state stays distributed.
-    A star hub never gathers its neighbours in one task: only minima are aggregated, with partial aggregation.
-    Rounds grow with the logarithm of the longest chain. Links of nulls and loops are ignored; no link: no row.
+    Each round contracts the links within partitions, then takes a large-star and a small-star step and writes the links to the shared
+    folder; all state stays distributed. A star's hub never gathers its neighbours in one task: only minima are
+    aggregated, with partial aggregation. Rounds grow with the logarithm of the longest chain. Links of nulls and loops are
+    ignored; without links there are no rows.
     """
-    edges = links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi <> lo").distinct()
-    edges = staged(edges, "edges")
+    few = max(8, shuffle_partitions(links.sparkSession) // 8)
+    edges = links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi <> lo")
+    edges = staged(edges.coalesce(few).mapInArrow(_contract, "hi long, lo long"), "edges")
     before = None
     while True:
-        both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
+        both = edges.union(edges.select("lo", "hi")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct()
-        large = staged(large, "edges")
-        least = large.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
-        joined = large.withColumnRenamed("hi", "u").join(least, "u")
-        small = joined.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").union(least.select(F.col("u").alias("hi"), F.col("m").alias("lo"))).distinct()
-        edges = staged(small, "edges")
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("hi <> lo")
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        joined = large.join(least, "hi")
+        small = joined.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").union(least)
+        edges = staged(small.coalesce(few).mapInArrow(_contract, "hi long, lo long"), "edges")
+        # settled once each node has one star and no hub stands in another star
+        hubs = edges.select("lo").distinct().join(edges.select(F.col("hi").alias("lo")), "lo", "left_semi").limit(1).count()
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if now == before:
+        if now == before or not now[0] or (not hubs and edges.select("hi").distinct().count() == now[0]):
             break
         before = now
     ends = edges.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("component"))
-    roots = edges.select(F.col("lo").alias("id")).distinct().join(ends, "id", "left_anti").select("id", F.col("id").alias("component"))
+    roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct()
     return ends.union(roots)

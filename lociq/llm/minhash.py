@@ -120,14 +120,22 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 # ---------------------------------------------------------------------------------------------- Spark side
 
 
-def _sketch(sets: bool):
-    """mapInArrow function over (doc_id, text)."""
+def slots(ids: np.ndarray, bits: int) -> np.ndarray:
+    """Place of each id in a bitmap of ``bits`` (a power of two) bits."""
+    return (mix64(ids.astype(np.int64).view(U64)) & U64(bits - 1)).astype(np.int64)
+
+
+def _sketch(sets: bool, bitmap: bytes | None = None):
+    """mapInArrow function over (doc_id, text); a bitmap lets only ids through whose bit is set."""
     import pyarrow as pa
 
     from lociq.llm.common import utf8
 
     def run(batches):
         for batch in batches:
+            if bitmap is not None:
+                at = slots(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), 8 * len(bitmap))
+                batch = batch.filter(pa.array((np.frombuffer(bitmap, np.uint8)[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
             buf, off = utf8(batch.column("text"))
             for i, j in row_blocks(off, 1 << 19):
                 h, o = shingle_sets(buf[off[i] : off[j]], off[i : j + 1] - off[i])
@@ -229,7 +237,46 @@ def _block(least, percent):
     return run
 
 
-def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to: int = 32, chunk: int = 128):
+def _marks(bits: int):
+    """mapInArrow function over ids: each partition's set bytes of the bitmap."""
+    import pyarrow as pa
+
+    def run(batches):
+        bitmap = np.zeros(bits >> 3, np.uint8)
+        for batch in batches:
+            at = slots(batch.column(0).to_numpy(), bits)
+            np.bitwise_or.at(bitmap, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+        words = bitmap.view(np.int64)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_pydict({"at": pa.array(at), "word": pa.array(words[at])})
+
+    return run
+
+
+def _sets(docs, ids, at_most: int, most_bits: int, fill: float):
+    """Signatures and full sets of (at least) the documents of ``ids``, of which there are ``at_most``.
+
+    A bitmap made from all ids lets the scan drop the other texts without a shuffle. It has 8 bits an id, ``most_bits`` at most,
+    which bounds what the driver and the tasks hold. Where more than ``fill`` of its bits are set it would let too many
+    texts through, and the texts are joined with the ids instead.
+    """
+    from pyspark.sql import functions as F
+
+    from lociq.llm.common import staged
+
+    kind = "doc_id long, sig binary, members binary"
+    bits = min(most_bits, 1 << max(16, (8 * at_most).bit_length()))
+    marks = ids.mapInArrow(_marks(bits), "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).collect()  # bits / 64 rows at most
+    bitmap = np.zeros(bits >> 6, np.int64)
+    if marks:
+        at, word = zip(*marks, strict=True)
+        bitmap[list(at)] = word
+    if np.unpackbits(bitmap.view(np.uint8)).mean() <= fill:
+        return staged(docs.where("doc_id is not null").mapInArrow(_sketch(True, bitmap.tobytes()), kind), "sets")
+    return staged(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sketch(True), kind), "sets")
+
+
+def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to: int = 32, chunk: int = 128, most_bits: int = 1 << 26, fill: float = 0.2):
     """Near-duplicate classes of ``docs`` (doc_id, text, any more columns): Jaccard of 5-word shingle sets >= percent / 100.
 
     Returns doc_id, n_shingles, component_id, kept. MinHash signatures of 128 hashes are cut into 32 bands of 4 (a pair
@@ -239,7 +286,8 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
     of two chunks of ``chunk`` documents where it is large, so no bucket is ever emitted as all its pairs.
     Candidates pass the sequential Bayesian test (``miss``: posterior probability below which a pair is pruned), and the
     survivors are confirmed on full sets.
-    Nulls, empty texts and texts without words have n_shingles 0 and stay alone. Repeated rows of one doc_id count once.
+    Nulls, empty texts and texts without words have n_shingles 0 and stay alone. doc_id names a document:
+    repeated rows come back each, with one component.
     An empty table gives no rows. A null doc_id is dropped from linking and returned as its own (null) component.
     """
     from pyspark.sql import functions as F
@@ -259,7 +307,7 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
     star = staged(star, "star")
     ids = star.select(F.col("a").alias("doc_id")).union(star.select(F.col("b").alias("doc_id"))).distinct()
     # in a bucket every member stands in a star pair, so these are all documents that any comparison reads
-    need = staged(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sketch(True), "doc_id long, sig binary, members binary"), "sets")
+    need = _sets(docs, ids, 2 * star.count(), most_bits, fill)
 
     def confirmed(pairs):
         a = need.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a"))
@@ -287,7 +335,7 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
     rep_of = rep.join(comp, rep.rep == comp.id, "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = sketch.join(rep_of, (sketch.s1 == rep_of.s1) & (sketch.s2 == rep_of.s2) & (sketch.n_shingles > 0), "left")
     component = F.coalesce(rep_of.component, sketch.doc_id)
-    return out.select(sketch.doc_id, sketch.n_shingles, component.alias("component_id"), (component == sketch.doc_id).alias("kept"))
+    return out.select(sketch.doc_id, sketch.n_shingles, component.alias("component_id"), component.eqNullSafe(sketch.doc_id).alias("kept"))
 
 
 def _large_groups(large, need, chunk, block):

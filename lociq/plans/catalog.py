@@ -1,4 +1,4 @@
-"""Registry of the interval and evaluation queries with their DuckDB equivalents."""
+"""All interval, region, evaluation, metadata and learning queries with their DuckDB equivalents."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from lociq.plans import interval_queries  # noqa: F401
+from lociq.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401

@@ -374,7 +374,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, with_text: bool = False)
     found = docs.select("uid", "text").mapInArrow(_anchor_rows(length), "gram long, uid long, place long")
     twice = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     places = found.join(twice, "gram").groupBy("uid").agg(F.collect_list("place").alias("places"))
-    runs = docs.join(places, "uid").select("uid", "text", "places").mapInArrow(_runs(length, parts), "part long, run binary, uid array<long>, begin array<long>, end array<long>")
+    # all columns of docs, so that this join and the last one share one exchange of the texts
+    runs = docs.join(places, "uid").mapInArrow(_runs(length, parts), "part long, run binary, uid array<long>, begin array<long>, end array<long>")
     hits = runs.repartition(shuffle_partitions(docs.sparkSession), "part").mapInArrow(_merge(length), "uid long, begin long, end long")
     hits = hits.groupBy("uid").agg(F.collect_list(F.struct("begin", "end")).alias("stretches"))
     out = docs.join(hits, "uid", "left").select("doc_id", "text", "stretches")

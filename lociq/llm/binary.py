@@ -81,7 +81,7 @@ def _frames(file: str, dictionary: bytes, bounds: np.ndarray):
     def run(batches):
         encode = tokens.encoder(file).ids
         press = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-        for batch in batches:
+        for batch in tokens.small(batches):
             n, frames = [], []
             for text in batch.column("text").to_pylist():
                 ids = tokens.with_end(encode(text or ""))
@@ -102,7 +102,7 @@ def _shards(dictionary: bytes):
             content = build(dictionary, rows)
             return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([len(rows)]), pa.array([sum(r[1] for r in rows)]), pa.array([content], pa.binary())], ["part", "n_docs", "n_ids", "content"])
 
-        for batch in batches:
+        for batch in tokens.small(batches):
             for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "n", "frame")), strict=True):
                 if part != now and rows:
                     yield flush()
@@ -117,7 +117,7 @@ def _shards(dictionary: bytes):
 
 def _read(dictionary: bytes, starts: dict[int, int]):
     def run(batches):
-        for batch in batches:
+        for batch in tokens.small(batches, 1):
             for part, content in zip(batch.column("part").to_pylist(), batch.column("content"), strict=True):
                 shard = Shard(content.as_py(), dictionary)
                 n = shard.index["n"].astype(np.int64)

@@ -86,7 +86,7 @@ def plan(count: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[int, lis
 def _pieces(file: str, capacity: int):
     def run(batches):
         encode = tokens.encoder(file).ids
-        for batch in batches:
+        for batch in tokens.small(batches):
             out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = tokens.with_end(encode(text or ""))

@@ -120,7 +120,7 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], li
     """
     k = max(1, len(runs))
     width = 1 << (k - 1).bit_length()
-    key = [r[0][0] if r[0] else None for r in runs] + [None] * (width - k)
+    key = [r[0][0] if r[0] else None for r in runs] + [None] * (width - len(runs))
     pre = [0 if x is not None else -1 for x in key]
     at = [0] * width
     tree = [0] * width

@@ -1,7 +1,7 @@
 """Token ids of whole texts by a public tokenizer, with a bounded per-process cache of words.
 
-Both tokenizers split a text at white space first and never merge across it, so ids of a text are those of its chunks
-(a run of other characters with the one space before it, or white space) in order. Chunks repeat a lot; each is
+Both tokenizers split a text into words first and never merge across these, so ids of a text are those of its chunks in
+order: a word with the one space before it, what stands between it and the next white space, or white space. Chunks repeat a lot; each is
 encoded once by the tokenizers library and then looked up. Tests hold this against encoding whole texts.
 """
 
@@ -10,11 +10,12 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 
 import numpy as np
 
 END = 2
-CACHE = 400_000  # chunks kept in a worker
+CACHE = 300_000  # chunks kept in a worker
 # fixed values: the Unicode White_Space characters
 SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -25,30 +26,50 @@ def path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
-    """ids(text) of one tokenizer file."""
+# a run of these letters ends where an ASCII character that is no letter follows; both tokenizers part there
+LETTERS = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
+WORD = f"[{LETTERS}]+(?=[\\x00-\\x40\\x5b-\\x60\\x7b-\\x7f]|$)"
+
+
+def byte_characters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary: itself, or for other bytes the next one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(other)) for b in range(256)}
+
+
+class Encoder(dict):
+    """ids(text) of one tokenizer file; as a dictionary, the ids of the chunks met so far (unsigned 16-bit, as bytes)."""
 
     def __init__(self, file: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         self.keeps_space = "ByteLevel" in repr(type(self.tokenizer.pre_tokenizer))
-        self.chunks = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+" if self.keeps_space else f"[^{SPACE}]+").findall
-        self.known: dict[str, np.ndarray] = {}
+        word = f" ?{WORD}" if self.keeps_space else WORD
+        self.chunks = re.compile(f"{word}| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+" if self.keeps_space else f"{word}|[^{SPACE}]+").findall
+        self.is_word = re.compile(word).fullmatch
+        self.characters = byte_characters()
+
+    def __missing__(self, chunk: str) -> bytes:
+        if self.is_word(chunk):
+            # a single word of these letters needs no normalizing but lower case, and no parting: its bytes go to the merges
+            plain = chunk if self.keeps_space else chunk.lower()
+            ids = [t.id for t in self.model.tokenize(plain.encode().decode("latin-1").translate(self.characters))]
+        else:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        found = array("H", ids).tobytes()
+        if len(self) < CACHE:
+            self[chunk] = found
+        return found
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of the whole text, without the end id."""
-        chunks = self.chunks(text)
-        found = list(map(self.known.get, chunks))
-        if None in found:
-            new = list({c for c, x in zip(chunks, found, strict=True) if x is None})
-            fresh = {c: np.array(e.ids, np.uint16).tobytes() for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-            if len(self.known) < CACHE:
-                self.known.update(fresh)
-            found = [fresh[c] if x is None else x for c, x in zip(chunks, found, strict=True)]
-        return np.frombuffer(b"".join(found), np.uint16)
+        return np.frombuffer(b"".join(map(self.__getitem__, self.chunks(text))), np.uint16)
 
 
 @functools.cache
@@ -61,3 +82,10 @@ def with_end(ids: np.ndarray) -> np.ndarray:
     out = np.empty(len(ids) + 1, "<u4")
     out[:-1], out[-1] = ids, END
     return out
+
+
+def small(batches, rows: int = 256):
+    """The same rows in batches of at most ``rows``, so that few texts and their ids are held at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -115,19 +115,19 @@ def subsequence(seq: Column, start: Column, end: Column) -> Column:
 
 def flagstat(spark: SparkSession, path: str, names: dict[int, str]) -> DataFrame:
     """The first number of given lines of flagstat reports, a row for each file."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.split("value", "\n").alias("rows"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split("value", "\n").alias("rows"))
     return files.select("path", *(F.split(F.get("rows", F.lit(i)), " ")[0].cast("long").alias(n) for i, n in names.items()))
 
 
 def trim_log(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     number = lambda label: F.regexp_replace(packed(F.col("value"), label + r"[^:]*:\s*([\d,]+)"), ",", "").cast("long")
     return files.select(F.col("_metadata.file_path").alias("path"), number("Total read pairs").alias("pairs"), number("Pairs written").alias("written"))
 
 
 def sections(spark: SparkSession, path: str) -> DataFrame:
     """Rows of sectioned reports (>>Name status ... >>END_MODULE): path, section, status, row."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.explode(F.split("value", ">>END_MODULE")).alias("part"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.explode(F.split("value", ">>END_MODULE")).alias("part"))
     body = F.regexp_extract("part", r"(?s)>>([^\t\n]+)\t(\w+)\n(.*)", 3)
     out = files.select("path", F.regexp_extract("part", r">>([^\t\n]+)\t", 1).alias("section"), F.regexp_extract("part", r">>[^\t\n]+\t(\w+)", 1).alias("status"), F.explode(F.split(body, "\n")).alias("row"))
     return out.where("section <> '' and row <> '' and not startswith(row, '#')")

@@ -12,7 +12,7 @@ from lociq.plans.registry import query
 from lociq.plans.region_queries import LONG, R6, N
 from lociq.sources.proxies import anno, peaks, reads, table
 
-FLAG = F.col("flag")
+flag = lambda: F.col("flag")
 
 
 @query("j01_sample_donor", "select s_suppkey, s_name, n_name, r_name from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
@@ -82,7 +82,7 @@ def a05(spark, sf):
 
 @query("a06_any_all", "select cell_id, bool_or(flag & 2 > 0) as any_proper, bool_and(mapq < 60) as all_low, bool_or(flag & 2 > 0 or mapq > 58) as either from reads group by 1")
 def a06(spark, sf):
-    proper = FLAG.bitwiseAND(2) > 0
+    proper = flag().bitwiseAND(2) > 0
     return reads(spark, sf).groupBy("cell_id").agg(F.bool_or(proper).alias("any_proper"), F.bool_and(F.col("mapq") < 60).alias("all_low"), F.bool_or(iv.any_of([proper, F.col("mapq") > 58])).alias("either"))
 
 
@@ -159,7 +159,7 @@ def a19(spark, sf):
 @query("a20_strand_coverage", "select a.anno_id, count(r.event_id) filter (r.flag & 16 = 0) as fwd, count(r.event_id) filter (r.flag & 16 > 0) as rev, round(coalesce(abs(count(r.event_id) filter (r.flag & 16 = 0) - count(r.event_id) filter (r.flag & 16 > 0)) / nullif(count(r.event_id), 0), 0), 6) as bias from anno a left join reads r on a.chrom = r.chrom and a.start_pos < r.end_pos and r.start_pos < a.end_pos group by 1")
 def a20(spark, sf):
     r = reads(spark, sf)
-    out = iv.count_overlaps(iv.count_overlaps(anno(spark, sf), r.where(FLAG.bitwiseAND(16) == 0), "fwd"), r.where(FLAG.bitwiseAND(16) > 0), "rev")
+    out = iv.count_overlaps(iv.count_overlaps(anno(spark, sf), r.where(flag().bitwiseAND(16) == 0), "fwd"), r.where(flag().bitwiseAND(16) > 0), "rev")
     bias = F.coalesce(F.try_divide(F.abs(F.col("fwd") - F.col("rev")), F.col("fwd") + F.col("rev")), F.lit(0.0))
     return out.select("anno_id", "fwd", "rev", R6(bias, "bias"))
 
@@ -172,7 +172,7 @@ def a21(spark, sf):
 @query("a22_qc_funnel", "select cell_id, count(*) as raw, count(*) filter (mapq >= 10) as filtered, count(*) filter (mapq >= 10 and flag & 128 = 0) as mapped, count(*) filter (mapq >= 10 and flag & 128 = 0 and flag & 1024 = 0) as dedup, round(1 - count(*) filter (mapq >= 10) / count(*), 6) as lost, round(count(*) filter (flag & 1024 > 0) / count(*), 6) as saturation from reads group by 1")
 def a22(spark, sf):
     ok = F.col("mapq") >= 10
-    first, unique = FLAG.bitwiseAND(128) == 0, FLAG.bitwiseAND(1024) == 0
+    first, unique = flag().bitwiseAND(128) == 0, flag().bitwiseAND(1024) == 0
     return reads(spark, sf).groupBy("cell_id").agg(F.count("*").alias("raw"), N(ok).alias("filtered"), N(ok & first).alias("mapped"), N(ok & first & unique).alias("dedup"), R6(1 - N(ok) / F.count("*"), "lost"), R6(N(~unique) / F.count("*"), "saturation"))
 
 
@@ -216,7 +216,7 @@ def a27c(spark, sf):
 
 @query("a27_binomial")
 def a27b(spark, sf):
-    c = reads(spark, sf).groupBy("cell_id").agg(F.count("*").alias("n"), N(FLAG.bitwiseAND(2) > 0).alias("k")).where("k > 0")
+    c = reads(spark, sf).groupBy("cell_id").agg(F.count("*").alias("n"), N(flag().bitwiseAND(2) > 0).alias("k")).where("k > 0")
     return c.withColumn("p", F.round(ev.binomial_tail("k", "n", 0.2), 6))
 
 

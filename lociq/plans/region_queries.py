@@ -13,17 +13,17 @@ from lociq.sources.proxies import CONTIG, anno, peaks, reads, table
 LONG = lambda c: F.col(c).cast("long").alias(c)
 R6 = lambda c, name: F.round(c, 6).alias(name)
 N = lambda c: F.count(F.when(c, 1))
-FLAG = F.col("flag")
+flag = lambda: F.col("flag")
 
 
 @query("f01_flag_filter", "select event_id, chrom, three_end from reads where (flag & 1412) = 0 and (flag & 1) = 1 and mapq >= 30")
 def f01(spark, sf):
-    return reads(spark, sf).where(rg.passing(FLAG, rg.NOT_COUNTED, 1) & (F.col("mapq") >= 30)).select("event_id", "chrom", "three_end")
+    return reads(spark, sf).where(rg.passing(flag(), rg.NOT_COUNTED, 1) & (F.col("mapq") >= 30)).select("event_id", "chrom", "three_end")
 
 
 @query("f02_read_predicates", "select event_id, (flag & 128) = 0 as first_mate, (flag & 4) = 0 and (flag & 2048) = 0 as mapped, (flag & 2) > 0 as proper from reads")
 def f02(spark, sf):
-    return reads(spark, sf).select("event_id", rg.passing(FLAG, 128).alias("first_mate"), rg.passing(FLAG, 4 | 2048).alias("mapped"), rg.passing(FLAG, 0, 2).alias("proper"))
+    return reads(spark, sf).select("event_id", rg.passing(flag(), 128).alias("first_mate"), rg.passing(flag(), 4 | 2048).alias("mapped"), rg.passing(flag(), 0, 2).alias("proper"))
 
 
 @query("f03_dynamic_filter", "select event_id, cell_id from reads where score > 20 and not (mapq < 10 or cell_id = 3)")
@@ -61,7 +61,7 @@ def f08(spark, sf):
     from lociq.functions.frames import first_label
 
     r = reads(spark, sf)
-    return r.select("event_id", first_label(r, [("DUP", FLAG.bitwiseAND(1024) > 0), ("PROPER", FLAG.bitwiseAND(2) > 0), ("LOWQ", F.col("mapq") < 10)], "OTHER").alias("label"))
+    return r.select("event_id", first_label(r, [("DUP", flag().bitwiseAND(1024) > 0), ("PROPER", flag().bitwiseAND(2) > 0), ("LOWQ", F.col("mapq") < 10)], "OTHER").alias("label"))
 
 
 @query("f09_bulk_relabel", "select distinct l_orderkey, l_linenumber, cell_id, case when n_reads > 25 then label when label = 'KNRGL' then 'bulk_absent' else 'OTHER' end as label from peaks")
@@ -86,7 +86,7 @@ COUNTS = "select cell_id, count(*) as n, count(*) filter (flag & 16 = 0) as fwd,
 
 
 def cell_counts(spark, sf):
-    return reads(spark, sf).groupBy("cell_id").agg(F.count("*").alias("n"), N(FLAG.bitwiseAND(16) == 0).alias("fwd"), N(FLAG.bitwiseAND(16) > 0).alias("rev"), N(FLAG.bitwiseAND(2) > 0).alias("proper"))
+    return reads(spark, sf).groupBy("cell_id").agg(F.count("*").alias("n"), N(flag().bitwiseAND(16) == 0).alias("fwd"), N(flag().bitwiseAND(16) > 0).alias("rev"), N(flag().bitwiseAND(2) > 0).alias("proper"))
 
 
 @query("f12_feature_ratios", f"select cell_id, round(abs(fwd - rev) / n, 6) as orientation_bias, round(proper / n, 6) as frac_proper, round(case when rev = 0 then null else fwd / rev end, 6) as fold from ({COUNTS})")
@@ -163,7 +163,7 @@ def src14(spark, sf):
 
 @query("src15_callback_counts", "select cell_id, count(*) filter (flag & 1412 = 0) as kept, count(*) filter (flag & 1024 > 0) as duplicates from reads group by 1")
 def src15(spark, sf):
-    return reads(spark, sf).groupBy("cell_id").agg(N(rg.passing(FLAG, rg.NOT_COUNTED)).alias("kept"), N(rg.passing(FLAG, 0, 1024)).alias("duplicates"))
+    return reads(spark, sf).groupBy("cell_id").agg(N(rg.passing(flag(), rg.NOT_COUNTED)).alias("kept"), N(rg.passing(flag(), 0, 1024)).alias("duplicates"))
 
 
 @query("src17_signal_max", "select a.anno_id, max(p.n_reads) as top from anno a join peaks p on a.chrom = p.chrom and a.start_pos < p.end_pos and p.start_pos < a.end_pos group by 1")
@@ -190,7 +190,7 @@ def a04(spark, sf):
 
 @query("w01_sliding_windows", "select chrom, k * 250 as start_pos, k * 250 + 750 as end_pos, count(*) as n_reads from (select chrom, unnest(generate_series(greatest(0, (floor((three_end - 750) / 250) + 1)::bigint), least((2592000 - 750) // 250, floor(three_end / 250)::bigint))) as k from reads where flag & 1412 = 0) group by 1, 2 having count(*) >= 5")
 def w01(spark, sf):
-    return rg.sliding_windows(reads(spark, sf).where(rg.passing(FLAG, rg.NOT_COUNTED)), 750, 250, 5, CONTIG)
+    return rg.sliding_windows(reads(spark, sf).where(rg.passing(flag(), rg.NOT_COUNTED)), 750, 250, 5, CONTIG)
 
 
 @query("w02_least_reads", "select cell_id, greatest(3, ceil(20000 * count(*) / 1e6))::bigint as least from reads group by 1")
@@ -205,13 +205,13 @@ def w03(spark, sf):
 
 @query("w05_step_one_peaks", "with s as (select chrom, greatest(0, last - 200 + 1) as s0, least(three_end, 2592000 - 200) as s1 from (select chrom, three_end, lead(three_end, 2) over (partition by chrom order by three_end, event_id) as last from reads where flag & 1412 = 0) where last - three_end < 200), g as (select *, max(s1) over (partition by chrom order by s0, s1 rows between unbounded preceding and 1 preceding) as reach from s where s0 <= s1), h as (select *, sum(case when reach is null or s0 > reach + 100 then 1 else 0 end) over (partition by chrom order by s0, s1 rows unbounded preceding) as grp from g) select chrom, min(s0) as start_pos, max(s1) + 200 as end_pos from h group by chrom, grp")
 def w05(spark, sf):
-    return rg.step_one_peaks(reads(spark, sf).where(rg.passing(FLAG, rg.NOT_COUNTED)), 200, 3, -100, CONTIG).select("chrom", LONG("start_pos"), LONG("end_pos"))
+    return rg.step_one_peaks(reads(spark, sf).where(rg.passing(flag(), rg.NOT_COUNTED)), 200, 3, -100, CONTIG).select("chrom", LONG("start_pos"), LONG("end_pos"))
 
 
 @query("w06_make_regions")
 def w06(spark, sf):
     """Windows that pass the fold test, merged into peaks, with features of their reads."""
-    real = reads(spark, sf).where(rg.passing(FLAG, rg.NOT_COUNTED))
+    real = reads(spark, sf).where(rg.passing(flag(), rg.NOT_COUNTED))
     hot = rg.background_fold(real, 200, 10000, 4).select(*real.columns)
     spots = rg.step_one_peaks(hot, 200, 1, -100, CONTIG)
     pair = iv.overlap_pairs(spots, reads(spark, sf))
@@ -252,7 +252,7 @@ TWO = "select chrom, start_pos // 3600 as hour, count(*) filter (flag & 16 = 0):
 
 @query("w15_track_difference", f"select chrom, hour, round(x * (ln(x + 1) - ln(y + 1)) + y - x, 6) as llr, x > 0 and y = 0 as exclusive from ({TWO})")
 def w15(spark, sf):
-    t = reads(spark, sf).groupBy("chrom", F.expr("start_pos div 3600").alias("hour")).agg(N(FLAG.bitwiseAND(16) == 0).cast("double").alias("x"), N(FLAG.bitwiseAND(16) > 0).cast("double").alias("y"))
+    t = reads(spark, sf).groupBy("chrom", F.expr("start_pos div 3600").alias("hour")).agg(N(flag().bitwiseAND(16) == 0).cast("double").alias("x"), N(flag().bitwiseAND(16) > 0).cast("double").alias("y"))
     x, y = F.col("x"), F.col("y")
     return t.select("chrom", "hour", R6(x * (F.ln(x + 1) - F.ln(y + 1)) + y - x, "llr"), ((x > 0) & (y == 0)).alias("exclusive"))
 

@@ -11,7 +11,7 @@ from lociq.plans.region_queries import R6
 from lociq.sources import readers as rd
 from lociq.sources.proxies import anno, peaks, reads, table
 
-FLAG = F.col("flag")
+flag = lambda: F.col("flag")
 
 
 @query("o01_coordinate_sort", "select chrom, start_pos, end_pos, row_number() over (partition by chrom order by start_pos, end_pos, l_orderkey, l_linenumber, cell_id, n_reads) as i from peaks")
@@ -123,7 +123,7 @@ ALIGNED = f"(select event_id, flag, {CIGAR.format(s='varchar')} as cigar, {SEQ}
 @query("s01_is_reference_read", f"select event_id, case when flag & 128 > 0 then coalesce(try_cast(nullif(case when flag & 16 = 0 then regexp_extract(cigar, '([0-9]+)[HS]$', 1) else regexp_extract(cigar, '^([0-9]+)[HS]', 1) end, '') as int), 0) < 30 else flag & 2 > 0 and coalesce(try_cast(nullif(case when flag & 16 = 0 then regexp_extract(cigar, '([0-9]+)[HS]$', 1) else regexp_extract(cigar, '^([0-9]+)[HS]', 1) end, '') as int), 0) < 30 end as fits from {ALIGNED}")
 def s01(spark, sf):
     r = aligned(spark, sf)
-    fits = al.is_reference_read(F.col("cigar"), F.col("cigar"), FLAG.bitwiseAND(16) == 0, FLAG.bitwiseAND(2) > 0, FLAG.bitwiseAND(128) > 0)
+    fits = al.is_reference_read(F.col("cigar"), F.col("cigar"), flag().bitwiseAND(16) == 0, flag().bitwiseAND(2) > 0, flag().bitwiseAND(128) > 0)
     return r.select("event_id", fits.alias("fits"))
 
 
@@ -132,7 +132,7 @@ PIECE = "case when f then substring(seq, 1, n) else substring(seq, length(seq) -
 
 @query("s02_clipped_run", f"select event_id, n as clip, case when n > 0 then coalesce(list_max(list_transform(regexp_extract_all({PIECE}, case when f then 'A+' else 'T+' end), lambda x: length(x))), 0) else 0 end::int as run from (select *, coalesce(try_cast(nullif(case when f then regexp_extract(cigar, '^([0-9]+)S', 1) else regexp_extract(cigar, '([0-9]+)S$', 1) end, '') as int), 0) as n from (select *, (flag & 128 > 0) <> (flag & 16 > 0) as f from {ALIGNED}))")
 def s02(spark, sf):
-    n, run = al.clipped_run(F.col("cigar"), F.col("seq"), FLAG.bitwiseAND(128) > 0, FLAG.bitwiseAND(16) > 0)
+    n, run = al.clipped_run(F.col("cigar"), F.col("seq"), flag().bitwiseAND(128) > 0, flag().bitwiseAND(16) > 0)
     return aligned(spark, sf).select("event_id", n.alias("clip"), run.alias("run"))
 
 
@@ -154,7 +154,7 @@ def s05(spark, sf):
 
 @query("s06_read_ends", "select event_id, three_end, five_end, case when (flag & 128 > 0) <> (flag & 16 > 0) then end_pos else start_pos end as breakpoint_end from reads")
 def s06(spark, sf):
-    other = (FLAG.bitwiseAND(128) > 0) != (FLAG.bitwiseAND(16) > 0)
+    other = (flag().bitwiseAND(128) > 0) != (flag().bitwiseAND(16) > 0)
     return reads(spark, sf).select("event_id", "three_end", "five_end", F.when(other, F.col("end_pos")).otherwise(F.col("start_pos")).alias("breakpoint_end"))
 
 

@@ -63,8 +63,12 @@ def weight(n: Column) -> Column:
 
 def top_entropy(s: Column) -> Column:
     """Largest Shannon entropy of a window of WINDOW characters, from counts that each step changes by one in and one out."""
-    chars = F.split(s, "(?!^)(?!$)")
-    letters = F.array_distinct(chars)
+    # as elements of an array of one, characters and letters are made once and not at each step
+    chars = F.transform(F.array(F.split(s, "(?!^)(?!$)")), lambda x: F.struct(x.alias("chars"), F.array_distinct(x).alias("letters")))
+    return F.get(F.transform(chars, lambda c: _top_entropy(c["chars"], c["letters"])), F.lit(0))
+
+
+def _top_entropy(chars: Column, letters: Column) -> Column:
     count = lambda st, j: F.coalesce(F.get(st["counts"], j), F.lit(0))
 
     def step(state: Column, i: Column) -> Column:

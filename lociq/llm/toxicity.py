@@ -2,7 +2,7 @@
 
 P(severity > k | x) = sigmoid(w . x - t[k]), with one weight vector for all ordered thresholds t[0] < t[1] < t[2]; the score of a
 document is the expected severity, the sum of these probabilities over k. Features are the presence of words and of word heads
-(their first five bytes), hashed.
+(their first five bytes), and that these stand there twice or three times at least, hashed.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from lociq.llm.common import U64, WordHasher, ascii_lower, mix64, row_blocks, ut
 
 BITS = 19
 HEAD = 5
+TIMES = 3
 GRADES = 3  # severities above 0
 REJECT = 0.5  # expected severity from which a document counts as toxic
 
@@ -30,13 +31,19 @@ def hasher() -> WordHasher:
     return WordHasher(ascii_lower(), apart)
 
 
-def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct features of the rows: row, feature, and how often it stands there."""
+def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct features of the rows, in order: row and feature. A word or head that comes again, and a third time, has a further feature each."""
     row, _, _, word = hasher().words(buf, offsets)
     _, _, _, head = hasher().words(buf, offsets, HEAD)
-    slot = np.concatenate([mix64(word) >> U64(64 - BITS), mix64(~head) >> U64(64 - BITS)]).astype(np.int64)
-    key, n = np.unique((np.concatenate([row, row]) << BITS) | slot, return_counts=True)
-    return key >> BITS, key & ((1 << BITS) - 1), n
+    h = np.concatenate([mix64(word), mix64(~head)]) >> U64(64 - BITS)
+    key, n = np.unique((np.concatenate([row, row]) << BITS) | h.astype(np.int64), return_counts=True)
+    mask = (1 << BITS) - 1
+    more = []
+    for times in range(2, TIMES + 1):
+        some = key[n >= times]
+        more.append((some & ~mask) | (mix64((some & mask).astype(U64) + (U64(times) << U64(32))) >> U64(64 - BITS)).astype(np.int64))
+    key = np.unique(np.concatenate([key, *more]))
+    return key >> BITS, key & mask
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -122,10 +129,10 @@ def fit(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, rounds: int = 8
 def _sampled(batches):
     for batch in batches:
         buf, off = utf8(batch.column("text"))
-        row, feature, n = features(buf, off)
+        row, feature = features(buf, off)
         first = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        cut = lambda x: pa.array([x[a:b].astype(np.int32).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("grade"), cut(feature), cut(n)], ["grade", "feature", "n"])
+        cut = [feature[a:b].astype(np.int32).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(cut, pa.binary())], ["grade", "feature"])
 
 
 def _scored(model: Model):
@@ -134,7 +141,7 @@ def _scored(model: Model):
             buf, off = utf8(batch.column("text"))
             score = np.zeros(batch.num_rows)
             for i, j in row_blocks(off, 1 << 19):
-                row, feature, _ = features(buf[off[i] : off[j]], off[i : j + 1] - off[i])
+                row, feature = features(buf[off[i] : off[j]], off[i : j + 1] - off[i])
                 score[i:j] = model.severity(row, feature, j - i)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array(np.rint(score).astype(np.int32)), pa.array(score >= REJECT)], ["doc_id", "severity", "grade", "toxic"])
 
@@ -151,13 +158,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8000) -> Model:
     half = lambda cond: labels.where(cond).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
     chosen = half("grade > 0").union(half("grade <= 0"))  # at most ``sample`` rows of two numbers
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("grade", "text").mapInArrow(_sampled, "grade int, feature binary, n binary").collect()
+    rows = texts.select("grade", "text").mapInArrow(_sampled, "grade int, feature binary").collect()
     rows.sort(key=lambda r: (r["grade"], bytes(r["feature"])))
     if not rows:
         return fit(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
     parts = [np.frombuffer(bytes(r["feature"]), np.int32) for r in rows]
     row = np.repeat(np.arange(len(rows)), [len(x) for x in parts])
-    feature, n = np.concatenate(parts).astype(np.int64), np.concatenate([np.frombuffer(bytes(r["n"]), np.int32) for r in rows])
+    feature = np.concatenate(parts).astype(np.int64)
     grade = np.array([r["grade"] for r in rows])
     grade = np.clip(grade, 0, GRADES) if target == "severity" else severities(row, feature, grade > 0)
     return fit(row, feature, grade)
@@ -179,7 +186,7 @@ def _clean(model: Model):
             buf, off = utf8(batch.column("text"))
             keep = np.ones(batch.num_rows, bool)
             for i, j in row_blocks(off, 1 << 19):
-                row, feature, _ = features(buf[off[i] : off[j]], off[i : j + 1] - off[i])
+                row, feature = features(buf[off[i] : off[j]], off[i : j + 1] - off[i])
                 keep[i:j] = model.severity(row, feature, j - i) < REJECT
             yield batch.filter(pa.array(keep))
 

@@ -33,7 +33,8 @@ STEP = 256
 
 def marked(text: Column, pattern: str) -> Column:
     """Pieces of the text: every second one is a match."""
-    return F.split(F.regexp_replace(text, pattern, f"{LEFT}$0{RIGHT}"), f"[{LEFT}{RIGHT}]", -1)
+    pieces = F.split(F.regexp_replace(text, pattern, f"{LEFT}$0{RIGHT}"), f"[{LEFT}{RIGHT}]", -1)
+    return F.when(text.rlike(pattern), pieces).otherwise(F.array(text))  # most texts hold no match and need no splitting
 
 
 def added(lengths: Column, sums: Column, n: Column) -> Column:

@@ -29,14 +29,24 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
+def staged(df: DataFrame, name: str, partition_by: str | None = None, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``batch_rows`` bounds the rows of an Arrow batch of this write, for rows that hold whole texts or sets.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        if batch_rows:
+            spark.conf.set(setting, str(batch_rows))
+        writer.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

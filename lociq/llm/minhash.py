@@ -11,6 +11,7 @@ from lociq.llm.common import U64, WordHasher, ascii_lower, ascii_space, mix64, r
 SHINGLE = 5
 N_HASH, ROWS = 128, 4
 N_BAND = N_HASH // ROWS
+TEXT_ROWS = 1000  # rows of an Arrow batch that holds whole texts or full sets
 
 
 @functools.cache
@@ -272,8 +273,8 @@ def _sets(docs, ids, at_most: int, most_bits: int, fill: float):
         at, word = zip(*marks, strict=True)
         bitmap[list(at)] = word
     if np.unpackbits(bitmap.view(np.uint8)).mean() <= fill:
-        return staged(docs.where("doc_id is not null").mapInArrow(_sketch(True, bitmap.tobytes()), kind), "sets")
-    return staged(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sketch(True), kind), "sets")
+        return staged(docs.where("doc_id is not null").mapInArrow(_sketch(True, bitmap.tobytes()), kind), "sets", batch_rows=TEXT_ROWS)
+    return staged(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sketch(True), kind), "sets", batch_rows=TEXT_ROWS)
 
 
 def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to: int = 32, chunk: int = 128, most_bits: int = 1 << 26, fill: float = 0.2):
@@ -296,7 +297,7 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     least = least_matches(percent / 100, miss)
-    sketch = staged(docs.mapInArrow(_sketch(False), "doc_id long, n_shingles long, s1 long, s2 long, sig binary"), "sketch")
+    sketch = staged(docs.mapInArrow(_sketch(False), "doc_id long, n_shingles long, s1 long, s2 long, sig binary"), "sketch", batch_rows=TEXT_ROWS)
     real = sketch.where("n_shingles > 0 and doc_id is not null")
     rep = real.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
     reps = real.select("doc_id", "s1", "s2", "sig").join(rep, (real.doc_id == rep.rep) & (real.s1 == rep.s1) & (real.s2 == rep.s2), "left_semi")
@@ -317,7 +318,7 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
         b = need.select(F.col("doc_id").alias("b"), F.col("members").alias("set_b"))
         return left.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b").mapInArrow(_verified(percent), "a long, b long")
 
-    links = staged(confirmed(star), "links")
+    links = staged(confirmed(star), "links", batch_rows=TEXT_ROWS)
     comp = components(links)
     labelled = member.select("key", "id", "n").join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
     labelled = staged(labelled, "labelled")
@@ -326,7 +327,7 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
     small = open_.where(F.col("n") <= all_pairs_up_to)
     other = small.select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
     pairs = small.select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a")).join(other, "key").where("a < b and comp_a <> comp_b").select("a", "b").distinct()
-    more = staged(confirmed(pairs.join(star, ["a", "b"], "left_anti")), "links")
+    more = staged(confirmed(pairs.join(star, ["a", "b"], "left_anti")), "links", batch_rows=TEXT_ROWS)
     large = open_.where(F.col("n") > all_pairs_up_to)
     found = links.union(more)
     if not large.isEmpty():

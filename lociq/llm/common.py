@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+TEXT_BLOCK = 1 << 17  # bytes of text whose words are hashed at once: bounds the arrays of a worker and keeps them in its cache
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

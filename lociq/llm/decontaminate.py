@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociq.llm.common import U64, WordHasher, ascii_lower, mix64, row_blocks, utf8
+from lociq.llm.common import TEXT_BLOCK, U64, WordHasher, ascii_lower, mix64, row_blocks, utf8
 
 # fixed values: positions of a token window that a seed compares; the others are ignored
 MASKS = ("111010010111", "11101011011", "1101100101011", "11111111")
@@ -99,7 +99,7 @@ def best_stretch(same: np.ndarray, share: float) -> tuple[int, int, int]:
 def matches(seeds: Seeds, buf: np.ndarray, offsets: np.ndarray, least: int, share: float) -> dict[tuple[int, int], tuple[int, int, int]]:
     """Best stretch (matched, begin, end) of each (row, item) that overlaps."""
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for i, j in row_blocks(offsets, 1 << 20):
+    for i, j in row_blocks(offsets, TEXT_BLOCK):
         row, _, _, token = hasher().words(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         first = np.searchsorted(row, np.arange(j - i + 1))
         for item, d, r in seeds.hits(token, row).T.tolist():

@@ -6,7 +6,7 @@ import functools
 
 import numpy as np
 
-from lociq.llm.common import U64, WordHasher, ascii_lower, ascii_space, mix64, row_blocks
+from lociq.llm.common import TEXT_BLOCK, U64, WordHasher, ascii_lower, ascii_space, mix64, row_blocks
 
 SHINGLE = 5
 N_HASH, ROWS = 128, 4
@@ -138,7 +138,7 @@ def _sketch(sets: bool, bitmap: bytes | None = None):
                 at = slots(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), 8 * len(bitmap))
                 batch = batch.filter(pa.array((np.frombuffer(bitmap, np.uint8)[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
             buf, off = utf8(batch.column("text"))
-            for i, j in row_blocks(off, 1 << 19):
+            for i, j in row_blocks(off, TEXT_BLOCK):
                 h, o = shingle_sets(buf[off[i] : off[j]], off[i : j + 1] - off[i])
                 sig = signatures(h, o)
                 cols = {"doc_id": batch.column("doc_id").slice(i, j - i)}

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociq.llm.common import U64, WordHasher, ascii_lower, mix64, row_blocks, utf8
+from lociq.llm.common import TEXT_BLOCK, U64, WordHasher, ascii_lower, mix64, row_blocks, utf8
 
 BITS = 19
 HEAD = 5
@@ -140,7 +140,7 @@ def _scored(model: Model):
         for batch in batches:
             buf, off = utf8(batch.column("text"))
             score = np.zeros(batch.num_rows)
-            for i, j in row_blocks(off, 1 << 19):
+            for i, j in row_blocks(off, TEXT_BLOCK):
                 row, feature = features(buf[off[i] : off[j]], off[i : j + 1] - off[i])
                 score[i:j] = model.severity(row, feature, j - i)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array(np.rint(score).astype(np.int32)), pa.array(score >= REJECT)], ["doc_id", "severity", "grade", "toxic"])
@@ -185,7 +185,7 @@ def _clean(model: Model):
         for batch in batches:
             buf, off = utf8(batch.column("text"))
             keep = np.ones(batch.num_rows, bool)
-            for i, j in row_blocks(off, 1 << 19):
+            for i, j in row_blocks(off, TEXT_BLOCK):
                 row, feature = features(buf[off[i] : off[j]], off[i : j + 1] - off[i])
                 keep[i:j] = model.severity(row, feature, j - i) < REJECT
             yield batch.filter(pa.array(keep))

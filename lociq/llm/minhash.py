@@ -314,6 +314,7 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
         a = need.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a"))
         b = need.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b"))
         left = pairs.join(b, "b").join(a, "a").select("a", "b", "sig_a", "sig_b").mapInArrow(_pruned(least), "a long, b long")
+        left = staged(left, "pruned")  # so that no stage holds two Python workers a core
         a = need.select(F.col("doc_id").alias("a"), F.col("members").alias("set_a"))
         b = need.select(F.col("doc_id").alias("b"), F.col("members").alias("set_b"))
         return left.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b").mapInArrow(_verified(percent), "a long, b long")

@@ -155,7 +155,8 @@ def table_file(df: DataFrame, path: str, header: bool = True) -> None:
     """Write a coordinate-sorted, compressed table whose header begins with #."""
     first = df.columns[0]
     out = df.withColumnRenamed(first, f"#{first}") if header else df
-    out.orderBy(*out.columns[:3]).write.option("sep", "\t").option("header", header).option("compression", "gzip").csv(path)
+    # with # as comment mark, which is the writer's default, the header's first name would be quoted
+    out.orderBy(*out.columns[:3]).write.option("comment", "~").option("sep", "\t").option("header", header).option("compression", "gzip").csv(path)
 
 
 def parquet_by_contig(df: DataFrame, path: str, rows: int = 1_000_000) -> None:

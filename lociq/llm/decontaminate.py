@@ -6,15 +6,32 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociq.llm.common import TEXT_BLOCK, U64, WordHasher, ascii_lower, mix64, row_blocks, utf8
 
-# fixed values: positions of a token window that a seed compares; the others are ignored
-MASKS = ("111010010111", "11101011011", "1101100101011", "11111111")
+# fixed values: positions of a token window that a seed compares; the others are ignored. MASKS hit every stretch of 13 to 25 tokens of
+# which 3 of 4 agree, so every longer one too, as it can be cut into pieces of these lengths and one piece has the share of the whole. For items of fewer
+# tokens, by least length, the masks hit every such whole item that begins and ends with a match. A test enumerates the patterns.
+MASKS = ("111011", "1100001011", "10011000011", "1010000111")
+MASKS_OF_SHORT = {8: ("11101", "1010011", "11000011"), 5: ("11101", "11011", "10111")}
+PIECE, LONGEST_PIECE, LEAST_SHARE = 13, 25, 0.75
+NEAR = 8192  # hits whose surroundings are compared at once
 SHORTEST = 5  # items of fewer tokens are too common to search
 
+# letters of scripts written without spaces, each of which is a token, and the punctuation of these scripts
+UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}])|[\u3000-\u303F\u30FB\uFF01-\uFF0F\uFF1A-\uFF20\uFF3B-\uFF40\uFF5B-\uFF65]"
+
+# ranges that hold all of these: most texts hold none and are done with after this cheaper search
+UNSPACED_RANGES = r"[\u0E00-\u109F\u1780-\u17FF\u19E0-\u19FF\u2E80-\u9FFF\uA9E0-\uA9FF\uAA60-\uAA7F\uF900-\uFAFF\uFF01-\uFF9F\x{16F00}-\x{16FFF}\x{1AFF0}-\x{1B16F}\x{1F200}-\x{1F2FF}\x{20000}-\x{3FFFF}]"
+
+
+def searched(text: Column) -> Column:
+    """The text as it is cut into tokens: in lower case, with spaces around letters of scripts without spaces."""
+    low = F.lower(text.cast("string"))
+    return F.when((F.octet_length(low) > F.length(low)) & low.rlike(UNSPACED_RANGES), F.regexp_replace(low, UNSPACED, " $1 ")).otherwise(low)
+
 
 def _separators() -> np.ndarray:
     out = np.ones(256, bool)
@@ -41,40 +58,62 @@ def seed_hashes(token: np.ndarray, mask: str) -> np.ndarray:
     return out
 
 
+def masks_of(n: int) -> tuple[str, ...]:
+    """Masks for an item of n tokens."""
+    return MASKS if n >= PIECE else MASKS_OF_SHORT[max(k for k in MASKS_OF_SHORT if k <= n)]
+
+
 class Seeds:
-    """Seeds of a block of benchmark items, sorted by hash, one array for each mask. Short items have a mask of their own length."""
+    """Seeds of a block of benchmark items, sorted by hash, one array for each mask. Short items have masks of their own."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]]):
         self.ids = [i for i, _ in items]
         self.tokens = [t for _, t in items]
+        self.length = np.array([len(t) for t in self.tokens], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.flat = np.concatenate([np.zeros(0, U64), *self.tokens])
         by_mask: dict[str, list] = {}
         for k, t in enumerate(self.tokens):
-            fit = [m for m in MASKS if len(m) <= len(t)] or ["1" * len(t)]
-            for m in fit:
+            for m in masks_of(len(t)):
                 h = seed_hashes(t, m)
                 by_mask.setdefault(m, []).append((h, np.full(len(h), k), np.arange(len(h))))
         self.masks = []
         for m, parts in by_mask.items():
             h, item, at = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(h, kind="stable")
-            self.masks.append((m, h[order], item[order], at[order]))
+            shift = U64(64 - max(16, int(8 * len(h)).bit_length()))
+            flags = np.zeros(1 << (64 - int(shift)), bool)
+            flags[h >> shift] = True
+            self.masks.append((m, h[order], item[order], at[order], shift, flags))
 
-    def hits(self, token: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Distinct (item, diagonal, row) of seed hits; the diagonal is token position minus item position. Seeds stay within a row."""
+    def hits(self, token: np.ndarray, row: np.ndarray, share: float) -> np.ndarray:
+        """Distinct (item, diagonal, row) of seed hits; the diagonal is token position minus item position. Seeds stay within a row.
+
+        A hit stays if the tokens about it, as far as a piece that holds the seed can reach, agree as often as a piece (or whole short item) must.
+        """
         found = [np.zeros((3, 0), np.int64)]
-        for m, h, item, at in self.masks:
+        for m, h, item, at, shift, flags in self.masks:
             x = seed_hashes(token, m)
-            if not len(x):
-                continue
-            first = np.searchsorted(h, x)
-            p = np.flatnonzero((h[np.minimum(first, len(h) - 1)] == x) & (row[: len(x)] == row[len(m) - 1 :]))
-            first = first[p]
+            p = np.flatnonzero(flags[x >> shift])  # most seeds end here, before the search
+            p = p[row[p] == row[p + len(m) - 1]]
+            first = np.searchsorted(h, x[p])
+            same = h[np.minimum(first, len(h) - 1)] == x[p]
+            p, first = p[same], first[same]
             n = np.searchsorted(h, x[p], side="right") - first
             k = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             p = np.repeat(p, n)
-            found.append(np.stack([item[k], p - at[k], row[p]]))
+            found += [self._near(token, row, item[k[i : i + NEAR]], p[i : i + NEAR], at[k[i : i + NEAR]], share) for i in range(0, len(k), NEAR)]
         return np.unique(np.concatenate(found, axis=1), axis=1)
 
+    def _near(self, token: np.ndarray, row: np.ndarray, item: np.ndarray, p: np.ndarray, at: np.ndarray, share: float) -> np.ndarray:
+        length, start = self.length[item], self.start[item]
+        agree = np.zeros(len(p), np.int64)
+        for j in range(SHORTEST - LONGEST_PIECE, LONGEST_PIECE):
+            here, there = np.clip(p + j, 0, len(token) - 1), np.clip(at + j, 0, length - 1)
+            agree += (token[here] == self.flat[start + there]) & (here == p + j) & (there == at + j) & (row[here] == row[p])
+        keep = agree >= np.ceil(share * np.minimum(length, PIECE) - 1e-9)
+        return np.stack([item, p - at, row[p]])[:, keep]
+
 
 def best_stretch(same: np.ndarray, share: float) -> tuple[int, int, int]:
     """Longest stretch of aligned tokens that begins and ends with a match and has at least ``share`` of matches: begin, end, matches."""
@@ -82,7 +121,7 @@ def best_stretch(same: np.ndarray, share: float) -> tuple[int, int, int]:
     # a stretch [i, j) qualifies if g[j] >= g[i]
     g = total - share * np.arange(len(total))
     best = (0, 0, 0)
-    low = np.minimum.accumulate(g)
+    low = np.minimum.accumulate(np.where(same, g[:-1], np.inf))
     for j in range(len(total) - 1, 0, -1):
         if j <= best[1] - best[0]:
             break
@@ -90,19 +129,18 @@ def best_stretch(same: np.ndarray, share: float) -> tuple[int, int, int]:
             i = int(np.searchsorted(-low, -(g[j] + 1e-9), side="left"))
             if i < j and j - i > best[1] - best[0]:
                 best = (i, j, int(total[j] - total[i]))
-    i, j, n = best
-    while i < j and not same[i]:
-        i += 1
-    return i, j, n
+    return best
 
 
 def matches(seeds: Seeds, buf: np.ndarray, offsets: np.ndarray, least: int, share: float) -> dict[tuple[int, int], tuple[int, int, int]]:
     """Best stretch (matched, begin, end) of each (row, item) that overlaps."""
+    if least < PIECE or share < LEAST_SHARE:
+        raise ValueError(f"the seeds find every overlap from {PIECE} tokens and a share of {LEAST_SHARE} on, not below")
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
     for i, j in row_blocks(offsets, TEXT_BLOCK):
         row, _, _, token = hasher().words(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         first = np.searchsorted(row, np.arange(j - i + 1))
-        for item, d, r in seeds.hits(token, row).T.tolist():
+        for item, d, r in seeds.hits(token, row, share).T.tolist():
             want = seeds.tokens[item]
             lo, hi = max(d, int(first[r])), min(d + len(want), int(first[r + 1]))
             begin, end, n = best_stretch(token[lo:hi] == want[lo - d : hi - d], share)
@@ -152,7 +190,7 @@ def _item_tokens(batches):
 
 def item_blocks(benchmark: DataFrame, block_tokens: int):
     """Items as (item_id, tokens) in blocks of at most ``block_tokens`` tokens, one empty block at least."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), searched(F.col("text")).alias("text"))
     block, size, any_block = [], 0, False
     for r in items.mapInArrow(_item_tokens, "item_id long, tokens binary").toLocalIterator():  # an item at a time
         token = np.frombuffer(bytes(r["tokens"]), U64)
@@ -171,13 +209,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: floa
     """Verified overlaps of ``docs`` (doc_id, text, more) with ``benchmark`` (item_id, text, more), one row for each pair of a document and an item.
 
     A row tells doc_id, item_id, begin and end (token positions in the document), matched and item_tokens of the best stretch.
-    Tokens are runs of letters and digits in lower case. A pair counts if aligned tokens around a seed hit hold a stretch of ``least`` tokens (or of the whole
-    item, if that is shorter) of which ``share`` agree. Items go to the tasks in blocks of at most ``block_tokens`` tokens, each with
+    Tokens are runs of letters and digits in lower case, and single characters in scripts without spaces. A pair counts if aligned tokens hold a stretch of ``least`` tokens (or of the whole
+    item, if that is shorter) that begins and ends with a match and of which ``share`` agree; the seeds leave out none of these, for which ``least`` must be
+    13 and ``share`` 0.75 at the least. Items go to the tasks in blocks of at most ``block_tokens`` tokens, each with
     one scan of all documents, so that what is sent has a fixed bound whatever the benchmark's size. Documents are never shuffled.
 
     Nulls, empty texts and items of under five tokens overlap with nothing. Repeated rows give repeated rows. Empty tables give no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), searched(F.col("text")).alias("text"))
     parts = [docs.mapInArrow(_scan(block, least, share), FOUND_DDL) for block in item_blocks(benchmark, block_tokens)]
     out = parts[0]
     for part in parts[1:]:
@@ -188,7 +227,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: floa
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: float = 0.75, block_tokens: int = 1_000_000) -> DataFrame:
     """The rows of ``docs``, with all columns, that overlap with no item (see ``overlaps``)."""
     for block in item_blocks(benchmark, block_tokens):
-        low = docs.select("*", F.lower(F.col("text").cast("string")).alias("searched text"))
+        low = docs.select("*", searched(F.col("text")).alias("searched text"))
         docs = low.mapInArrow(_kept(block, least, share), docs.schema)
     return docs
 

@@ -301,6 +301,59 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(empty(spark), bench).count() == 0
 
 
+def changes(n, lengthwise):
+    """Every choice of as many changed places as a share of 0.75 allows, as bits; within the ends where the whole item must match."""
+    import itertools
+
+    places = range(n) if lengthwise else range(1, n - 1)
+    return np.array([sum(1 << i for i in c) for c in itertools.combinations(places, n // 4)], np.int64)
+
+
+@pytest.mark.parametrize("n", range(5, 26))
+def test_seeds_hit_every_pattern(n):
+    changed = changes(n, n >= 13)
+    hit = np.zeros(len(changed), bool)
+    for mask in decontaminate.masks_of(n):
+        for at in range(n - len(mask) + 1):
+            hit |= (changed & (int(mask[::-1], 2) << at)) == 0
+    assert hit.all()
+
+
+@pytest.mark.parametrize("n", [5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 20])
+def test_changed_items_are_found(n):
+    r = np.random.Generator(np.random.PCG64(n))
+    patterns = changes(n, False)
+    patterns = patterns[r.permutation(len(patterns))[:300]]
+    item = [f"i{k}" for k in range(n)]
+    ahead, behind = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    texts = [f"{ahead} {' '.join('x' if int(c) >> k & 1 else w for k, w in enumerate(item))} {behind}" for c in patterns]
+    data = [t.encode() for t in [*texts, " ".join(item), ahead, "", " ".join(["x", *item[2:], *item[:1]])]]
+    long = [f"z{k}" for k in range(9)] + item + [f"y{k}" for k in range(60)]
+    seeds = decontaminate.Seeds([(i, decontaminate.hasher().words(np.frombuffer(" ".join(w).encode(), np.uint8), np.array([0, len(" ".join(w))]))[3]) for i, w in enumerate((item, long))])
+    off = np.cumsum([0, *map(len, data)])
+    found = decontaminate.matches(seeds, np.frombuffer(b"".join(data), np.uint8), off, 13, 0.75)
+    whole = {(k, i): (n - n // 4, 30, 30 + n) for k in range(len(texts)) for i in (0, 1) if i == 0 or n >= 13}
+    assert {k: v for k, v in found.items() if k[0] < len(texts)} == whole
+    assert {k for k in found if k[0] >= len(texts)} - {(len(data) - 1, 0), (len(data) - 1, 1)} == {(len(texts), i) for i in (0, 1) if i == 0 or n >= 13}
+
+
+def test_items_in_scripts_without_spaces(spark):
+    item = "春天的早晨小河边的柳树发出了嫩绿的新芽"
+    changed = item[:6] + "大" + item[7:]
+    texts = ["昨天我们去了公园，" + item + "。然后大家一起回家吃饭了。", "昨天" + changed + "。", "今天的天气很好，我们一起去公园。", "สวัสดี ครับ", "naïve text"]
+    bench = spark.createDataFrame([(1, item), (2, "สวัสดีครับ"), (3, "one two three")], "item_id long, text string")
+    got = {r["doc_id"]: list(r["item_ids"]) for r in decontaminate.contaminated(frame(spark, list(enumerate(texts))), bench).collect()}
+    assert got == {0: [1], 1: [1], 3: [2]}
+
+
+def test_longest_stretch_begins_with_a_match():
+    same = np.array([int(c) for c in "00111111111011101"], bool)
+    i, j, n = decontaminate.best_stretch(same, 0.75)
+    assert (i, j, n) == (2, 17, 13)
+    with pytest.raises(ValueError):
+        decontaminate.matches(decontaminate.Seeds([]), np.zeros(0, np.uint8), np.array([0]), 5, 0.75)
+
+
 # ------------------------------------------------------------------------------------------ secrets
 
 

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: HTML's element classes and tokens of class and id attributes that speak against or for main text
-RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "object", "canvas", "math")
+RAW = ("script", "style", "noscript", "iframe", "textarea", "title")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd maction semantics annotation".split())
+PHRASING = frozenset("svg object canvas template audio video picture map slot".split())  # nodes that do not end an open paragraph, as custom elements don't
 BOILER = frozenset("nav footer aside header form menu dialog button select label fieldset head legend option".split())
 MAIN = frozenset("article main".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -30,7 +31,7 @@ AGAINST = frozenset("ad ads advert advertisement banner sponsor sponsored promo
 FOR = frozenset("article content main body post entry story text prose page".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?![\w:-])[^>]*>.*?(?:</(?P=raw)(?![\w:-])[^>]*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*>",
     re.S | re.I,
 )
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -86,8 +87,11 @@ class Page:
             if tag == "hr":
                 self._flush()
             return
-        self._flush()
         tags = self.tag
+        if not ends and attrs.endswith("/") and (tag == "svg" or any(tags[k] == "svg" for k in self.stack)):  # '/>' ends an element only there
+            self.parts.append(" ")
+            return
+        self._flush()
         if ends:
             for k in range(len(self.stack) - 1, 0, -1):
                 if tags[self.stack[k]] == tag:
@@ -95,7 +99,7 @@ class Page:
                     break
             self.in_link = 0
             return
-        while len(self.stack) > 1 and (tags[self.stack[-1]] == "p" or tags[self.stack[-1]] in CLOSES.get(tag, ())):
+        while tag not in PHRASING and "-" not in tag and len(self.stack) > 1 and (tags[self.stack[-1]] == "p" or tags[self.stack[-1]] in CLOSES.get(tag, ())):
             self.stack.pop()
         names = tuple(WORDS.findall(" ".join(x or y or z for x, y, z in NAMES.findall(attrs)).lower())) if "=" in attrs else ()
         self._add(self.stack[-1], tag, names)

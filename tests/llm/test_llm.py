@@ -452,6 +452,22 @@ def test_html_made_pages():
     assert wrong <= 0.04 * total
 
 
+def test_html_elements_that_are_not_raw():
+    model, say = pages_html.train([]), "one two, three four five six seven. Eight nine ten eleven, twelve thirteen fourteen."
+    text = lambda s: pages_html.extract([s], model)[0]
+    blocks = lambda s: [t for t in pages_html.Page(s).text if t]
+    for mark in ('<svg class="i"/>', "<svg/>", '<svg viewBox="0 0 9 9"><path d="M0"/><use href="#a"/></svg>', "<math/>", "<svg><title>Icon</title></svg>", "<x-icon></x-icon>"):
+        got = text(f"<body><nav><a href='/'>home</a></nav><article><h1>Title of it</h1><p>{say} {mark} behind the mark.</p><p>Last {say}</p></article></body>")
+        assert got == f"Title of it {say} behind the mark. Last {say}", mark
+    for tag in ("title-bar", "object-view", "template-x", "style-guide", "object", "canvas", "script-box"):
+        for end in (f"</{tag}>", ""):
+            got = text(f"<body><article><h1>Title of it</h1><p>First {say}</p><{tag}><p>Inner {say}</p>{end}<p>Last {say}</p></article></body>")
+            assert got == f"Title of it First {say} Inner {say} Last {say}", tag
+    assert text(f"<article><p>{say} Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p><p>{say}</p></article>") == f"{say} Let x=2 hold. {say}"
+    assert blocks("<p>a<script>if (1 < 2) '</p>'</script >b<STYLE>p{}</style\n><title>t</title>c<textarea>d</textarea><noscript>e</noscript>f") == ["a b c f"]
+    assert blocks("<p>a<script>never ended <p>b") == ["a"]
+
+
 # ------------------------------------------------------------------------------------------ pipeline
 
 

@@ -17,15 +17,16 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 # candidate strings for entropy: whole runs of 20 or more characters
 RUN = "[A-Za-z0-9+/_=-]"
-CANDIDATE = f"(?<!{RUN})(?={RUN}*[0-9]){RUN}{{20,}}"
+CANDIDATE = f"(?<!{RUN}){RUN}{{20,}}"
 WINDOW = 20
-# bits a character within a window of 20: random hexadecimal has about 3.3, random base 64 about 4.1
-HEX_BITS, BASE64_BITS = 3.0, 3.75
-# allow-list: placeholders, counting sequences, UUIDs, digits only, one repeated unit
-ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|redacted|changeme|0123456789|1234567890|abcdefghij|xxxxx"
-    r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^[0-9+/_=-]+$|^(.{1,6}?)\1+$"
-)
+# bits a character within a window of 20: random hexadecimal has about 3.3, random base 64 about 4.1, random letters of one case about 3.6
+# and of both 3.9. A window's class is that of the stretch it lies in; PLAIN is for runs without a digit, mostly paths and joined words
+HEX_BITS, CASE_BITS, LETTER_BITS, BASE64_BITS, PLAIN_BITS = 3.0, 3.5, 3.8, 3.75, 3.9
+CLASSES = (("[0-9A-Fa-f]{20,}", HEX_BITS), ("[a-z]{20,}|[A-Z]{20,}", CASE_BITS), ("[A-Za-z]{20,}", LETTER_BITS))
+# allow-list, for the part between '/' and '=' that holds it: placeholders, counting sequences, UUIDs. Digits alone and one repeated unit have no limit to reach
+WORDS = r"example|sample|dummy|placeholder|redacted|changeme|0123456789|1234567890|abcdefghij|xxxxx"
+UUID = r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+ALLOWED = rf"(?i)(?<![^/=])(?:{UUID}(?![^/=])|[^/=]*(?:{WORDS})[^/=]*)"
 KINDS = ("assign", "access", "hex", "entropy")
 LEFT, RIGHT, OTHER = "\x01", "\x02", "\x03"
 STEP = 256
@@ -88,10 +89,16 @@ def _top_entropy(chars: Column, letters: Column) -> Column:
 
 
 def suspicious(s: Column) -> Column:
-    """Whether a candidate string has a window above the limit of its character class and is not on the allow-list."""
-    hexadecimal = s.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
-    mixed = s.rlike("[A-Za-z]")
-    return mixed & ~s.rlike(ALLOWED) & (top_entropy(s) >= F.when(hexadecimal, HEX_BITS).otherwise(BASE64_BITS))
+    """Whether a candidate string has, outside of the parts on the allow-list, a window above the limit of the window's character class."""
+    left = F.when(s.rlike(ALLOWED), F.regexp_replace(s, ALLOWED, OTHER)).otherwise(s)
+
+    def above(pattern: str, bits: Column | float) -> Column:
+        return F.exists(F.regexp_extract_all(left, F.lit(pattern), F.lit(0)), lambda x: x.rlike("[A-Za-z]") & (top_entropy(x) >= bits))
+
+    found = above(f"{RUN}{{20,}}", F.when(s.rlike("[0-9]"), BASE64_BITS).otherwise(PLAIN_BITS))
+    for pattern, bits in CLASSES:
+        found = found | above(pattern, bits)
+    return found
 
 
 def joined(spans: Column) -> Column:
@@ -102,6 +109,9 @@ def joined(spans: Column) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """Add n_assign, n_access, n_hex, n_entropy, base_sha256, spans and found (sorted array of begin, kind, end) to rows (doc_id, text, more).
 
+    An entropy span is a whole run of 20 or more letters, digits and '+/_=-' that holds a window of 20 characters above the limit of its
+    class: hexadecimal, letters of one case, letters, others (more bits in runs without a digit); parts on the allow-list are left out.
+
     Positions count code points of the whole text, ends exclusive. Null and empty texts have no spans (base_sha256 of the empty
     string). Repeated rows are scanned each; other columns stay as they are, but those of the added names are replaced. An empty table gives no rows.
     """

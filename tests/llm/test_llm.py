@@ -394,6 +394,22 @@ def test_secrets(spark):
     assert secrets.scan(empty(spark)).count() == 0
 
 
+def test_secrets_by_class_of_window(spark):
+    r, key = random.Random(4), "kJ8s9Dk2Lq0ZxC7vB5nM1aQw3E4r"
+    upper = lambda: "".join(r.choice("0123456789ABCDEF") for _ in range(32))
+    made = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    lower, letters = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    secret = [f"{before}{upper()}" for before in ("", "ID=", "id_", "x/y-") for _ in range(10)]
+    secret += [f"path/sample/{key}", f"{key}/example", f"n=sample/{key}=", "x/123e4567-e89b-12d3-a456-426614174000/" + key]
+    letters_only = [made(letters, 40) for _ in range(30)] + [f"id_{made(letters, 40)}" for _ in range(30)] + [made(lower, 40) for _ in range(30)] + [made(lower.upper(), 40) for _ in range(30)]
+    not_secret = ["path/" + key[:12] + "_sample_" + key[12:], "id=123e4567-e89b-12d3-a456-426614174000", "ID=20231231235959123456789012", "getElementsByClassName", "internationalization", "some/path/to/the/other/place", "ab" * 40, "n/" + "xxxxx" * 9]
+    got = {x["doc_id"]: x["n_entropy"] for x in secrets.scan(frame(spark, list(enumerate(f"see {t} there" for t in secret + letters_only + not_secret)))).collect()}
+    n, m = len(secret), len(secret) + len(letters_only)
+    assert [i for i in range(n) if got[i] != 1] == []
+    assert sum(got[i] for i in range(n, m)) >= 0.95 * (m - n)
+    assert [i for i in range(m, m + len(not_secret)) if got[i]] == []
+
+
 # ------------------------------------------------------------------------------------------ archives
 
 

@@ -10,7 +10,7 @@ from lociq.operators import intervals as iv
 from lociq.plans.region_queries import R6, near
 from lociq.plans.registry import query
 from lociq.plans.scalar_queries import WEIGHTS, aligned
-from lociq.sources.proxies import peaks, table
+from lociq.sources.proxies import anno, peaks, table
 
 
 @query("src14_region_fetch_whole")
@@ -47,3 +47,38 @@ def f04(spark, sf):
     listed = F.coalesce("bad", F.lit(False))
     s = table(spark, sf, "supplier").join(bad, "s_suppkey", "left")
     return s.select("s_suppkey", F.col("s_nationkey").isin(1, 3, 5).alias("chosen"), listed.alias("listed"), (F.col("s_nationkey").isin(1, 3, 5) & ~listed).alias("kept"))
+
+
+def keyed(spark, sf):
+    return peaks(spark, sf).select("l_orderkey", "l_linenumber", "cell_id", "n_reads", "chrom", "start_pos", "end_pos")
+
+
+@query("j07_overlap_left_whole")
+def j07(spark, sf):
+    p = keyed(spark, sf)
+    out = iv.overlap_left(p, anno(spark, sf).select("anno_id", "chrom", "start_pos", "end_pos"), p.columns)
+    return out.na.fill(-1, ["b_anno_id"]).select("l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos", "b_anno_id", "b_start_pos", "b_end_pos")
+
+
+@query("j08_overlap_bases_whole")
+def j08(spark, sf):
+    p = keyed(spark, sf)
+    out = iv.overlap_left(p, anno(spark, sf).select("anno_id", "chrom", "start_pos", "end_pos"), p.columns)
+    return out.na.fill(-1, ["b_anno_id"]).select("l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos", "b_anno_id", "overlap")
+
+
+@query("j12_nearest_whole")
+def j12(spark, sf):
+    return iv.nearest(peaks(spark, sf).select(*iv.KEY).distinct(), anno(spark, sf).where("anno = '1-URGENT'"))
+
+
+@query("j13_nearest_self_whole")
+def j13(spark, sf):
+    p = peaks(spark, sf).select(*iv.KEY).distinct()
+    return iv.nearest(p, p)
+
+
+@query("j14_nearest_by_donor_whole")
+def j14(spark, sf):
+    p = peaks(spark, sf).select("donor_id", *iv.KEY).distinct()
+    return iv.nearest(p, anno(spark, sf).where("anno = '1-URGENT'"), by=("donor_id", "chrom"))

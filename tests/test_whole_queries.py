@@ -81,3 +81,46 @@ def test_membership(spark):
     bad = {r["l_suppkey"] for r in rows(table(spark, SF, "lineitem")) if r["l_quantity"] > 49}
     want = [(r["s_suppkey"], c := r["s_nationkey"] in (1, 3, 5), r["s_suppkey"] in bad, c and r["s_suppkey"] not in bad) for r in rows(table(spark, SF, "supplier"))]
     assert found(spark, "f04_membership_whole") == sorted(want, key=str)
+
+
+def overlapping(peak, place):
+    by = defaultdict(list)
+    for a in place:
+        by[a["chrom"]].append(a)
+    for p in peak:
+        hit = [a for a in by[p["chrom"]] if p["start_pos"] < a["end_pos"] and a["start_pos"] < p["end_pos"]]
+        yield p, hit
+
+
+def test_overlap_left_and_bases(spark, peak, place):
+    left, bases = [], []
+    for p, hit in overlapping(peak, place):
+        head = tuple(p[c] for c in ("l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos"))
+        left += [(*head, a["anno_id"], a["start_pos"], a["end_pos"]) for a in hit] or [(*head, -1, -1, -1)]
+        bases += [(*head, a["anno_id"], min(p["end_pos"], a["end_pos"]) - max(p["start_pos"], a["start_pos"])) for a in hit] or [(*head, -1, 0)]
+    assert found(spark, "j07_overlap_left_whole") == sorted(left, key=str)
+    assert found(spark, "j08_overlap_bases_whole") == sorted(bases, key=str)
+
+
+def gaps(a, b, by):
+    ends, starts = defaultdict(list), defaultdict(list)
+    for x in b:
+        k = tuple(x[c] for c in by)
+        ends[k].append(x["end_pos"])
+        starts[k].append(x["start_pos"])
+    for xs in (*ends.values(), *starts.values()):
+        xs.sort()
+    out = set()
+    for x in a:
+        k = tuple(x[c] for c in by)
+        i, j = bisect_right(ends[k], x["start_pos"]), bisect_left(starts[k], x["end_pos"])
+        near = [x["start_pos"] - ends[k][i - 1]] * (i > 0) + ([starts[k][j] - x["end_pos"]] if j < len(starts[k]) else [])
+        out.add((*(x[c] for c in dict.fromkeys((*by, "chrom", "start_pos", "end_pos"))), min(near, default=None)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize(("name", "own", "by"), [("j12_nearest_whole", False, ("chrom",)), ("j13_nearest_self_whole", True, ("chrom",)), ("j14_nearest_by_donor_whole", False, ("donor_id", "chrom"))])
+def test_nearest(spark, peak, place, name, own, by):
+    names = [*dict.fromkeys((*by, "chrom", "start_pos", "end_pos")), "distance"]
+    got = sorted((tuple(r[c] for c in names) for r in rows(catalog.QUERIES[name](spark, SF))), key=str)
+    assert got == gaps(peak, peak if own else [a for a in place if a["anno"] == "1-URGENT"], by)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociq.operators.intervals import running, value_bins
+
 
 def running_counts(df: DataFrame, truth: Column, score: str) -> DataFrame:
-    """True and false positives at each distinct threshold, from the highest down, with totals."""
+    """Numbers of either class at each distinct threshold, true and false positives from the highest threshold down, and totals."""
     by = df.groupBy(F.col(score).alias("threshold")).agg(F.count(F.when(truth, 1)).alias("pos"), F.count(F.when(~truth, 1)).alias("neg"))
-    w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return by.select("threshold", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"), F.sum("pos").over(every).alias("p"), F.sum("neg").over(every).alias("n"))
+    upwards = running(by.withColumns({"tp": F.col("pos"), "fp": F.col("neg")}), (), F.lit(0), [F.desc("threshold")], {n: ("sum", F.col(n)) for n in ("tp", "fp")}, bin_of=-value_bins(by, "threshold"))
+    return upwards.crossJoin(F.broadcast(by.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))))  # one row
 
 
 def pr_curve(df: DataFrame, truth: Column, score: str, extra_fn: int = 0) -> DataFrame:
@@ -30,9 +31,7 @@ def roc_curve(df: DataFrame, truth: Column, score: str) -> DataFrame:
 def areas(df: DataFrame, truth: Column, score: str) -> DataFrame:
     """ROC AUC by trapezoids and average precision, as one row."""
     c = running_counts(df, truth, score)
-    w = Window.orderBy(F.desc("threshold"))
-    tp0, fp0 = F.coalesce(F.lag("tp").over(w), F.lit(0)), F.coalesce(F.lag("fp").over(w), F.lit(0))
-    step = c.select(((F.col("fp") - fp0) * (F.col("tp") + tp0) / 2).alias("area"), ((F.col("tp") - tp0) * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("gain"), "p", "n")
+    step = c.select((F.col("neg") * (2 * F.col("tp") - F.col("pos")) / 2).alias("area"), (F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("gain"), "p", "n")
     return step.agg(F.try_divide(F.sum("area"), F.max(F.col("p") * F.col("n"))).alias("auc"), F.try_divide(F.sum("gain"), F.max("p")).alias("average_precision"))
 
 
@@ -72,12 +71,12 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
 
     def ranked(c: str) -> DataFrame:
         n = df.groupBy(c).agg(F.count("*").alias("n"))
-        before = F.coalesce(F.sum("n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return n.select(c, (before + (F.col("n") + 1) / 2).alias(f"rank_{c}"))
+        upto = running(n, (), F.lit(0), [c], {"upto": ("sum", F.col("n"))}, bin_of=value_bins(n, c))
+        return upto.select(c, (F.col("upto") - (F.col("n") - 1) / 2).alias(f"rank_{c}"))
 
     return df.join(ranked(x), x).join(ranked(y), y).agg(F.corr(f"rank_{x}", f"rank_{y}").alias("rho"))
 
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """P(X >= k) for X binomial, each term from the one before."""
-    return F.expr(f"1 - aggregate(sequence(0, {k} - 1), named_struct('t', power(1 - {p}D, {n}), 's', 0D), (a, i) -> named_struct('t', a.t * ({n} - i) / (i + 1) * {p / (1 - p)}D, 's', a.s + a.t), a -> a.s)")
+    """P(X >= k) for X binomial, each term from the one before, as logarithms so that none runs to zero where n is large."""
+    return F.expr(f"1 - aggregate(sequence(0, {k} - 1), named_struct('t', {n} * ln(1 - {p}D), 's', 0D), (a, i) -> named_struct('t', a.t + ln({n} - i) - ln(i + 1D) + ln({p / (1 - p)}D), 's', a.s + exp(a.t)), a -> a.s)")

@@ -1,7 +1,8 @@
 """Interval algebra on half-open, 0-based intervals (chrom, start_pos, end_pos).
 
 Overlap joins equi-join on (chrom, bin) and keep each pair in the one bin that owns it, so no pair is met twice and nothing
-is deduplicated. Counts and nearest neighbours sort both sides once and use running values instead of joining.
+is deduplicated. Counts, nearest neighbours, clusters, segments and runs use running values within bins of positions instead of joining, so
+that no task holds a whole contig.
 """
 
 from __future__ import annotations
@@ -14,6 +15,83 @@ from pyspark.sql import functions as F
 KEY = ("chrom", "start_pos", "end_pos")
 
 
+SPAN = 1 << 17  # positions of a bin of a sweep
+
+
+def bins(by: tuple[str, ...], at: Column, span: int = SPAN) -> Column:
+    """Number of the bin of a position; rows without a contig lie in one bin, as no carry reaches them."""
+    bare = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in by], F.lit(False))
+    return F.when(bare, 0).otherwise(F.floor(at / span))
+
+
+def running(df: DataFrame, by: tuple[str, ...], at: Column, order: list, values: dict[str, tuple[str, Column]], before: bool = False, bin_of: Column | None = None) -> DataFrame:
+    """Add running sums or maxima ('sum' or 'max' of a column, by name) over the rows of ``by`` in ``order``, each row included unless ``before``.
+
+    Rows are sorted within bins of positions, so the work is spread over many more tasks than there are contigs; what stands before a bin is
+    carried into it from a table of a row for each bin. ``at`` must be the leading sort column, or ``bin_of`` give bins that follow the order.
+    """
+    fold = {"sum": F.sum, "max": F.max}
+    keys = [*by, "_bin"]
+    df = df.withColumn("_bin", bins(by, at) if bin_of is None else bin_of)
+    back = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    total = df.groupBy(*keys).agg(*(fold[how](c).alias(f"_of_{n}") for n, (how, c) in values.items()))
+    carry = total.select(*keys, *(fold[how](f"_of_{n}").over(back).alias(f"_to_{n}") for n, (how, _) in values.items()))
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+
+    def whole(n: str, how: str, c: Column) -> Column:
+        own = fold[how](c).over(inside)
+        return F.coalesce(f"_to_{n}", F.lit(0)) + F.coalesce(own, F.lit(0)) if how == "sum" else F.greatest(F.col(f"_to_{n}"), own)
+
+    out = df.join(carry, keys, "left").withColumns({f"_own_{n}": whole(n, how, c) for n, (how, c) in values.items()})
+    kept = [c for c in df.columns if c != "_bin" and c not in values]
+    return out.select(*(F.col(f"`{c}`") for c in kept), *(F.col(f"_own_{n}").alias(n) for n in values))
+
+
+def neighbour(df: DataFrame, by: tuple[str, ...], at: str, value: Column, name: str, ahead: bool) -> DataFrame:
+    """Add ``value`` of the row before, or behind, in the order of ``at`` (which is unique), also across bins."""
+    keys = [*by, "_bin"]
+    df = df.withColumn("_bin", bins(by, F.col(at)))
+    edge = df.groupBy(*keys).agg((F.min_by if ahead else F.max_by)(value, at).alias("_edge"))
+    step, over, inside = (F.lead if ahead else F.lag), Window.partitionBy(*by).orderBy("_bin"), Window.partitionBy(*keys).orderBy(at)
+    out = df.join(edge.select(*keys, step("_edge").over(over).alias("_next")), keys, "left")
+    return out.withColumn(name, F.coalesce(step(value).over(inside), "_next")).drop("_bin", "_next")
+
+
+def following(df: DataFrame, by: tuple[str, ...], at: str, name: str) -> DataFrame:
+    """Add the next position."""
+    return neighbour(df, by, at, F.col(at), name, True)
+
+
+def preceding(df: DataFrame, by: tuple[str, ...], at: str, value: Column, name: str) -> DataFrame:
+    """Add a value of the row before."""
+    return neighbour(df, by, at, value, name, False)
+
+
+def with_halo(df: DataFrame, by: tuple[str, ...], at: Column, before: int, after: int, span: int = SPAN) -> DataFrame:
+    """A row for each bin (_bin) whose rows may look at it from ``before`` behind or ``after`` ahead; _own in the bin that it lies in."""
+    span = max(span, 4 * (before + after))
+    low, high = bins(by, at - after, span), bins(by, at + before, span)
+    return df.withColumn("_bin", F.explode(F.sequence(low, high))).withColumn("_own", F.col("_bin") == bins(by, at, span))
+
+
+def value_bins(df: DataFrame, column: str, n: int = 128) -> Column:
+    """Number of the bin of a value, in ascending order, by approximate quantiles of the column."""
+    bounds = sorted({float(x) for x in df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", [k / n for k in range(1, n)], 0.25 / n)})
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col(column).cast("double")))
+
+
+def row_numbers(df: DataFrame, order: list, bin_of: Column, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Add row numbers from 1 in ``order``; ``bin_of`` must follow it."""
+    return running(df.withColumn("_one", F.lit(1).cast("long")), by, F.lit(0), order, {name: ("sum", F.col("_one"))}, bin_of=bin_of).drop("_one")
+
+
+def either_side(left: Column, right: Column) -> Column:
+    """Two points: ``left`` on side 0, and ``right`` on side 1 with its sign turned, so that both sides are swept upwards."""
+    return F.array(F.struct(F.lit(0).alias("side"), left.cast("long").alias("at")), F.struct(F.lit(1).alias("side"), (-right).cast("long").alias("at")))
+
+
 def binned(df: DataFrame, width: int, name: str = "bin") -> DataFrame:
     """A row for each bin of ``width`` bases that the interval touches."""
     low, high = F.floor(F.col("start_pos") / width), F.floor((F.col("end_pos") - 1) / width)
@@ -39,61 +117,57 @@ def overlap_left(a: DataFrame, b: DataFrame, key: list[str], width: int = 1024)
 
 
 def count_overlaps(a: DataFrame, b: DataFrame, name: str, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
-    """Number of intervals of ``b`` that overlap each of ``a``: those that start before its end less those that end by its start.
+    """Number of intervals of ``b`` that overlap each of ``a``."""
+    return count_kinds(a, b, {name: F.lit(True)}, by)
 
-    Both sides are sorted once; nothing is exploded, so wide and nested intervals cost no more than narrow ones.
-    """
-    loci = a.select(*by, "start_pos", "end_pos").distinct()
-    # at equal positions a probe at an end precedes starts (which lie outside), and a probe at a start follows ends
-    starts = b.select(*by, F.col("start_pos").alias("at"), F.lit(1).alias("n"))
-    ends = b.select(*by, F.col("end_pos").alias("at"), F.lit(1).alias("n"))
-    row = loci.withColumn("n", F.lit(0))
 
-    def below(points: DataFrame, probe: str, order: int) -> DataFrame:
-        probes = row.select(*by, F.col(probe).alias("at"), "n", "start_pos", "end_pos", F.lit(order).alias("turn"))
-        both = points.withColumns({"start_pos": F.lit(None).cast("long"), "end_pos": F.lit(None).cast("long"), "turn": F.lit(1)}).unionByName(probes)
-        running = F.sum("n").over(Window.partitionBy(*by).orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0))
-        return both.withColumn("below", running).where("start_pos is not null").select(*by, "start_pos", "end_pos", "below")
+def count_kinds(a: DataFrame, b: DataFrame, kinds: dict[str, Column], by: tuple[str, ...] = ("chrom",)) -> DataFrame:
+    """For each kind, a condition on ``b``, the number of its intervals that overlap each of ``a``, all in one pass.
 
-    begun, over = below(starts, "end_pos", 0), below(ends, "start_pos", 2)
-    n = begun.join(over.withColumnRenamed("below", "over"), [*by, "start_pos", "end_pos"]).select(*by, "start_pos", "end_pos", (F.col("below") - F.col("over")).cast("long").alias(name))
-    return a.join(n, [*by, "start_pos", "end_pos"], "left").select(*a.columns, F.coalesce(name, F.lit(0)).alias(name))
+    These are all intervals less those that lie to the left (end <= start) or to the right of it (start >= end). Nothing is exploded, so wide
+    and nested intervals cost no more than narrow ones, and equal positions of ``b`` fold before they are sorted.
+    """
+    names = list(kinds)
+    marks = b.select(*by, *(F.when(c, 1).otherwise(0).alias(n) for n, c in kinds.items()), F.explode(either_side(F.col("end_pos"), F.col("start_pos"))).alias("x"))
+    marks = marks.groupBy(*by, "x.side", "x.at").agg(*(F.sum(n).alias(n) for n in names)).withColumns({"start_pos": F.lit(None).cast("long"), "end_pos": F.lit(None).cast("long"), "probe": F.lit(0)})
+    loci = a.select(*by, "start_pos", "end_pos").distinct()
+    probes = loci.select(*by, F.explode(either_side(F.col("start_pos"), F.col("end_pos"))).alias("x"), "start_pos", "end_pos").select(*by, "x.side", "x.at", *(F.lit(0).cast("long").alias(n) for n in names), "start_pos", "end_pos", F.lit(1).alias("probe"))
+    swept = running(marks.unionByName(probes), (*by, "side"), F.col("at"), ["at", "probe"], {n: ("sum", F.col(n)) for n in names})
+    outside = swept.where("probe = 1").groupBy(*by, "start_pos", "end_pos").agg(*(F.sum(n).alias(f"{n} outside") for n in names))
+    total = b.groupBy(*by).agg(*(F.count(F.when(c, 1)).alias(f"{n} total") for n, c in kinds.items()))  # a row for each contig
+    found = a.join(outside, [*by, "start_pos", "end_pos"], "left").join(total, list(by), "left")
+    number = lambda n: F.greatest(F.lit(0), F.coalesce(f"`{n} total`", F.lit(0)) - F.coalesce(f"`{n} outside`", F.lit(0))).cast("long")
+    return found.select(*a.columns, *(number(n).alias(n) for n in names))
 
 
-def semi(a: DataFrame, b: DataFrame, key: list[str], width: int = 1024) -> DataFrame:
-    """Rows of ``a`` that overlap ``b``."""
-    return a.join(overlap_pairs(a.select(*dict.fromkeys([*key, *KEY])), b.select(*KEY), width).select(*key).distinct(), key, "left_semi")
+def semi(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of ``a`` that overlap ``b``; pairs are counted, never made."""
+    return count_overlaps(a, b, "hits").where("hits > 0").drop("hits")
 
 
-def anti(a: DataFrame, b: DataFrame, key: list[str], width: int = 1024) -> DataFrame:
+def anti(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of ``a`` that overlap nothing of ``b``."""
-    return a.join(overlap_pairs(a.select(*dict.fromkeys([*key, *KEY])), b.select(*KEY), width).select(*key).distinct(), key, "left_anti")
+    return count_overlaps(a, b, "hits").where("hits = 0").drop("hits")
 
 
 def nearest(a: DataFrame, b: DataFrame, name: str = "distance", by: tuple[str, ...] = ("chrom",)) -> DataFrame:
     """Gap to the nearest interval of ``b`` that doesn't overlap (bookended: 0), null where there is none. Ties need no rule: only the distance counts."""
+    marks = b.select(*by, F.explode(either_side(F.col("end_pos"), F.col("start_pos"))).alias("x")).select(*by, "x.side", "x.at").distinct()
+    marks = marks.withColumns({"mark": F.col("at"), "start_pos": F.lit(None).cast("long"), "end_pos": F.lit(None).cast("long"), "probe": F.lit(0)})
     loci = a.select(*by, "start_pos", "end_pos").distinct()
-    w = Window.partitionBy(*by).orderBy("at", "turn")
-
-    def side(point: str, probe: str, turn: int, forward: bool) -> DataFrame:
-        marks = b.select(*by, F.col(point).alias("at"), F.col(point).alias("mark"), F.lit(1).alias("turn"))
-        probes = loci.select(*by, F.col(probe).alias("at"), F.lit(None).cast("long").alias("mark"), F.lit(turn).alias("turn"), "start_pos", "end_pos")
-        both = marks.unionByName(probes, allowMissingColumns=True)
-        value = F.first("mark", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)) if forward else F.last("mark", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        return both.withColumn("found", value).where("start_pos is not null").select(*by, "start_pos", "end_pos", "found")
-
-    up = side("end_pos", "start_pos", 2, False).withColumnRenamed("found", "up")
-    down = side("start_pos", "end_pos", 0, True).withColumnRenamed("found", "down")
-    gap = up.join(down, [*by, "start_pos", "end_pos"]).select(*by, "start_pos", "end_pos", F.least(F.col("start_pos") - F.col("up"), F.col("down") - F.col("end_pos")).alias(name))
+    probes = loci.select(*by, F.explode(either_side(F.col("start_pos"), F.col("end_pos"))).alias("x"), "start_pos", "end_pos")
+    probes = probes.select(*by, "x.side", "x.at", F.lit(None).cast("long").alias("mark"), "start_pos", "end_pos", F.lit(1).alias("probe"))
+    swept = running(marks.unionByName(probes), (*by, "side"), F.col("at"), ["at", "probe"], {"mark": ("max", F.col("mark"))})
+    gap = swept.where("probe = 1").groupBy(*by, "start_pos", "end_pos").agg(F.min(F.col("at") - F.col("mark")).alias(name))
     return a.join(gap, [*by, "start_pos", "end_pos"], "left")
 
 
 def cluster(df: DataFrame, slack: int = 0, by: tuple[str, ...] = ("chrom",), name: str = "cluster", order: tuple[str, ...] = ()) -> DataFrame:
     """Add the running number of each row's cluster: a new one begins where start > largest end so far + slack (bookended intervals merge at 0)."""
-    w = Window.partitionBy(*by).orderBy("start_pos", "end_pos", *order)
-    reach = F.max("end_pos").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(reach.isNull() | (F.col("start_pos") > reach + slack), 1).otherwise(0)
-    return df.withColumn("new", new).withColumn(name, F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("new")
+    sort = ["start_pos", "end_pos", *order]
+    out = running(df, by, F.col("start_pos"), sort, {"_reach": ("max", F.col("end_pos"))}, before=True)
+    out = out.withColumn("_new", F.when(F.col("_reach").isNull() | (F.col("start_pos") > F.col("_reach") + slack), 1).otherwise(0)).drop("_reach")
+    return running(out, by, F.col("start_pos"), [*sort, F.desc("_new")], {name: ("sum", F.col("_new"))}).drop("_new")
 
 
 def merge(df: DataFrame, slack: int = 0, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
@@ -105,26 +179,29 @@ def segments(df: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
     """Elementary segments between all starts and ends with the number of intervals that cover each; uncovered ones are left out."""
     edge = df.select(*by, F.col("start_pos").alias("at"), F.lit(1).alias("d")).union(df.select(*by, F.col("end_pos").alias("at"), F.lit(-1).alias("d")))
     edge = edge.groupBy(*by, "at").agg(F.sum("d").alias("d"))
-    w = Window.partitionBy(*by).orderBy("at")
-    out = edge.select(*by, F.col("at").alias("start_pos"), F.lead("at").over(w).alias("end_pos"), F.sum("d").over(w).cast("long").alias("depth"))
-    return out.where("depth > 0 and end_pos is not null")
+    out = following(running(edge, by, F.col("at"), ["at"], {"depth": ("sum", F.col("d"))}), by, "at", "end_pos")
+    return out.where("depth > 0 and end_pos is not null").select(*by, F.col("at").alias("start_pos"), "end_pos", F.col("depth").cast("long").alias("depth"))
+
+
+def elementary(df: DataFrame) -> DataFrame:
+    """The stretches between neighbouring starts and ends."""
+    cuts = df.select("chrom", F.explode(F.array("start_pos", "end_pos")).alias("start_pos")).distinct()
+    return following(cuts, ("chrom",), "start_pos", "end_pos").where("end_pos is not null")
 
 
 def multi_intersect(df: DataFrame, source: str) -> DataFrame:
     """Elementary segments with the sorted list of sources that cover them."""
     names = segments(df, (source, "chrom")).select(source, "chrom", "start_pos", "end_pos")
-    cuts = df.select("chrom", F.explode(F.array("start_pos", "end_pos")).alias("at")).distinct()
-    cuts = cuts.select("chrom", F.col("at").alias("start_pos"), F.lead("at").over(Window.partitionBy("chrom").orderBy("at")).alias("end_pos")).where("end_pos is not null")
-    pair = overlap_pairs(cuts, names)
+    pair = overlap_pairs(elementary(df), names)
     return pair.groupBy(*KEY).agg(F.concat_ws(",", F.array_sort(F.collect_set(f"b_{source}"))).alias("sources"), F.count_distinct(f"b_{source}").alias("n_sources"))
 
 
 def run_lengths(df: DataFrame, value: str, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
     """Join adjacent segments of equal value (gaps and islands)."""
-    w = Window.partitionBy(*by).orderBy("start_pos")
-    new = F.when((F.lag("end_pos").over(w) == F.col("start_pos")) & F.lag(value).over(w).eqNullSafe(F.col(value)), 0).otherwise(1)
-    runs = df.withColumn("new", new).withColumn("run", F.sum("new").over(w))
-    return runs.groupBy(*by, "run").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.first(value).alias(value)).drop("run")
+    out = preceding(df, by, "start_pos", F.struct(F.col("end_pos").alias("e"), F.col(value).alias("v")), "_last")
+    new = ~F.coalesce((F.col("_last.e") == F.col("start_pos")) & F.col("_last.v").eqNullSafe(F.col(value)), F.lit(False))
+    runs = running(out.withColumn("_new", new), by, F.col("start_pos"), ["start_pos"], {"run": ("max", F.when(F.col("_new"), F.col("start_pos")))})
+    return runs.groupBy(*by, "run").agg(F.max("end_pos").alias("end_pos"), F.first(value).alias(value)).select(*by, F.col("run").alias("start_pos"), "end_pos", value)
 
 
 def depth(df: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
@@ -140,9 +217,7 @@ def end_depth(reads: DataFrame, at: str = "three_end") -> DataFrame:
 
 def track_max(signal: DataFrame, value: str, above: float) -> DataFrame:
     """Per-base maximum over overlapping runs of several tracks, values above a limit only."""
-    cuts = signal.select("chrom", F.explode(F.array("start_pos", "end_pos")).alias("at")).distinct()
-    cuts = cuts.select("chrom", F.col("at").alias("start_pos"), F.lead("at").over(Window.partitionBy("chrom").orderBy("at")).alias("end_pos")).where("end_pos is not null")
-    top = overlap_pairs(cuts, signal.select(*KEY, value)).groupBy(*KEY).agg(F.max(f"b_{value}").alias(value)).where(F.col(value) > above)
+    top = overlap_pairs(elementary(signal), signal.select(*KEY, value)).groupBy(*KEY).agg(F.max(f"b_{value}").alias(value)).where(F.col(value) > above)
     return run_lengths(top, value)
 
 
@@ -196,10 +271,8 @@ def parse_locus(column: str) -> list[Column]:
 
 def label_flags(df: DataFrame, anno: DataFrame, names: list[str]) -> DataFrame:
     """Add one overlap count for each annotation set, in one pass over the annotations."""
-    by_set = count_overlaps(df.crossJoin(F.broadcast(df.sparkSession.createDataFrame([(n,) for n in names], "anno string"))).select("anno", *KEY).distinct(), anno, "n", ("anno", "chrom"))
-    wide = by_set.groupBy(*KEY).pivot("anno", names).agg(F.sum("n"))
-    clean = wide.select(*KEY, *(F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("long").alias("n_" + "".join(c if c.isalnum() else "_" for c in n.lower()).strip("_")) for n in names))
-    return df.join(clean, list(KEY))
+    column = lambda n: "n_" + "".join(c if c.isalnum() else "_" for c in n.lower()).strip("_")
+    return count_kinds(df, anno, {column(n): F.col("anno") == n for n in names})
 
 
 def any_of(columns: list[Column]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociq.operators.intervals import cluster, locus
-from lociq.operators.regions import quantiles
+from lociq.operators.regions import quantile_columns, quantiles
 
 PRECEDENCE = ("KNRGL", "KRGL", "OTHER")
 
@@ -31,15 +31,15 @@ def cluster_stats(df: DataFrame, slack: int = 0, precedence: tuple[str, ...] = P
     c = clustered(df, slack)
     out = c.groupBy("chrom", "cluster").agg(
         best_label("label", precedence).alias("label"), F.count("*").alias("n_regions"), F.count_distinct("cell_id").alias("n_cells"), F.count_distinct("donor_id").alias("n_donors"),
-        *quantiles(F.col("n_reads").cast("double"), "n_reads"), F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"),
+        quantiles(F.col("n_reads").cast("double")).alias("quantiles"), F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"),
     )
-    return out.withColumn("width", F.col("end_pos") - F.col("start_pos")).withColumn("locus", locus()).drop("cluster")
+    return out.withColumn("width", F.col("end_pos") - F.col("start_pos")).withColumn("locus", locus()).withColumns(quantile_columns("quantiles", "n_reads")).drop("cluster", "quantiles")
 
 
 def representatives(df: DataFrame, slack: int = 0, seed: int = 0) -> DataFrame:
     """One row of each cluster, picked by hash, with the cluster's extremes."""
     c = clustered(df, slack)
-    pick = F.struct(F.xxhash64(F.lit(seed), "cell_id", "start_pos", "end_pos", "n_reads"), "cell_id", "start_pos")
+    pick = F.struct(F.md5(F.concat_ws(":", F.lit(seed), "cell_id", "start_pos", "end_pos", "n_reads")), "cell_id", "start_pos")
     return c.groupBy("chrom", "cluster").agg(F.max("n_reads").alias("max_reads"), F.min("n_reads").alias("min_reads"), F.count_distinct("cell_id").alias("n_cells"), F.min_by("cell_id", pick).alias("cell_id"), F.min_by("n_reads", pick).alias("n_reads"))
 
 

@@ -7,6 +7,9 @@ from bisect import bisect_left, insort
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lociq.functions.staging import release, staged
+from lociq.operators.intervals import bins, merge, row_numbers, running, value_bins, with_halo
+
 NOT_COUNTED = 1412  # fixed value: flags of unmapped, second, secondary and duplicate reads
 
 
@@ -28,19 +31,18 @@ def sliding_windows(reads: DataFrame, size: int, step: int, least: int, length:
 
 def step_one_peaks(reads: DataFrame, size: int, least: int, bandwidth: int, length: int) -> DataFrame:
     """Merged windows of step 1 in closed form: each run of ``least`` ends within ``size`` gives a range of window starts, and ranges join."""
-    w = Window.partitionBy("chrom").orderBy("three_end", "event_id")
-    last = F.lead("three_end", least - 1).over(w)
-    s = reads.withColumn("last", last).where(F.col("last") - F.col("three_end") < size)
-    s = s.select("chrom", F.greatest(F.lit(0), F.col("last") - size + 1).alias("s0"), F.least("three_end", F.lit(length - size)).alias("s1")).where("s0 <= s1")
-    order = Window.partitionBy("chrom").orderBy("s0", "s1")
-    reach = F.max("s1").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    s = s.withColumn("new", F.when(reach.isNull() | (F.col("s0") > reach + size + bandwidth), 1).otherwise(0))
-    s = s.withColumn("grp", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return s.groupBy("chrom", "grp").agg(F.min("s0").alias("start_pos"), (F.max("s1") + size).alias("end_pos")).drop("grp")
+    halo = with_halo(reads.select("chrom", "three_end", "event_id"), ("chrom",), F.col("three_end"), 0, size)
+    last = F.lead("three_end", least - 1).over(Window.partitionBy("chrom", "_bin").orderBy("three_end", "event_id"))
+    s = halo.withColumn("last", last).where("_own").where(F.col("last") - F.col("three_end") < size)
+    s = s.select("chrom", F.greatest(F.lit(0), F.col("last") - size + 1).alias("s0"), F.least("three_end", F.lit(length - size)).alias("s1")).where("s0 <= s1").distinct()
+    found = merge(s.select("chrom", F.col("s0").alias("start_pos"), F.col("s1").alias("end_pos")), size + bandwidth)
+    return found.select("chrom", "start_pos", (F.col("end_pos") + size).alias("end_pos"))
 
 
 def centred_count(df: DataFrame, at: str, half: int, name: str, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
-    return df.withColumn(name, F.count("*").over(Window.partitionBy(*by).orderBy(at).rangeBetween(-half, half)))
+    """Add the number of rows within ``half`` of each, itself included."""
+    halo = with_halo(df, by, F.col(at), half, half)
+    return halo.withColumn(name, F.count("*").over(Window.partitionBy(*by, "_bin").orderBy(at).rangeBetween(-half, half))).where("_own").drop("_own", "_bin")
 
 
 def background_fold(reads: DataFrame, window: int, background: int, fold: float) -> DataFrame:
@@ -49,59 +51,127 @@ def background_fold(reads: DataFrame, window: int, background: int, fold: float)
     return out.withColumn("fold", F.try_divide(F.col("n") * background, F.col("bg_n") * window)).where(F.col("fold") > fold)
 
 
-def greedy_peaks(windows: DataFrame, least: int, blacklist: int) -> DataFrame:
-    """Non-overlapping windows by descending n_reads (ties: start): one is skipped if it touches a chosen one widened by ``blacklist``.
+def greedy_peaks(windows: DataFrame, least: int, blacklist: int, span: int = 1 << 20) -> DataFrame:
+    """Non-overlapping windows by descending n_reads (ties: start, end): one is skipped if it touches a chosen one widened by ``blacklist``.
 
-    The choice is sequential by nature; each contig is one group, and chosen spans stay sorted so that each test is a bisection.
+    The choice depends on neighbours only, so stretches of a contig choose on their own; what the rows beyond a stretch's edges might change
+    stays open for the next round, which cuts elsewhere and into longer stretches. Rounds end when nothing is open. Each round's rows are written,
+    skipped windows go.
     """
+    best = windows.where(F.col("n_reads") >= least)
+    columns = best.columns
+    widest = best.agg(F.max(F.col("end_pos") - F.col("start_pos"))).first()[0]
+    if widest is None:
+        return best
+    reach = widest + blacklist
+    kind = ", ".join(f"`{c}` {t}" for c, t in best.dtypes) + ", chosen boolean"
+    state, k = best.withColumn("chosen", F.lit(False)), 0
+    while True:
+        width = max(span << (k // 2), 16 * reach)
+        shift = width // 2 * (k % 2)
+        cut = state.withColumn("stretch", F.floor((F.col("start_pos") + shift) / width))
+        run = cut.groupBy("chrom", "stretch").applyInPandas(_choose(blacklist, widest, width, shift), kind)
+        before, state = state, staged(run, "greedy")
+        release(before)
+        if state.where("not chosen").isEmpty():
+            return state.select(*columns)
+        k += 1
+
+
+def _choose(blacklist: int, widest: int, width: int, shift: int):
+    """Settle what can be settled within a stretch: chosen windows, and those still open."""
+    import numpy as np
+
+    def run(key, pdf):
+        pdf = pdf.sort_values(["n_reads", "start_pos", "end_pos"], ascending=[False, True, True], kind="stable")
+        begin, end, done = (pdf[c].to_numpy() for c in ("start_pos", "end_pos", "chosen"))
+        low = key[1] * width - shift
+        edge = (begin - blacklist - widest < low) | (end + blacklist >= low + width)
+        chosen: list[tuple[int, int]] = sorted(zip(begin[done].tolist(), end[done].tolist(), strict=True))
+        unsure: list[tuple[int, int]] = []  # by start, with ends
+        state = np.where(done, 1, 0)
+
+        def touches(spans, s, e):
+            k = bisect_left(spans, (s - blacklist - widest,))
+            while k < len(spans) and spans[k][0] <= e + blacklist:
+                if spans[k][1] >= s - blacklist:
+                    return True
+                k += 1
+            return False
+
+        for i in np.flatnonzero(~done):
+            s, e = int(begin[i]), int(end[i])
+            if touches(chosen, s, e):
+                state[i] = 2
+            elif edge[i] or touches(unsure, s, e):
+                insort(unsure, (s, e))
+            else:
+                state[i] = 1
+                insort(chosen, (s, e))
+        pdf = pdf.assign(chosen=state == 1)[state < 2]
+        return pdf.drop(columns="stretch")
+
+    return run
+
+
+def gini(counts: str) -> Column:
+    """Gini coefficient of a list column of values and their numbers (structs of x and c): shifted to be non-negative, plus 1e-7, sorted."""
+    low = f"least(array_min({counts}).x, 0D)"
+    total = f"aggregate({counts}, 0L, (a, v) -> a + v.c)"
+    return F.expr(
+        f"""aggregate(array_sort({counts}), named_struct('r', 0L, 's', 0D, 'w', 0D), (a, v) -> named_struct('r', a.r + v.c, 's', a.s + v.c * (v.x - {low} + 1e-7D),
+        'w', a.w + (v.x - {low} + 1e-7D) * v.c * (2 * a.r + v.c - {total})), a -> try_divide(a.w, a.r * a.s))"""
+    )
 
-    def choose(pdf):
-        chosen: list[tuple[int, int]] = []
-        keep = []
-        for i, r in enumerate(pdf.sort_values(["n_reads", "start_pos"], ascending=[False, True], kind="stable").itertuples(index=True)):
-            if r.n_reads < least:
-                break
-            low, high = r.start_pos - blacklist, r.end_pos + blacklist
-            k = bisect_left(chosen, (low,))
-            before = chosen[k - 1] if k else None
-            after = chosen[k] if k < len(chosen) else None
-            if (before and before[1] >= low) or (after and after[0] <= high):
-                continue
-            insort(chosen, (r.start_pos, r.end_pos))
-            keep.append(r.Index)
-        return pdf.loc[keep].sort_values("start_pos")
 
-    return windows.groupBy("chrom").applyInPandas(lambda pdf: choose(pdf), windows.schema)
+QUANTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
 
-def gini(values: str) -> Column:
-    """Gini coefficient of a list column: shifted to be non-negative, plus 1e-7, sorted."""
-    expr = f"""aggregate(transform(array_sort({values}), (x, i) -> named_struct('x', x - least(array_min({values}), 0) + 1e-7D, 'i', i + 1)),
-        named_struct('s', 0D, 'w', 0D), (a, v) -> named_struct('s', a.s + v.x, 'w', a.w + (2 * v.i - size({values}) - 1) * v.x), a -> try_divide(a.w, size({values}) * a.s))"""
-    return F.expr(expr)
+def quantiles(column: Column, frequency: Column | None = None) -> Column:
+    """Exact quantiles with linear interpolation, as one array, of a column with few distinct values in a group (see ``exact_quantiles``)."""
+    at = F.array(*map(F.lit, QUANTILES))
+    return F.percentile(column, at) if frequency is None else F.percentile(column, at, frequency)
 
 
-QUANTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
+def quantile_columns(array: str, name: str) -> dict[str, Column]:
+    return {f"{name}_q{str(q).replace('.', '_').removesuffix('_0')}": F.get(array, F.lit(i)) for i, q in enumerate(QUANTILES)}
 
 
-def quantiles(column: Column, name: str) -> list[Column]:
-    """Exact quantiles with linear interpolation."""
-    return [F.percentile(column, F.lit(q)).alias(f"{name}_q{str(q).replace('.', '_').removesuffix('_0')}") for q in QUANTILES]
+def exact_quantiles(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """Exact quantiles with linear interpolation of groups of any size: values are counted and ranked in bins, and no group meets in one task."""
+    n = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
+    ranked = running(n, tuple(by), F.lit(0), [value], {"upto": ("sum", F.col("n"))}, bin_of=value_bins(n, value))
+    total = n.groupBy(*by).agg(F.sum("n").alias("total"))
+    at = lambda q: F.lit(q) * (F.col("total") - 1)
+    holds = lambda rank: F.max(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")), F.col(value)))
+    parts = [c for i, q in enumerate(QUANTILES) for c in (holds(F.floor(at(q))).alias(f"_low{i}"), holds(F.ceil(at(q))).alias(f"_high{i}"))]
+    both = ranked.join(total, by).groupBy(*by, "total").agg(*parts)
+    between = lambda i, q: F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (at(q) - F.floor(at(q)))
+    return both.select(*by, *(between(i, q).alias(f"{name}_q{str(q).replace('.', '_').removesuffix('_0')}") for i, q in enumerate(QUANTILES)))
 
 
 def region_features(pairs: DataFrame, key: list[str]) -> DataFrame:
-    """Features of each region from its joined reads; all but n_duplicates count non-duplicates only, and regions without any are dropped."""
+    """Features of each region from its joined reads; all but n_duplicates count non-duplicates only, and regions without any are dropped.
+
+    Reads of equal ends and quality fold first, so that what a region gathers is bounded by its width and not by its depth.
+    """
     dup = F.col("flag").bitwiseAND(1024) > 0
     real = ~dup
     backward = F.col("flag").bitwiseAND(16) > 0
     num = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
-    score, mapq = F.when(real, F.col("score")), F.when(real, F.col("mapq").cast("double"))
-    out = pairs.groupBy(*key).agg(
+    ends = pairs.groupBy(*key, "three_end", "five_end", "mapq").agg(
         num(dup).alias("n_duplicates"), num(real).alias("n_reads"), num(real & ~backward).alias("n_fwd"), num(real & backward).alias("n_rev"),
-        num(real & (F.col("flag").bitwiseAND(2) > 0)).alias("n_proper_pairs"), F.count_distinct(F.when(real, F.col("three_end"))).alias("n_unique_3end"), F.count_distinct(F.when(real, F.col("five_end"))).alias("n_unique_5end"),
-        F.avg(mapq).alias("mapq_mean"), *quantiles(mapq, "mapq"), F.avg(score).alias("score_mean"), F.collect_list(F.when(real, F.col("three_end").cast("double"))).alias("ends"),
+        num(real & (F.col("flag").bitwiseAND(2) > 0)).alias("n_proper_pairs"), F.sum(F.when(real, F.col("score"))).alias("score"), F.count(F.when(real, F.col("score"))).alias("n_score"),
+    )
+    some = F.col("n_reads") > 0
+    counted = [c for c in ("n_duplicates", "n_reads", "n_fwd", "n_rev", "n_proper_pairs")]
+    mapq = F.when(some, F.col("mapq").cast("double"))
+    out = ends.groupBy(*key).agg(
+        *(F.sum(c).alias(c) for c in counted), F.size(F.collect_set(F.when(some, F.col("three_end")))).cast("long").alias("n_unique_3end"), F.size(F.collect_set(F.when(some, F.col("five_end")))).cast("long").alias("n_unique_5end"),
+        F.try_divide(F.sum(mapq * F.col("n_reads")), F.sum(F.when(mapq.isNotNull(), F.col("n_reads")))).alias("mapq_mean"), quantiles(mapq, F.greatest("n_reads", F.lit(1).cast("long"))).alias("mapq"), F.try_divide(F.sum("score"), F.sum("n_score")).alias("score_mean"),
+        F.collect_list(F.when(some, F.struct(F.col("three_end").cast("double").alias("x"), F.col("n_reads").alias("c")))).alias("ends"),
     )
-    out = out.where("n_reads > 0").withColumn("three_end_gini", gini("ends")).drop("ends")
+    out = out.where("n_reads > 0").withColumns({"three_end_gini": gini("ends"), **quantile_columns("mapq", "mapq")}).drop("ends", "mapq")
     return out.withColumn("orientation_bias", F.abs(F.col("n_fwd") - F.col("n_rev")) / F.col("n_reads")).withColumn("frac_proper_pairs", F.col("n_proper_pairs") / F.col("n_reads"))
 
 
@@ -111,11 +181,16 @@ def centred_frame(width: int) -> tuple[int, int]:
 
 
 def rolling(df: DataFrame, value: str, widths: list[int], order: list[str], by: tuple[str, ...] = ("chrom",)) -> DataFrame:
-    """Centred rolling means at several widths (null where the frame isn't full), their maximum, and a rolling maximum of the first width."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    out = df
+    """Centred rolling means at several widths (null where the frame isn't full), their maximum, and a rolling maximum of the first width.
+
+    Rows are numbered first, so that stretches of them with as many more at either side as the widest frame needs go to different tasks.
+    """
+    halo = with_halo(row_numbers(df, order, bins(by, F.col(order[0])), "_row", by), by, F.col("_row"), max(widths), max(widths), 1 << 16)
+    w = Window.partitionBy(*by, "_bin").orderBy("_row")
+    out = halo
     for n in widths:
         frame = w.rowsBetween(*centred_frame(n))
         out = out.withColumn(f"mean_{n}", F.when(F.count("*").over(frame) == n, F.avg(value).over(frame)))
     frame = w.rowsBetween(*centred_frame(widths[0]))
-    return out.withColumn("background", F.greatest(*(F.coalesce(f"mean_{n}", F.lit(0.0)) for n in widths))).withColumn("peak", F.when(F.count("*").over(frame) == widths[0], F.max(value).over(frame)).otherwise(0))
+    out = out.withColumn("background", F.greatest(*(F.coalesce(f"mean_{n}", F.lit(0.0)) for n in widths))).withColumn("peak", F.when(F.count("*").over(frame) == widths[0], F.max(value).over(frame)).otherwise(0))
+    return out.where("_own").drop("_own", "_bin", "_row")

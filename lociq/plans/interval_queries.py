@@ -76,16 +76,16 @@ ROW = "p.l_orderkey, p.l_linenumber, p.cell_id, p.start_pos, p.end_pos"
 
 
 
-@query("j07_overlap_left", f"select {ROW}, coalesce(a.anno_id, -1) as b_anno_id, coalesce(a.start_pos, -1) as b_start_pos, coalesce(a.end_pos, -1) as b_end_pos from {JOIN.format(kind='left')} where p.n_reads > 45")
+@query("j07_overlap_left", f"select {ROW}, coalesce(a.anno_id, -1) as b_anno_id, coalesce(a.start_pos, -1) as b_start_pos, coalesce(a.end_pos, -1) as b_end_pos from {JOIN.format(kind='left')}")
 def j07(spark, sf):
-    p = peaks(spark, sf).where("n_reads > 45").select("l_orderkey", "l_linenumber", "cell_id", "n_reads", "chrom", "start_pos", "end_pos")
+    p = peaks(spark, sf).select("l_orderkey", "l_linenumber", "cell_id", "n_reads", "chrom", "start_pos", "end_pos")
     out = iv.overlap_left(p, anno(spark, sf).select("anno_id", "chrom", "start_pos", "end_pos"), p.columns)
     return out.na.fill(-1, ["b_anno_id"]).select("l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos", "b_anno_id", "b_start_pos", "b_end_pos")
 
 
-@query("j08_overlap_bases", f"select {ROW}, coalesce(a.anno_id, -1) as b_anno_id, case when a.anno_id is null then 0 else least(p.end_pos, a.end_pos) - greatest(p.start_pos, a.start_pos) end as overlap from {JOIN.format(kind='left')} where p.n_reads < 5")
+@query("j08_overlap_bases", f"select {ROW}, coalesce(a.anno_id, -1) as b_anno_id, case when a.anno_id is null then 0 else least(p.end_pos, a.end_pos) - greatest(p.start_pos, a.start_pos) end as overlap from {JOIN.format(kind='left')}")
 def j08(spark, sf):
-    p = peaks(spark, sf).where("n_reads < 5").select("l_orderkey", "l_linenumber", "cell_id", "n_reads", "chrom", "start_pos", "end_pos")
+    p = peaks(spark, sf).select("l_orderkey", "l_linenumber", "cell_id", "n_reads", "chrom", "start_pos", "end_pos")
     out = iv.overlap_left(p, anno(spark, sf).select("anno_id", "chrom", "start_pos", "end_pos"), p.columns)
     return out.na.fill(-1, ["b_anno_id"]).select("l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos", "b_anno_id", "overlap")
 
@@ -110,39 +110,45 @@ HIT = "exists (select 1 from anno a where p.chrom = a.chrom and p.start_pos < a.
 @query("j10_overlap_semi", f"select distinct {ROW} from peaks p where {HIT}")
 def j10(spark, sf):
     p = peaks(spark, sf).select("l_orderkey", "l_linenumber", "cell_id", *iv.KEY).distinct()
-    return iv.semi(p, anno(spark, sf), ["l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos"]).drop("chrom")
+    return iv.semi(p, anno(spark, sf)).drop("chrom")
 
 
 @query("j11_overlap_anti", f"select distinct {ROW} from peaks p where not {HIT}")
 def j11(spark, sf):
     p = peaks(spark, sf).select("l_orderkey", "l_linenumber", "cell_id", *iv.KEY).distinct()
-    return iv.anti(p, anno(spark, sf), ["l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos"]).drop("chrom")
+    return iv.anti(p, anno(spark, sf)).drop("chrom")
 
 
 @query("f20_blacklist_subtraction", f"select p.label, count(*) as n from (select distinct l_orderkey, l_linenumber, cell_id, chrom, start_pos, end_pos, label from peaks) p where not exists (select 1 from anno a where a.anno = '1-URGENT' and p.chrom = a.chrom and p.start_pos < a.end_pos and a.start_pos < p.end_pos) group by 1")
 def f20(spark, sf):
     p = peaks(spark, sf).select("l_orderkey", "l_linenumber", "cell_id", *iv.KEY, "label").distinct()
-    return iv.anti(p, anno(spark, sf).where("anno = '1-URGENT'"), ["l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos"]).groupBy("label").agg(F.count("*").alias("n"))
+    return iv.anti(p, anno(spark, sf).where("anno = '1-URGENT'")).groupBy("label").agg(F.count("*").alias("n"))
 
 
-NEAR = """select p.chrom, p.start_pos, p.end_pos, least(p.start_pos - (select max(b.end_pos) from {b} b where b.chrom = p.chrom{by} and b.end_pos <= p.start_pos),
-(select min(b.start_pos) from {b} b where b.chrom = p.chrom{by} and b.start_pos >= p.end_pos) - p.end_pos) as distance{more} from (select distinct chrom, start_pos, end_pos{more} from peaks where n_reads > {least}) p"""
+NEAR = """select p.*, least(p.start_pos - u.end_pos, d.start_pos - p.end_pos) as distance from (select distinct {by}, start_pos, end_pos from peaks) p
+asof left join (select distinct {by}, end_pos from {b}) u on {on_u} and p.start_pos >= u.end_pos asof left join (select distinct {by}, start_pos from {b}) d on {on_d} and p.end_pos <= d.start_pos"""
+URGENT = "(select * from anno where anno = '1-URGENT')"
 
 
-@query("j12_nearest", NEAR.format(b="(select * from anno where anno = '1-URGENT')", by="", more="", least=40))
+def near_sql(b: str, *by: str) -> str:
+    on = lambda t: " and ".join(f"p.{c} = {t}.{c}" for c in by)
+    return NEAR.format(b=b, by=", ".join(by), on_u=on("u"), on_d=on("d"))
+
+
+@query("j12_nearest", near_sql(URGENT, "chrom"))
 def j12(spark, sf):
-    return iv.nearest(peaks(spark, sf).where("n_reads > 40").select(*iv.KEY).distinct(), anno(spark, sf).where("anno = '1-URGENT'"))
+    return iv.nearest(peaks(spark, sf).select(*iv.KEY).distinct(), anno(spark, sf).where("anno = '1-URGENT'"))
 
 
-@query("j13_nearest_self", NEAR.format(b="(select distinct chrom, start_pos, end_pos from peaks where n_reads > 48)", by="", more="", least=48))
+@query("j13_nearest_self", near_sql("(select * from peaks)", "chrom"))
 def j13(spark, sf):
-    p = peaks(spark, sf).where("n_reads > 48").select(*iv.KEY).distinct()
+    p = peaks(spark, sf).select(*iv.KEY).distinct()
     return iv.nearest(p, p)
 
 
-@query("j14_nearest_by_donor", NEAR.format(b="(select * from anno where anno = '1-URGENT')", by=" and b.donor_id = p.donor_id", more=", donor_id", least=40))
+@query("j14_nearest_by_donor", near_sql(URGENT, "donor_id", "chrom"))
 def j14(spark, sf):
-    p = peaks(spark, sf).where("n_reads > 40").select("donor_id", *iv.KEY).distinct()
+    p = peaks(spark, sf).select("donor_id", *iv.KEY).distinct()
     return iv.nearest(p, anno(spark, sf).where("anno = '1-URGENT'"), by=("donor_id", "chrom"))
 
 
@@ -208,21 +214,20 @@ def a16(spark, sf):
     return iv.end_depth(reads(spark, sf).where(passing(F.col("flag"), NOT_COUNTED)))
 
 
-@query(
-    "a17_track_max",
-    ISLANDS.format(
-        v="n_reads",
-        t="select c.chrom, c.start_pos, c.end_pos, max(p.n_reads) as n_reads from (select chrom, pos as start_pos, lead(pos) over (partition by chrom order by pos) as end_pos from (select chrom, start_pos as pos from peaks where cell_id < 20 union select chrom, end_pos from peaks where cell_id < 20)) c "
-        "join (select * from peaks where cell_id < 20) p on p.chrom = c.chrom and p.start_pos < c.end_pos and c.start_pos < p.end_pos where c.end_pos is not null group by 1, 2, 3 having max(p.n_reads) > 10",
-    ),
+TOP = (
+    "select c.chrom, c.start_pos, c.end_pos, max(p.n_reads) as n_reads from (select chrom, pos as start_pos, lead(pos) over (partition by chrom order by pos) as end_pos from (select chrom, start_pos as pos from peaks union select chrom, end_pos from peaks)) c "
+    "join (select *, unnest(generate_series(start_pos // 1024, (end_pos - 1) // 1024)) as bin from peaks) p on p.chrom = c.chrom and p.bin = c.start_pos // 1024 and p.start_pos <= c.start_pos and c.start_pos < p.end_pos where c.end_pos is not null group by 1, 2, 3"
 )
+
+
+@query("a17_track_max", ISLANDS.format(v="n_reads", t=TOP + " having max(p.n_reads) > 10"))
 def a17(spark, sf):
-    return iv.track_max(peaks(spark, sf).where("cell_id < 20"), "n_reads", 10)
+    return iv.track_max(peaks(spark, sf), "n_reads", 10)
 
 
-@query("w20_primer_pairs", "select a.anno_id, a.start_pos, case when strand = '-' then greatest(0, a.start_pos - 750) else a.start_pos end as target_start, case when strand = '-' then end_pos else end_pos + 750 end as target_end from anno a where strand is not null and exists (select 1 from peaks p where p.n_reads > 40 and p.chrom = a.chrom and p.start_pos < case when a.strand = '-' then a.end_pos else a.end_pos + 1200 end and case when a.strand = '-' then greatest(0, a.start_pos - 1200) else a.start_pos end < p.end_pos)")
+@query("w20_primer_pairs", "select a.anno_id, a.start_pos, case when strand = '-' then greatest(0, a.start_pos - 750) else a.start_pos end as target_start, case when strand = '-' then end_pos else end_pos + 750 end as target_end from anno a where strand is not null and exists (select 1 from peaks p where p.chrom = a.chrom and p.start_pos < case when a.strand = '-' then a.end_pos else a.end_pos + 1200 end and case when a.strand = '-' then greatest(0, a.start_pos - 1200) else a.start_pos end < p.end_pos)")
 def w20(spark, sf):
     hits = anno(spark, sf).where("strand is not null").select("anno_id", "strand", *iv.KEY)
-    near = iv.semi(iv.extend_stranded(hits, 0, 1200), peaks(spark, sf).where("n_reads > 40"), ["anno_id"]).select("anno_id")
+    near = iv.semi(iv.extend_stranded(hits, 0, 1200), peaks(spark, sf)).select("anno_id")
     target = iv.extend_stranded(hits, 0, 750).select("anno_id", F.col("start_pos").alias("target_start"), F.col("end_pos").alias("target_end"))
     return hits.join(near, "anno_id").join(target, "anno_id").select("anno_id", "start_pos", F.col("target_start").cast("long").alias("target_start"), "target_end")

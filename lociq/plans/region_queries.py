@@ -33,10 +33,12 @@ def f03(spark, sf):
     return where_query(reads(spark, sf), "score > @low and not (mapq < 10 or cell_id == @cell)", low=20, cell=3).select("event_id", "cell_id")
 
 
-@query("f04_membership", "select s_suppkey from supplier where s_nationkey in (1, 3, 5) and s_suppkey not in (select l_suppkey from lineitem where l_quantity > 49 and l_suppkey < 50)")
+@query("f04_membership", "select s_suppkey, s_nationkey in (1, 3, 5) as chosen, s_suppkey in (select l_suppkey from lineitem where l_quantity > 49) as listed, s_nationkey in (1, 3, 5) and s_suppkey not in (select l_suppkey from lineitem where l_quantity > 49) as kept from supplier")
 def f04(spark, sf):
-    bad = table(spark, sf, "lineitem").where("l_quantity > 49 and l_suppkey < 50").select(F.col("l_suppkey").alias("s_suppkey"))
-    return table(spark, sf, "supplier").where(F.col("s_nationkey").isin(1, 3, 5)).join(bad, "s_suppkey", "left_anti").select("s_suppkey")
+    """Each supplier with both memberships, as few or none are left by the two together."""
+    bad = table(spark, sf, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("s_suppkey"), F.lit(True).alias("bad")).distinct()
+    chosen, listed = F.col("s_nationkey").isin(1, 3, 5), F.coalesce("bad", F.lit(False))
+    return table(spark, sf, "supplier").join(bad, "s_suppkey", "left").select("s_suppkey", chosen.alias("chosen"), listed.alias("listed"), (chosen & ~listed).alias("kept"))
 
 
 @query("f05_substring_class", "select c_custkey, case when c_mktsegment like '%MACH%' or c_mktsegment like '%BUILD%' then 'bulk' else 'cell' end as kind from customer")
@@ -156,9 +158,9 @@ def j15(spark, sf):
     return near(spark, sf).groupBy("anno_id").agg(F.count("*").alias("n"), F.sum("mapq").alias("mapq"))
 
 
-@query("src14_region_fetch", f"select a.anno_id, r.event_id {PAIR} where a.anno_id % 100 = 7")
+@query("src14_region_fetch", f"select a.anno_id, r.event_id {PAIR}")
 def src14(spark, sf):
-    return near(spark, sf).where("anno_id % 100 = 7").select("anno_id", "event_id")
+    return near(spark, sf).select("anno_id", "event_id")
 
 
 @query("src15_callback_counts", "select cell_id, count(*) filter (flag & 1412 = 0) as kept, count(*) filter (flag & 1024 > 0) as duplicates from reads group by 1")
@@ -171,21 +173,31 @@ def src17(spark, sf):
     return iv.overlap_pairs(anno(spark, sf).select("anno_id", *iv.KEY), peaks(spark, sf).select("n_reads", *iv.KEY)).groupBy("anno_id").agg(F.max("b_n_reads").alias("top"))
 
 
-@query("src16_dense_values", "select chrom, pos, max(n_reads) as value from (select chrom, n_reads, unnest(generate_series(start_pos, end_pos - 1)) as pos from peaks where cell_id = 7 and n_reads < 4) group by 1, 2")
+@query(
+    "src16_dense_values",
+    "select anno_id, string_agg(value, ',' order by pos) as signal from (select a.anno_id, a.pos, coalesce(max(p.n_reads), 0) as value from (select *, pos // 1024 as bin from (select anno_id, chrom, unnest(generate_series(start_pos, end_pos - 1)) as pos from anno)) a "
+    "left join (select *, unnest(generate_series(start_pos // 1024, (end_pos - 1) // 1024)) as bin from peaks) p on p.chrom = a.chrom and p.bin = a.bin and p.start_pos <= a.pos and a.pos < p.end_pos group by 1, 2) group by 1",
+)
 def src16(spark, sf):
-    p = peaks(spark, sf).where("cell_id = 7 and n_reads < 4")
-    return p.select("chrom", "n_reads", F.explode(F.sequence("start_pos", F.col("end_pos") - 1)).alias("pos")).groupBy("chrom", "pos").agg(F.max("n_reads").alias("value"))
+    """The signal at each base of each annotation, 0 where there is none; equal neighbouring values are joined as runs."""
+    runs = iv.track_max(peaks(spark, sf), "n_reads", float("-inf"))
+    a = anno(spark, sf).select("anno_id", *iv.KEY)
+    first, last = F.greatest("start_pos", "b_start_pos"), F.least("end_pos", "b_end_pos")
+    part = iv.overlap_pairs(a, runs).groupBy("anno_id").agg(F.array_sort(F.collect_list(F.struct(first.alias("s"), last.alias("e"), F.col("b_n_reads").alias("v")))).alias("runs"))
+    dense = F.expr("transform(sequence(start_pos, end_pos - 1), x -> coalesce(get(filter(runs, r -> r.s <= x and x < r.e), 0).v, 0))")  # one run at most
+    return a.join(part, "anno_id", "left").select("anno_id", F.array_join(F.transform(dense, lambda v: v.cast("string")), ",").alias("signal"))
 
 
 @query("a03_exact_quantiles", "select l_returnflag, " + ", ".join(f"round(quantile_cont(l_extendedprice, {q}), 6) as price_q{str(q).replace('.', '_')}" for q in ("0", "0.25", "0.5", "0.75", "1")) + " from lineitem group by 1")
 def a03(spark, sf):
-    out = table(spark, sf, "lineitem").groupBy("l_returnflag").agg(*rg.quantiles(F.col("l_extendedprice"), "price"))
+    out = rg.exact_quantiles(table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice", "price")
     return out.select("l_returnflag", *(R6(F.col(c), c) for c in out.columns[1:]))
 
 
 @query("a04_gini", "select cell_id, round(sum((2 * i - n - 1) * x) / (any_value(n) * sum(x)), 6) as gini from (select cell_id, score - least(min(score) over (partition by cell_id), 0) + 1e-7 as x, row_number() over (partition by cell_id order by score) as i, count(*) over (partition by cell_id) as n from reads) group by 1")
 def a04(spark, sf):
-    return reads(spark, sf).groupBy("cell_id").agg(F.collect_list("score").alias("xs")).select("cell_id", R6(rg.gini("xs"), "gini"))
+    n = reads(spark, sf).groupBy("cell_id", "score").agg(F.count("*").alias("c"))
+    return n.groupBy("cell_id").agg(F.collect_list(F.struct(F.col("score").alias("x"), "c")).alias("xs")).select("cell_id", R6(rg.gini("xs"), "gini"))
 
 
 @query("w01_sliding_windows", "select chrom, k * 250 as start_pos, k * 250 + 750 as end_pos, count(*) as n_reads from (select chrom, unnest(generate_series(greatest(0, (floor((three_end - 750) / 250) + 1)::bigint), least((2592000 - 750) // 250, floor(three_end / 250)::bigint))) as k from reads where flag & 1412 = 0) group by 1, 2 having count(*) >= 5")
@@ -208,7 +220,24 @@ def w05(spark, sf):
     return rg.step_one_peaks(reads(spark, sf).where(rg.passing(flag(), rg.NOT_COUNTED)), 200, 3, -100, CONTIG).select("chrom", LONG("start_pos"), LONG("end_pos"))
 
 
-@query("w06_make_regions")
+SPOTS = """with hot as (select * from (select *, count(*) over (partition by chrom order by three_end range between 100 preceding and 100 following) as n, count(*) over (partition by chrom order by three_end range between 5000 preceding and 5000 following) as bg_n
+from reads where flag & 1412 = 0) where n * 10000.0 / (bg_n * 200.0) > 4), s as (select chrom, greatest(0, three_end - 199) as s0, least(three_end, 2592000 - 200) as s1 from hot),
+g as (select *, max(s1) over (partition by chrom order by s0, s1 rows between unbounded preceding and 1 preceding) as reach from s where s0 <= s1),
+h as (select *, sum(case when reach is null or s0 > reach + 100 then 1 else 0 end) over (partition by chrom order by s0, s1 rows unbounded preceding) as grp from g),
+spots as (select chrom, min(s0) as start_pos, max(s1) + 200 as end_pos from h group by chrom, grp),
+pair as (select s.chrom, s.start_pos, s.end_pos, r.flag, r.mapq, r.score, r.three_end, r.five_end from spots s join reads r on r.chrom = s.chrom and s.start_pos < r.end_pos and r.start_pos < s.end_pos),
+x as (select *, three_end + 1e-7 as v, row_number() over (partition by chrom, start_pos, end_pos order by three_end) as i, count(*) over (partition by chrom, start_pos, end_pos) as m from pair where (flag & 1024) = 0),
+gini as (select chrom, start_pos, end_pos, round(sum((2 * i - m - 1) * v) / (any_value(m) * sum(v)), 6) as three_end_gini from x group by 1, 2, 3) """
+REGION = ", ".join(f"round(quantile_cont(mapq::double, {q}) filter ((flag & 1024) = 0), 6) as mapq_q{str(q).replace('.', '_')}" for q in ("0", "0.25", "0.5", "0.75", "1"))
+
+
+@query(
+    "w06_make_regions",
+    SPOTS + "select chrom, start_pos, end_pos, three_end_gini, f.* exclude (chrom, start_pos, end_pos) from gini join (select chrom, start_pos, end_pos, count(*) filter ((flag & 1024) > 0) as n_duplicates, count(*) filter ((flag & 1024) = 0) as n_reads, count(distinct three_end) filter ((flag & 1024) = 0) as n_unique_3end, "
+    "count(distinct five_end) filter ((flag & 1024) = 0) as n_unique_5end, round(avg(mapq) filter ((flag & 1024) = 0), 6) as mapq_mean, round(avg(score) filter ((flag & 1024) = 0), 6) as score_mean, "
+    "round(abs(count(*) filter ((flag & 1040) = 0) - count(*) filter ((flag & 1040) = 16)) / count(*) filter ((flag & 1024) = 0), 6) as orientation_bias, round(count(*) filter ((flag & 1026) = 2) / count(*) filter ((flag & 1024) = 0), 6) as frac_proper_pairs, "
+    + REGION + " from pair group by 1, 2, 3) f using (chrom, start_pos, end_pos)",
+)
 def w06(spark, sf):
     """Windows that pass the fold test, merged into peaks, with features of their reads."""
     real = reads(spark, sf).where(rg.passing(flag(), rg.NOT_COUNTED))
@@ -216,12 +245,16 @@ def w06(spark, sf):
     spots = rg.step_one_peaks(hot, 200, 1, -100, CONTIG)
     pair = iv.overlap_pairs(spots, reads(spark, sf))
     pair = pair.select("chrom", "start_pos", "end_pos", *(F.col(f"b_{c}").alias(c) for c in ("flag", "mapq", "score", "three_end", "five_end")))
-    return rg.region_features(pair, list(iv.KEY))
+    out = rg.region_features(pair, list(iv.KEY))
+    rounded = ("three_end_gini", "mapq_mean", "score_mean", "orientation_bias", "frac_proper_pairs", "mapq_q0", "mapq_q0_25", "mapq_q0_5", "mapq_q0_75", "mapq_q1")
+    return out.select("chrom", LONG("start_pos"), LONG("end_pos"), "n_duplicates", "n_reads", "n_unique_3end", "n_unique_5end", *(R6(F.col(c), c) for c in rounded))
 
 
 @query("w10_greedy_peaks")
 def w10(spark, sf):
-    return rg.greedy_peaks(peaks(spark, sf).select("chrom", "start_pos", "end_pos", "n_reads").distinct(), 10, 500)
+    """Greedy choice has no plain SQL form: held against brute force in tests."""
+    best = peaks(spark, sf).groupBy("chrom", "start_pos", "end_pos").agg(F.max("n_reads").alias("n_reads"))
+    return rg.greedy_peaks(best, 10, 500)
 
 
 @query("w11_peak_summit", "select a.anno_id, min_by(p.start_pos, (-p.n_reads, p.start_pos)) - 250 as start_pos, min_by(p.start_pos, (-p.n_reads, p.start_pos)) + 251 as end_pos from anno a join peaks p on a.chrom = p.chrom and a.start_pos < p.end_pos and p.start_pos < a.end_pos group by 1")
@@ -257,17 +290,23 @@ def w15(spark, sf):
     return t.select("chrom", "hour", R6(x * (F.ln(x + 1) - F.ln(y + 1)) + y - x, "llr"), ((x > 0) & (y == 0)).alias("exclusive"))
 
 
-@query("w16_poisson_bh")
+@query(
+    "w16_poisson_bh",
+    f"with h as ({DAILY}), t as (select h.*, greatest(0.0, 1 - list_sum(list_transform(range(0, n), lambda k: exp(k * ln(m) - m - lgamma(k + 1))))) as p from h join (select chrom, avg(n) as m from h group by 1) using (chrom)), "
+    "k as (select *, p * count(*) over (partition by chrom) / row_number() over (partition by chrom order by n desc, hour) as raw from t) "
+    "select chrom, hour, n, round(p, 6) as p, round(least(1.0, min(raw) over (partition by chrom order by n desc, hour rows between current row and unbounded following)), 6) as q from k",
+)
 def w16(spark, sf):
-    """Upper Poisson tail of hourly counts against the contig mean, and Benjamini-Hochberg q values."""
+    """Upper Poisson tail of hourly counts against the contig mean, and Benjamini-Hochberg q values; within a contig, the larger count has the smaller p."""
     h = hourly(spark, sf)
     mean = h.groupBy("chrom").agg(F.avg("n").alias("m"))
-    # P(X >= n) = 1 - sum of the n first terms, each from the one before
-    tail = F.expr("1 - aggregate(sequence(0, n - 1), named_struct('t', exp(-m), 's', 0D), (a, k) -> named_struct('t', a.t * m / (k + 1), 's', a.s + a.t), a -> a.s)")
+    # P(X >= n) = 1 - sum of the n first terms, each from the one before, as logarithms
+    tail = F.expr("1 - aggregate(sequence(0, n - 1), named_struct('t', -m, 's', 0D), (a, k) -> named_struct('t', a.t + ln(m) - ln(k + 1D), 's', a.s + exp(a.t)), a -> a.s)")
     p = h.join(mean, "chrom").withColumn("p", F.when(F.col("n") > 0, F.greatest(tail, F.lit(0.0))).otherwise(1.0))
-    rank = F.row_number().over(Window.partitionBy("chrom").orderBy("p", "hour"))
+    rank = F.row_number().over(Window.partitionBy("chrom").orderBy(F.desc("n"), "hour"))
     p = p.withColumn("raw", F.col("p") * F.count("*").over(Window.partitionBy("chrom")) / rank)
-    return p.withColumn("q", F.least(F.lit(1.0), F.min("raw").over(Window.partitionBy("chrom").orderBy("p", "hour").rowsBetween(0, Window.unboundedFollowing)))).select("chrom", "hour", "n", R6(F.col("p"), "p"), R6(F.col("q"), "q"))
+    upwards = Window.partitionBy("chrom").orderBy("n", F.desc("hour")).rowsBetween(Window.unboundedPreceding, 0)  # the same frame as from here to the last rank, without its cost
+    return p.withColumn("q", F.least(F.lit(1.0), F.min("raw").over(upwards))).select("chrom", "hour", "n", R6(F.col("p"), "p"), R6(F.col("q"), "q"))
 
 
 @query("w17_running_totals", "select event_id, sum(mapq) over (partition by cell_id order by start_pos, event_id)::bigint as total, row_number() over (partition by cell_id order by start_pos, event_id) as i from reads")

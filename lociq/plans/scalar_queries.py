@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lociq.functions import alignment as al
+from lociq.operators import intervals as iv
 from lociq.plans.registry import query
 from lociq.plans.region_queries import R6
 from lociq.sources import readers as rd
@@ -16,20 +17,20 @@ flag = lambda: F.col("flag")
 
 @query("o01_coordinate_sort", "select chrom, start_pos, end_pos, row_number() over (partition by chrom order by start_pos, end_pos, l_orderkey, l_linenumber, cell_id, n_reads) as i from peaks")
 def o01(spark, sf):
-    w = Window.partitionBy("chrom").orderBy("start_pos", "end_pos", "l_orderkey", "l_linenumber", "cell_id", "n_reads")
-    return peaks(spark, sf).select("chrom", "start_pos", "end_pos", F.row_number().over(w).cast("long").alias("i"))
+    p = iv.row_numbers(peaks(spark, sf), ["start_pos", "end_pos", "l_orderkey", "l_linenumber", "cell_id", "n_reads"], iv.bins(("chrom",), F.col("start_pos")), "i", ("chrom",))
+    return p.select("chrom", "start_pos", "end_pos", F.col("i").cast("long").alias("i"))
 
 
 @query("o02_natural_order", "select chrom, row_number() over (order by case when chrom = 'chrX' then 23 when chrom = 'chrY' then 24 else cast(substr(chrom, 4) as int) end) as i from (select distinct chrom from reads)")
 def o02(spark, sf):
     key = F.when(F.col("chrom") == "chrX", 23).when(F.col("chrom") == "chrY", 24).otherwise(F.substring("chrom", 4, 10).cast("int"))
-    return reads(spark, sf).select("chrom").distinct().select("chrom", F.row_number().over(Window.orderBy(key)).cast("long").alias("i"))
+    return reads(spark, sf).select("chrom").distinct().select("chrom", F.row_number().over(Window.orderBy(key)).cast("long").alias("i"))  # a row for each contig
 
 
 @query("o03_order_by_aggregate", "select l_suppkey, row_number() over (order by m desc, l_suppkey) as i from (select l_suppkey, avg(l_quantity) as m from lineitem group by 1)")
 def o03(spark, sf):
     m = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.avg("l_quantity").alias("m"))
-    return m.select("l_suppkey", F.row_number().over(Window.orderBy(F.desc("m"), "l_suppkey")).cast("long").alias("i"))
+    return iv.row_numbers(m, [F.desc("m"), "l_suppkey"], -iv.value_bins(m, "m"), "i").select("l_suppkey", "i")
 
 
 @query("o04_top_k", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 25")
@@ -50,19 +51,19 @@ def o06(spark, sf):
     return u("orders", "o_orderkey", "orders_unique").crossJoin(u("lineitem", "l_orderkey", "lines_unique"))  # one row each
 
 
-@query("o07_downsample")
+@query("o07_downsample", "select label, cell_id, start_pos, n_reads from (select *, row_number() over (partition by label order by md5(concat_ws(':', cell_id, start_pos, n_reads)), cell_id, start_pos, n_reads) as i from peaks) where i <= least(10000, (select min(n) from (select count(*) as n from peaks group by label)))")
 def o07(spark, sf):
     """As many rows of each label as the smallest label has, 10,000 at most, in hash order."""
     p = peaks(spark, sf).select("label", "cell_id", "start_pos", "n_reads")
-    least = p.groupBy("label").agg(F.count("*").alias("n")).agg(F.least(F.min("n"), F.lit(10_000)).alias("most"))
-    w = Window.partitionBy("label").orderBy(F.xxhash64("cell_id", "start_pos", "n_reads"), "cell_id", "start_pos", "n_reads")
-    return p.withColumn("i", F.row_number().over(w)).crossJoin(F.broadcast(least)).where("i <= most").drop("i", "most")  # one row
+    least = p.groupBy("label").agg(F.count("*").alias("n")).agg(F.least(F.min("n"), F.lit(10_000))).first()[0] or 0
+    w = Window.partitionBy("label").orderBy(F.md5(F.concat_ws(":", "cell_id", "start_pos", "n_reads")), "cell_id", "start_pos", "n_reads")
+    return p.withColumn("i", F.row_number().over(w)).where(F.col("i") <= least).drop("i")  # a literal limit, so each task passes on no more rows than that
 
 
 @query("o08_concat_sort", "select k, row_number() over (order by k) as i from (select s_suppkey as k from supplier union all select c_custkey + 100000 from customer)")
 def o08(spark, sf):
     k = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k")).union(table(spark, sf, "customer").select(F.col("c_custkey") + 100000))
-    return k.select("k", F.row_number().over(Window.orderBy("k")).cast("long").alias("i"))
+    return iv.row_numbers(k, ["k"], iv.value_bins(k, "k"), "i").select("k", "i")
 
 
 @query("u01_union_all", "select kind, count(*) as n from (select 'c' as kind, c_custkey as k from customer union all select 's', s_suppkey from supplier) group by 1")
@@ -254,10 +255,14 @@ def s21(spark, sf):
 MOTIF = " + ".join("case substring(seq, i + {j}, 1) {c} else 0 end".format(j=j, c=" ".join(f"when '{b}' then {v!r}" for b, v in w.items())) for j, w in enumerate(WEIGHTS))
 
 
-@query("w19_motif_score", f"select event_id, round(max({MOTIF})::double, 6) as best from (select event_id, seq, unnest(generate_series(1, length(seq) - {len(WEIGHTS) - 1})) as i from {ALIGNED} where event_id < 500) group by 1")
+STRANDS = f"(select event_id, seq from {ALIGNED} union all select event_id, reverse(translate(seq, 'ACGTN', 'TGCAN')) from {ALIGNED})"
+
+
+@query("w19_motif_score", f"select event_id, round(max({MOTIF})::double, 6) as best from (select event_id, seq, unnest(generate_series(1, length(seq) - {len(WEIGHTS) - 1})) as i from {STRANDS}) group by 1")
 def w19(spark, sf):
-    r = aligned(spark, sf).where("event_id < 500")
-    return r.select("event_id", R6(F.array_max(al.motif_scores(F.col("seq"), WEIGHTS)), "best"))
+    """Best score of the motif on either strand."""
+    best = lambda s: F.array_max(al.motif_scores(s, WEIGHTS))
+    return aligned(spark, sf).select("event_id", R6(F.greatest(best(F.col("seq")), best(al.reverse_complement(F.col("seq")))), "best"))
 
 
 @query("src04_column_pruning", "select o_orderkey, o_orderstatus from orders where o_totalprice > 100000")
@@ -267,10 +272,8 @@ def src04(spark, sf):
 
 @query("src05_tabix_locus", "select anno_id, concat(chrom, ':', start_pos, '-', end_pos) as locus, n_name as region from anno join nation on n_nationkey = anno_id % 25")
 def src05(spark, sf):
-    from lociq.operators.intervals import locus
-
     n = table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.col("n_name").alias("region"))
-    return anno(spark, sf).withColumn("k", F.col("anno_id") % 25).join(n, "k").select("anno_id", locus().alias("locus"), "region")
+    return anno(spark, sf).withColumn("k", F.col("anno_id") % 25).join(n, "k").select("anno_id", iv.locus().alias("locus"), "region")
 
 
 @query("src09_filtered_calls", "select p_partkey, p_size as ac from part where p_type like '%ECONOMY%' and p_size > 10")

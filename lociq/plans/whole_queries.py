@@ -1,84 +1,19 @@
-"""Whole tables for the queries whose SQL keeps to a subset of ids or values; too slow in SQL, so held against brute force in tests."""
+"""Second names of queries that once kept to a part of their table; tests hold these against brute force as well as SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lociq.functions import alignment as al
 from lociq.operators import intervals as iv
-from lociq.plans.region_queries import R6, near
-from lociq.plans.registry import query
-from lociq.plans.scalar_queries import WEIGHTS, aligned
-from lociq.sources.proxies import anno, peaks, table
+from lociq.plans.registry import ORACLE_SQL, QUERIES, query
+from lociq.sources.proxies import peaks
 
-
-@query("src14_region_fetch_whole")
-def src14(spark, sf):
-    return near(spark, sf).select("anno_id", "event_id")
+for name in ("src14_region_fetch", "a17_track_max", "w19_motif_score", "a33_allele_frequency", "f04_membership", "j07_overlap_left", "j08_overlap_bases", "j12_nearest", "j13_nearest_self", "j14_nearest_by_donor"):
+    QUERIES[f"{name}_whole"], ORACLE_SQL[f"{name}_whole"] = QUERIES[name], ORACLE_SQL[name]
 
 
 @query("src16_dense_values_whole")
 def src16(spark, sf):
+    """Every covered base of every contig: too many rows to hold against SQL, so tests hold it against brute force."""
     runs = iv.track_max(peaks(spark, sf), "n_reads", float("-inf"))  # of equal values, so overlapping peaks are not spelt out each
     return runs.select("chrom", F.explode(F.sequence("start_pos", F.col("end_pos") - 1)).alias("pos"), F.col("n_reads").alias("value"))
-
-
-@query("a17_track_max_whole")
-def a17(spark, sf):
-    return iv.track_max(peaks(spark, sf), "n_reads", 10)
-
-
-@query("w19_motif_score_whole")
-def w19(spark, sf):
-    best = lambda s: F.array_max(al.motif_scores(s, WEIGHTS))
-    return aligned(spark, sf).select("event_id", R6(F.greatest(best(F.col("seq")), best(al.reverse_complement(F.col("seq")))), "best"))
-
-
-@query("a33_allele_frequency_whole")
-def a33(spark, sf):
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", R6(F.sum("l_discount").over(Window.partitionBy("l_partkey")), "af"))
-
-
-@query("f04_membership_whole")
-def f04(spark, sf):
-    """Each supplier with both memberships, as few or none are left by the two together."""
-    bad = table(spark, sf, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("s_suppkey"), F.lit(True).alias("bad")).distinct()
-    listed = F.coalesce("bad", F.lit(False))
-    s = table(spark, sf, "supplier").join(bad, "s_suppkey", "left")
-    return s.select("s_suppkey", F.col("s_nationkey").isin(1, 3, 5).alias("chosen"), listed.alias("listed"), (F.col("s_nationkey").isin(1, 3, 5) & ~listed).alias("kept"))
-
-
-def keyed(spark, sf):
-    return peaks(spark, sf).select("l_orderkey", "l_linenumber", "cell_id", "n_reads", "chrom", "start_pos", "end_pos")
-
-
-@query("j07_overlap_left_whole")
-def j07(spark, sf):
-    p = keyed(spark, sf)
-    out = iv.overlap_left(p, anno(spark, sf).select("anno_id", "chrom", "start_pos", "end_pos"), p.columns)
-    return out.na.fill(-1, ["b_anno_id"]).select("l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos", "b_anno_id", "b_start_pos", "b_end_pos")
-
-
-@query("j08_overlap_bases_whole")
-def j08(spark, sf):
-    p = keyed(spark, sf)
-    out = iv.overlap_left(p, anno(spark, sf).select("anno_id", "chrom", "start_pos", "end_pos"), p.columns)
-    return out.na.fill(-1, ["b_anno_id"]).select("l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos", "b_anno_id", "overlap")
-
-
-@query("j12_nearest_whole")
-def j12(spark, sf):
-    return iv.nearest(peaks(spark, sf).select(*iv.KEY).distinct(), anno(spark, sf).where("anno = '1-URGENT'"))
-
-
-@query("j13_nearest_self_whole")
-def j13(spark, sf):
-    p = peaks(spark, sf).select(*iv.KEY).distinct()
-    return iv.nearest(p, p)
-
-
-@query("j14_nearest_by_donor_whole")
-def j14(spark, sf):
-    p = peaks(spark, sf).select("donor_id", *iv.KEY).distinct()
-    return iv.nearest(p, anno(spark, sf).where("anno = '1-URGENT'"), by=("donor_id", "chrom"))

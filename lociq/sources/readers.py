@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociq.operators import intervals as iv
+
 SHEET = "sample_id string, tissue_id string, donor_id string, dna_type string, R1 string, R2 string, sra string"
 BED = ("chrom string", "start_pos bigint", "end_pos bigint", "name string", "score double", "strand string")
 REPEATS = "chrom string, start_pos bigint, end_pos bigint, rep_name string, score double, strand string, milli_div int, milli_del int, milli_ins int, geno_left string, rep_class_family string, rep_start string, rep_end string, rep_left string"
@@ -170,4 +172,9 @@ def snapshot_lines(df: DataFrame, flank: int = 100) -> DataFrame:
 
 
 def thirds(df: DataFrame, order: str) -> DataFrame:
-    return df.withColumn("third", F.ntile(3).over(Window.orderBy(order)))
+    """Add the third that a row falls into by its rank; the first thirds take what is left over."""
+    total = df.agg(F.count("*").alias("_n"))
+    ranked = iv.row_numbers(df, [order], iv.value_bins(df, order), "_i").crossJoin(F.broadcast(total))  # one row
+    each, over = F.floor(F.col("_n") / 3), F.col("_n") % 3
+    early = F.ceil(F.col("_i") / (each + 1))
+    return ranked.withColumn("third", F.when(F.col("_i") <= over * (each + 1), early).otherwise(over + F.ceil((F.col("_i") - over * (each + 1)) / each))).drop("_i", "_n")

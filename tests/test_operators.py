@@ -37,8 +37,8 @@ def test_overlap_pairs_and_counts(spark):
     counts = {r["id"]: r["n"] for r in iv.count_overlaps(da, db, "n").collect()}
     assert counts == {x[0]: sum(meets(x, y) for y in b) for x in a}
     hit = {x[0] for x in a if any(meets(x, y) for y in b)}
-    assert {r["id"] for r in iv.semi(da, db, ["id"]).collect()} == hit
-    assert {r["id"] for r in iv.anti(da, db, ["id"]).collect()} == {x[0] for x in a} - hit
+    assert {r["id"] for r in iv.semi(da, db).collect()} == hit
+    assert {r["id"] for r in iv.anti(da, db).collect()} == {x[0] for x in a} - hit
     left = iv.overlap_left(da, db, ["id"]).collect()
     assert {r["id"] for r in left if r["b_start_pos"] == -1} == {x[0] for x in a} - hit
 

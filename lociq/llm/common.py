@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociq.functions.staging import release, shared_path
+
+ROUNDS = 64  # of components; each at least halves what is left of a chain
+
 U64 = np.uint64
 TEXT_BLOCK = 1 << 17  # bytes of text whose words are hashed at once: bounds the arrays of a worker and keeps them in its cache
 
@@ -18,37 +19,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    made = tempfile.mkdtemp(prefix="lociq-")
-    spark.sparkContext.setCheckpointDir(made)
-    return spark.sparkContext.getCheckpointDir()
-
-
-def staged(df: DataFrame, name: str, partition_by: str | None = None, batch_rows: int | None = None) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives lost executors.
+def staged(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives lost executors. ``release`` deletes it.
 
     ``batch_rows`` bounds the rows of an Arrow batch of this write, for rows that hold whole texts or sets.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
+    path = shared_path(spark, name)
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(setting)
     try:
         if batch_rows:
             spark.conf.set(setting, str(batch_rows))
-        writer.parquet(path)
+        df.write.option("compression", "zstd").option("parquet.block.size.row.check.min", "4").parquet(path)  # rows may hold megabytes
     finally:
         spark.conf.set(setting, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -70,6 +58,16 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[first:last], offsets - first
 
 
+def fitting(sizes: list[tuple], most: int) -> list:
+    """Keys of (key, size), in order, of those that fit into ``most`` together; what doesn't fit is passed over."""
+    out, total = [], 0
+    for key, size in sizes:
+        if total + size <= most:
+            out.append(key)
+            total += size
+    return out
+
+
 def row_blocks(offsets: np.ndarray, limit: int):
     """Row ranges (i, j) of at most ``limit`` bytes each, one row at least."""
     i, n = 0, len(offsets) - 1
@@ -171,20 +169,23 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi <> lo")
     edges = staged(edges.coalesce(few).mapInArrow(_contract, "hi long, lo long"), "edges")
     before = None
-    while True:
+    for _ in range(ROUNDS):
         both = edges.union(edges.select("lo", "hi")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("hi <> lo")
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         joined = large.join(least, "hi")
         small = joined.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").union(least)
-        edges = staged(small.coalesce(few).mapInArrow(_contract, "hi long, lo long"), "edges")
+        last, edges = edges, staged(small.coalesce(few).mapInArrow(_contract, "hi long, lo long"), "edges")
+        release(last)
         # settled once each node has one star and no hub stands in another star
         hubs = edges.select("lo").distinct().join(edges.select(F.col("hi").alias("lo")), "lo", "left_semi").limit(1).count()
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if now == before or not now[0] or (not hubs and edges.select("hi").distinct().count() == now[0]):
             break
         before = now
+    else:
+        raise RuntimeError(f"links not settled after {ROUNDS} rounds")
     ends = edges.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("component"))
     roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct()
     return ends.union(roots)

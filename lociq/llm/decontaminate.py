@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociq.llm.common import TEXT_BLOCK, U64, WordHasher, ascii_lower, mix64, row_blocks, utf8
+from lociq.llm.common import TEXT_BLOCK, U64, WordHasher, ascii_lower, mix64, release, row_blocks, staged, utf8
 
 # fixed values: positions of a token window that a seed compares; the others are ignored. MASKS hit every stretch of 13 to 25 tokens of
 # which 3 of 4 agree, so every longer one too, as it can be cut into pieces of these lengths and one piece has the share of the whole. For items of fewer
@@ -183,9 +183,10 @@ FOUND_DDL = "doc_id long, item_id long, begin long, end long, matched long, item
 def _item_tokens(batches):
     for batch in batches:
         buf, off = utf8(batch.column("text"))
-        row, _, _, token = hasher().words(buf, off)
-        first = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        yield pa.RecordBatch.from_pydict({"item_id": batch.column("item_id"), "tokens": pa.array([token[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())})
+        for i, j in row_blocks(off, TEXT_BLOCK):
+            row, _, _, token = hasher().words(buf[off[i] : off[j]], off[i : j + 1] - off[i])
+            first = np.searchsorted(row, np.arange(j - i + 1))
+            yield pa.RecordBatch.from_pydict({"item_id": batch.column("item_id").slice(i, j - i), "tokens": pa.array([token[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())})
 
 
 def item_blocks(benchmark: DataFrame, block_tokens: int):
@@ -212,7 +213,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: floa
     Tokens are runs of letters and digits in lower case, and single characters in scripts without spaces. A pair counts if aligned tokens hold a stretch of ``least`` tokens (or of the whole
     item, if that is shorter) that begins and ends with a match and of which ``share`` agree; the seeds leave out none of these, for which ``least`` must be
     13 and ``share`` 0.75 at the least. Items go to the tasks in blocks of at most ``block_tokens`` tokens, each with
-    one scan of all documents, so that what is sent has a fixed bound whatever the benchmark's size. Documents are never shuffled.
+    one scan of all documents, so that what is sent has a fixed bound whatever the benchmark's size. Documents are never shuffled, and long ones are read whole.
 
     Nulls, empty texts and items of under five tokens overlap with nothing. Repeated rows give repeated rows. Empty tables give no rows.
     """
@@ -225,14 +226,26 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: floa
 
 
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: float = 0.75, block_tokens: int = 1_000_000) -> DataFrame:
-    """The rows of ``docs``, with all columns, that overlap with no item (see ``overlaps``)."""
-    for block in item_blocks(benchmark, block_tokens):
-        low = docs.select("*", searched(F.col("text")).alias("searched text"))
+    """The rows of ``docs``, with all columns whatever their names, that overlap with no item (see ``overlaps``); null and empty texts stay.
+
+    Where the benchmark has several blocks, what each leaves is written before the next one reads it.
+    """
+    searched_text = "searched text"
+    while searched_text in docs.columns:
+        searched_text += "_"
+    last = None
+    for k, block in enumerate(item_blocks(benchmark, block_tokens)):
+        if k:
+            docs = staged(docs, "clean")
+            if last is not None:
+                release(last)
+            last = docs
+        low = docs.select("*", searched(F.col("text")).alias(searched_text))
         docs = low.mapInArrow(_kept(block, least, share), docs.schema)
     return docs
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
-    """One row for each document with an overlap: doc_id, item_ids (sorted), n_items, best_matched."""
+    """One row for each document with an overlap (see ``overlaps``): doc_id, item_ids (sorted), n_items, best_matched. Repeated rows count as one document."""
     found = overlaps(docs, benchmark, **limits).groupBy("doc_id")
     return found.agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.count_distinct("item_id").alias("n_items"), F.max("matched").alias("best_matched"))

@@ -282,7 +282,7 @@ def composed(r: np.random.Generator, words: list[str]) -> tuple[str, set[str]]:
         body = f"<main>{pick(body, f'<article>{body}</article>')}</main>"
     elif way < 0.92:
         body = f'<div {pick("class", "id")}="{pick("content", "main", "post", "entry-content", "article-body", "story", "text")}">{body}</div>'
-    else:
+    elif way < 0.96:
         body = f"<div>{body}</div>"
     before = "".join(x for x in top if r.random() < 0.5)
     after = "".join(x for x in side if r.random() < 0.4) + (comments() if r.random() < 0.3 else "") + (box("footer", ("footer", "legal", "copyright"), pick(say(3, 30), links(3), f"<p>{say(5, 40)}</p>")) if r.random() < 0.8 else "")
@@ -314,7 +314,7 @@ def train(sources: list[str], made: int = 400, seed: int = 11) -> Boosted:
     """Fit on ``made`` composed pages, and on those of ``sources`` that mark their main text by structure."""
     r = np.random.Generator(np.random.PCG64(seed))
     pages = [Page(s) for s in sources]
-    words = sorted({w for p in pages for t in p.text for w in t.split()[:40]})[:5000] or ["lorem", "ipsum", "dolor", "sit,", "amet."]
+    words = sorted({w for p in pages for t in p.text for w in t.split()})[:5000] or ["lorem", "ipsum", "dolor", "sit,", "amet."]
     cases = [(Page(s), kept) for s, kept in (composed(r, words) for _ in range(made))]
     cases += [(p, kept) for p in pages if (kept := structural(p)) is not None]
     x, y = np.concatenate([node_features(p) for p, _ in cases]), np.concatenate([marked(p, k) for p, k in cases])
@@ -345,13 +345,14 @@ def _extracted(model: Boosted):
     return run
 
 
-def main_text(pages: DataFrame, sample: int = 100) -> DataFrame:
+def main_text(pages: DataFrame, sample: int = 100, sample_bytes: int = 32 << 20) -> DataFrame:
     """Main text of each row of ``pages`` (page_id, url, html, any more columns): page_id, url, text, n_chars.
 
-    Trees are trained on composed pages and on at most ``sample`` pages of the table, those of the smallest hash of page_id; all
-    pages are read whole. Character references are decoded, white space in a block becomes one space, blocks are joined in
+    Trees are trained on composed pages and on at most ``sample`` pages of the table, those of the smallest hash of page_id of which each has its share
+    of ``sample_bytes`` at most; all pages are read whole. Character references are decoded, white space in a block becomes one space, blocks are joined in
     page order by one space. Null and empty html give an empty text. Repeated rows come back each. An empty table gives no rows.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    some = rows.where("html is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).select(F.substring("html", 1, 200_000)).collect()  # at most ``sample`` pages
+    fit = rows.where(F.octet_length("html") <= sample_bytes // sample)
+    some = fit.orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(sample).select("html").collect()  # at most sample_bytes
     return rows.mapInArrow(_extracted(train([r[0] for r in some])), "page_id long, url string, text string, n_chars long")

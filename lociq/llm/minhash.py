@@ -152,6 +152,7 @@ def _sketch(sets: bool, bitmap: bytes | None = None):
                     np.cumsum(mix64(h), out=total[1][1:])
                     cols |= {f"s{k + 1}": pa.array((t[o[1:]] - t[o[:-1]]).view(np.int64)) for k, t in enumerate(total)}
                     cols["sig"] = fixed(sig)
+                    cols["text_hash"] = batch.column("text_hash").slice(i, j - i)
                 yield pa.RecordBatch.from_pydict(cols)
 
     return run
@@ -207,7 +208,7 @@ def _verified(percent):
 
 
 def _block(least, percent):
-    """All pairs of two chunks of a large candidate group, but those already of one component; the links that join components."""
+    """Pairs of two chunks of a large bucket, but those already of one component and those that meet in an earlier band; the links that join components."""
     import pandas as pd
 
     def run(key, pdf):
@@ -222,10 +223,13 @@ def _block(least, percent):
         sig = np.stack([np.frombuffer(x, np.uint32) for x in pdf["sig"]])
         sets = [np.frombuffer(x, U64) for x in pdf["members"]]
         ids, comp, chunk = pdf["id"].to_numpy(), pdf["comp"].to_numpy(), pdf["chunk"].to_numpy()
+        keys = band_keys(sig).view(np.int64)
+        at = int((keys[0] == key[0]).argmax())  # the bucket's band
         out = []
         for i in range(len(ids)):
             js = np.arange(i + 1, len(ids))
             js = js[(comp[js] != comp[i]) & ((chunk[js] != chunk[i]) | (key[1] == key[2]))]
+            js = js[~(keys[js, :at] == keys[i, :at]).any(axis=1)]
             if not len(js):
                 continue
             for j in js[plausible(np.broadcast_to(sig[i], (len(js), N_HASH)), sig[js], least)]:
@@ -277,33 +281,35 @@ def _sets(docs, ids, at_most: int, most_bits: int, fill: float):
     return staged(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sketch(True), kind), "sets", batch_rows=TEXT_ROWS)
 
 
-def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to: int = 32, chunk: int = 128, most_bits: int = 1 << 26, fill: float = 0.2):
+def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to: int = 32, chunk: int = 256, chunk_bytes: int = 8 << 20, most_bits: int = 1 << 26, fill: float = 0.2):
     """Near-duplicate classes of ``docs`` (doc_id, text, any more columns): Jaccard of 5-word shingle sets >= percent / 100.
 
-    Returns doc_id, n_shingles, component_id, kept. MinHash signatures of 128 hashes are cut into 32 bands of 4 (a pair
+    Returns doc_id, n_shingles, component_id, kept, text_hash (xxhash64 of the text). MinHash signatures of 128 hashes are cut into 32 bands of 4 (a pair
     at the threshold misses all bands with probability 5e-6). Documents of equal shingle sets fold into one first.
     Within each band bucket every member is compared with the bucket's smallest one; buckets whose members still
     fall into several components then compare members across components: pair by pair where the bucket is small, and in blocks
-    of two chunks of ``chunk`` documents where it is large, so no bucket is ever emitted as all its pairs.
+    of two chunks of about ``chunk`` documents or ``chunk_bytes`` of sets where it is large, so no bucket is ever emitted as all its pairs.
     Candidates pass the sequential Bayesian test (``miss``: posterior probability below which a pair is pruned), and the
     survivors are confirmed on full sets.
     Nulls, empty texts and texts without words have n_shingles 0 and stay alone. doc_id names a document:
-    repeated rows come back each, with one component.
-    An empty table gives no rows. A null doc_id is dropped from linking and returned as its own (null) component.
+    repeated rows come back each, with one component; rows of one doc_id with different texts each have their own component.
+    An empty table gives no rows. A null doc_id is left out of linking and returned with a null component.
     """
     from pyspark.sql import functions as F
 
-    from lociq.llm.common import components, staged
+    from lociq.llm.common import components, release, staged
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     least = least_matches(percent / 100, miss)
-    sketch = staged(docs.mapInArrow(_sketch(False), "doc_id long, n_shingles long, s1 long, s2 long, sig binary"), "sketch", batch_rows=TEXT_ROWS)
+    kind = "doc_id long, n_shingles long, s1 long, s2 long, sig binary, text_hash long"
+    sketch = staged(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketch(False), kind), "sketch", batch_rows=TEXT_ROWS)
     real = sketch.where("n_shingles > 0 and doc_id is not null")
     rep = real.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
     reps = real.select("doc_id", "s1", "s2", "sig").join(rep, (real.doc_id == rep.rep) & (real.s1 == rep.s1) & (real.s2 == rep.s2), "left_semi")
     band = staged(reps.select(F.col("doc_id").alias("id"), "sig").mapInArrow(_bands, "key long, id long"), "bands")
     buckets = band.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low")).where("n > 1")
     member = staged(band.join(buckets, "key"), "members")
+    release(band)
     star = member.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
     star = staged(star, "star")
     ids = star.select(F.col("a").alias("doc_id")).union(star.select(F.col("b").alias("doc_id"))).distinct()
@@ -317,46 +323,48 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
         left = staged(left, "pruned")  # so that no stage holds two Python workers a core
         a = need.select(F.col("doc_id").alias("a"), F.col("members").alias("set_a"))
         b = need.select(F.col("doc_id").alias("b"), F.col("members").alias("set_b"))
-        return left.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b").mapInArrow(_verified(percent), "a long, b long")
+        out = staged(left.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b").mapInArrow(_verified(percent), "a long, b long"), "links", batch_rows=TEXT_ROWS)
+        release(left)
+        return out
 
-    links = staged(confirmed(star), "links", batch_rows=TEXT_ROWS)
+    links = confirmed(star)
     comp = components(links)
-    labelled = member.select("key", "id", "n").join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
-    labelled = staged(labelled, "labelled")
+    labelled = staged(member.select("key", "id", "n").join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp")), "labelled")
     open_ = labelled.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
     open_ = staged(labelled.join(open_, "key", "left_semi"), "open")
+    release(member)
+    release(labelled)
     small = open_.where(F.col("n") <= all_pairs_up_to)
     other = small.select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
     pairs = small.select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a")).join(other, "key").where("a < b and comp_a <> comp_b").select("a", "b").distinct()
-    more = staged(confirmed(pairs.join(star, ["a", "b"], "left_anti")), "links", batch_rows=TEXT_ROWS)
+    found = links.union(confirmed(pairs.join(star, ["a", "b"], "left_anti")))
     large = open_.where(F.col("n") > all_pairs_up_to)
-    found = links.union(more)
     if not large.isEmpty():
-        found = found.union(staged(_large_groups(large, need, chunk, _block(least, percent)), "links"))
+        found = found.union(staged(_large_buckets(large, need, chunk, chunk_bytes, _block(least, percent)), "links"))
     comp = components(found)
+    for done in (star, need, open_):
+        release(done)
     rep_of = rep.join(comp, rep.rep == comp.id, "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = sketch.join(rep_of, (sketch.s1 == rep_of.s1) & (sketch.s2 == rep_of.s2) & (sketch.n_shingles > 0), "left")
-    component = F.coalesce(rep_of.component, sketch.doc_id)
-    return out.select(sketch.doc_id, sketch.n_shingles, component.alias("component_id"), component.eqNullSafe(sketch.doc_id).alias("kept"))
+    component = F.when(sketch.doc_id.isNotNull(), F.coalesce(rep_of.component, sketch.doc_id))
+    return out.select(sketch.doc_id, sketch.n_shingles, component.alias("component_id"), component.eqNullSafe(sketch.doc_id).alias("kept"), "text_hash")
 
 
-def _large_groups(large, need, chunk, block):
-    """Links across components within large buckets, whose stars are merged into groups so that no pair of chunks is met per band."""
+def _large_buckets(large, need, chunk, chunk_bytes, block):
+    """Links across components within large buckets, by blocks of two chunks of one bucket; a pair of several buckets is compared in its first."""
     from pyspark.sql import functions as F
 
-    from lociq.llm.common import components, staged
-
-    low = large.groupBy("key").agg(F.min("id").alias("low"))
-    group = components(large.join(low, "key").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct())
-    docs = large.select("id", "comp").distinct().join(group.select("id", F.col("component").alias("grp")), "id")
-    size = docs.groupBy("grp", "comp").agg(F.count("*").alias("n"))
-    docs = docs.join(size, ["grp", "comp"]).select("grp", "comp", "id", F.when(F.col("n") >= chunk, F.col("comp")).otherwise(F.lit(-1)).alias("part"))
-    size = docs.groupBy("grp", "part").agg(F.count("*").alias("n"))
-    docs = docs.join(size, ["grp", "part"]).select("grp", "part", "comp", "id", F.concat_ws("/", "part", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / chunk))).alias("chunk"))
-    docs = staged(docs, "chunked")
-    chunks = docs.select("grp", "part", "chunk").distinct()
-    other = chunks.select("grp", F.col("part").alias("part_b"), F.col("chunk").alias("chunk_b"))
-    pairs = chunks.join(other, "grp").where("chunk <= chunk_b and (part <> part_b or part = -1)").select("grp", F.col("chunk").alias("c1"), F.col("chunk_b").alias("c2"))
-    ends = pairs.select("grp", "c1", "c2", F.explode(F.array_distinct(F.array("c1", "c2"))).alias("chunk"))
-    rows = ends.join(docs, ["grp", "chunk"]).join(need.withColumnRenamed("doc_id", "id"), "id").select("grp", "c1", "c2", "chunk", "id", "comp", "sig", "members")
-    return rows.groupBy("grp", "c1", "c2").applyInPandas(block, "a long, b long")
+    bytes_ = need.select(F.col("doc_id").alias("id"), F.octet_length("members").alias("bytes"))
+    parts = lambda by: F.greatest(F.ceil(F.col(f"{by}_n") / chunk), F.ceil(F.col(f"{by}_bytes") / chunk_bytes))
+    sums = lambda by: (F.count("*").alias(f"{by}_n"), F.sum("bytes").alias(f"{by}_bytes"))
+    docs = large.select("key", "id", "comp").join(bytes_, "id")
+    docs = docs.join(docs.groupBy("key", "comp").agg(*sums("own")), ["key", "comp"])
+    docs = docs.withColumn("part", F.when(parts("own") > 1, F.col("comp")).otherwise(F.lit(-1)))  # a component that fills chunks has them to itself
+    docs = docs.join(docs.groupBy("key", "part").agg(*sums("part")), ["key", "part"])
+    docs = docs.select("key", "part", "comp", "id", F.concat_ws("/", "part", F.pmod(F.xxhash64("id"), parts("part"))).alias("chunk"))
+    chunks = docs.select("key", "part", "chunk").distinct()
+    other = chunks.select("key", F.col("part").alias("part_b"), F.col("chunk").alias("chunk_b"))
+    pairs = chunks.join(other, "key").where("chunk <= chunk_b and (part <> part_b or part = -1)").select("key", F.col("chunk").alias("c1"), F.col("chunk_b").alias("c2"))
+    ends = pairs.select("key", "c1", "c2", F.explode(F.array_distinct(F.array("c1", "c2"))).alias("chunk"))
+    rows = ends.join(docs, ["key", "chunk"]).join(need.withColumnRenamed("doc_id", "id"), "id").select("key", "c1", "c2", "chunk", "id", "comp", "sig", "members")
+    return rows.groupBy("key", "c1", "c2").applyInPandas(block, "a long, b long")

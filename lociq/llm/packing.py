@@ -11,11 +11,12 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociq.llm import tokens
-from lociq.llm.common import staged
+from lociq.llm.common import mix64, staged
 
 CAPACITY = 1024
 
@@ -83,9 +84,10 @@ def plan(count: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[int, lis
     return dict(slots), used
 
 
-def _pieces(file: str, capacity: int):
+def _pieces(file: str, capacity: int, plain: bool):
     def run(batches):
-        encode = tokens.encoder(file).ids
+        encode = tokens.encoder(file, plain).ids
+        met = TaskContext.get().partitionId() << 40
         for batch in tokens.small(batches):
             out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -96,7 +98,10 @@ def _pieces(file: str, capacity: int):
                     for name, v in zip(out, (doc_id, k, start, end - start, zlib.crc32(ids[start:end].tobytes())), strict=True):
                         out[name].append(v)
                     start = end
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int32() if k == "piece" else pa.int64()) for k, v in out.items()], list(out))
+            n = len(out["doc_id"])
+            salt = mix64(np.arange(met, met + n, dtype=np.uint64)).view(np.int64)
+            met += n
+            yield pa.RecordBatch.from_arrays([*(pa.array(v, pa.int32() if k == "piece" else pa.int64()) for k, v in out.items()), pa.array(salt)], [*out, "salt"])
 
     return run
 
@@ -124,27 +129,32 @@ def _place(slots: dict):
     return run
 
 
-def place(pieces: DataFrame, capacity: int = CAPACITY, rows_per_rank_group: int = 4096) -> DataFrame:
-    """Add sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32) of 1 to ``capacity`` tokens."""
+def place(pieces: DataFrame, capacity: int = CAPACITY, rows_per_rank_group: int = 256) -> DataFrame:
+    """Add sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32, salt) of 1 to ``capacity`` tokens.
+
+    Pieces of a length are ranked in groups of about ``rows_per_rank_group`` by their ``salt``, a stored random number of each, so neither equal
+    lengths nor equal rows nor null ids meet in one task.
+    """
+    spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
     slots, _ = plan(counts, capacity)
-    groups = max(1, -(-max(counts.values(), default=1) // rows_per_rank_group))
-    pieces = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(groups)).cast("int"))
+    groups = spark.createDataFrame([(s, max(1, -(-n // rows_per_rank_group))) for s, n in counts.items()], "length long, groups long")
+    pieces = pieces.join(F.broadcast(groups), "length").withColumn("grp", F.pmod("salt", "groups")).drop("groups")  # at most capacity rows
     before = Window.partitionBy("length").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     base = pieces.groupBy("length", "grp").agg(F.count("*").alias("n")).select("length", "grp", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("length", "grp").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "grp").orderBy("salt", "doc_id", "piece", "ids_crc32")
     ranked = pieces.withColumn("rank", F.row_number().over(within) - 1).join(base, ["length", "grp"]).withColumn("rank", F.col("rank") + F.col("base"))
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(_place(slots), kind)
 
 
-def pack(docs: DataFrame, file: str, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, file: str, capacity: int = CAPACITY, plain: bool = False) -> DataFrame:
     """Tokenize whole texts (doc_id, text, any more columns), append the end id, and pack all into sequences of at most ``capacity`` ids.
 
     Texts of more ids are cut into pieces of ``capacity``, the remainder first. Returns a row for each piece: doc_id, piece,
     start, length, ids_crc32, sequence_id (dense from 0) and offset. Null and empty texts are one end id. Repeated rows are
-    packed each on its own; a null doc_id stays null. An empty table gives no rows.
+    packed each on its own; a null doc_id stays null. An empty table gives no rows. ``plain``: strings of special tokens are ordinary text.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    kind = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return place(staged(docs.mapInArrow(_pieces(file, capacity), kind), "pieces"), capacity)
+    kind = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
+    return place(staged(docs.mapInArrow(_pieces(file, capacity, plain), kind), "pieces"), capacity)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from lociq.llm.common import table
+from lociq.llm.oracles import ORACLE_SQL
 
 
 def op9_minhash_near_dedup(spark, sf_dir):
     from lociq.llm.minhash import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op1_suffix_array_dedup(spark, sf_dir):
@@ -59,7 +59,7 @@ def op7_secret_scan(spark, sf_dir):
 def op8_warc_index_merge(spark, sf_dir):
     from lociq.llm import warc
 
-    return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")))
+    return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_html_extraction(spark, sf_dir):
@@ -80,9 +80,8 @@ def queries() -> dict:
         "op8_warc_index_merge": op8_warc_index_merge,
         "op9_minhash_near_dedup": op9_minhash_near_dedup,
         "op10_html_extraction": op10_html_extraction,
-        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE_SQL)

@@ -142,3 +142,21 @@ def redacted(text: Column, found: Column, by: str = "[REDACTED]") -> Column:
 
     done = F.aggregate(found, start, step)
     return F.when(F.size(found) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+
+
+def redact(docs: DataFrame, by: str = "[REDACTED]") -> DataFrame:
+    """All rows of ``docs`` with all columns whatever their names, secrets in text replaced by ``by``; n_chars, where there is one, follows a changed text.
+
+    Texts without secrets, nulls and empties among them, stay as they are. Repeated rows come back each.
+    """
+    found = scan(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text")))
+    some = F.size("found") > 0
+    changed = redacted(F.col("text").cast("string"), F.col("found"), by)
+
+    def column(c: str) -> Column:
+        was = F.col("row").getField(c)
+        if c == "text":
+            return F.when(some, changed).otherwise(was)
+        return F.when(some, F.length(changed).cast(docs.schema[c].dataType)).otherwise(was) if c == "n_chars" else was
+
+    return found.select(*(column(c).alias(c) for c in docs.columns))

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociq.llm.common import U64, mix64, row_blocks, shuffle_partitions, utf8
+from lociq.llm.common import U64, mix64, row_blocks, shuffle_partitions, staged, utf8
 
 GRAM = 40
 BASE = 0x5851F42D4C957F2D
@@ -205,8 +205,8 @@ def _anchor_rows(length: int):
         for batch in batches:
             buf, off = utf8(batch.column("text"))
             row, h, a, low, high = anchors(buf, off, length)
-            ids = batch.column("uid").to_numpy()
-            yield pa.RecordBatch.from_pydict({"gram": pa.array(h.view(np.int64)), "uid": pa.array(ids[row]), "place": pa.array((a << 16) | (low << 8) | high)})
+            own, uid = batch.column("own").to_numpy(), batch.column("uid").to_numpy()
+            yield pa.RecordBatch.from_pydict({"gram": pa.array(h.view(np.int64)), "own": pa.array(own[row]), "uid": pa.array(uid[row]), "place": pa.array((a << 16) | (low << 8) | high)})
 
     return run
 
@@ -217,7 +217,7 @@ def _pack(part: int, records: list[tuple]) -> bytes:
     lcp, rest = front_code(strings)
     left = [r[1] for r in records]
     arrays = [lcp, np.array([len(s) for s in strings], np.int32), np.array([len(s) for s in left], np.int32)]
-    arrays += [np.array([r[k] for r in records], np.int32) for k in (2, 3, 4)] + [np.array([r[k] for r in records], np.int64) for k in (5, 6)]
+    arrays += [np.array([r[k] for r in records], np.int32) for k in (2, 3, 4)] + [np.array([r[k] for r in records], np.int64) for k in (5, 6, 7)]
     head = np.array([len(records), len(rest)], np.int64)
     return zstandard.ZstdCompressor(level=3).compress(b"".join([head.tobytes(), *(x.tobytes() for x in arrays), rest, b"".join(left)]))
 
@@ -226,14 +226,14 @@ def _unpack(block: bytes):
     raw = zstandard.ZstdDecompressor().decompress(block)
     n, m = np.frombuffer(raw, np.int64, 2).tolist()
     at, arrays = 16, []
-    for dtype in (np.int32,) * 6 + (np.int64,) * 2:
+    for dtype in (np.int32,) * 6 + (np.int64,) * 3:
         arrays.append(np.frombuffer(raw, dtype, n, at))
         at += arrays[-1].nbytes
-    lcp, size, left_size, low, high, weight, uid, a = arrays
+    lcp, size, left_size, low, high, weight, own, uid, a = arrays
     strings = front_decode(lcp, size, raw[at : at + m])
     ends = np.cumsum(left_size) + at + m
     left = [raw[e - s : e] for s, e in zip(left_size.tolist(), ends.tolist(), strict=True)]
-    return strings, lcp.tolist(), left, low, high, weight, uid, a
+    return strings, lcp.tolist(), left, low, high, weight, own, uid, a
 
 
 def _runs(length: int, parts: int):
@@ -253,17 +253,17 @@ def _runs(length: int, parts: int):
                 if j - i == 1:
                     out.append((*records[i][:4], 1, *records[i][4:]))
                 else:
-                    out.append((*records[i][:4], 2, 0, -1))
-                    settled += [(r[4], r[5] - r[3], r[5] - r[2] + length) for r in records[i:j]]
+                    out.append((*records[i][:4], 2, 0, 0, -1))
+                    settled += [(r[4], r[5], r[6] - r[3], r[6] - r[2] + length) for r in records[i:j]]
                 i = j
-            u, s, e = (np.array(x, np.int64) for x in zip(*settled, strict=True)) if settled else (np.zeros(0, np.int64),) * 3
-            yield {"part": part, "run": _pack(part, out), "uid": u, "begin": s, "end": e}
+            o, u, s, e = (np.array(x, np.int64) for x in zip(*settled, strict=True)) if settled else (np.zeros(0, np.int64),) * 4
+            yield {"part": part, "run": _pack(part, out), "own": o, "uid": u, "begin": s, "end": e}
 
     def run(batches):
         kept, size = [], 0
         for batch in batches:
             buf, off = utf8(batch.column("text"))
-            raw, ids = buf.tobytes(), batch.column("uid").to_pylist()
+            raw, own, uid = buf.tobytes(), batch.column("own").to_pylist(), batch.column("uid").to_pylist()
             for i, places in enumerate(batch.column("places").to_pylist()):
                 for place in sorted(set(places)):
                     a, low, high = place >> 16, (place >> 8) & 255, place & 255
@@ -271,7 +271,7 @@ def _runs(length: int, parts: int):
                     right, left = raw[at : at + length - low], raw[at - high : at][::-1]
                     # the part comes from the gram alone, so that all suffixes that may match meet
                     part = int.from_bytes(hashlib.blake2b(right[:GRAM], digest_size=8).digest(), "little") % parts
-                    kept.append((part, right, left, low, high, ids[i], a))
+                    kept.append((part, right, left, low, high, own[i], uid[i], a))
                     size += len(right) + len(left) + 200
                 if size > RUN_BYTES:
                     yield from batches_of(flush(kept))
@@ -283,7 +283,7 @@ def _runs(length: int, parts: int):
 
 
 def batches_of(rows):
-    kind = pa.schema([("part", pa.int64()), ("run", pa.binary()), ("uid", pa.list_(pa.int64())), ("begin", pa.list_(pa.int64())), ("end", pa.list_(pa.int64()))])
+    kind = pa.schema([("part", pa.int64()), ("run", pa.binary()), ("own", pa.list_(pa.int64())), ("uid", pa.list_(pa.int64())), ("begin", pa.list_(pa.int64())), ("end", pa.list_(pa.int64()))])
     held = []
     for row in rows:
         held.append(row)
@@ -295,32 +295,39 @@ def batches_of(rows):
 
 
 def _merge(length: int):
-    """Merge all runs of a part and give the repeated stretch of each record."""
+    """Merge the runs of each part, which come together, and give the repeated stretch of each record."""
+
+    def repeats(runs: list[bytes]):
+        blocks = [_unpack(b) for b in runs]
+        which, index, lcp = merge_runs([(b[0], b[1]) for b in blocks])
+        which, index = np.array(which, np.int64), np.array(index, np.int64)
+        base = np.cumsum([0] + [len(b[0]) for b in blocks])
+        left = [x for b in blocks for x in b[2]]
+        low, high, weight, own, uid, a = (np.concatenate([b[k] for b in blocks]).astype(np.int64) for k in range(3, 9))
+        least, most = repeated(base[which] + index, np.array(lcp), left, low, high, weight, length)
+        ok = np.flatnonzero((most >= 0) & (a >= 0))
+        if len(ok):
+            yield stretch(own[ok], uid[ok], a[ok] - most[ok], a[ok] - least[ok] + length)
 
     def run(batches):
-        held: dict[int, list] = {}
+        part, runs = None, []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["uid"]:
-                    yield stretch(row["uid"], row["begin"], row["end"])
-                held.setdefault(row["part"], []).append(row["run"])
-        for part in list(held):
-            blocks = [_unpack(b) for b in held.pop(part)]
-            which, index, lcp = merge_runs([(b[0], b[1]) for b in blocks])
-            which, index = np.array(which, np.int64), np.array(index, np.int64)
-            base = np.cumsum([0] + [len(b[0]) for b in blocks])
-            left = [x for b in blocks for x in b[2]]
-            low, high, weight, uid, a = (np.concatenate([b[k] for b in blocks]).astype(np.int64) for k in range(3, 8))
-            least, most = repeated(base[which] + index, np.array(lcp), left, low, high, weight, length)
-            ok = np.flatnonzero((most >= 0) & (a >= 0))
-            if len(ok):
-                yield stretch(uid[ok], a[ok] - most[ok], a[ok] - least[ok] + length)
+                    yield stretch(row["own"], row["uid"], row["begin"], row["end"])
+                if row["part"] != part and runs:
+                    yield from repeats(runs)
+                    runs = []
+                part = row["part"]
+                runs.append(row["run"])
+        if runs:
+            yield from repeats(runs)
 
     return run
 
 
-def stretch(uid, begin, end):
-    return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in (("uid", uid), ("begin", begin), ("end", end))})
+def stretch(own, uid, begin, end):
+    return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in (("own", own), ("uid", uid), ("begin", begin), ("end", end))})
 
 
 def _cut(texts: bool):
@@ -359,8 +366,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, with_text: bool = False)
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (removed [begin, end) byte runs) and, if asked for,
     kept_text (binary: a cut may fall inside a character). One row for each input row. Null and empty texts have nothing to remove.
-    Rows are told apart by a 64-bit hash of doc_id and text: repeated rows are documents of their own whose texts repeat
-    each other, and rows of one doc_id with different texts don't mix. An empty table gives no rows.
+    Rows are told apart by doc_id and a 64-bit hash of doc_id and text (two hashes where doc_id is null): repeated rows are documents of their own whose
+    texts repeat each other, and rows of one doc_id with different texts don't mix. An empty table gives no rows.
 
     Grams of anchors are counted with partial aggregation; only anchors whose gram occurs twice are extracted. Each task
     sorts its candidates into one run for each part, folding what is equal within the run, so that a passage that a third of the
@@ -370,14 +377,15 @@ def remove_repeats(docs: DataFrame, length: int = 200, with_text: bool = False)
         raise ValueError("length must lie between 50 and 250")
     parts = 4 * shuffle_partitions(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    docs = docs.select(F.xxhash64("doc_id", "text").alias("uid"), "doc_id", "text")
-    found = docs.select("uid", "text").mapInArrow(_anchor_rows(length), "gram long, uid long, place long")
-    twice = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    places = found.join(twice, "gram").groupBy("uid").agg(F.collect_list("place").alias("places"))
+    docs = docs.select(F.coalesce("doc_id", F.xxhash64(F.lit(1), "text")).alias("own"), F.xxhash64("doc_id", "text").alias("uid"), "doc_id", "text")
+    found = docs.select("own", "uid", "text").mapInArrow(_anchor_rows(length), "gram long, own long, uid long, place long")
+    # written first, so that the join has an exchange on either side, of which a frequent gram's is split at run time
+    twice = staged(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
+    places = found.join(twice, "gram").groupBy("own", "uid").agg(F.collect_list("place").alias("places"))
     # all columns of docs, so that this join and the last one share one exchange of the texts
-    runs = docs.join(places, "uid").mapInArrow(_runs(length, parts), "part long, run binary, uid array<long>, begin array<long>, end array<long>")
-    hits = runs.repartition(shuffle_partitions(docs.sparkSession), "part").mapInArrow(_merge(length), "uid long, begin long, end long")
-    hits = hits.groupBy("uid").agg(F.collect_list(F.struct("begin", "end")).alias("stretches"))
-    out = docs.join(hits, "uid", "left").select("doc_id", "text", "stretches")
+    runs = docs.join(places, ["own", "uid"]).mapInArrow(_runs(length, parts), "part long, run binary, own array<long>, uid array<long>, begin array<long>, end array<long>")
+    hits = runs.repartition(shuffle_partitions(docs.sparkSession), "part").sortWithinPartitions("part").mapInArrow(_merge(length), "own long, uid long, begin long, end long")
+    hits = hits.groupBy("own", "uid").agg(F.collect_list(F.struct("begin", "end")).alias("stretches"))
+    out = docs.join(hits, ["own", "uid"], "left").select("doc_id", "text", "stretches")
     kind = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>"
     return out.mapInArrow(_cut(with_text), kind + ", kept_text binary" * with_text)

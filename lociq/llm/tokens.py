@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 
 END = 2
-CACHE = 300_000  # chunks kept in a worker
+CACHE = 150_000  # chunks kept in a worker
 # fixed values: the Unicode White_Space characters
 SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -39,15 +39,20 @@ def byte_characters() -> dict[int, str]:
 
 
 class Encoder(dict):
-    """ids(text) of one tokenizer file; as a dictionary, the ids of the chunks met so far (unsigned 16-bit, as bytes)."""
+    """ids(text) of one tokenizer file; as a dictionary, the ids of the chunks met so far (unsigned 16-bit, as bytes).
 
-    def __init__(self, file: str):
+    Strings of special tokens in a text get these tokens' ids, as the library has it by default, or are ordinary text if ``plain``.
+    """
+
+    def __init__(self, file: str, plain: bool = False):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added)).search if added else None
         self.model = self.tokenizer.model
         self.keeps_space = "ByteLevel" in repr(type(self.tokenizer.pre_tokenizer))
         word = f" ?{WORD}" if self.keeps_space else WORD
@@ -68,13 +73,15 @@ class Encoder(dict):
         return found
 
     def ids(self, text: str) -> np.ndarray:
-        """Ids of the whole text, without the end id."""
+        """Ids of the whole text, without the end id. A text that holds a special token's string goes to the library whole."""
+        if self.special and self.special(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
         return np.frombuffer(b"".join(map(self.__getitem__, self.chunks(text))), np.uint16)
 
 
 @functools.cache
-def encoder(file: str) -> Encoder:
-    return Encoder(file)
+def encoder(file: str, plain: bool = False) -> Encoder:
+    return Encoder(file, plain)
 
 
 def with_end(ids: np.ndarray) -> np.ndarray:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociq.llm.common import TEXT_BLOCK, U64, WordHasher, ascii_lower, mix64, row_blocks, utf8
+from lociq.llm.common import TEXT_BLOCK, U64, WordHasher, ascii_lower, fitting, mix64, row_blocks, utf8
 
 BITS = 19
 HEAD = 5
@@ -129,10 +129,11 @@ def fit(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, rounds: int = 8
 def _sampled(batches):
     for batch in batches:
         buf, off = utf8(batch.column("text"))
-        row, feature = features(buf, off)
-        first = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        cut = [feature[a:b].astype(np.int32).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(cut, pa.binary())], ["grade", "feature"])
+        for i, j in row_blocks(off, TEXT_BLOCK):
+            row, feature = features(buf[off[i] : off[j]], off[i : j + 1] - off[i])
+            first = np.searchsorted(row, np.arange(j - i + 1))
+            cut = [feature[a:b].astype(np.int32).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("grade").slice(i, j - i), pa.array(cut, pa.binary())], ["grade", "feature"])
 
 
 def _scored(model: Model):
@@ -148,9 +149,11 @@ def _scored(model: Model):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 8000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, sample_bytes: int = 256 << 20) -> Model:
     """Fit on at most ``sample`` labelled documents, half of them toxic as far as there are so many, those of the smallest hash of doc_id.
 
+    Of these, in hash order, whole texts serve that fit into ``sample_bytes`` together, which bounds what the driver holds. Of rows of one doc_id, one text serves.
+
     labels: doc_id and toxic (0/1), or severity (0 to GRADES) where there is such a column. Rows without a label or doc_id are not used.
     """
     target = "severity" if "severity" in labels.columns else "toxic"
@@ -158,7 +161,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8000) -> Model:
     half = lambda cond: labels.where(cond).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
     chosen = half("grade > 0").union(half("grade <= 0"))  # at most ``sample`` rows of two numbers
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("grade", "text").mapInArrow(_sampled, "grade int, feature binary").collect()
+    texts = texts.withColumn("h", F.xxhash64("doc_id", "text"))
+    sizes = texts.groupBy("doc_id").agg(F.min(F.struct("h", F.octet_length("text").alias("size"))).alias("x")).select("x.*").collect()  # at most ``sample`` rows
+    fit_in = fitting(sorted((r["h"], r["size"] or 0) for r in sizes), sample_bytes)
+    serving = docs.sparkSession.createDataFrame([(h,) for h in fit_in], "h long")
+    once = texts.join(F.broadcast(serving), "h").select("h", "grade", "text").dropDuplicates(["h"])
+    rows = once.select("grade", "text").mapInArrow(_sampled, "grade int, feature binary").collect()
     rows.sort(key=lambda r: (r["grade"], bytes(r["feature"])))
     if not rows:
         return fit(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -194,5 +202,5 @@ def _clean(model: Model):
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, with all columns, whose expected severity is below REJECT."""
+    """The rows of ``docs``, with all columns, whose expected severity is below REJECT; null and empty texts stay, repeated rows stay each."""
     return docs.mapInArrow(_clean(model), docs.schema)

@@ -1,7 +1,7 @@
 """WARC archives with revisit records, and a capture index merged from sorted runs by URL key and timestamp.
 
 Archives are rows of a table in the shared folder (name, content, index run), content being a valid .warc.gz byte string: a gzip
-member for each record. Spark's commit protocol keeps each archive exactly once when tasks are retried; ``export`` writes plain files.
+member for each record. Spark's commit protocol keeps each archive exactly once when tasks are retried.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ def _archives(batches):
             when = EPOCH + timedelta(seconds=(row["page_id"] or 0) % (1 << 31))
             url = row["url"] or ""
             key = sort_key(url, when.strftime("%Y%m%d%H%M%S"), row["page_id"])
-            held.append((key, row["page_id"], url, when.strftime("%Y-%m-%dT%H:%M:%SZ"), payload, base64.b32encode(bytes.fromhex(row["digest"])).decode(), row["refers_to"]))
+            held.append((key, row["page_id"], url, when.strftime("%Y-%m-%dT%H:%M:%SZ"), payload, base64.b32encode(row["digest"]).decode(), row["refers_to"]))
             size += len(payload) + 500
             if size >= ARCHIVE_BYTES:
                 yield flush()
@@ -138,13 +138,9 @@ RUN_DDL = "part long, archive string, lcp array<int>, length array<int>, rest bi
 
 
 def _merge(batches):
-    """All runs of a range, merged by a loser tree: the range's captures in order."""
-    held: dict[int, list[dict]] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            held.setdefault(row["part"], []).append(row)
-    for part in sorted(held):
-        runs = held.pop(part)
+    """The runs of each range, which come together, merged by a loser tree: the range's captures in order."""
+
+    def captures(part: int, runs: list[dict]):
         strings = [front_decode(np.array(r["lcp"]), np.array(r["length"]), r["rest"]) for r in runs]
         which, index, _ = merge_runs([(s, r["lcp"]) for s, r in zip(strings, runs, strict=True)])
         for start in range(0, len(which), 8192):
@@ -155,6 +151,16 @@ def _merge(batches):
                 rows.append({"range_id": part, "position": k, "url_key": key.decode("utf-8", "replace"), "timestamp": stamp.decode(), "archive": runs[r]["archive"], "at": runs[r]["at"][i], "size": runs[r]["size"][i]})
             yield pa.RecordBatch.from_pylist(rows, HISTORY)
 
+    runs: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if runs and row["part"] != runs[0]["part"]:
+                yield from captures(runs[0]["part"], runs)
+                runs = []
+            runs.append(row)
+    if runs:
+        yield from captures(runs[0]["part"], runs)
+
 
 HISTORY = pa.schema([("range_id", pa.int64()), ("position", pa.int64()), ("url_key", pa.string()), ("timestamp", pa.string()), ("archive", pa.string()), ("at", pa.int64()), ("size", pa.int64())])
 HISTORY_DDL = "range_id long, position long, url_key string, timestamp string, archive string, at long, size long"
@@ -171,25 +177,31 @@ def _read(batches):
             yield pa.RecordBatch.from_pylist([{k: r[k] for k in READ.names} for r in rows], READ)
 
 
-def write_archives(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def write_archives(pages: DataFrame, least_bytes: int = 0, salts: int = 16) -> DataFrame:
     """Write a record for each row of ``pages`` (page_id, url, html, any more columns); the archive table.
 
     Payload is the html in UTF-8 (null: empty). Of rows with equal payloads of ``least_bytes`` or more, that of the largest
     page_id is the response and the others revisit it; rows that repeat it (page_id and html) are responses too. Rows without
-    page_id never serve as response for others; a group of nothing else is all responses. A null url is an empty one.
+    page_id never serve as response for others; a group of nothing else is all responses. A null url is an empty one. An empty table gives no archives.
+
+    Pages are matched by digest and length without their html, in ``salts`` parts of each group of copies; html moves once, by page.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    pages = pages.withColumn("digest", F.sha1("html")).withColumn("bytes", F.octet_length("html"))
-    best = pages.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(F.max("page_id").alias("best"))
-    refers = F.when(F.col("best").eqNullSafe(F.col("page_id")), F.lit(None).cast("long")).otherwise(F.col("best"))
-    marked = pages.join(best, ["digest", "bytes"], "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
-    return staged(marked.mapInArrow(_archives, ARCHIVE_DDL), "archives")
+    pages = pages.withColumn("digest", F.unhex(F.sha1("html"))).withColumn("bytes", F.octet_length("html"))
+    narrow = pages.where(F.col("bytes") >= least_bytes).select("page_id", "digest", "bytes")
+    groups = narrow.groupBy("digest", "bytes").agg(F.max("page_id").alias("best"), F.count("*").alias("n")).where("n > 1 and best is not null")
+    groups = groups.select("digest", "bytes", "best", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    again = narrow.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(salts)).cast("int")).join(groups, ["digest", "bytes", "salt"]).where("not (page_id <=> best)")
+    again = again.select(F.col("page_id").alias("id"), F.col("digest").alias("same"), F.col("best").alias("refers_to")).distinct()
+    marked = pages.join(again, pages.page_id.eqNullSafe(again.id) & (pages.digest == again.same), "left").select("page_id", "url", "html", "digest", "refers_to")
+    return staged(marked.mapInArrow(_archives, ARCHIVE_DDL), "archives", batch_rows=256)
 
 
 def capture_history(archives: DataFrame, sample_archives: int = 2000, sample_keys: int = 64) -> DataFrame:
     """Global capture order (range_id, position) with url_key, timestamp and place of each record.
 
     Range bounds come from at most ``sample_keys`` keys, evenly spaced, of at most ``sample_archives`` archives; every record is merged.
+    Records without url come first, repeated ones stay next to each other, and no archives give no rows.
     """
     spark = archives.sparkSession
     keys = F.transform(F.sequence(F.lit(0), F.lit(sample_keys - 1)), lambda i: F.get("index", F.floor(i * F.size("index") / sample_keys).cast("int"))["key"])
@@ -198,17 +210,17 @@ def capture_history(archives: DataFrame, sample_archives: int = 2000, sample_key
     parts = shuffle_partitions(spark)
     bounds = sorted({found[k * len(found) // parts] for k in range(1, parts)}) if found else []
     runs = archives.select("archive", "index").mapInArrow(_cut(bounds), RUN_DDL)
-    return runs.repartition(parts, "part").mapInArrow(_merge, HISTORY_DDL)
+    return runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_merge, HISTORY_DDL)
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    """Read every record back through the merged index: a row for each page with its place in the capture histories."""
+    """Read every record back through the merged index: a row for each page with its place in the capture histories; null and empty html have 0 bytes."""
     entries = capture_history(archives).groupBy("archive").agg(F.collect_list(F.struct("at", "size", "url_key", "timestamp", "range_id", "position")).alias("entries"))
     return archives.select("archive", "content").join(entries, "archive").select("content", "entries").mapInArrow(_read, READ_DDL)
 
 
 def export(archives: DataFrame, folder: str) -> None:
-    """Write archives as .warc.gz files of a local folder, one at a time."""
+    """For a look at small outputs: write archives as .warc.gz files of a folder of the driver, one at a time."""
     import pathlib
 
     out = pathlib.Path(folder)

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 
 def where_query(df: DataFrame, text: str, **values) -> DataFrame:
-    """Filter by a query string with pandas-style comparison (==) and @name references to ``values``."""
+    """Filter by a query string with pandas-style comparison (==) and @name references to ``values``; string literals in it stay as they are."""
 
     def literal(m: re.Match) -> str:
         v = values[m[1]]
-        return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "\\'") + "'"
+        return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    return df.where(re.sub(r"@(\w+)", literal, text).replace("==", "="))
+    parts = re.split(r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")""", text)
+    return df.where("".join(p if i % 2 else re.sub(r"@(\w+)", literal, p).replace("==", "=") for i, p in enumerate(parts)))
 
 
 def first_label(df: DataFrame, cases: list[tuple[str, Column | str]], otherwise: str) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import random
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -84,3 +87,35 @@ def cross_predict(df: DataFrame, features: list[str], estimator, folds: int) ->
 def principal_components(df: DataFrame, column: str, k: int):
     """Standardised principal components of a vector column."""
     return Pipeline(stages=[StandardScaler(inputCol=column, outputCol="scaled", withMean=True), PCA(k=k, inputCol="scaled", outputCol="pc")]).fit(df)
+
+
+def feature_names(columns: list[str], any_of: tuple[str, ...], none_of: tuple[str, ...] = ()) -> list[str]:
+    """Columns whose name holds one of ``any_of`` and none of ``none_of``, in their order."""
+    return [c for c in columns if any(x in c for x in any_of) and not any(x in c for x in none_of)]
+
+
+def feature_sets(base: list[str], background: list[str], prefixes: list[str], extra: list[str]) -> dict[str, list[str]]:
+    """Three growing sets: the base features, these with background features of each prefix, and those with extra ones."""
+    wide = base + [f"{p}_{f}" for p in prefixes for f in background]
+    return {"set1": list(base), "set2": wide, "set3": wide + extra}
+
+
+def settings(space: dict[str, list]) -> list[dict]:
+    """All settings of a search space."""
+    return [dict(zip(space, values, strict=True)) for values in itertools.product(*space.values())]
+
+
+def sampled(space: dict[str, list], n: int, seed: int = 123) -> list[dict]:
+    """At most ``n`` settings of a search space, drawn without repeats."""
+    every = settings(space)
+    return random.Random(seed).sample(every, min(n, len(every)))
+
+
+def attributions(model, df: DataFrame, features: list[str]) -> DataFrame:
+    """What each feature adds to a linear model's log odds against the mean row (for a linear model the Shapley value), as columns phi_<feature>, and the mean's log odds as phi_0."""
+    linear = model.stages[-1]
+    scale = model.stages[1]
+    means, spreads = scale.mean.toArray().tolist(), scale.std.toArray().tolist()
+    weights = [float(w) for w in linear.coefficients]
+    phi = [(F.lit(w / s if s else 0.0) * (F.col(f).cast("double") - m)).alias(f"phi_{f}") for f, w, m, s in zip(features, weights, means, spreads, strict=True)]
+    return df.select("*", *phi, F.lit(float(linear.intercept)).alias("phi_0"))

@@ -46,3 +46,8 @@ def representatives(df: DataFrame, slack: int = 0, seed: int = 0) -> DataFrame:
 def sharing(df: DataFrame, key: list[str], thresholds: tuple[int, ...] = (1, 5, 10, 50)) -> DataFrame:
     """Distinct cells and donors of each locus at read thresholds."""
     return df.groupBy(*key).agg(*(F.count_distinct(F.when(F.col("n_reads") >= t, F.col(c))).alias(f"{c.removesuffix('_id')}s_{t}") for t in thresholds for c in ("cell_id", "donor_id")))
+
+
+def histogram(df: DataFrame, value: str, width: int, most: int, by: list[str]) -> DataFrame:
+    """Counts of a whole number in ``most`` bins of ``width``, the last one open, for each group."""
+    return df.groupBy(*by, F.least(F.expr(f"`{value}` div {width}"), F.lit(most - 1)).alias("bin")).agg(F.count("*").alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,33 +69,39 @@ def vcf(spark: SparkSession, path: str) -> DataFrame:
     return delimited(spark, path, VCF, header=False, comment="#")
 
 
-def vcf_intervals(rows: DataFrame, longer_alt: bool = True) -> DataFrame:
+def vcf_intervals(rows: DataFrame, longer_alt: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """0-based intervals of called variants: allele count above 0 and, if asked for, an alternative longer than the reference."""
     out = rows.withColumn("ac", packed(F.col("info"), r"(?:^|;)AC=(\d+)").cast("int")).where("ac > 0")
     if longer_alt:
         out = out.where(F.length("alt") > F.length("ref"))
-    return out.select("chrom", (F.col("pos") - 1).alias("start_pos"), F.col("pos").alias("end_pos"), "id", "ac")
+    return out.select("chrom", (F.col("pos") - 1).alias("start_pos"), F.col("pos").alias("end_pos"), "id", "ac", *keep)
 
 
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """Records of four lines: name, seq, qual. Files are read whole, one a task, since records are only told by line number."""
+    """Records of four lines: path, name, seq, qual. A file is read by one task, since records are only told by line number, line by line as it is decompressed."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def run(batches):
         import gzip
+        import io
 
         import pyarrow as pa
 
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                raw = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-                rows = raw.decode().split("\n")
-                n = len(rows) // 4
-                for at in range(0, n, 10_000):
-                    k = range(at, min(n, at + 10_000))
-                    yield pa.RecordBatch.from_pydict({"path": [name] * len(k), "name": [rows[4 * i][1:] for i in k], "seq": [rows[4 * i + 1] for i in k], "qual": [rows[4 * i + 3] for i in k]})
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                raw = pa.BufferReader(content.as_buffer())
+                packed_file = content.as_buffer()[:2].to_pybytes() == b"\x1f\x8b"
+                lines = io.TextIOWrapper(gzip.open(raw) if packed_file else raw)
+                held = []
+                for head, seq, _, qual in zip(*[map(str.rstrip, lines, itertools.repeat("\r\n"))] * 4, strict=False):
+                    held.append({"path": name, "name": head[1:], "seq": seq, "qual": qual})
+                    if len(held) == 10_000:
+                        yield pa.RecordBatch.from_pylist(held)
+                        held = []
+                if held:
+                    yield pa.RecordBatch.from_pylist(held)
 
     return files.mapInArrow(run, "path string, name string, seq string, qual string")
 
@@ -178,3 +186,64 @@ def thirds(df: DataFrame, order: str) -> DataFrame:
     each, over = F.floor(F.col("_n") / 3), F.col("_n") % 3
     early = F.ceil(F.col("_i") / (each + 1))
     return ranked.withColumn("third", F.when(F.col("_i") <= over * (each + 1), early).otherwise(over + F.ceil((F.col("_i") - over * (each + 1)) / each))).drop("_i", "_n")
+
+
+def violations(rows: DataFrame, rules: dict[str, list | None]) -> DataFrame:
+    """Rows that break a sheet's rules, for each column: values that are missing, and values outside of a list (None: any value), in one pass."""
+    n = lambda c: F.count(F.when(c, 1))
+    found = [F.struct(F.lit(c).alias("field"), n(F.col(c).isNull()).alias("missing"), (n(~F.col(c).isin(allowed)) if allowed else F.lit(0).cast("long")).alias("unknown")) for c, allowed in rules.items()]
+    return rows.agg(F.array(*found).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+
+
+def absences(rows: DataFrame, repeat: str, target_site: str, call: str) -> DataFrame:
+    """Parse the packed fields of genotyped absences: 'subfamily:family', 'name=length' and 'genotype;filter'. What a field lacks is null."""
+    part = lambda c, sep, k: F.get(F.split(c, sep), F.lit(k))
+    return rows.withColumns(
+        {"subfamily": part(repeat, ":", 0), "family": part(repeat, ":", 1), "tsd_length": part(target_site, "=", 1).try_cast("long"), "genotype": part(call, ";", 0), "passed": part(call, ";", 1) == "PASS"}
+    )
+
+
+def sources(spark: SparkSession, path: str, schema: str, pattern: str, name: str) -> DataFrame:
+    """Files of many sources in one frame, with the source that each path tells as a column."""
+    return from_paths(delimited(spark, path, schema, header=False), pattern, name)
+
+
+# fixed values: the eleven fields of an alignment line
+ALIGNMENT = ("name", "flag", "chrom", "pos", "mapq", "cigar", "next_chrom", "next_pos", "length", "seq", "qual")
+
+
+def alignments(spark: SparkSession, path: str) -> DataFrame:
+    """Alignment records of text: fixed fields, 0-based start_pos, and tags as a map of name to value. Header lines begin with @."""
+    f = F.split("value", "\t")
+    rows = spark.read.text(path).where("not startswith(value, '@') and value <> ''")
+    number = {"flag": "int", "pos": "long", "mapq": "int", "next_pos": "long", "length": "long"}
+    fixed = [F.get(f, F.lit(i)).cast(number.get(c, "string")).alias(c) for i, c in enumerate(ALIGNMENT)]
+    tags = F.transform(F.slice(f, len(ALIGNMENT) + 1, F.greatest(F.size(f) - len(ALIGNMENT), F.lit(0))), lambda t: F.struct(F.substring_index(t, ":", 1), F.substring(t, 6, 1 << 20)))
+    out = rows.select(*fixed, F.map_from_entries(tags).alias("tags"))
+    return out.withColumn("start_pos", F.col("pos") - 1).drop("pos")
+
+
+def last_columns(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """The first three columns of an interval table and its last ones, whose number of columns isn't known."""
+    f, n = F.split("value", "\t"), len(columns)
+    last = [F.element_at(f, i - n).cast(kind).alias(c) for i, (c, kind) in enumerate(columns.items())]
+    return spark.read.text(path).select(F.get(f, F.lit(0)).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("start_pos"), F.get(f, F.lit(2)).cast("long").alias("end_pos"), *last)
+
+
+def write_bed(df: DataFrame, path: str) -> None:
+    """Write intervals without a header, sorted by position."""
+    df.orderBy(*df.columns[:3]).write.option("sep", "\t").csv(path)
+
+
+def write_wig(signal: DataFrame, path: str, span: int) -> None:
+    """Write (chrom, start_pos, value) as wiggle text: before each line of a 1-based position its header with contig and span, so that files can be split anywhere."""
+    line = F.concat(F.lit("variableStep chrom="), "chrom", F.lit(f" span={span}\n"), (F.col("start_pos") + 1).cast("string"), F.lit(" "), F.col("value").cast("string"))
+    signal.repartitionByRange("chrom", "start_pos").sortWithinPartitions("chrom", "start_pos").select(line).write.text(path)
+
+
+def wig(spark: SparkSession, path: str) -> DataFrame:
+    """Read wiggle text whose blocks each name their contig: chrom, 1-based start_pos, value."""
+    block = spark.read.option("lineSep", "variableStep ").text(path).where(F.trim("value") != "")
+    lines = F.filter(F.split("value", "\n"), lambda x: x.rlike(r"^\d"))
+    rows = block.select(packed(F.col("value"), r"chrom=(\S+)").alias("chrom"), F.explode(lines).alias("line"))
+    return rows.select("chrom", F.split("line", " ")[0].cast("long").alias("start_pos"), F.split("line", " ")[1].cast("double").alias("value"))

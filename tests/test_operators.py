@@ -144,8 +144,37 @@ def test_helpers(spark):
     df = spark.createDataFrame([(1, "AACGT", "10S5M"), (2, "", "5M")], "x long, s string, c string")
     assert [r[0] for r in df.select(al.reverse_complement(F.col("s"))).collect()] == ["ACGTT", ""]
     assert where_query(df, "x == @v", v=2).count() == 1
+    assert where_query(df, "s == 'AACGT' and c <> '@v == 1' and s <> @o", o="it's").count() == 1
     assert {r[0] for r in df.select(first_label(df, [("one", F.col("x") == 1), ("no", "missing")], "else")).collect()} == {"one", "else"}
     with pytest.raises(ValueError):
         ln.donor_split(df.withColumn("fold", F.lit(0)), 0, [1], [1], "x")
     peaks = spark.createDataFrame([("a", 0, 10, 1, 1, 5, "OTHER"), ("a", 5, 15, 2, 1, 7, "KRGL"), ("a", 100, 110, 3, 2, 1, "OTHER")], "chrom string, start_pos long, end_pos long, cell_id long, donor_id long, n_reads long, label string")
     assert sorted((r["n_cells"], r["label"]) for r in loci.cluster_stats(peaks).collect()) == [(1, "OTHER"), (2, "KRGL")]
+
+
+def test_attributions_add_up(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.sql import functions as F
+
+    r = random.Random(2)
+    df = spark.createDataFrame([(x := r.random(), r.random(), 3.0, float(x > 0.5)) for _ in range(200)], "a double, b double, c double, label double")
+    model = ln.pipeline(["a", "b", "c"], LogisticRegression(maxIter=20)).fit(df)
+    phi = ln.attributions(model, model.transform(df), ["a", "b", "c"])
+    from pyspark.ml.functions import vector_to_array
+
+    off = phi.select(F.max(F.abs(F.col("phi_a") + F.col("phi_b") + F.col("phi_c") + F.col("phi_0") - vector_to_array("rawPrediction")[1]))).first()[0]
+    assert off < 1e-9
+    assert len(ln.sampled({"x": [1, 2], "y": [3, 4]}, 3)) == 3
+
+
+def test_greedy_peaks_across_stretches(spark):
+    """Chains that reach over the edges of many short stretches."""
+    r = random.Random(9)
+    rows = [(c, s := r.randrange(60_000), s + r.randrange(20, 90), r.randrange(1, 40)) for c in "ab" for _ in range(1500)]
+    df = spark.createDataFrame(rows, "chrom string, start_pos long, end_pos long, n_reads long").distinct()
+    chosen = []
+    for c, s, e, n in sorted(set(rows), key=lambda x: (-x[3], x[1], x[2])):
+        if n >= 5 and not any(k == c and s - 20 <= y and x <= e + 20 for k, x, y in chosen):
+            chosen.append((c, s, e))
+    assert sorted((x["chrom"], x["start_pos"], x["end_pos"]) for x in rg.greedy_peaks(df, 5, 20, span=1000).collect()) == sorted(chosen)
+    assert rg.greedy_peaks(df, 10**6, 20).count() == 0

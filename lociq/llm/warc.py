@@ -164,16 +164,17 @@ def _merge(batches):
 
 HISTORY = pa.schema([("range_id", pa.int64()), ("position", pa.int64()), ("url_key", pa.string()), ("timestamp", pa.string()), ("archive", pa.string()), ("at", pa.int64()), ("size", pa.int64())])
 HISTORY_DDL = "range_id long, position long, url_key string, timestamp string, archive string, at long, size long"
-READ = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url_key", pa.string()), ("timestamp", pa.string()), ("range_id", pa.int64()), ("position", pa.int64())])
-READ_DDL = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url_key string, timestamp string, range_id long, position long"
+READ = pa.schema([("archive", pa.string()), ("at", pa.int64()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
+READ_DDL = "archive string, at long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
 def _read(batches):
+    """The records of each archive, read member by member at the places of its index run."""
     for batch in batches:
-        for content, entries in zip(batch.column("content"), batch.column("entries").to_pylist(), strict=True):
+        for archive, content, index in zip(batch.column("archive").to_pylist(), batch.column("content"), batch.column("index").to_pylist(), strict=True):
             raw, rows = content.as_buffer(), []
-            for e in sorted(entries, key=lambda e: e["at"]):
-                rows.append(read_record(raw.slice(e["at"], e["size"]).to_pybytes()) | {k: e[k] for k in ("url_key", "timestamp", "range_id", "position")})
+            for e in sorted(index, key=lambda e: e["at"]):
+                rows.append({"archive": archive, "at": e["at"]} | read_record(raw.slice(e["at"], e["size"]).to_pybytes()))
             yield pa.RecordBatch.from_pylist([{k: r[k] for k in READ.names} for r in rows], READ)
 
 
@@ -214,9 +215,13 @@ def capture_history(archives: DataFrame, sample_archives: int = 2000, sample_key
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    """Read every record back through the merged index: a row for each page with its place in the capture histories; null and empty html have 0 bytes."""
-    entries = capture_history(archives).groupBy("archive").agg(F.collect_list(F.struct("at", "size", "url_key", "timestamp", "range_id", "position")).alias("entries"))
-    return archives.select("archive", "content").join(entries, "archive").select("content", "entries").mapInArrow(_read, READ_DDL)
+    """Read every record back and match it with the merged index: a row for each page with its place in the capture histories; null and empty html have 0 bytes.
+
+    Archives are read where they are scanned and only a record's facts meet its index entry, by archive and place, so no content is shuffled.
+    """
+    history = capture_history(archives).select("archive", "at", "url_key", "timestamp", "range_id", "position")
+    records = archives.select("archive", "content", "index").mapInArrow(_read, READ_DDL)
+    return records.join(history, ["archive", "at"]).drop("archive", "at")
 
 
 def export(archives: DataFrame, folder: str) -> None:

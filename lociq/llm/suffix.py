@@ -23,6 +23,9 @@ GRAM = 40
 BASE = 0x5851F42D4C957F2D
 BLOCK = 1 << 18
 RUN_BYTES = 24 << 20
+HOT = 50_000
+HOT_BIT = 1 << 62
+WINDOW = np.dtype([("hi", "<u8"), ("lo", "<u8"), ("weight", "<i8"), ("own", "<i8"), ("uid", "<i8"), ("begin", "<i8")])
 
 
 def gram_hashes(buf: np.ndarray, k: int) -> np.ndarray:
@@ -236,54 +239,116 @@ def _unpack(block: bytes):
     return strings, lcp.tolist(), left, low, high, weight, own, uid, a
 
 
+def fold(records: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Fold equal records into one nameless witness of weight 2: records that go on, and those folded."""
+    records.sort()
+    out, folded, i = [], [], 0
+    while i < len(records):
+        j = i + 1
+        while j < len(records) and records[j][:4] == records[i][:4]:
+            j += 1
+        if j - i == 1:
+            out.append((*records[i][:4], 1, *records[i][4:]))
+        else:
+            out.append((*records[i][:4], 2, 0, 0, -1))
+            folded += records[i:j]
+        i = j
+    return out, folded
+
+
+def window_rows(records: list[tuple], length: int) -> np.ndarray:
+    """One row for each window of folded records, told apart by 128 bits of BLAKE2; a witness has no place (-1)."""
+    digests, counts = [], []
+    for right, left, low, high, *_ in records:
+        text = left[::-1] + right
+        digests += [hashlib.blake2b(text[i : i + length], digest_size=16).digest() for i in range(high - low + 1)]
+        counts.append(high - low + 1)
+    counts = np.array(counts, np.int64)
+    rows = np.zeros(int(counts.sum()), WINDOW)
+    rows["hi"], rows["lo"] = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2).T
+    inner = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
+    high, weight, own, uid, a = (np.repeat(np.array([r[k] for r in records], np.int64), counts) for k in (3, 4, 5, 6, 7))
+    rows["weight"], rows["own"], rows["uid"] = weight, own, uid
+    rows["begin"] = np.where(a < 0, -1, a - high + inner)
+    return rows
+
+
+def fold_windows(rows: np.ndarray, length: int) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Distinct windows, a repeated one as a witness, and the stretches (own, uid, begin, end) that repeated ones cover."""
+    if not len(rows):
+        return rows, (np.zeros(0, np.int64),) * 4
+    rows = rows[np.lexsort((rows["lo"], rows["hi"]))]
+    new = np.append(True, (rows["hi"][1:] != rows["hi"][:-1]) | (rows["lo"][1:] != rows["lo"][:-1]))
+    at = np.flatnonzero(new)
+    repeats = np.add.reduceat(rows["weight"], at) > 1
+    found = rows[repeats[np.cumsum(new) - 1] & (rows["begin"] >= 0)]
+    rest = rows[at]
+    rest["weight"][repeats], rest["begin"][repeats], rest["own"][repeats], rest["uid"][repeats] = 2, -1, 0, 0
+    found = found[np.lexsort((found["begin"], found["uid"], found["own"]))]
+    own, uid, begin = found["own"], found["uid"], found["begin"]
+    edge = np.append(True, (own[1:] != own[:-1]) | (uid[1:] != uid[:-1]) | (begin[1:] > begin[:-1] + length))[: len(found)]
+    first = np.flatnonzero(edge)
+    last = np.append(first[1:], len(found))[: len(first)] - 1
+    return rest, (own[first], uid[first], begin[first], begin[last] + length)
+
+
 def _runs(length: int, parts: int):
-    """Sorted runs of the candidate suffixes by part; what repeats within the run is settled here and goes on once, as a nameless witness."""
+    """Sorted runs of the candidate suffixes by part; what repeats within the run is settled here and goes on once, as a nameless witness.
 
-    def flush(kept):
+    Of hot grams, whose suffixes could outgrow a part, single windows go on, parted by their digests.
+    """
+
+    def flush(kept, hot):
         by_part: dict[int, list] = {}
         for r in kept:
             by_part.setdefault(r[0], []).append(r[1:])
         for part, records in by_part.items():
-            records.sort()
-            out, settled, i = [], [], 0
-            while i < len(records):
-                j = i + 1
-                while j < len(records) and records[j][:4] == records[i][:4]:
-                    j += 1
-                if j - i == 1:
-                    out.append((*records[i][:4], 1, *records[i][4:]))
-                else:
-                    out.append((*records[i][:4], 2, 0, 0, -1))
-                    settled += [(r[4], r[5], r[6] - r[3], r[6] - r[2] + length) for r in records[i:j]]
-                i = j
-            o, u, s, e = (np.array(x, np.int64) for x in zip(*settled, strict=True)) if settled else (np.zeros(0, np.int64),) * 4
-            yield {"part": part, "run": _pack(part, out), "own": o, "uid": u, "begin": s, "end": e}
+            out, folded = fold(records)
+            yield found(part, folded) | {"run": _pack(part, out)}
+        if hot:
+            out, folded = fold(hot)
+            yield found(0, folded)
+            rest, (o, u, s, e) = fold_windows(window_rows(out, length), length)
+            yield {"part": 0, "own": o, "uid": u, "begin": s, "end": e}
+            rest = rest[np.argsort(rest["lo"] % U64(parts), kind="stable")]
+            cuts = np.searchsorted(rest["lo"] % U64(parts), np.arange(parts + 1, dtype=U64))
+            for part in np.flatnonzero(np.diff(cuts)).tolist():
+                block = rest[cuts[part] : cuts[part + 1]].tobytes()
+                yield found(part, []) | {"windows": zstandard.ZstdCompressor(level=3).compress(block)}
+
+    def found(part, folded):
+        settled = [(r[4], r[5], r[6] - r[3], r[6] - r[2] + length) for r in folded]
+        o, u, s, e = (np.array(x, np.int64) for x in zip(*settled, strict=True)) if settled else (np.zeros(0, np.int64),) * 4
+        return {"part": part, "own": o, "uid": u, "begin": s, "end": e}
 
     def run(batches):
-        kept, size = [], 0
+        kept, hot, size = [], [], 0
         for batch in batches:
             buf, off = utf8(batch.column("text"))
             raw, own, uid = buf.tobytes(), batch.column("own").to_pylist(), batch.column("uid").to_pylist()
             for i, places in enumerate(batch.column("places").to_pylist()):
                 for place in sorted(set(places)):
-                    a, low, high = place >> 16, (place >> 8) & 255, place & 255
+                    a, low, high = (place & ~HOT_BIT) >> 16, (place >> 8) & 255, place & 255
                     at = int(off[i]) + a
                     right, left = raw[at : at + length - low], raw[at - high : at][::-1]
-                    # the part comes from the gram alone, so that all suffixes that may match meet
-                    part = int.from_bytes(hashlib.blake2b(right[:GRAM], digest_size=8).digest(), "little") % parts
-                    kept.append((part, right, left, low, high, own[i], uid[i], a))
+                    if place & HOT_BIT:
+                        hot.append((right, left, low, high, own[i], uid[i], a))
+                    else:
+                        # the part comes from the gram alone, so that all suffixes that may match meet
+                        part = int.from_bytes(hashlib.blake2b(right[:GRAM], digest_size=8).digest(), "little") % parts
+                        kept.append((part, right, left, low, high, own[i], uid[i], a))
                     size += len(right) + len(left) + 200
                 if size > RUN_BYTES:
-                    yield from batches_of(flush(kept))
-                    kept, size = [], 0
-        if kept:
-            yield from batches_of(flush(kept))
+                    yield from batches_of(flush(kept, hot))
+                    kept, hot, size = [], [], 0
+        if kept or hot:
+            yield from batches_of(flush(kept, hot))
 
     return run
 
 
 def batches_of(rows):
-    kind = pa.schema([("part", pa.int64()), ("run", pa.binary()), ("own", pa.list_(pa.int64())), ("uid", pa.list_(pa.int64())), ("begin", pa.list_(pa.int64())), ("end", pa.list_(pa.int64()))])
+    kind = pa.schema([("part", pa.int64()), ("run", pa.binary()), ("windows", pa.binary()), ("own", pa.list_(pa.int64())), ("uid", pa.list_(pa.int64())), ("begin", pa.list_(pa.int64())), ("end", pa.list_(pa.int64()))])
     held = []
     for row in rows:
         held.append(row)
@@ -295,9 +360,14 @@ def batches_of(rows):
 
 
 def _merge(length: int):
-    """Merge the runs of each part, which come together, and give the repeated stretch of each record."""
-
-    def repeats(runs: list[bytes]):
+    """Merge the runs of each part, which come together, and give the repeated stretch of each record or window."""
+
+    def repeats(runs: list[bytes], windows: list[bytes]):
+        if windows:
+            rows = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(x), WINDOW) for x in windows])
+            yield stretch(*fold_windows(rows, length)[1])
+        if not runs:
+            return
         blocks = [_unpack(b) for b in runs]
         which, index, lcp = merge_runs([(b[0], b[1]) for b in blocks])
         which, index = np.array(which, np.int64), np.array(index, np.int64)
@@ -310,18 +380,20 @@ def _merge(length: int):
             yield stretch(own[ok], uid[ok], a[ok] - most[ok], a[ok] - least[ok] + length)
 
     def run(batches):
-        part, runs = None, []
+        part, runs, windows = None, [], []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["uid"]:
                     yield stretch(row["own"], row["uid"], row["begin"], row["end"])
-                if row["part"] != part and runs:
-                    yield from repeats(runs)
-                    runs = []
+                if row["part"] != part:
+                    yield from repeats(runs, windows)
+                    runs, windows = [], []
                 part = row["part"]
-                runs.append(row["run"])
-        if runs:
-            yield from repeats(runs)
+                if row["run"]:
+                    runs.append(row["run"])
+                if row["windows"]:
+                    windows.append(row["windows"])
+        yield from repeats(runs, windows)
 
     return run
 
@@ -361,7 +433,7 @@ def _cut(texts: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, with_text: bool = False, hot: int = HOT) -> DataFrame:
     """Remove each byte of ``docs`` (doc_id, text, any more columns) covered by a ``length``-byte string that also starts elsewhere.
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (removed [begin, end) byte runs) and, if asked for,
@@ -380,10 +452,11 @@ def remove_repeats(docs: DataFrame, length: int = 200, with_text: bool = False)
     docs = docs.select(F.coalesce("doc_id", F.xxhash64(F.lit(1), "text")).alias("own"), F.xxhash64("doc_id", "text").alias("uid"), "doc_id", "text")
     found = docs.select("own", "uid", "text").mapInArrow(_anchor_rows(length), "gram long, own long, uid long, place long")
     # written first, so that the join has an exchange on either side, of which a frequent gram's is split at run time
-    twice = staged(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
-    places = found.join(twice, "gram").groupBy("own", "uid").agg(F.collect_list("place").alias("places"))
+    twice = staged(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram", (F.col("n") > hot).alias("hot")), "grams")
+    place = F.when(F.col("hot"), F.col("place").bitwiseOR(F.lit(HOT_BIT))).otherwise(F.col("place"))
+    places = found.join(twice, "gram").withColumn("place", place).groupBy("own", "uid").agg(F.collect_list("place").alias("places"))
     # all columns of docs, so that this join and the last one share one exchange of the texts
-    runs = docs.join(places, ["own", "uid"]).mapInArrow(_runs(length, parts), "part long, run binary, own array<long>, uid array<long>, begin array<long>, end array<long>")
+    runs = docs.join(places, ["own", "uid"]).mapInArrow(_runs(length, parts), "part long, run binary, windows binary, own array<long>, uid array<long>, begin array<long>, end array<long>")
     hits = runs.repartition(shuffle_partitions(docs.sparkSession), "part").sortWithinPartitions("part").mapInArrow(_merge(length), "own long, uid long, begin long, end long")
     hits = hits.groupBy("own", "uid").agg(F.collect_list(F.struct("begin", "end")).alias("stretches"))
     out = docs.join(hits, ["own", "uid"], "left").select("doc_id", "text", "stretches")

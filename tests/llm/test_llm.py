@@ -7,6 +7,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -73,6 +74,26 @@ def test_repeats(spark, length):
     assert suffix.remove_repeats(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [0, 3])
+def test_repeats_at_hot_grams(spark, hot):
+    passage = "".join(chr(97 + k * k * 7 % 26) + str(k) for k in range(150))
+    rows = corpus() + [(10_000 + k, f"{k * 7919:x} begins " * (k % 9) + passage + f" ends {k * 104729:x}" * (k % 5)) for k in range(80)]
+    got = sorted(tuple(r)[:5] for r in suffix.remove_repeats(frame(spark, rows), hot=hot).collect())
+    assert got == sorted((i, *x) for (i, _), x in zip(rows, removed([t for _, t in rows], 200), strict=True))
+
+
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2), st.integers(0, 9)), max_size=30))
+def test_windows_fold(seen):
+    rows = np.zeros(len(seen), suffix.WINDOW)
+    for k, (digest, own, begin) in enumerate(seen):
+        rows[k] = (digest % 2, digest // 2, 1, own, 5, begin)
+    rest, (own, uid, begin, end) = suffix.fold_windows(rows, 4)
+    count = Counter(d for d, _, _ in seen)
+    covered = {(o, p) for d, o, b in seen if count[d] > 1 for p in range(b, b + 4)}
+    assert {(o, p) for o, b, e in zip(own.tolist(), begin.tolist(), end.tolist(), strict=True) for p in range(b, e)} == covered
+    assert sorted((int(r["lo"]) * 2 + int(r["hi"]), int(r["weight"])) for r in rest) == sorted((d, min(n, 2)) for d, n in count.items())
+
+
 def test_repeats_of_one_id(spark):
     a, b = "x" * 30 + "0123456789" * 30, "y" * 30 + "0123456789" * 30
     rows = [(1, a), (1, b), (None, a)]

@@ -1,4 +1,4 @@
-"""DuckDB equivalents of the queries that SQL can express: op5 and op9 compare all pairs, op8 groups payloads."""
+"""DuckDB equivalents of the queries that SQL can express: op5 and op9 compare all pairs, op8 groups payloads, op13 groups lines."""
 
 # classes of linked ids: each id meets the smallest one that it can reach
 REACH = """select id, min(other) as component from (with recursive reach(id, other) as (select id, id from {nodes} union select r.id, l.b from reach r join {links} l on l.a = r.other) select * from reach) group by 1"""
@@ -21,4 +21,9 @@ n as (select doc_id, count(*) as n from s group by 1), pairs as (select x.doc_id
 links as (select a, b from pairs join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * shared >= 75 * (na.n + nb.n - shared)), nodes as (select distinct doc_id as id from documents), c as ({REACH.format(nodes="nodes", links="links")})
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component as component_id, d.doc_id = c.component as kept from documents d left join n on n.doc_id = d.doc_id left join c on c.id = d.doc_id"""
 
-ORACLE_SQL = {"op5_embedding_near_dedup": OP5, "op8_warc_index_merge": OP8, "op9_minhash_near_dedup": OP9}
+OP13 = """with d as (select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+l as (select r, doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as at from d), k as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+j as (select r, at, line, length(key) >= 10 and doc_id is distinct from min(doc_id) over (partition by key) as gone from k)
+select d.doc_id, len(d.lines)::bigint as n_lines, x.n_dropped, sha256(x.kept) as kept_sha256 from d join (select r, count(*) filter (gone)::bigint as n_dropped, coalesce(string_agg(line, chr(10) order by at) filter (not gone), '') as kept from j group by 1) x using (r)"""
+
+ORACLE_SQL = {"op5_embedding_near_dedup": OP5, "op8_warc_index_merge": OP8, "op9_minhash_near_dedup": OP9, "op13_line_dedup": OP13}

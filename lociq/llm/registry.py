@@ -68,6 +68,12 @@ def op10_html_extraction(spark, sf_dir):
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op13_line_dedup(spark, sf_dir):
+    from lociq.llm.lines import dropped_lines
+
+    return dropped_lines(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -80,6 +86,7 @@ def queries() -> dict:
         "op8_warc_index_merge": op8_warc_index_merge,
         "op9_minhash_near_dedup": op9_minhash_near_dedup,
         "op10_html_extraction": op10_html_extraction,
+        "op13_line_dedup": op13_line_dedup,
     }
 
 

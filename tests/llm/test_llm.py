@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lociq.llm import binary, common, decontaminate, embeddings, minhash, packing, registry, secrets, suffix, tokens, toxicity, warc
+from lociq.llm import binary, common, decontaminate, embeddings, lines, minhash, packing, registry, secrets, suffix, tokens, toxicity, warc
 from lociq.llm import html as pages_html
 
 SF = "/root/testdata/sf0.001"
@@ -656,3 +656,59 @@ def test_pipeline(spark):
             assert after.count() == before.count() and secrets.scan(after).where("n_access > 0 or n_hex > 0").count() == 0
         before = after
     assert check_packing([(r["sequence_id"], r["offset"], r["length"]) for r in before.collect()], 1024) > 0
+
+
+# ------------------------------------------------------------------------------------------ lines
+
+
+def deduped(rows, shortest=10):
+    """Brute force: by row, the numbers of lines and of dropped lines and the digest of the rest."""
+    key = lambda line: re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\x0b\x0c\r"))
+    order = lambda i: (i is None, i or 0)
+    least = {}
+    for i, t in rows:
+        for k in map(key, (t or "").split("\n")):
+            least[k] = min(least.get(k, (True, 1)), order(i))
+    for i, t in rows:
+        cells = (t or "").split("\n")
+        kept = [x for x in cells if len(key(x)) < shortest or least[key(x)] == order(i)]
+        yield i, len(cells), len(cells) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()
+
+
+def lined():
+    """Texts of many lines: a line of nearly all documents, repeated ones, other white space, short keys, no text, repeated rows, one doc_id with several texts."""
+    r = random.Random(13)
+    pool = ["The licence of THIS text", "  the licence of this text\t", "\x0bthe licence of this text\r", "short one", "ééééééééé", "éééééééééé", "nine char", "", " ", "\x85ten chars..", "a\xa0line of its own", *(f"line number {k}" for k in range(40))]
+    rows = [(i, "\n".join(r.choice(pool) for _ in range(r.randrange(1, 30)))) for i in r.sample(range(1000), 120)]
+    rows += [(i, "the licence of this text\nbody " + str(i)) for i in range(2000, 2300)]
+    rows += [(5000, None), (5001, ""), (5002, "\n\n"), (5003, "x" * 300_000 + "\nline number 3"), (None, "line number 3\nof no document"), (None, "of no document"), (None, None)]
+    return rows + [rows[0], rows[5], (rows[7][0], "line number 1\nof the same document"), (rows[7][0], "of the same document\nline number 1")]
+
+
+def test_line_dedup(spark):
+    rows = lined()
+    got = sorted((tuple(r) for r in lines.dropped_lines(frame(spark, rows)).collect()), key=str)
+    assert got == sorted(deduped(rows), key=str) and sum(r[2] for r in got) > 500
+    assert lines.dropped_lines(empty(spark)).count() == 0
+    got = sorted((tuple(r) for r in lines.dropped_lines(frame(spark, rows[:50]), shortest=1).collect()), key=str)
+    assert got == sorted(deduped(rows[:50], 1), key=str)
+
+
+def test_line_dedup_of_a_key_in_many_ranges(spark):
+    """One line in all documents: its rows span ranges and only the smallest document keeps it."""
+    docs = spark.range(0, 4000, 1, 16).selectExpr("4000 - id as doc_id", "'one line of everybody' as text")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["doc_id"]: r["n_dropped"] for r in lines.dropped_lines(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {i: int(i > 1) for i in range(1, 4001)}
+
+
+def test_line_dedup_keeps_columns(spark):
+    docs = spark.createDataFrame([(1, "a", "one line of two\nb", 7), (2, "c", "d\none line of two", 8), (3, "e", None, 9)], "doc_id long, _keep string, text string, __row int")
+    got = sorted(map(tuple, lines.without_repeated_lines(docs, lines.keep_bitmaps(docs)).collect()))
+    assert got == [(1, "a", "one line of two\nb", 7, 0, 2), (2, "c", "d", 8, 1, 2), (3, "e", None, 9, 0, 1)]

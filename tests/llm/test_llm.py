@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lociq.llm import binary, common, decontaminate, embeddings, lines, minhash, packing, registry, secrets, suffix, tokens, toxicity, warc
+from lociq.llm import binary, common, decontaminate, embeddings, lines, minhash, packing, registry, secrets, spelling, suffix, tokens, toxicity, warc
 from lociq.llm import html as pages_html
 
 SF = "/root/testdata/sf0.001"
@@ -598,7 +598,7 @@ def test_html_repeats_and_clashing_columns(spark):
 # ------------------------------------------------------------------------------------------ SQL
 
 
-@pytest.mark.parametrize("name", ["op5_embedding_near_dedup", "op8_warc_index_merge", "op9_minhash_near_dedup"])
+@pytest.mark.parametrize("name", ["op5_embedding_near_dedup", "op8_warc_index_merge", "op9_minhash_near_dedup", "op12_spelling_variants", "op13_line_dedup"])
 def test_against_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "embeddings", "pages"):
@@ -712,3 +712,60 @@ def test_line_dedup_keeps_columns(spark):
     docs = spark.createDataFrame([(1, "a", "one line of two\nb", 7), (2, "c", "d\none line of two", 8), (3, "e", None, 9)], "doc_id long, _keep string, text string, __row int")
     got = sorted(map(tuple, lines.without_repeated_lines(docs, lines.keep_bitmaps(docs)).collect()))
     assert got == [(1, "a", "one line of two\nb", 7, 0, 2), (2, "c", "d", 8, 1, 2), (3, "e", None, 9, 0, 1)]
+
+
+# ------------------------------------------------------------------------------------------ spelling
+
+
+def brute_variants(rows, every, shortest, least):
+    """All words by plain counting, near ones by trying every edit."""
+    count = Counter()
+    for i, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            count[run if h % every else run[: h % len(run)] + run[h % len(run) + 1 :]] += 1
+    words = {w: n for w, n in count.items() if len(w) >= shortest and n >= least}
+    letters = sorted({c for w in words for c in w})
+    near = {}
+    for w in words:
+        edits = {w[:k] + c + w[k:] for k in range(len(w) + 1) for c in letters} | {w[:k] + c + w[k + 1 :] for k in range(len(w)) for c in ["", *letters]}
+        near[w] = {x for x in edits if x in words and x != w}
+    best = {w: min(s, key=lambda x: (-words[x], x)) for w, s in near.items() if s}
+    form = {w: b for w, b in best.items() if words[b] >= least * words[w]}
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return sorted((w, form.get(w) or "", root(w), n, len(near[w]), words[form[w]] if w in form else 0) for w, n in words.items())
+
+
+def misspelt():
+    """Texts over few letters, so that words have many near ones, runs of equal letters, chains of forms, and words of 3,000 letters."""
+    r = random.Random(12)
+    bank = ["".join(r.choice("abé") for _ in range(r.randrange(5, 9))) for _ in range(260)] + ["aaaaaa", "aaaaaaa", "aaaaaaaa", "baaaaaa", "aaaaaab", "×÷ÿÀabc"]
+    rows = [(k, " ".join(r.choice(bank[: 1 + int(len(bank) * r.random() ** 2)]).title() for _ in range(40)) + "_0œ ABABAB") for k in range(150)]
+    rows += [(None, "aaaaaa bababa Ÿaaaaaa"), (7, None), (8, ""), (9, " \n"), (10, ("ab" * 1500 + " ") * 6 + ("ab" * 1499 + "a ") * 40)]
+    return rows + rows[:3] + [(400 + k, "kettle " * 5**k) for k in range(4)] + [(410 + k, "kettles " * 5**k) for k in range(2)] + [(420, "kettless " * 5)]
+
+
+@pytest.mark.parametrize(("every", "shortest", "least"), [(199, 6, 5), (3, 5, 2)])
+def test_spelling_variants(spark, every, shortest, least):
+    rows = misspelt()
+    got = sorted((r["word"], r["form"] or "", r["root"], r["n"], r["n_near"], r["form_n"] or 0) for r in spelling.variants(frame(spark, rows), every, shortest, least).collect())
+    want = brute_variants(rows, every, shortest, least)
+    assert got == want and sum(1 for r in got if r[1]) > 20 and max(r[4] for r in got) > 5
+    assert any(f != z for _, f, z, *_ in got if f)  # a form that has a form itself
+    assert spelling.variants(empty(spark)).count() == 0
+
+
+def test_light_words_are_few(spark):
+    """A word moves at most log2(words) times, and it moves into four keys at most each time."""
+    words = spelling.word_counts(spark.read.parquet(f"{SF}/documents.parquet"), 199, 4, 1)
+    n = words.count()
+    edges = words.mapInArrow(spelling._edges, "node long, node2 long, letter long, id long, id2 long, at long")
+    heavy = edges.groupBy("node", "node2", "letter").count().groupBy("node", "node2").agg(F.max(F.when(F.col("letter") != spelling.END, F.struct("count", -F.col("letter"), "letter")))["letter"].alias("heavy"), F.sum("count").alias("words")).where("words > 1 and heavy is not null")
+    most = edges.join(heavy, ["node", "node2"]).where("letter <> heavy").groupBy("id", "id2").count().agg(F.max("count")).first()[0]
+    assert 1 <= most <= np.log2(n) + 1

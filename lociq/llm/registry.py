@@ -68,6 +68,12 @@ def op10_html_extraction(spark, sf_dir):
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    from lociq.llm import conversations
+
+    return conversations.digests(conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations"))))
+
+
 def op12_spelling_variants(spark, sf_dir):
     from lociq.llm.spelling import variants
 
@@ -92,6 +98,7 @@ def queries() -> dict:
         "op8_warc_index_merge": op8_warc_index_merge,
         "op9_minhash_near_dedup": op9_minhash_near_dedup,
         "op10_html_extraction": op10_html_extraction,
+        "op11_conversation_repair": op11_conversation_repair,
         "op12_spelling_variants": op12_spelling_variants,
         "op13_line_dedup": op13_line_dedup,
     }

@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lociq.llm import binary, common, decontaminate, embeddings, lines, minhash, packing, registry, secrets, spelling, suffix, tokens, toxicity, warc
+from lociq.llm import binary, common, conversations, decontaminate, embeddings, lines, minhash, packing, registry, secrets, spelling, suffix, tokens, toxicity, warc
 from lociq.llm import html as pages_html
 
 SF = "/root/testdata/sf0.001"
@@ -769,3 +769,89 @@ def test_light_words_are_few(spark):
     heavy = edges.groupBy("node", "node2", "letter").count().groupBy("node", "node2").agg(F.max(F.when(F.col("letter") != spelling.END, F.struct("count", -F.col("letter"), "letter")))["letter"].alias("heavy"), F.sum("count").alias("words")).where("words > 1 and heavy is not null")
     most = edges.join(heavy, ["node", "node2"]).where("letter <> heavy").groupBy("id", "id2").count().agg(F.max("count")).first()[0]
     assert 1 <= most <= np.log2(n) + 1
+
+
+# ------------------------------------------------------------------------------------------ conversations
+
+
+def damage(rows):
+    """(conv_id, turn, role, text) after damage, in order; conversations without rows stay as empty lists."""
+    space = lambda x: " " if x is None else x
+    out = {c: [] for c, *_ in rows}
+    for at, (c, t, role, text) in enumerate(rows):
+        kind = zlib.crc32(f"{space(c)}:{space(t)}".encode()) % 20
+        role, text = "user" if kind == 4 else space(role), "" if kind == 1 else re.sub("[.!?]", "", space(text)) if kind == 2 else space(text)
+        out[c] += [(t, role, text, at)] * (kind != 0) + [(t, role, text, at)] * (kind == 3)
+    return {c: sorted(x, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2][:64], r[3])) for c, x in out.items()}
+
+
+def brute_repair(rows):
+    """All edits by recursion, least (cost, edits)."""
+    seen, must, cut, count = set(), [], [], Counter()
+    for _, role, text, _ in rows:
+        bare = text.strip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+        seen.add((role, text))
+        count[fault] += 1
+        must.append(fault in ("blank", "duplicate"))
+        cut.append(fault == "truncated")
+    step = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("a", "u"): "u", ("u", "a"): "a"}
+
+    @functools.cache
+    def best(k, state, inserts=0):
+        found = [(0, "", ())] if k == len(rows) and state in ("", "a") else []
+        later = lambda n, c, x, turn: found.append((c + n[0], x + n[1], turn + n[2]))
+        other = "a" if state == "u" else "u"
+        name = {"u": "user", "a": "assistant"}[other]
+        if inserts < 3:
+            later(best(k, other, inserts + 1), 2, "I", (name + ":",))
+        if k < len(rows):
+            _, role, text, _ = rows[k]
+            later(best(k + 1, state), 3, "D", ())
+            if not must[k]:
+                later(best(k + 1, other), 2 + cut[k], "R", (f"{name}:{text}",))
+                if (state, role[:1]) in step:
+                    later(best(k + 1, step[state, role[:1]]), int(cut[k]), "K", (f"{role}:{text}",))
+        return min(found, key=lambda x: x[:2]) if found else (10**9, "", ())
+
+    cost, audit, turns = best(0, "")
+    numbered = [t for t, *_ in rows if t is not None]
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:], strict=False))
+    gaps = max(numbered) - min(numbered) + 1 - len(set(numbered)) if numbered else 0
+    return gaps, count["blank"], count["duplicate"], count["truncated"], illegal, cost, audit, hashlib.sha256("\n".join(turns).encode()).hexdigest()
+
+
+def spoken():
+    """Conversations with nulls, unknown roles, repeated turns, ties, wide gaps, no rows after damage, and one of many turns."""
+    r = random.Random(11)
+    roles = ["user", "assistant", "system", "user", "assistant", "tool", None, "", "User", "u"]
+    texts = ["Yes.", "No", "Why? \n", None, "", " \t", "Go on!", "Fine.\x0b", "é", "\x85", "a.b", "said . twice", "x" * 70 + ".", "x" * 70 + "!"]
+    rows = []
+    for c in [*range(120), None]:
+        turns = range(r.randrange(1, 9)) if r.random() < 0.7 else [r.choice([None, *range(9)]) for _ in range(r.randrange(1, 9))]
+        rows += [(c, t, r.choice(roles), r.choice(texts)) for t in turns]
+    rows += [(500, t, r.choice(roles[:5]), r.choice(texts[:8]) or f"turn {t}.") for t in range(130)]
+    drops = [(c, 0, "user", "Hi.") for c in range(1000, 1400) if zlib.crc32(f"{c}:0".encode()) % 20 == 0]
+    return rows + drops[:5] + rows[:4] + [(7, 2**40, "user", "Far away."), (8, -5, "assistant", "Before.")]
+
+
+@pytest.mark.parametrize("batch", [10_000, 7, 1])
+def test_conversation_repair(spark, batch):
+    rows = spoken()
+    df = spark.createDataFrame([(*r, "mine", 5) for r in rows], "conv_id long, turn long, role string, text string, absent string, piece int").repartition(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = {r["conv_id"]: tuple(r[c] for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")) for r in conversations.digests(conversations.repair(conversations.damaged(df))).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {c: brute_repair(x) for c, x in damage(rows).items()}
+    assert {c: (got[c], x) for c, x in want.items() if got.get(c) != x} == {}
+    assert len(got) == len(want) and {x[6] for x in want.values()} >= {""} and {c for x in want.values() for c in x[6]} == set("DIKR")
+
+
+def test_conversation_repair_edges(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert conversations.digests(conversations.repair(conversations.damaged(none))).count() == 0
+    turns = conversations.repair(spark.createDataFrame([(1, 0, "assistant", "Hello.", False), (1, 1, "user", "Bye", None)], "conv_id long, turn long, role string, text string, absent boolean")).collect()
+    assert "".join(r["audit"] for r in turns) == "IKD" and sum(r["cost"] for r in turns) == 5
+    assert [tuple(x) for r in turns for x in r["turns"]] == [("user", ""), ("assistant", "Hello.")]

@@ -855,3 +855,38 @@ def test_conversation_repair_edges(spark):
     turns = conversations.repair(spark.createDataFrame([(1, 0, "assistant", "Hello.", False), (1, 1, "user", "Bye", None)], "conv_id long, turn long, role string, text string, absent boolean")).collect()
     assert "".join(r["audit"] for r in turns) == "IKD" and sum(r["cost"] for r in turns) == 5
     assert [tuple(x) for r in turns for x in r["turns"]] == [("user", ""), ("assistant", "Hello.")]
+
+
+# ------------------------------------------------------------------------------------------ word hashes
+
+
+def thue_morse(letters, n):
+    out = letters[0]
+    while len(out) < n:
+        out += out.translate(str.maketrans(letters, letters[::-1]))
+    return out
+
+
+def test_word_hashes_of_regular_words():
+    """No two of many words of regular patterns share a hash, and a hash depends on the word alone."""
+    words = {thue_morse(p, n) for n in (2**k for k in range(14)) for p in ("ab", "ba", "01", "10", "xy", "yx")}
+    words |= {c * n for c in "ab\x00" for n in range(1, 70)} | {"a" * k + "b" + "a" * (64 - k) for k in range(65)} | {f"{k:016b}" for k in range(4096)} | {"abcdefgh" * k + "ijklmnop" * (9 - k) for k in range(10)}
+    words = sorted(words)
+    h = common.WordHasher(common.ascii_lower(), common.ascii_space())
+    found = []
+    for order in (words, words[::-1]):
+        raw = " ".join(order).encode()
+        row, start, end, value = h.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        assert [raw[a:b].decode() for a, b in zip(start, end, strict=True)] == order and not row.any()
+        found.append(dict(zip(order, value.tolist(), strict=True)))
+    assert found[0] == found[1] and len(set(found[0].values())) == len(words)
+    raw = b"abcdefghijkl ABCDEFGHIxyz abc"
+    assert len(set(h.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 9)[3].tolist())) == 2
+    assert len(h.words(np.zeros(0, np.uint8), np.array([0, 0]))[0]) == 0 and len(h.words(np.frombuffer(b"  ", np.uint8), np.array([0, 1, 2]))[0]) == 0
+
+
+def test_near_duplicates_of_regular_words(spark):
+    texts = [thue_morse("ab", 1024), thue_morse("ba", 1024), thue_morse("ab", 2048), thue_morse("ab", 1024).upper()]
+    rows = [(k + 1, t) for k, t in enumerate(texts)] + [(10, " ".join(texts[:2] * 4)), (11, " ".join([texts[0]] * 8))]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 1, 10: 10, 11: 11}

@@ -1,7 +1,7 @@
 """Token-id output: per-document zstandard frames under one shared dictionary, in shards with an offset index.
 
 A shard is one byte string: MAGIC, dictionary hash (32 bytes), number of documents (u64), then by document doc_id (i64),
-frame offset (u64), frame length (u32) and number of ids (u32), then the frames. All numbers are little-endian. A frame holds
+frame offset (u64), frame length (u32) and number of ids (u32), then the frames. All numbers are little-endian; a null doc_id is NO_ID. A frame holds
 a document's ids as unsigned 32-bit values. A shard ends at ``shard_bytes`` of frames, or after the one document that is longer. Shards are rows of a table
 in the shared folder, so that Spark's commit protocol keeps each exactly once when tasks are retried; each row tells its least and largest doc_id, by
 which Parquet's statistics lead to a document.
@@ -25,6 +25,7 @@ from lociq.llm.common import fitting, staged
 
 MAGIC = b"LQTOKEN1"
 SHARD_BYTES = 4 << 20
+NO_ID = -(1 << 63)  # stands for a null doc_id in an index, where it comes first
 ENTRY = np.dtype([("doc_id", "<i8"), ("at", "<u8"), ("size", "<u4"), ("n", "<u4")])
 
 SHARD = pa.schema([(k, pa.int64()) for k in ("part", "seq", "begin", "first_id", "last_id", "n_docs", "n_ids")] + [("content", pa.binary())])
@@ -85,7 +86,8 @@ def _ids(file: str, plain: bool):
 
 
 def dictionary_of(docs: DataFrame, file: str, size: int, sample_docs: int, sample_bytes: int, plain: bool) -> bytes:
-    """Train on whole documents: of the ``sample_docs`` of smallest hash of doc_id, in this order, those that fit into ``sample_bytes`` of text together."""
+    """Train on whole documents: of the ``sample_docs`` of smallest hash of doc_id, in this order, those that fit into ``sample_bytes`` of text together; ids that are null serve none."""
+    docs = docs.where("doc_id is not null")
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     texts = docs.join(F.broadcast(chosen), "doc_id").select("text", F.xxhash64("doc_id", "text").alias("h"), F.octet_length("text").alias("size"))  # at most sample_docs ids
     sizes = texts.select("h", "size").distinct().orderBy("h").limit(sample_docs).collect()
@@ -108,7 +110,7 @@ def _shards(file: str, dictionary: bytes, plain: bool, shard_bytes: int):
             return n, pa.RecordBatch.from_pylist([row], SHARD)
 
         for batch in tokens.small(batches):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for doc_id, text in zip(batch.column("doc_id").fill_null(NO_ID).to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = tokens.with_end(encode(text or ""))
                 rows.append((doc_id, len(ids), press.compress(ids.tobytes())))
                 size += len(rows[-1][2]) + ENTRY.itemsize
@@ -130,7 +132,7 @@ def _read(dictionary: bytes, starts: np.ndarray):
                 n = shard.index["n"].astype(np.int64)
                 crc = [zlib.crc32(shard.ids(k).tobytes()) for k in range(len(n))]
                 start = starts[part] + begin + np.cumsum(n) - n
-                yield pa.RecordBatch.from_arrays([pa.array(shard.index["doc_id"].astype(np.int64)), pa.array(start), pa.array(n), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(shard.index["doc_id"].astype(np.int64), mask=shard.index["doc_id"] == NO_ID), pa.array(start), pa.array(n), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return run
 
@@ -140,10 +142,10 @@ def write_tokens(docs: DataFrame, file: str, dictionary_bytes: int = 65536, samp
 
     The dictionary is trained on at most ``sample_docs`` whole documents of at most ``sample_bytes`` of text together (see ``dictionary_of``); all documents
     are written. Documents are dealt by ranges of doc_id, then of the hash of the text and of a row number, so that even an id with a third of
-    all rows spreads over many tasks. Null and empty texts are one end id. Rows of a null doc_id are left out, as they have no place in the order.
+    all rows spreads over many tasks. Null and empty texts are one end id. Rows of a null doc_id come first.
     Repeated rows stay, next to each other. An empty table gives no shards. ``plain``: strings of special tokens are ordinary text.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dictionary = dictionary_of(docs, file, dictionary_bytes, sample_docs, sample_bytes, plain)
     order = ["doc_id", "of_text", "row"]
     dealt = docs.withColumns({"of_text": F.xxhash64("text"), "row": F.monotonically_increasing_id()}).repartitionByRange(*order).sortWithinPartitions(*order)

@@ -129,19 +129,25 @@ def _place(slots: dict):
     return run
 
 
-def place(pieces: DataFrame, capacity: int = CAPACITY, rows_per_rank_group: int = 256) -> DataFrame:
+def place(pieces: DataFrame, capacity: int = CAPACITY, rows_per_rank_group: int = 256, groups_per_block: int = 4096) -> DataFrame:
     """Add sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32, salt) of 1 to ``capacity`` tokens.
 
     Pieces of a length are ranked in groups of about ``rows_per_rank_group`` by their ``salt``, a stored random number of each, so neither equal
-    lengths nor equal rows nor null ids meet in one task.
+    lengths nor equal rows nor null ids meet in one task. Groups are counted in blocks of ``groups_per_block``: of a length that 10^10 pieces have, one task sums
+    10^4 blocks, and each block its groups. Ties of the salt go by doc_id, piece and CRC; rows equal in all of these are interchangeable. No pieces give no rows.
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
     slots, _ = plan(counts, capacity)
     groups = spark.createDataFrame([(s, max(1, -(-n // rows_per_rank_group))) for s, n in counts.items()], "length long, groups long")
     pieces = pieces.join(F.broadcast(groups), "length").withColumn("grp", F.pmod("salt", "groups")).drop("groups")  # at most capacity rows
-    before = Window.partitionBy("length").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
-    base = pieces.groupBy("length", "grp").agg(F.count("*").alias("n")).select("length", "grp", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    # what stands before a group: sums over the blocks before its own, and within its block
+    block = F.floor(F.col("grp") / groups_per_block).alias("block")
+    size = pieces.groupBy("length", "grp").agg(F.count("*").alias("n")).select("length", block, "grp", "n")
+    sums = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ahead = size.groupBy("length", "block").agg(F.sum("n").alias("n")).select("length", "block", sums(Window.partitionBy("length").orderBy("block"), "n").alias("ahead"))
+    inner = size.select("length", "block", "grp", sums(Window.partitionBy("length", "block").orderBy("grp"), "n").alias("inner"))
+    base = inner.join(ahead, ["length", "block"]).select("length", "grp", (F.col("ahead") + F.col("inner")).alias("base"))
     within = Window.partitionBy("length", "grp").orderBy("salt", "doc_id", "piece", "ids_crc32")
     ranked = pieces.withColumn("rank", F.row_number().over(within) - 1).join(base, ["length", "grp"]).withColumn("rank", F.col("rank") + F.col("base"))
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"

@@ -224,13 +224,15 @@ def test_token_ids_of_any_text(parts):
 
 def test_binary(spark, tmp_path):
     file = tokens.path(NAMES[1])
-    rows = corpus() + [(None, "left out"), (7, "another text of 7"), (7, "<|endoftext|> of 7")] + [(5, "the same row")] * 40
+    rows = corpus() + [(None, "of no id"), (None, "of no id"), (7, "another text of 7"), (7, "<|endoftext|> of 7")] + [(5, "the same row")] * 40
     shards, dictionary = binary.write_tokens(frame(spark, rows), file, shard_bytes=500)
-    got = sorted(tuple(r) for r in binary.read_tokens(shards, dictionary).collect())
+    got = [tuple(r) for r in binary.read_tokens(shards, dictionary).collect()]
     ids = {t: tokens.with_end(np.array(library(NAMES[1])(t or ""), np.uint32)) for _, t in rows}
     # documents of one doc_id may stand in any order, so each is placed by the ids of the smaller ones and of those before it
-    want = sorted((i, len(ids[t]), zlib.crc32(ids[t].tobytes())) for i, t in rows if i is not None)
-    assert [(i, n, crc) for i, _, n, crc in sorted(got, key=lambda r: (r[0], r[2], r[3]))] == want
+    first = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    want = sorted(((i, len(ids[t]), zlib.crc32(ids[t].tobytes())) for i, t in rows), key=first)
+    assert sorted(((i, n, crc) for i, _, n, crc in got), key=first) == want
+    got.sort(key=first)
     assert [r[1] for r in got] == np.cumsum([0] + [r[2] for r in got])[:-1].tolist()
     assert shards.count() > 5 and shards.where("n_docs > 1 and length(content) > 20000").count() == 0
     few = {}
@@ -313,6 +315,13 @@ def test_pack(spark):
     assert packing.pack(empty(spark), tokens.path(NAMES[0])).count() == 0
 
 
+def test_place_of_one_length(spark):
+    """A length that all pieces have spreads over groups and blocks, and numbers stay dense."""
+    pieces = spark.range(30_000).selectExpr("id as doc_id", "0 as piece", "0L as start", "if(id % 50 = 0, 400L, 1024L) as length", "0L as ids_crc32", "xxhash64(id) as salt")
+    got = packing.place(pieces, rows_per_rank_group=8, groups_per_block=16).collect()
+    assert check_packing([(r["sequence_id"], r["offset"], r["length"]) for r in got], 1024) == 29_400 + 300
+
+
 # ------------------------------------------------------------------------------------------ toxicity
 
 

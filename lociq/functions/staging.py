@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _once(app: str, folder: str, name: str) -> tuple[str, list]:
+    return f"{folder}/{name.replace('/', '_')}-{uuid.uuid4().hex}", []
+
+
+def written_once(spark: SparkSession, name: str, write: Callable[[str], None]) -> str:
+    """The path of a table of this application that ``write(path)`` makes when it is first asked for."""
+    path, done = _once(spark.sparkContext.applicationId, shared_dir(spark), name)
+    if not done:
+        write(path)
+        done.append(True)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back."""
     path = shared_path(df.sparkSession, name)

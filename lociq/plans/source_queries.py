@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lociq.functions.staging import shared_path
+from lociq.functions.staging import shared_path, written_once
 from lociq.operators import learning as ln
 from lociq.operators import loci
 from lociq.plans.registry import query
 from lociq.plans.region_queries import R6
+from lociq.sources import alignment_files as af
 from lociq.sources import readers as rd
+from lociq.sources import variants as vr
 from lociq.sources.proxies import anno, peaks, reads, table
 
 
@@ -90,6 +92,54 @@ def src13(spark, sf):
     return s.select("name", "flag", "chrom", "start_pos", "mapq", F.col("tags")["CB"].alias("cell"), (F.col("tags")["AS"].cast("double") > 50).alias("strong"))
 
 
+def cohort(spark, sf):
+    """A variant file of three samples, written once an application: its path."""
+    head = ["##fileformat=VCFv4.2", '##INFO=<ID=END,Number=1,Type=Integer,Description="x">', '##INFO=<ID=SUBTYPE,Number=1,Type=String,Description="x, y">', '##INFO=<ID=SVTYPE,Number=1,Type=String,Description="x">', '##INFO=<ID=0START,Number=1,Type=Integer,Description="x">', '##INFO=<ID=0END,Number=1,Type=Integer,Description="x">', '##INFO=<ID=AF,Number=A,Type=Float,Description="x">', '##INFO=<ID=PRECISE,Number=0,Type=Flag,Description="x">', '##FORMAT=<ID=GT,Number=1,Type=String,Description="x">', "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "A.md", "B.md", "C"])]
+    line = (
+        "concat_ws('\t', concat('chr', o_custkey % 5), o_orderkey, o_orderkey, 'A', if(o_orderkey % 3 = 1, 'ACG,T', 'T'), '.', if(o_orderkey % 2 = 0, 'PASS', 'LOW'), concat('SUBTYPE=', o_orderpriority, ';END=', o_orderkey + o_custkey % 7, if(o_orderkey % 2 = 0, ';PRECISE', ''), ';SVTYPE=', if(o_orderstatus = 'F', 'LINE/L1', 'SVA'), ';0START=', o_orderkey - 5, ';0END=', o_orderkey + 5, ';AF=0.5,.'), 'GT:DP', "
+        "concat('0/', o_orderkey % 2, ':30'), concat(if(o_custkey % 4 = 0, '.', '0'), '|', case when o_orderkey % 3 = 1 then o_custkey % 3 else o_custkey % 2 end, ':', o_custkey), './.')"
+    )
+    rows = spark.createDataFrame([("\n".join(head),)], "value string").union(table(spark, sf, "orders").selectExpr(f"{line} as value"))
+    return written_once(spark, f"cohort-{sf}", lambda path: rows.write.text(path))
+
+
+@query("src11_sample_calls", "select concat('chr', o_custkey % 5) as chrom, o_orderkey - 1 as start_pos, o_orderkey + o_custkey % 7 as end_pos, case when o_orderkey % 2 = 0 then 'PASS' else 'LOW' end as filter, o_orderpriority as subtype, case when o_custkey % 4 = 0 then 1 else 2 end as an, o_custkey as dp from orders where o_orderpriority not like '%URGENT%' and case when o_orderkey % 3 = 1 then o_custkey % 3 else o_custkey % 2 end > 0")
+def src11_sample(spark, sf):
+    """Calls of one sample of three, by name: alleles counted over it alone, a pattern on a typed tag, the END tag."""
+    rows = vr.called(vr.read(spark, cohort(spark, sf), ["B.md"])).where("not info.SUBTYPE rlike 'URGENT'")
+    return vr.intervals(rows, filter=F.col("filter"), subtype=F.col("info.SUBTYPE"), an=F.col("an"), dp=F.try_element_at(F.col("calls")[0]["fields"], F.lit("DP")).cast("long"))
+
+
+@query("src12_tag_intervals", "select concat('chr', o_custkey % 5) as chrom, o_orderkey - 5 as start_pos, o_orderkey + 5 as end_pos, o_orderkey % 2 = 0 as precise, (o_orderkey % 2)::int as carriers, 0.5::double as first_frequency from orders where o_orderstatus = 'F' and o_orderkey % 3 = 1")
+def src12_tags(spark, sf):
+    """Intervals that tags give, of records with a longer alternative; flags and lists of numbers are typed."""
+    rows = vr.longer(vr.read(spark, cohort(spark, sf), ["A.md", "C"])).where("info.SVTYPE = 'LINE/L1'")
+    return vr.intervals(rows, F.col("info.0START"), F.col("info.0END"), precise=F.col("info.PRECISE"), carriers=F.col("ac")[0], first_frequency=F.col("info.AF")[0])
+
+
+def aligned(spark, sf):
+    """The reads as block-compressed, indexed alignment files, written once an application."""
+    r = reads(spark, sf)
+    width, back = (F.col("end_pos") - F.col("start_pos")).cast("string"), (F.col("flag").bitwiseAND(16) > 0)
+    rows = r.select(
+        F.col("event_id").cast("string").alias("name"), "flag", F.coalesce("chrom", F.lit("*")).alias("chrom"), "mapq", F.when(back, F.concat(F.lit("3S"), width, F.lit("M"))).otherwise(F.concat(width, F.lit("M2S"))).alias("cigar"), F.lit("=").alias("next_chrom"), (F.col("start_pos") + 1).alias("next_pos"),
+        F.lit(0).cast("long").alias("length"), F.lit("ACGTN").alias("seq"), F.lit("IIIHH").alias("qual"), F.create_map(F.lit("CB"), F.col("cell_id").cast("string"), F.lit("XS"), F.col("score").cast("string")).alias("tags"), "start_pos",
+    )
+    return af.read(spark, written_once(spark, f"aligned-{sf}", lambda path: af.write(rows, path, {f"chr{k}": 2_592_000 for k in range(5)})), 1 << 18)
+
+
+@query("src13_alignment_files", "select cast(event_id as varchar) as name, flag, chrom, start_pos, end_pos, mapq, case when flag & 16 > 0 then '3S' || (end_pos - start_pos) || 'M' else (end_pos - start_pos) || 'M2S' end as cigar, cast(cell_id as varchar) as cell, score > 50 as strong from reads")
+def src13_files(spark, sf):
+    """Binary alignment files in splits: fixed fields, packed bases, operations and tags."""
+    return aligned(spark, sf).where("seq = 'ACGTN' and qual = 'IIIHH'").select("name", "flag", "chrom", "start_pos", "end_pos", "mapq", "cigar", F.col("tags")["CB"].alias("cell"), (F.col("tags")["XS"].cast("double") > 50).alias("strong"))
+
+
+@query("src14_indexed_fetch", "select cast(event_id as varchar) as name, start_pos, end_pos from reads where chrom = 'chr2' and start_pos < 1400000 and end_pos > 1200000")
+def src14_fetch(spark, sf):
+    """One region by the files' index: the filters are pushed, and only the blocks of the region's bins are read."""
+    return aligned(spark, sf).where("chrom = 'chr2' and start_pos < 1400000 and end_pos > 1200000").select("name", "start_pos", "end_pos")
+
+
 @query("src19_fastq_reads", "select count(*) as n_reads, count(*) filter (doc_id % 2 = 0) as n_even, sum(length(source)) as bases from documents")
 def src19(spark, sf):
     """Compressed records of four lines, read as a stream; those of a list of names are counted by a semi join."""

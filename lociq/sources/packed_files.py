@@ -1,11 +1,9 @@
-"""Readers of binary files: alignments and workbooks, and interval files chosen by checked names."""
+"""Workbooks, and interval files chosen by checked names."""
 
 from __future__ import annotations
 
-import gzip
 import io
 import re
-import struct
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -16,79 +14,9 @@ from pyspark.sql import functions as F
 
 from lociq.sources import readers as rd
 
-# fixed values of the BAM format: letters of packed bases and operations, and the codes of tag types
-BASES = "=ACMGRSVTWYHKDBN"
-OPERATIONS = "MIDNSHP=X"
-NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
-HEAD = struct.Struct("<iiBBHHHiiii")
 ROWS = 10_000
 
 
-def _tags(raw: bytes) -> Iterator[tuple[str, str]]:
-    """Tags with their values as they stand in alignment text."""
-    at = 0
-    while at < len(raw):
-        name, kind = raw[at : at + 2].decode(), chr(raw[at + 2])
-        at += 3
-        if kind in "ZH":
-            end = raw.index(b"\0", at)
-            yield name, raw[at:end].decode()
-            at = end + 1
-        elif kind == "A":
-            yield name, chr(raw[at])
-            at += 1
-        elif kind == "B":
-            inner, n = chr(raw[at]), int.from_bytes(raw[at + 1 : at + 5], "little")
-            form = struct.Struct(f"<{n}{NUMBERS[inner]}")
-            yield name, ",".join([inner, *(f"{x:g}" if inner == "f" else str(x) for x in form.unpack_from(raw, at + 5))])
-            at += 5 + form.size
-        else:
-            form = struct.Struct("<" + NUMBERS[kind])
-            (x,) = form.unpack_from(raw, at)
-            yield name, f"{x:g}" if kind == "f" else str(x)
-            at += form.size
-
-
-def _record(raw: bytes, contigs: list[str]) -> dict:
-    ref, pos, name_size, mapq, _, n_ops, flag, n_bases, next_ref, next_pos, length = HEAD.unpack_from(raw)
-    at = HEAD.size + name_size
-    ops = struct.unpack_from(f"<{n_ops}I", raw, at)
-    at += 4 * n_ops
-    packed = raw[at : at + (n_bases + 1) // 2]
-    at += len(packed)
-    qual = raw[at : at + n_bases]
-    seq = "".join(BASES[x >> 4] + BASES[x & 15] for x in packed)[:n_bases]
-    contig = lambda k: contigs[k] if k >= 0 else "*"
-    return {
-        "name": raw[HEAD.size : HEAD.size + name_size - 1].decode(),
-        "flag": flag,
-        "chrom": contig(ref),
-        "mapq": mapq,
-        "cigar": "".join(f"{x >> 4}{OPERATIONS[x & 15]}" for x in ops) or "*",
-        "next_chrom": "=" if next_ref == ref >= 0 else contig(next_ref),
-        "next_pos": next_pos + 1,
-        "length": length,
-        "seq": seq or "*",
-        "qual": "*" if qual[:1] in (b"", b"\xff") else bytes(x + 33 for x in qual).decode(),
-        "tags": list(_tags(raw[at + n_bases :])),
-        "start_pos": pos,
-    }
-
-
-def _records(stream) -> Iterator[dict]:
-    """Records of one decompressed file, one at a time."""
-    number = lambda: int.from_bytes(stream.read(4), "little")
-    if stream.read(4) != b"BAM\1":
-        raise ValueError("not a BAM file")
-    stream.read(number())
-    contigs = []
-    for _ in range(number()):
-        contigs.append(stream.read(number())[:-1].decode())
-        number()
-    while size := stream.read(4):
-        yield _record(stream.read(int.from_bytes(size, "little")), contigs)
-
-
 def _by_file(spark: SparkSession, path: str, kind: pa.Schema, ddl: str, rows) -> DataFrame:
     """Rows of each file of ``path``, read as a stream in one task a file, in bounded batches."""
 
@@ -107,20 +35,6 @@ def _by_file(spark: SparkSession, path: str, kind: pa.Schema, ddl: str, rows) ->
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, ddl)
 
 
-def bam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignment records of BAM files, with the columns that ``readers.alignments`` gives for the same records as text.
-
-    A file is decompressed and read by one task, record by record; files over 2 GB are beyond Spark's binary source, so split
-    those by contig first, or convert them to text. An absent contig is '*', an absent position -1.
-    """
-    text = ("name", "chrom", "cigar", "next_chrom", "seq", "qual")
-    order = ("name", "flag", "chrom", "mapq", "cigar", "next_chrom", "next_pos", "length", "seq", "qual")
-    kinds = [(c, pa.string() if c in text else pa.int32() if c in ("flag", "mapq") else pa.int64()) for c in order]
-    kind = pa.schema([*kinds, ("tags", pa.map_(pa.string(), pa.string())), ("start_pos", pa.int64())])
-    ddl = ", ".join(f"{c} {'string' if c in text else 'int' if c in ('flag', 'mapq') else 'long'}" for c in order)
-    return _by_file(spark, path, kind, ddl + ", tags map<string,string>, start_pos long", lambda raw: _records(gzip.open(pa.BufferReader(raw))))
-
-
 def _place(reference: str) -> int:
     """0-based column of a cell reference such as 'AB12'."""
     n = 0

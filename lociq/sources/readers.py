@@ -213,13 +213,15 @@ ALIGNMENT = ("name", "flag", "chrom", "pos", "mapq", "cigar", "next_chrom", "nex
 
 
 def alignments(spark: SparkSession, path: str) -> DataFrame:
-    """Alignment records of text: fixed fields, 0-based start_pos, and tags as a map of name to value. Header lines begin with @."""
+    """Alignment records of text: fixed fields, 0-based start_pos, and tags as a map of name to value (of a repeated one the first). Header lines begin with @."""
     f = F.split("value", "\t")
     rows = spark.read.text(path).where("not startswith(value, '@') and value <> ''")
     number = {"flag": "int", "pos": "long", "mapq": "int", "next_pos": "long", "length": "long"}
     fixed = [F.get(f, F.lit(i)).cast(number.get(c, "string")).alias(c) for i, c in enumerate(ALIGNMENT)]
-    tags = F.transform(F.slice(f, len(ALIGNMENT) + 1, F.greatest(F.size(f) - len(ALIGNMENT), F.lit(0))), lambda t: F.struct(F.substring_index(t, ":", 1), F.substring(t, 6, 1 << 20)))
-    out = rows.select(*fixed, F.map_from_entries(tags).alias("tags"))
+    own = F.slice(f, len(ALIGNMENT) + 1, F.greatest(F.size(f) - len(ALIGNMENT), F.lit(0)))
+    tags = F.transform(own, lambda t: F.struct(F.substring_index(t, ":", 1).alias("tag"), F.substr(t, F.lit(6)).alias("value")))
+    first = F.filter(tags, lambda t, i: F.array_position(F.transform(tags, lambda x: x["tag"]), t["tag"]) == i + 1)
+    out = rows.select(*fixed, F.map_from_entries(first).alias("tags"))
     return out.withColumn("start_pos", F.col("pos") - 1).drop("pos")
 
 

@@ -1,44 +1,10 @@
-"""Binary readers on files made here byte by byte."""
+"""Workbooks and checked names on files made here."""
 
-import gzip
-import struct
 import zipfile
 
 import pytest
 
 from lociq.sources import packed_files as pf
-from lociq.sources import readers as rd
-
-SAM = "@HD\tVN:1.6\n@SQ\tSN:chr1\tLN:1000\n@SQ\tSN:chr2\tLN:500\nr1\t99\tchr1\t11\t60\t5M2S\t=\t51\t47\tACGTNAC\tIIIIHHH\tCB:Z:a:b\tAS:i:-3\tNM:i:200\nr2\t4\t*\t0\t0\t*\t*\t0\t0\t*\t*\n"
-
-
-def alignment(name, flag, ref, pos, mapq, ops, next_ref, next_pos, length, seq, qual, tags):
-    bases = [pf.BASES.index(c) for c in seq] + [0] * (len(seq) % 2)
-    body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, mapq, 0, len(ops), flag, len(seq), next_ref, next_pos, length)
-    body += name.encode() + b"\0" + b"".join(struct.pack("<I", n << 4 | pf.OPERATIONS.index(o)) for n, o in ops)
-    body += bytes(a << 4 | b for a, b in zip(bases[::2], bases[1::2], strict=True)) + bytes(ord(c) - 33 for c in qual) + tags
-    return struct.pack("<i", len(body)) + body
-
-
-def test_alignments_of_both_forms(spark, tmp_path):
-    (tmp_path / "a.sam").write_text(SAM)
-    head = b"BAM\1" + struct.pack("<i", 4) + b"@HD\n" + struct.pack("<i", 2)
-    head += b"".join(struct.pack("<i", len(n) + 1) + n + b"\0" + struct.pack("<i", 1000) for n in (b"chr1", b"chr2"))
-    one = alignment("r1", 99, 0, 10, 60, [(5, "M"), (2, "S")], 0, 50, 47, "ACGTNAC", "IIIIHHH", b"CBZa:b\0ASc\xfdNMC\xc8")
-    two = alignment("r2", 4, -1, -1, 0, [], -1, -1, 0, "", "", b"")
-    # a record may lie across two compressed blocks
-    (tmp_path / "a.bam").write_bytes(gzip.compress(head + one[:20]) + gzip.compress(one[20:] + two) + gzip.compress(b""))
-    want, got = rd.alignments(spark, str(tmp_path / "a.sam")), pf.bam(spark, str(tmp_path / "a.bam"))
-    assert got.columns == want.columns
-    assert sorted(got.collect()) == sorted(want.collect())
-    (tmp_path / "b.bam").write_bytes(gzip.compress(head))
-    assert pf.bam(spark, str(tmp_path / "b.bam")).count() == 0
-
-
-def test_tag_types():
-    raw = b"XAAq" + b"XBBs" + struct.pack("<ihh", 2, -1, 7) + b"XFf" + struct.pack("<f", 1.5) + b"XII" + struct.pack("<I", 1 << 31) + b"XHH1AE3\0" + b"XGBf" + struct.pack("<if", 1, 0.25)
-    assert list(pf._tags(raw)) == [("XA", "q"), ("XB", "s,-1,7"), ("XF", "1.5"), ("XI", str(1 << 31)), ("XH", "1AE3"), ("XG", "f,0.25")]
-
 
 def test_workbook(spark, tmp_path):
     ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'

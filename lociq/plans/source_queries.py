@@ -10,7 +10,9 @@ from lociq.operators import loci
 from lociq.plans.registry import query
 from lociq.plans.region_queries import R6
 from lociq.sources import alignment_files as af
+from lociq.sources import fastq_files as fq
 from lociq.sources import readers as rd
+from lociq.sources import region_files as rf
 from lociq.sources import variants as vr
 from lociq.sources.proxies import anno, peaks, reads, table
 
@@ -151,6 +153,22 @@ def src19(spark, sf):
     return q.join(listed, "name", "left").agg(F.count("*").alias("n_reads"), F.count("listed").alias("n_even"), F.sum(F.length("seq")).alias("bases"))
 
 
+@query("src19_fastq_splits", "select cast(doc_id as varchar) as name, source as seq, length(source) as n_qual, lang from documents")
+def src19_splits(spark, sf):
+    """Plain files of reads in splits that find their first record by themselves; qualities begin with the mark of a name."""
+    d = table(spark, sf, "documents").select(F.concat_ws("\n", F.concat(F.lit("@"), "doc_id", F.lit(" "), "lang"), F.col("source"), F.lit("+"), F.rpad(F.lit("@"), F.length("source"), F.lit("+"))).alias("value"))
+    q = fq.read(spark, written_once(spark, f"reads-{sf}", lambda path: d.write.text(path)), ".txt", 1 << 16)
+    return q.select(F.substring_index("name", " ", 1).alias("name"), "seq", F.length("qual").cast("long").alias("n_qual"), F.substring_index("name", " ", -1).alias("lang"))
+
+
+@query("snk01_indexed_regions", "select chrom, start_pos, end_pos, n_reads, label from peaks where chrom = 'chr3' and start_pos < 1500000 and end_pos > 1400000")
+def snk01_indexed(spark, sf):
+    """A table written in blocks with an index beside each file, and a region of it read back through the index."""
+    rows = peaks(spark, sf).select("chrom", "start_pos", "end_pos", "n_reads", "label").where("chrom is not null")
+    path = written_once(spark, f"regions-{sf}", lambda path: rf.write(rows, path))
+    return rf.read(spark, path, "chrom string, start_pos long, end_pos long, n_reads long, label string", 1 << 17).where("chrom = 'chr3' and start_pos < 1500000 and end_pos > 1400000")
+
+
 @query("src22_parquet", "select n_nationkey, n_name, n_regionkey from nation")
 def src22(spark, sf):
     path = shared_path(spark, "plain")

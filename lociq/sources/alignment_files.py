@@ -256,7 +256,7 @@ class AlignmentWriter(BlockWriter):
 
     def written(self, path: str, batches, where) -> dict:
         """Write the records of a sorted partition; the least start and greatest end of each contig."""
-        out, numbers = Writer(where.open_output_stream(path)), {c: k for k, c in enumerate(self.contigs)}
+        out, numbers = Writer(where.open_output_stream(path, compression=None)), {c: k for k, c in enumerate(self.contigs)}
         lines = "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{c}\tLN:{n}\n" for c, n in self.contigs.items())
         refs = b"".join(struct.pack("<i", len(c.encode()) + 1) + c.encode() + b"\0" + struct.pack("<i", n) for c, n in self.contigs.items())
         out.put(b"BAM\1" + struct.pack("<i", len(lines)) + lines.encode() + struct.pack("<i", len(numbers)) + refs)
@@ -278,7 +278,7 @@ class AlignmentWriter(BlockWriter):
                     if (mine := ref == n).any():
                         widened(held, c, int(start[mine].min()), int(end[mine].max()))
         out.close()
-        with where.open_output_stream(path + self.index_suffix) as f:
+        with where.open_output_stream(path + self.index_suffix, compression=None) as f:
             f.write(INDEX_MAGIC + index.written())
         return held
 

@@ -11,7 +11,7 @@ import json
 import uuid
 from dataclasses import dataclass
 
-import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
@@ -47,6 +47,7 @@ class BlockReader(DataSourceReader):
 
     suffix = ""
     index_suffix = ""
+    tail = b""  # ends the last record of a file, where it may be missing
     absent = None  # stands for no contig; indexes leave such records out
 
     def __init__(self, options: dict):
@@ -84,7 +85,7 @@ class BlockReader(DataSourceReader):
     def read(self, partition):
         if not isinstance(partition, Split):  # nothing to read
             return
-        blocks = Blocks(partition.path)
+        blocks = self.blocks(partition.path)
         names, first = self.header(blocks)
         index = self.index(partition.path)
         begin, end = (self.boundary(blocks, at, first, index, names) for at in (partition.begin, partition.end))
@@ -94,10 +95,13 @@ class BlockReader(DataSourceReader):
             found = index.chunks(number, self.region.start, self.region.end) if number is not None else []
             chunks = [(max(a, begin), min(b, end)) for a, b in found if a < end and begin < b]
         for a, b in chunks:
-            for data, starts in pieces(blocks, a, b, self.cut):
+            for data, starts in pieces(blocks, a, b, self.cut, self.tail):
                 yield from self.rows(data, starts, names)
         self.blocks_read = blocks.read
 
+    def blocks(self, path: str) -> Blocks:
+        return Blocks(path)
+
     def boundary(self, blocks: Blocks, at: int, first: int, index: Index | None, names) -> int:
         """Virtual offset of the first record in a block from a place on: one that the index names, or else by the shape of records. Both neighbours of a split come to the same."""
         if at == 0:
@@ -111,7 +115,7 @@ class BlockReader(DataSourceReader):
 
     def index(self, path: str) -> Index | None:
         where, at = opened(path)
-        return self.parsed(where.open_input_file(at + self.index_suffix).readall()) if where.get_file_info(at + self.index_suffix).is_file else None
+        return self.parsed(where.open_input_file(at + self.index_suffix).readall()) if self.index_suffix and where.get_file_info(at + self.index_suffix).is_file else None
 
     # of a subclass: header(blocks) -> (numbers of contigs by name, first record), parsed(raw) -> Index, cut (see ``pieces``), resynchronised, rows
 
@@ -156,7 +160,7 @@ class BlockWriter(DataSourceArrowWriter):
                     where.move(f"{at}/_temporary-{self.job}/{temporary}{end}", f"{at}/{name}{end}")
                 known[name] = m.contigs
         where.create_dir(at, recursive=True)
-        with where.open_output_stream(summary) as out:
+        with where.open_output_stream(summary, compression=None) as out:
             out.write(json.dumps(known).encode())
         for f in before:
             where.delete_file(f)
@@ -164,7 +168,7 @@ class BlockWriter(DataSourceArrowWriter):
 
     def abort(self, messages) -> None:
         where, at = opened(self.path)
-        if where.get_file_info(f"{at}/_temporary-{self.job}").type == pa.fs.FileType.Directory:
+        if where.get_file_info(f"{at}/_temporary-{self.job}").type == fs.FileType.Directory:
             where.delete_dir(f"{at}/_temporary-{self.job}")
 
 

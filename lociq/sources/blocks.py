@@ -109,6 +109,20 @@ class Blocks:
         return b"".join(parts), np.array(places, np.int64), np.array(offsets, np.int64), at
 
 
+class Plain(Blocks):
+    """A file that isn't compressed, as blocks of 64 KB."""
+
+    STEP = 1 << 16
+
+    def first(self, at: int) -> int:
+        return min(-(-at // self.STEP) * self.STEP, self.size)
+
+    def get(self, at: int) -> tuple[bytes, int]:
+        self.read += 1
+        data = self.file.read_at(min(self.STEP, self.size - at), at)
+        return data, at + len(data)
+
+
 class Writer:
     """Writes records into blocks and tells their virtual offsets; no record is cut unless it is longer than a block."""
 
@@ -238,10 +252,11 @@ class Index:
         return out
 
 
-def pieces(blocks: Blocks, begin: int, end: int, cut, least: int = 4 << 20) -> Iterator[tuple[bytes, np.ndarray]]:
+def pieces(blocks: Blocks, begin: int, end: int, cut, tail: bytes = b"", least: int = 4 << 20) -> Iterator[tuple[bytes, np.ndarray]]:
     """Whole records that begin between two virtual offsets, as bytes and the places where records begin in these and where the last ends.
 
     ``cut(data, at, limit)`` gives the places of the whole records that begin from ``at`` on and below ``limit``, and where the first one begins that isn't whole.
+    ``tail`` ends the last record of a file that lacks it.
     """
     at, skip, held = begin >> 16, begin & 0xFFFF, b""
     stop, inner = end >> 16, end & 0xFFFF
@@ -251,9 +266,14 @@ def pieces(blocks: Blocks, begin: int, end: int, cut, least: int = 4 << 20) -> I
         limit = len(held) + int(offsets[-1]) + inner if inner and places[-1] == stop else len(data)
         starts, rest = cut(data, skip, limit)
         final = at >= min(stop + (inner > 0), blocks.size)
-        while final and rest < limit and at < blocks.size:  # a record that ends beyond
-            more, at = blocks.get(at)
-            data += more
+        while final and rest < limit:  # a record that ends beyond
+            if at < blocks.size:
+                more, at = blocks.get(at)
+                data += more
+            elif tail and not data.endswith(tail):
+                data += tail
+            else:
+                break
             starts, rest = cut(data, skip, limit)
         if len(starts):
             yield data, np.append(starts, rest)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociq.operators.intervals import running, value_bins
+from lociq.operators.intervals import cumulated
 
 
 def running_counts(df: DataFrame, truth: Column, score: str) -> DataFrame:
     """Numbers of either class at each distinct threshold, true and false positives from the highest threshold down, and totals."""
     by = df.groupBy(F.col(score).alias("threshold")).agg(F.count(F.when(truth, 1)).alias("pos"), F.count(F.when(~truth, 1)).alias("neg"))
-    upwards = running(by.withColumns({"tp": F.col("pos"), "fp": F.col("neg")}), (), F.lit(0), [F.desc("threshold")], {n: ("sum", F.col(n)) for n in ("tp", "fp")}, bin_of=-value_bins(by, "threshold"))
-    return upwards.crossJoin(F.broadcast(by.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))))  # one row
+    upwards = cumulated(by, [F.desc("threshold")], {"tp": F.col("pos"), "fp": F.col("neg")})
+    return upwards.crossJoin(F.broadcast(upwards.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))))  # one row
 
 
 def pr_curve(df: DataFrame, truth: Column, score: str, extra_fn: int = 0) -> DataFrame:
@@ -71,7 +71,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
 
     def ranked(c: str) -> DataFrame:
         n = df.groupBy(c).agg(F.count("*").alias("n"))
-        upto = running(n, (), F.lit(0), [c], {"upto": ("sum", F.col("n"))}, bin_of=value_bins(n, c))
+        upto = cumulated(n, [c], {"upto": F.col("n")})
         return upto.select(c, (F.col("upto") - (F.col("n") - 1) / 2).alias(f"rank_{c}"))
 
     return df.join(ranked(x), x).join(ranked(y), y).agg(F.corr(f"rank_{x}", f"rank_{y}").alias("rho"))

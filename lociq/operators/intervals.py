@@ -11,6 +11,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from lociq.functions.staging import staged
 
 KEY = ("chrom", "start_pos", "end_pos")
 
@@ -24,47 +27,82 @@ def bins(by: tuple[str, ...], at: Column, span: int = SPAN) -> Column:
     return F.when(bare, 0).otherwise(F.floor(at / span))
 
 
-def running(df: DataFrame, by: tuple[str, ...], at: Column, order: list, values: dict[str, tuple[str, Column]], before: bool = False, bin_of: Column | None = None) -> DataFrame:
-    """Add running sums or maxima ('sum' or 'max' of a column, by name) over the rows of ``by`` in ``order``, each row included unless ``before``.
+FOLD = {"sum": F.sum, "max": F.max}
+
+
+def dealt(df: DataFrame, by: tuple[str, ...], at: Column, span: int = SPAN) -> DataFrame:
+    """Rows exchanged by ``by`` and the bin of a position (_bin). All sweeps of an operator run on this one exchange: they neither move nor sort rows again."""
+    return df.withColumn("_bin", bins(by, at, span)).repartition(*by, "_bin")
+
 
-    Rows are sorted within bins of positions, so the work is spread over many more tasks than there are contigs; what stands before a bin is
-    carried into it from a table of a row for each bin. ``at`` must be the leading sort column, or ``bin_of`` give bins that follow the order.
+def swept(df: DataFrame, by: tuple[str, ...], order: list, values: dict[str, tuple[str, Column]], before: bool = False) -> DataFrame:
+    """Add running sums or maxima ('sum' or 'max' of a column, by name) over the dealt rows of ``by`` in ``order``, whose bins follow each other; each row included unless ``before``.
+
+    Rows are sorted within bins, so the work is spread over many more tasks than there are contigs; what stands before a bin comes from a table of a row for each bin.
     """
-    fold = {"sum": F.sum, "max": F.max}
     keys = [*by, "_bin"]
-    df = df.withColumn("_bin", bins(by, at) if bin_of is None else bin_of)
     back = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    total = df.groupBy(*keys).agg(*(fold[how](c).alias(f"_of_{n}") for n, (how, c) in values.items()))
-    carry = total.select(*keys, *(fold[how](f"_of_{n}").over(back).alias(f"_to_{n}") for n, (how, _) in values.items()))
+    total = df.groupBy(*keys).agg(*(FOLD[how](c).alias(f"_of_{n}") for n, (how, c) in values.items()))
+    carry = total.select(*keys, *(FOLD[how](f"_of_{n}").over(back).alias(f"_to_{n}") for n, (how, _) in values.items()))
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
 
     def whole(n: str, how: str, c: Column) -> Column:
-        own = fold[how](c).over(inside)
+        own = FOLD[how](c).over(inside)
         return F.coalesce(f"_to_{n}", F.lit(0)) + F.coalesce(own, F.lit(0)) if how == "sum" else F.greatest(F.col(f"_to_{n}"), own)
 
     out = df.join(carry, keys, "left").withColumns({f"_own_{n}": whole(n, how, c) for n, (how, c) in values.items()})
-    kept = [c for c in df.columns if c != "_bin" and c not in values]
-    return out.select(*(F.col(f"`{c}`") for c in kept), *(F.col(f"_own_{n}").alias(n) for n in values))
+    return out.select(*(F.col(f"`{c}`") for c in df.columns if c not in values), *(F.col(f"_own_{n}").alias(n) for n in values))
 
 
-def neighbour(df: DataFrame, by: tuple[str, ...], at: str, value: Column, name: str, ahead: bool) -> DataFrame:
-    """Add ``value`` of the row before, or behind, in the order of ``at`` (which is unique), also across bins."""
+def beside(df: DataFrame, by: tuple[str, ...], at: str, value: Column, name: str, ahead: bool) -> DataFrame:
+    """Add ``value`` of the dealt row before, or behind, in the order of ``at`` (which is unique), also across bins."""
     keys = [*by, "_bin"]
-    df = df.withColumn("_bin", bins(by, F.col(at)))
     edge = df.groupBy(*keys).agg((F.min_by if ahead else F.max_by)(value, at).alias("_edge"))
     step, over, inside = (F.lead if ahead else F.lag), Window.partitionBy(*by).orderBy("_bin"), Window.partitionBy(*keys).orderBy(at)
     out = df.join(edge.select(*keys, step("_edge").over(over).alias("_next")), keys, "left")
-    return out.withColumn(name, F.coalesce(step(value).over(inside), "_next")).drop("_bin", "_next")
+    return out.withColumn(name, F.coalesce(step(value).over(inside), "_next")).drop("_next")
+
+
+def running(df: DataFrame, by: tuple[str, ...], at: Column, order: list, values: dict[str, tuple[str, Column]], before: bool = False) -> DataFrame:
+    """``swept`` on rows that are dealt by ``at``, the leading sort column."""
+    return swept(dealt(df, by, at), by, order, values, before).drop("_bin")
 
 
-def following(df: DataFrame, by: tuple[str, ...], at: str, name: str) -> DataFrame:
-    """Add the next position."""
-    return neighbour(df, by, at, F.col(at), name, True)
+def _cumulated(names: list[str]):
+    """Running sums of the last columns within a sorted partition, and its number."""
 
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
 
-def preceding(df: DataFrame, by: tuple[str, ...], at: str, value: Column, name: str) -> DataFrame:
-    """Add a value of the row before."""
-    return neighbour(df, by, at, value, name, False)
+        part, so_far = TaskContext.get().partitionId(), [0] * len(names)
+        for batch in batches:
+            plain = batch.columns[: -len(names)]
+            sums = []
+            for k, column in enumerate(batch.columns[-len(names) :]):
+                sums.append(so_far[k] + np.cumsum(column.fill_null(0).to_numpy(zero_copy_only=False)))
+                so_far[k] = int(sums[k][-1]) if batch.num_rows else so_far[k]
+            yield pa.RecordBatch.from_arrays([*plain, *map(pa.array, sums), pa.array(np.full(batch.num_rows, part, np.int32))], [*batch.schema.names, "_part"])
+
+    return run
+
+
+def cumulated(df: DataFrame, order: list, values: dict[str, Column]) -> DataFrame:
+    """Add running sums of whole numbers (not negative) over all rows in ``order``, each row included; rows that tie stand in order of the table.
+
+    Rows are dealt by range of the sort columns and of the table's order, so no value, however frequent, is bound to one task. Sorted ranges are summed as they are
+    written, and a table of a row for each range carries what stands before it.
+    """
+    rest = [c for c in df.columns if c not in values]
+    own = df.withColumn("_row", F.monotonically_increasing_id()).withColumns({f"_own_{n}": c.cast("long") for n, c in values.items()})
+    sorted_ = own.repartitionByRange(*order, "_row").sortWithinPartitions(*order, "_row").select(*rest, *(f"_own_{n}" for n in values))
+    kind = StructType([*sorted_.schema.fields, StructField("_part", IntegerType())])
+    found = staged(sorted_.mapInArrow(_cumulated(list(values)), kind), "cumulated")
+    back = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    total = found.groupBy("_part").agg(*(F.max(f"_own_{n}").alias(n) for n in values))
+    carry = total.select("_part", *(F.coalesce(F.sum(n).over(back), F.lit(0)).alias(f"_to_{n}") for n in values))
+    return found.join(F.broadcast(carry), "_part").select(*(F.col(f"`{c}`") for c in rest), *((F.col(f"_own_{n}") + F.col(f"_to_{n}")).alias(n) for n in values))
 
 
 def with_halo(df: DataFrame, by: tuple[str, ...], at: Column, before: int, after: int, span: int = SPAN) -> DataFrame:
@@ -74,22 +112,14 @@ def with_halo(df: DataFrame, by: tuple[str, ...], at: Column, before: int, after
     return df.withColumn("_bin", F.explode(F.sequence(low, high))).withColumn("_own", F.col("_bin") == bins(by, at, span))
 
 
-def value_bins(df: DataFrame, column: str, n: int = 128) -> Column:
-    """Number of the bin of a value, in ascending order, by approximate quantiles of the column."""
-    bounds = sorted({float(x) for x in df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", [k / n for k in range(1, n)], 0.25 / n)})
-    if not bounds:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col(column).cast("double")))
-
-
-def row_numbers(df: DataFrame, order: list, bin_of: Column, name: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """Add row numbers from 1 in ``order``; ``bin_of`` must follow it."""
-    return running(df.withColumn("_one", F.lit(1).cast("long")), by, F.lit(0), order, {name: ("sum", F.col("_one"))}, bin_of=bin_of).drop("_one")
+def row_numbers(df: DataFrame, order: list, name: str) -> DataFrame:
+    """Add row numbers from 1 in ``order`` over the whole table."""
+    return cumulated(df, order, {name: F.lit(1)})
 
 
-def either_side(left: Column, right: Column) -> Column:
-    """Two points: ``left`` on side 0, and ``right`` on side 1 with its sign turned, so that both sides are swept upwards."""
-    return F.array(F.struct(F.lit(0).alias("side"), left.cast("long").alias("at")), F.struct(F.lit(1).alias("side"), (-right).cast("long").alias("at")))
+def numbered(df: DataFrame, by: tuple[str, ...], at: str, order: list, name: str) -> DataFrame:
+    """Add row numbers from 1 within ``by`` in ``order``, which ``at`` leads."""
+    return running(df.withColumn("_one", F.lit(1).cast("long")), by, F.col(at), order, {name: ("sum", F.col("_one"))}).drop("_one")
 
 
 def binned(df: DataFrame, width: int, name: str = "bin") -> DataFrame:
@@ -121,23 +151,32 @@ def count_overlaps(a: DataFrame, b: DataFrame, name: str, by: tuple[str, ...] =
     return count_kinds(a, b, {name: F.lit(True)}, by)
 
 
+def _beyond(a: DataFrame, b: DataFrame, by: tuple[str, ...], probe: str, mark: str, values: dict[str, tuple[str, Column]], early: bool, fold: dict[str, Column]) -> DataFrame:
+    """Add to each row of ``a`` running values of ``b`` up to its position ``probe``, where ``b`` lies at ``mark``; at equal positions ``b`` counts if ``early``.
+
+    Equal positions of ``b`` fold before they are dealt; rows of ``a`` move once, whole.
+    """
+    marks = b.groupBy(*by, F.expr(mark).alias("_at")).agg(*(c.alias(n) for n, c in fold.items())).withColumn("_late", F.lit(0 if early else 1))
+    rows = a.withColumns({"_at": F.expr(probe), "_late": F.lit(1 if early else 0)})
+    both = rows.withColumn("_probe", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    return running(both, by, F.col("_at"), ["_at", "_late"], values).where("_probe").select(*a.columns, *values)
+
+
 def count_kinds(a: DataFrame, b: DataFrame, kinds: dict[str, Column], by: tuple[str, ...] = ("chrom",)) -> DataFrame:
-    """For each kind, a condition on ``b``, the number of its intervals that overlap each of ``a``, all in one pass.
+    """For each kind, a condition on ``b``, the number of its intervals that overlap each of ``a``: those that start before its end, less those that end up to its start.
 
-    These are all intervals less those that lie to the left (end <= start) or to the right of it (start >= end). Nothing is exploded, so wide
-    and nested intervals cost no more than narrow ones, and equal positions of ``b`` fold before they are sorted.
+    Two sweeps, each with one exchange of the rows of ``a``. Nothing is exploded, so wide and nested intervals cost no more than narrow ones.
     """
-    names = list(kinds)
-    marks = b.select(*by, *(F.when(c, 1).otherwise(0).alias(n) for n, c in kinds.items()), F.explode(either_side(F.col("end_pos"), F.col("start_pos"))).alias("x"))
-    marks = marks.groupBy(*by, "x.side", "x.at").agg(*(F.sum(n).alias(n) for n in names)).withColumns({"start_pos": F.lit(None).cast("long"), "end_pos": F.lit(None).cast("long"), "probe": F.lit(0)})
-    loci = a.select(*by, "start_pos", "end_pos").distinct()
-    probes = loci.select(*by, F.explode(either_side(F.col("start_pos"), F.col("end_pos"))).alias("x"), "start_pos", "end_pos").select(*by, "x.side", "x.at", *(F.lit(0).cast("long").alias(n) for n in names), "start_pos", "end_pos", F.lit(1).alias("probe"))
-    swept = running(marks.unionByName(probes), (*by, "side"), F.col("at"), ["at", "probe"], {n: ("sum", F.col(n)) for n in names})
-    outside = swept.where("probe = 1").groupBy(*by, "start_pos", "end_pos").agg(*(F.sum(n).alias(f"{n} outside") for n in names))
-    total = b.groupBy(*by).agg(*(F.count(F.when(c, 1)).alias(f"{n} total") for n, c in kinds.items()))  # a row for each contig
-    found = a.join(outside, [*by, "start_pos", "end_pos"], "left").join(total, list(by), "left")
-    number = lambda n: F.greatest(F.lit(0), F.coalesce(f"`{n} total`", F.lit(0)) - F.coalesce(f"`{n} outside`", F.lit(0))).cast("long")
-    return found.select(*a.columns, *(number(n).alias(n) for n in names))
+    fold = lambda side: {f"{side}{n}": F.count(F.when(c, 1)) for n, c in kinds.items()}
+    sums = lambda side: {f"{side}{n}": ("sum", F.coalesce(f"`{side}{n}`", F.lit(0))) for n in kinds}
+    found = _beyond(a, b, by, "start_pos", "end_pos", sums("_ended "), True, fold("_ended "))
+    found = _beyond(found, b, by, "end_pos", "start_pos", sums("_begun "), False, fold("_begun "))
+    # a null in the key overlaps nothing
+    known = F.lit(True)
+    for c in by:
+        known = known & F.col(c).isNotNull()
+    number = lambda n: F.when(known, F.greatest(F.lit(0), F.col(f"`_begun {n}`") - F.col(f"`_ended {n}`"))).otherwise(0)
+    return found.select(*a.columns, *(number(n).cast("long").alias(n) for n in kinds))
 
 
 def semi(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -152,22 +191,24 @@ def anti(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def nearest(a: DataFrame, b: DataFrame, name: str = "distance", by: tuple[str, ...] = ("chrom",)) -> DataFrame:
     """Gap to the nearest interval of ``b`` that doesn't overlap (bookended: 0), null where there is none. Ties need no rule: only the distance counts."""
-    marks = b.select(*by, F.explode(either_side(F.col("end_pos"), F.col("start_pos"))).alias("x")).select(*by, "x.side", "x.at").distinct()
-    marks = marks.withColumns({"mark": F.col("at"), "start_pos": F.lit(None).cast("long"), "end_pos": F.lit(None).cast("long"), "probe": F.lit(0)})
-    loci = a.select(*by, "start_pos", "end_pos").distinct()
-    probes = loci.select(*by, F.explode(either_side(F.col("start_pos"), F.col("end_pos"))).alias("x"), "start_pos", "end_pos")
-    probes = probes.select(*by, "x.side", "x.at", F.lit(None).cast("long").alias("mark"), "start_pos", "end_pos", F.lit(1).alias("probe"))
-    swept = running(marks.unionByName(probes), (*by, "side"), F.col("at"), ["at", "probe"], {"mark": ("max", F.col("mark"))})
-    gap = swept.where("probe = 1").groupBy(*by, "start_pos", "end_pos").agg(F.min(F.col("at") - F.col("mark")).alias(name))
-    return a.join(gap, [*by, "start_pos", "end_pos"], "left")
+    found = _beyond(a, b, by, "start_pos", "end_pos", {"_left": ("max", F.col("_left"))}, True, {"_left": F.max("end_pos")})
+    found = _beyond(found, b, by, "-end_pos", "-start_pos", {"_right": ("max", F.col("_right"))}, True, {"_right": F.max(-F.col("start_pos"))})
+    gap = F.least(F.col("start_pos") - F.col("_left"), -F.col("_right") - F.col("end_pos"))
+    for c in by:
+        gap = F.when(F.col(c).isNotNull(), gap)
+    return found.select(*a.columns, gap.alias(name))
 
 
 def cluster(df: DataFrame, slack: int = 0, by: tuple[str, ...] = ("chrom",), name: str = "cluster", order: tuple[str, ...] = ()) -> DataFrame:
     """Add the running number of each row's cluster: a new one begins where start > largest end so far + slack (bookended intervals merge at 0)."""
+    return _clustered(dealt(df, by, F.col("start_pos")), slack, by, name, order).drop("_bin")
+
+
+def _clustered(df: DataFrame, slack: int, by: tuple[str, ...], name: str, order: tuple[str, ...]) -> DataFrame:
     sort = ["start_pos", "end_pos", *order]
-    out = running(df, by, F.col("start_pos"), sort, {"_reach": ("max", F.col("end_pos"))}, before=True)
+    out = swept(df, by, sort, {"_reach": ("max", F.col("end_pos"))}, before=True)
     out = out.withColumn("_new", F.when(F.col("_reach").isNull() | (F.col("start_pos") > F.col("_reach") + slack), 1).otherwise(0)).drop("_reach")
-    return running(out, by, F.col("start_pos"), [*sort, F.desc("_new")], {name: ("sum", F.col("_new"))}).drop("_new")
+    return swept(out, by, [*sort, F.desc("_new")], {name: ("sum", F.col("_new"))}).drop("_new")
 
 
 def merge(df: DataFrame, slack: int = 0, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
@@ -175,18 +216,23 @@ def merge(df: DataFrame, slack: int = 0, by: tuple[str, ...] = ("chrom",)) -> Da
     return cluster(df, slack, by).groupBy(*by, "cluster").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.count("*").alias("n")).drop("cluster")
 
 
+def _segments(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Covered elementary segments with their depth, dealt by start."""
+    edge = df.select(*by, F.explode(F.array(F.struct(F.col("start_pos").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end_pos").alias("at"), F.lit(-1).alias("d")))).alias("x")).select(*by, "x.at", "x.d")
+    edge = dealt(edge.groupBy(*by, "at").agg(F.sum("d").alias("d")), by, F.col("at"))
+    out = beside(swept(edge, by, ["at"], {"depth": ("sum", F.col("d"))}), by, "at", F.col("at"), "end_pos", True)
+    return out.where("depth > 0 and end_pos is not null").select(*by, F.col("at").alias("start_pos"), "end_pos", F.col("depth").cast("long").alias("depth"), "_bin")
+
+
 def segments(df: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
     """Elementary segments between all starts and ends with the number of intervals that cover each; uncovered ones are left out."""
-    edge = df.select(*by, F.col("start_pos").alias("at"), F.lit(1).alias("d")).union(df.select(*by, F.col("end_pos").alias("at"), F.lit(-1).alias("d")))
-    edge = edge.groupBy(*by, "at").agg(F.sum("d").alias("d"))
-    out = following(running(edge, by, F.col("at"), ["at"], {"depth": ("sum", F.col("d"))}), by, "at", "end_pos")
-    return out.where("depth > 0 and end_pos is not null").select(*by, F.col("at").alias("start_pos"), "end_pos", F.col("depth").cast("long").alias("depth"))
+    return _segments(df, by).drop("_bin")
 
 
 def elementary(df: DataFrame) -> DataFrame:
     """The stretches between neighbouring starts and ends."""
-    cuts = df.select("chrom", F.explode(F.array("start_pos", "end_pos")).alias("start_pos")).distinct()
-    return following(cuts, ("chrom",), "start_pos", "end_pos").where("end_pos is not null")
+    cuts = dealt(df.select("chrom", F.explode(F.array("start_pos", "end_pos")).alias("start_pos")).distinct(), ("chrom",), F.col("start_pos"))
+    return beside(cuts, ("chrom",), "start_pos", F.col("start_pos"), "end_pos", True).where("end_pos is not null").drop("_bin")
 
 
 def multi_intersect(df: DataFrame, source: str) -> DataFrame:
@@ -196,17 +242,22 @@ def multi_intersect(df: DataFrame, source: str) -> DataFrame:
     return pair.groupBy(*KEY).agg(F.concat_ws(",", F.array_sort(F.collect_set(f"b_{source}"))).alias("sources"), F.count_distinct(f"b_{source}").alias("n_sources"))
 
 
-def run_lengths(df: DataFrame, value: str, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
-    """Join adjacent segments of equal value (gaps and islands)."""
-    out = preceding(df, by, "start_pos", F.struct(F.col("end_pos").alias("e"), F.col(value).alias("v")), "_last")
+def _runs(df: DataFrame, value: str, by: tuple[str, ...]) -> DataFrame:
+    """Joined segments of dealt ones."""
+    out = beside(df, by, "start_pos", F.struct(F.col("end_pos").alias("e"), F.col(value).alias("v")), "_last", False)
     new = ~F.coalesce((F.col("_last.e") == F.col("start_pos")) & F.col("_last.v").eqNullSafe(F.col(value)), F.lit(False))
-    runs = running(out.withColumn("_new", new), by, F.col("start_pos"), ["start_pos"], {"run": ("max", F.when(F.col("_new"), F.col("start_pos")))})
+    runs = swept(out.withColumn("_new", new), by, ["start_pos"], {"run": ("max", F.when(F.col("_new"), F.col("start_pos")))})
     return runs.groupBy(*by, "run").agg(F.max("end_pos").alias("end_pos"), F.first(value).alias(value)).select(*by, F.col("run").alias("start_pos"), "end_pos", value)
 
 
+def run_lengths(df: DataFrame, value: str, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
+    """Join adjacent segments of equal value (gaps and islands)."""
+    return _runs(dealt(df, by, F.col("start_pos")), value, by)
+
+
 def depth(df: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
-    """Run-length coverage depth."""
-    return run_lengths(segments(df, by), "depth", by)
+    """Run-length coverage depth: all sweeps on one exchange of the intervals' edges."""
+    return _runs(_segments(df, by), "depth", by)
 
 
 def end_depth(reads: DataFrame, at: str = "three_end") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociq.functions.staging import release, staged
-from lociq.operators.intervals import bins, merge, row_numbers, running, value_bins, with_halo
+from lociq.operators.intervals import cumulated, merge, numbered, with_halo
 
 NOT_COUNTED = 1412  # fixed value: flags of unmapped, second, secondary and duplicate reads
 
@@ -138,14 +138,19 @@ def quantile_columns(array: str, name: str) -> dict[str, Column]:
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
-    """Exact quantiles with linear interpolation of groups of any size: values are counted and ranked in bins, and no group meets in one task."""
+    """Exact quantiles with linear interpolation of groups of any size: values are counted and ranked by range, and no group meets in one task."""
     n = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
-    ranked = running(n, tuple(by), F.lit(0), [value], {"upto": ("sum", F.col("n"))}, bin_of=value_bins(n, value))
-    total = n.groupBy(*by).agg(F.sum("n").alias("total"))
+    ranked = cumulated(n, [*by, value], {"upto": F.col("n")})  # over all groups; what stands before a group is taken off
+    total = ranked.groupBy(*by).agg(F.sum("n").alias("total"), F.min(F.col("upto") - F.col("n")).alias("base"))
     at = lambda q: F.lit(q) * (F.col("total") - 1)
     holds = lambda rank: F.max(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")), F.col(value)))
     parts = [c for i, q in enumerate(QUANTILES) for c in (holds(F.floor(at(q))).alias(f"_low{i}"), holds(F.ceil(at(q))).alias(f"_high{i}"))]
-    both = ranked.join(total, by).groupBy(*by, "total").agg(*parts)
+    keys = [f"b{k}" for k in range(len(by))]
+    total = total.select(*(F.col(c).alias(k) for c, k in zip(by, keys, strict=True)), "total", "base")
+    same = F.lit(True)
+    for c, k in zip(by, keys, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(k))
+    both = ranked.join(total, same).withColumn("upto", F.col("upto") - F.col("base")).groupBy(*by, "total").agg(*parts)
     between = lambda i, q: F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (at(q) - F.floor(at(q)))
     return both.select(*by, *(between(i, q).alias(f"{name}_q{str(q).replace('.', '_').removesuffix('_0')}") for i, q in enumerate(QUANTILES)))
 
@@ -185,7 +190,7 @@ def rolling(df: DataFrame, value: str, widths: list[int], order: list[str], by:
 
     Rows are numbered first, so that stretches of them with as many more at either side as the widest frame needs go to different tasks.
     """
-    halo = with_halo(row_numbers(df, order, bins(by, F.col(order[0])), "_row", by), by, F.col("_row"), max(widths), max(widths), 1 << 16)
+    halo = with_halo(numbered(df, by, order[0], order, "_row"), by, F.col("_row"), max(widths), max(widths), 1 << 16)
     w = Window.partitionBy(*by, "_bin").orderBy("_row")
     out = halo
     for n in widths:

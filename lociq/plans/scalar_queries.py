@@ -17,7 +17,7 @@ flag = lambda: F.col("flag")
 
 @query("o01_coordinate_sort", "select chrom, start_pos, end_pos, row_number() over (partition by chrom order by start_pos, end_pos, l_orderkey, l_linenumber, cell_id, n_reads) as i from peaks")
 def o01(spark, sf):
-    p = iv.row_numbers(peaks(spark, sf), ["start_pos", "end_pos", "l_orderkey", "l_linenumber", "cell_id", "n_reads"], iv.bins(("chrom",), F.col("start_pos")), "i", ("chrom",))
+    p = iv.numbered(peaks(spark, sf), ("chrom",), "start_pos", ["start_pos", "end_pos", "l_orderkey", "l_linenumber", "cell_id", "n_reads"], "i")
     return p.select("chrom", "start_pos", "end_pos", F.col("i").cast("long").alias("i"))
 
 
@@ -30,7 +30,7 @@ def o02(spark, sf):
 @query("o03_order_by_aggregate", "select l_suppkey, row_number() over (order by m desc, l_suppkey) as i from (select l_suppkey, avg(l_quantity) as m from lineitem group by 1)")
 def o03(spark, sf):
     m = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.avg("l_quantity").alias("m"))
-    return iv.row_numbers(m, [F.desc("m"), "l_suppkey"], -iv.value_bins(m, "m"), "i").select("l_suppkey", "i")
+    return iv.row_numbers(m, [F.desc("m"), "l_suppkey"], "i").select("l_suppkey", "i")
 
 
 @query("o04_top_k", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 25")
@@ -63,7 +63,7 @@ def o07(spark, sf):
 @query("o08_concat_sort", "select k, row_number() over (order by k) as i from (select s_suppkey as k from supplier union all select c_custkey + 100000 from customer)")
 def o08(spark, sf):
     k = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k")).union(table(spark, sf, "customer").select(F.col("c_custkey") + 100000))
-    return iv.row_numbers(k, ["k"], iv.value_bins(k, "k"), "i").select("k", "i")
+    return iv.row_numbers(k, ["k"], "i").select("k", "i")
 
 
 @query("u01_union_all", "select kind, count(*) as n from (select 'c' as kind, c_custkey as k from customer union all select 's', s_suppkey from supplier) group by 1")

@@ -182,7 +182,7 @@ def snapshot_lines(df: DataFrame, flank: int = 100) -> DataFrame:
 def thirds(df: DataFrame, order: str) -> DataFrame:
     """Add the third that a row falls into by its rank; the first thirds take what is left over."""
     total = df.agg(F.count("*").alias("_n"))
-    ranked = iv.row_numbers(df, [order], iv.value_bins(df, order), "_i").crossJoin(F.broadcast(total))  # one row
+    ranked = iv.row_numbers(df, [order], "_i").crossJoin(F.broadcast(total))  # one row
     each, over = F.floor(F.col("_n") / 3), F.col("_n") % 3
     early = F.ceil(F.col("_i") / (each + 1))
     return ranked.withColumn("third", F.when(F.col("_i") <= over * (each + 1), early).otherwise(over + F.ceil((F.col("_i") - over * (each + 1)) / each))).drop("_i", "_n")

@@ -42,6 +42,6 @@ def test_against_sql(spark, duck, name):
     assert found == want
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL) - {"m04_tuned_model"}))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
 def test_rows(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0

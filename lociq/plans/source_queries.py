@@ -13,6 +13,7 @@ from lociq.sources import alignment_files as af
 from lociq.sources import fastq_files as fq
 from lociq.sources import readers as rd
 from lociq.sources import region_files as rf
+from lociq.sources import validation as va
 from lociq.sources import variants as vr
 from lociq.sources.proxies import anno, peaks, reads, table
 
@@ -43,6 +44,20 @@ def src03(spark, sf):
     return rd.violations(table(spark, sf, "customer"), {"c_name": None, "c_mktsegment": ["BUILDING", "MACHINERY"]})
 
 
+SHEET_RULES = {
+    "properties": {"c_name": {"type": "string", "pattern": "[02468]$"}, "c_mktsegment": {"enum": ["BUILDING", "MACHINERY", "AUTOMOBILE", "FURNITURE"]}, "c_acctbal": {"type": "number", "minimum": 0, "exclusiveMaximum": 9000}, "c_nationkey": {"type": "integer", "maximum": 20}, "c_phone": {"type": "string"}, "c_custkey": {"type": "string"}},
+    "required": ["c_custkey", "c_phone"],
+}
+BROKEN = {"c_name": {"pattern": "not regexp_matches(c_name, '[02468]$')"}, "c_mktsegment": {"enum": "c_mktsegment not in ('BUILDING', 'MACHINERY', 'AUTOMOBILE', 'FURNITURE')"}, "c_acctbal": {"minimum": "c_acctbal < 0", "exclusiveMaximum": "c_acctbal >= 9000"}, "c_nationkey": {"maximum": "c_nationkey > 20"}, "c_custkey": {"type": "true"}, "c_phone": {"required": "true"}}
+
+
+@query("src03_schema_violations", " union all ".join(f"select c_custkey, '{c}' as field, '{rule}' as rule from customer where {wrong}" for c, rules in BROKEN.items() for rule, wrong in rules.items()))
+def src03_schema(spark, sf):
+    """A sheet against a schema, every rule in one pass: types, patterns, enumerations, bounds, and a required column that the sheet lacks."""
+    sheet = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return va.violations(sheet, SHEET_RULES, ["c_custkey"]).drop("value")
+
+
 @query("src06_bed", "select chrom, start_pos, end_pos, cast(anno_id as varchar) as name, 0.0::double as score, strand from anno where strand is not null")
 def src06(spark, sf):
     path = shared_path(spark, "bed")

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from lociq.functions.staging import shared_path, written_once
 from lociq.operators import learning as ln
 from lociq.operators import loci
+from lociq.operators import summaries as sm
 from lociq.plans.registry import query
 from lociq.plans.region_queries import R6
 from lociq.sources import alignment_files as af
 from lociq.sources import fastq_files as fq
 from lociq.sources import readers as rd
 from lociq.sources import region_files as rf
+from lociq.sources import sequences as sq
 from lociq.sources import validation as va
 from lociq.sources import variants as vr
 from lociq.sources.proxies import anno, peaks, reads, table
@@ -176,6 +178,33 @@ def src19_splits(spark, sf):
     return q.select(F.substring_index("name", " ", 1).alias("name"), "seq", F.length("qual").cast("long").alias("n_qual"), F.substring_index("name", " ", -1).alias("lang"))
 
 
+WIDE = "(select anno_id, chrom, greatest(0, start_pos - 60000) as start_pos, end_pos + 60000 as end_pos from anno)"
+
+
+@query("src17_range_summaries", f"select anno_id, max(n_reads) as top, sum(n_reads * (least(a.end_pos, p.end_pos) - greatest(a.start_pos, p.start_pos)))::bigint as total, sum(least(a.end_pos, p.end_pos) - greatest(a.start_pos, p.start_pos))::bigint as bases from {WIDE} a join peaks p on a.chrom = p.chrom and a.start_pos < p.end_pos and p.start_pos < a.end_pos group by 1")
+def src17_ranges(spark, sf):
+    """Maxima and sums of a signal over wide regions, from blocks of several levels and the intervals at their edges."""
+    a = anno(spark, sf).select("anno_id", "chrom", F.greatest(F.lit(0), F.col("start_pos") - 60_000).alias("start_pos"), (F.col("end_pos") + 60_000).alias("end_pos"))
+    return sm.range_summaries(a, "anno_id", peaks(spark, sf), "n_reads")
+
+
+@query("src18_region_sequences", "select doc_id, substring(regexp_replace(text, '[^acgt]', 'n', 'g'), 1 + 30 * (doc_id % 11)::int, 700) as seq from documents")
+def src18_regions(spark, sf):
+    """Regions across the lines and chunks of a sequence file; those beyond a record's end are cut."""
+    d = table(spark, sf, "documents").select("doc_id", F.regexp_replace("text", "[^acgt]", "n").alias("bases"))
+    lines = d.select(F.concat(F.lit(">d"), "doc_id", F.lit(" a document\n"), F.regexp_replace("bases", "(.{60})", "$1\n")).alias("value"))
+    path = written_once(spark, f"sequences-{sf}", lambda path: lines.write.text(path))
+    start = 30 * (F.col("doc_id") % 11)
+    asked = d.select("doc_id", F.concat(F.lit("d"), "doc_id").alias("chrom"), start.alias("start_pos"), (start + 700).alias("end_pos"))
+    return sq.fetch(sq.chunks(spark, path, 256), asked, "doc_id", 256).select("doc_id", "seq")
+
+
+@query("snk08_raster", "select level, px // (1 << level) as px, py // (1 << level) as py, kind, count(*) as n from (select start_pos * 512 // 2592000 as px, n_reads * 64 // 64 as py, label as kind from peaks where start_pos < 2592000 and n_reads < 64), (select unnest([0, 1, 2, 3]) as level) group by 1, 2, 3, 4")
+def snk08_raster(spark, sf):
+    """A grid of counts by label over position and reads, at four resolutions."""
+    return sm.raster(peaks(spark, sf), "start_pos", "n_reads", (0, 2_592_000, 0, 64), (512, 64), "label")
+
+
 @query("snk01_indexed_regions", "select chrom, start_pos, end_pos, n_reads, label from peaks where chrom = 'chr3' and start_pos < 1500000 and end_pos > 1400000")
 def snk01_indexed(spark, sf):
     """A table written in blocks with an index beside each file, and a region of it read back through the index."""

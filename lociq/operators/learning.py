@@ -13,22 +13,34 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lociq.operators.intervals import row_numbers
 
-def grouped_folds(df: DataFrame, group: str, label: str, folds: int = 5) -> DataFrame:
-    """Add a fold to each row so that a group stays whole and folds have similar numbers of either label.
 
-    Only the counts by group (contigs or donors, a few dozen rows) come to the driver; the largest group goes first to the fold with the fewest positives, then the fewest rows.
+MOST_GROUPS = 100_000  # groups whose counts may come to the driver
+
+
+def grouped_folds(df: DataFrame, group: str, label: str, folds: int = 5, most: int = MOST_GROUPS) -> DataFrame:
+    """Add a fold to each row so that a group stays whole and folds have similar numbers of either label. Rows of a null group are left out.
+
+    The largest group goes first, to the fold with the fewest positives, then the fewest rows; for that the counts by group come to the driver. Beyond ``most`` groups they stay where they
+    are: groups are ranked by positives and rows and dealt back and forth over the folds.
     """
-    counts = df.groupBy(group).agg(F.count(F.when(F.col(label) > 0, 1)).alias("pos"), F.count("*").alias("n")).orderBy(F.desc("pos"), F.desc("n"), group).collect()
+    counts = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.when(F.col(label) > 0, 1)).alias("pos"), F.count("*").alias("n"))
+    order = [F.desc("pos"), F.desc("n"), F.col(group)]
+    few = counts.orderBy(*order).limit(most + 1).collect()
+    if len(few) > most:
+        turn = F.pmod(F.col("_i") - 1, F.lit(2 * folds))
+        dealt = row_numbers(counts, order, "_i").select(group, F.when(turn < folds, turn).otherwise(2 * folds - 1 - turn).cast("int").alias("fold"))
+        return df.join(dealt, group)
     load = [[0, 0, k] for k in range(folds)]
     rows = []
-    for r in counts:
+    for r in few:
         fold = min(load)
         fold[0] += r["pos"]
         fold[1] += r["n"]
         rows.append((r[group], fold[2]))
     kind = df.schema[group].dataType.simpleString()
-    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, f"`{group}` {kind}, fold int")), group)  # a row for each group
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, f"`{group}` {kind}, fold int")), group)  # at most ``most`` rows
 
 
 def donor_split(df: DataFrame, fold: int, train_donors: list, test_donors: list, donor: str = "donor_id") -> tuple[DataFrame, DataFrame]:

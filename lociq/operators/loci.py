@@ -30,7 +30,7 @@ def cluster_stats(df: DataFrame, slack: int = 0, precedence: tuple[str, ...] = P
     """One row for each cluster: label, counts, n_reads quantiles, extent and locus."""
     c = clustered(df, slack)
     out = c.groupBy("chrom", "cluster").agg(
-        best_label("label", precedence).alias("label"), F.count("*").alias("n_regions"), F.count_distinct("cell_id").alias("n_cells"), F.count_distinct("donor_id").alias("n_donors"),
+        best_label("label", precedence).alias("label"), F.count("*").alias("n_regions"), F.count_distinct("cell_id").alias("n_cells"), F.size(F.collect_set("donor_id")).cast("long").alias("n_donors"),  # one distinct count alone doesn't multiply rows; donors are few
         quantiles(F.col("n_reads").cast("double")).alias("quantiles"), F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"),
     )
     return out.withColumn("width", F.col("end_pos") - F.col("start_pos")).withColumn("locus", locus()).withColumns(quantile_columns("quantiles", "n_reads")).drop("cluster", "quantiles")

@@ -184,8 +184,13 @@ def src16(spark, sf):
     a = anno(spark, sf).select("anno_id", *iv.KEY)
     first, last = F.greatest("start_pos", "b_start_pos"), F.least("end_pos", "b_end_pos")
     part = iv.overlap_pairs(a, runs).groupBy("anno_id").agg(F.array_sort(F.collect_list(F.struct(first.alias("s"), last.alias("e"), F.col("b_n_reads").alias("v")))).alias("runs"))
-    dense = F.expr("transform(sequence(start_pos, end_pos - 1), x -> coalesce(get(filter(runs, r -> r.s <= x and x < r.e), 0).v, 0))")  # one run at most
-    return a.join(part, "anno_id", "left").select("anno_id", F.array_join(F.transform(dense, lambda v: v.cast("string")), ",").alias("signal"))
+    # the gap before each run and its values, then what is left
+    dense = F.expr(
+        "concat(flatten(transform(runs, (r, i) -> concat(array_repeat('0', int(r.s - if(i = 0, start_pos, runs[i - 1].e))), array_repeat(string(r.v), int(r.e - r.s))))),"
+        " array_repeat('0', int(end_pos - if(size(runs) = 0, start_pos, runs[size(runs) - 1].e))))"
+    )
+    found = a.join(part, "anno_id", "left").withColumn("runs", F.coalesce("runs", F.array().cast(part.schema["runs"].dataType)))
+    return found.select("anno_id", F.array_join(dense, ",").alias("signal"))
 
 
 @query("a03_exact_quantiles", "select l_returnflag, " + ", ".join(f"round(quantile_cont(l_extendedprice, {q}), 6) as price_q{str(q).replace('.', '_')}" for q in ("0", "0.25", "0.5", "0.75", "1")) + " from lineitem group by 1")

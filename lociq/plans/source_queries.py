@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lociq.functions.staging import shared_path, written_once
+from lociq.functions.staging import written_once
 from lociq.operators import learning as ln
 from lociq.operators import loci
 from lociq.operators import summaries as sm
@@ -20,25 +20,22 @@ from lociq.sources import variants as vr
 from lociq.sources.proxies import anno, peaks, reads, table
 
 
-def written(df, name: str) -> str:
-    """The path of a text file of the only column of ``df``, in tasks' order."""
-    path = shared_path(df.sparkSession, name)
-    df.write.text(path)
-    return path
+def written(df, sf: str, name: str) -> str:
+    """The path of a text file of the only column of ``df``, in tasks' order, written once an application."""
+    return written_once(df.sparkSession, f"{name}-{sf}", lambda path: df.write.text(path))
 
 
 @query("src01_delimited", "select lpad(cast(c_custkey as varchar), 8, '0') as sample_id, c_mktsegment as tissue_id, cast(c_nationkey as varchar) as donor_id from customer")
 def src01(spark, sf):
     """Ids keep their leading zeros, as their columns are pinned to strings."""
-    path = shared_path(spark, "sheet")
-    table(spark, sf, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("sample_id"), F.col("c_mktsegment").alias("tissue_id"), F.col("c_nationkey").alias("donor_id")).write.option("sep", "\t").option("header", True).csv(path)
+    path = written_once(spark, f"sheet-{sf}", lambda path: table(spark, sf, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("sample_id"), F.col("c_mktsegment").alias("tissue_id"), F.col("c_nationkey").alias("donor_id")).write.option("sep", "\t").option("header", True).csv(path))
     return rd.delimited(spark, path, "sample_id string, tissue_id string, donor_id string")
 
 
 @query("src02_lines", "select s_name as line from supplier")
 def src02(spark, sf):
     s = table(spark, sf, "supplier").select(F.explode(F.array(F.concat(F.lit("  "), "s_name", F.lit(" ")), F.lit(""), F.lit("   "))).alias("value"))
-    return rd.lines(spark, written(s, "lines"))
+    return rd.lines(spark, written(s, sf, "lines"))
 
 
 @query("src03_validated_sheet", "select 'c_name' as field, count(*) filter (c_name is null) as missing, 0 as unknown from customer union all select 'c_mktsegment', count(*) filter (c_mktsegment is null), count(*) filter (c_mktsegment not in ('BUILDING', 'MACHINERY')) from customer")
@@ -62,9 +59,8 @@ def src03_schema(spark, sf):
 
 @query("src06_bed", "select chrom, start_pos, end_pos, cast(anno_id as varchar) as name, 0.0::double as score, strand from anno where strand is not null")
 def src06(spark, sf):
-    path = shared_path(spark, "bed")
     a = anno(spark, sf).where("strand is not null").select("chrom", "start_pos", "end_pos", F.col("anno_id").alias("name"), F.lit(0.0).alias("score"), "strand")
-    rd.write_bed(a, path)
+    path = written_once(spark, f"bed-{sf}", lambda path: rd.write_bed(a, path))
     return rd.bed(spark, path, 6)
 
 
@@ -72,7 +68,7 @@ def src06(spark, sf):
 def src07(spark, sf):
     """Packed fields of a text file; a field that isn't there is null."""
     line = F.concat_ws("\t", F.col("p_partkey").cast("string"), F.concat(F.lit("ref_pos="), "p_size", F.when(F.col("p_size") > 25, F.concat(F.lit(",chimeric="), "p_size")).otherwise(F.lit(",hybrid=0"))), F.concat(F.lit("unique:"), F.when(F.col("p_type").contains("STEEL"), "yes").otherwise("no"), F.lit(",50bp_or_longer:no")), F.concat(F.lit("status="), F.split("p_type", " ")[0], F.lit(",MEI=L1")))
-    rows = rd.delimited(spark, written(table(spark, sf, "part").select(line), "insertions"), "p_partkey long, p string, q string, s string", header=False)
+    rows = rd.delimited(spark, written(table(spark, sf, "part").select(line), sf, "insertions"), "p_partkey long, p string, q string, s string", header=False)
     return rd.insertions(rows, "p", "q", "s").select("p_partkey", F.col("ref_pos"), "chimeric", "is_unique", "status", "family")
 
 
@@ -81,22 +77,21 @@ def src08(spark, sf):
     """Absence genotypes: 'subfamily:family', 'name=length' and 'genotype;filter'."""
     li = table(spark, sf, "lineitem")
     line = F.concat_ws("\t", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.concat(F.lit("AluY"), F.col("l_suppkey") % 3, F.lit(":Alu")), F.concat(F.lit("TSD_len="), F.col("l_quantity").cast("long")), F.concat("l_returnflag", F.lit(";"), F.when(F.col("l_linestatus") == "F", "PASS").otherwise("LOW")))
-    rows = rd.delimited(spark, written(li.select(line), "absences"), "l_orderkey long, l_linenumber int, repeat string, tsd string, call string", header=False)
+    rows = rd.delimited(spark, written(li.select(line), sf, "absences"), "l_orderkey long, l_linenumber int, repeat string, tsd string, call string", header=False)
     return rd.absences(rows, "repeat", "tsd", "call").select("l_orderkey", "l_linenumber", "subfamily", "family", "tsd_length", "genotype", "passed")
 
 
 @query("src10_sources_by_donor", "select cast(donor_id as varchar) as donor, chrom, count(*) as n from anno group by 1, 2")
 def src10(spark, sf):
     """A file for each donor, all read at once with the donor as a column."""
-    path = shared_path(spark, "donors")
-    anno(spark, sf).select(F.col("donor_id").alias("donor"), "chrom", "start_pos", "end_pos").write.partitionBy("donor").option("sep", "\t").csv(path)
+    path = written_once(spark, f"donors-{sf}", lambda path: anno(spark, sf).select(F.col("donor_id").alias("donor"), "chrom", "start_pos", "end_pos").write.partitionBy("donor").option("sep", "\t").csv(path))
     return rd.sources(spark, f"{path}/donor=*", "chrom string, start_pos long, end_pos long", r"donor=(\d+)", "donor").groupBy("donor", "chrom").agg(F.count("*").alias("n"))
 
 
 @query("src12_vcf", "select concat('chr', o_custkey % 5) as chrom, o_orderkey - 1 as start_pos, o_orderkey as end_pos, cast(o_orderkey as varchar) as id, (o_orderkey % 4)::int as ac, case when o_orderstatus = 'F' then '0/1' else '1/1' end as genotype from orders where o_orderkey % 4 > 0")
 def src12(spark, sf):
     line = "concat_ws('\t', concat('chr', o_custkey % 5), o_orderkey, o_orderkey, 'A', 'ACG', '.', 'PASS', concat('AN=2;AC=', o_orderkey % 4), 'GT:DP', concat(case when o_orderstatus = 'F' then '0/1' else '1/1' end, ':30')) as value"
-    rows = rd.vcf(spark, written(table(spark, sf, "orders").selectExpr(line), "vcf"))
+    rows = rd.vcf(spark, written(table(spark, sf, "orders").selectExpr(line), sf, "vcf"))
     called = rd.vcf_intervals(rows, keep=("sample",))
     return called.withColumn("genotype", F.split("sample", ":")[0]).drop("sample")
 
@@ -107,7 +102,7 @@ def src13(spark, sf):
     r = reads(spark, sf)
     line = F.concat_ws("\t", F.col("event_id").cast("string"), F.col("flag").cast("string"), "chrom", (F.col("start_pos") + 1).cast("string"), F.col("mapq").cast("string"), F.lit("50M"), F.lit("="), F.lit("1"), F.lit("0"), F.lit("ACGT"), F.lit("IIII"), F.concat(F.lit("CB:Z:"), "cell_id"), F.concat(F.lit("AS:f:"), F.col("score").cast("string")))
     head = spark.createDataFrame([("@HD\tVN:1.6",), ("@SQ\tSN:chr0\tLN:2592000",)], "value string")
-    s = rd.alignments(spark, written(head.union(r.select(line.alias("value"))), "sam"))
+    s = rd.alignments(spark, written(head.union(r.select(line.alias("value"))), sf, "sam"))
     return s.select("name", "flag", "chrom", "start_pos", "mapq", F.col("tags")["CB"].alias("cell"), (F.col("tags")["AS"].cast("double") > 50).alias("strong"))
 
 
@@ -163,8 +158,7 @@ def src14_fetch(spark, sf):
 def src19(spark, sf):
     """Compressed records of four lines, read as a stream; those of a list of names are counted by a semi join."""
     d = table(spark, sf, "documents").select("doc_id", "source")
-    path = shared_path(spark, "fastq")
-    d.select(F.concat_ws("\n", F.concat(F.lit("@"), "doc_id"), F.col("source"), F.lit("+"), F.regexp_replace("source", ".", "I"))).write.option("compression", "gzip").text(path)
+    path = written_once(spark, f"fastq-{sf}", lambda path: d.select(F.concat_ws("\n", F.concat(F.lit("@"), "doc_id"), F.col("source"), F.lit("+"), F.regexp_replace("source", ".", "I"))).write.option("compression", "gzip").text(path))
     q = rd.fastq(spark, f"{path}/*.gz")
     listed = d.where("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("name"), F.lit(1).alias("listed")).distinct()
     return q.join(listed, "name", "left").agg(F.count("*").alias("n_reads"), F.count("listed").alias("n_even"), F.sum(F.length("seq")).alias("bases"))
@@ -215,8 +209,7 @@ def snk01_indexed(spark, sf):
 
 @query("src22_parquet", "select n_nationkey, n_name, n_regionkey from nation")
 def src22(spark, sf):
-    path = shared_path(spark, "plain")
-    table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey").write.parquet(path)
+    path = written_once(spark, f"plain-{sf}", lambda path: table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey").write.parquet(path))
     return spark.read.parquet(path)
 
 
@@ -224,28 +217,28 @@ def src22(spark, sf):
 def src24(spark, sf):
     n = table(spark, sf, "nation").groupBy("n_regionkey").agg(F.concat_ws("\n", F.array_sort(F.collect_list(F.concat("n_name", F.lit("\t"), "n_nationkey")))).alias("rows"))
     part = F.concat(F.lit(">>Module "), "n_regionkey", F.lit("\t"), F.when(F.col("n_regionkey") % 2 == 0, "pass").otherwise("warn"), F.lit("\n#Name\tValue\n"), "rows", F.lit("\n>>END_MODULE"))
-    return rd.sections(spark, written(n.select(part), "report")).groupBy("section", "status").agg(F.count("*").alias("n"))
+    return rd.sections(spark, written(n.select(part), sf, "report")).groupBy("section", "status").agg(F.count("*").alias("n"))
 
 
 @query("src25_flagstat", "select count(*) as total, count(*) filter (flag & 1024 > 0) as duplicates from reads")
 def src25(spark, sf):
     n = reads(spark, sf).agg(F.count("*").alias("a"), F.count(F.when(F.col("flag").bitwiseAND(1024) > 0, 1)).alias("b"))
     text = n.select(F.concat("a", F.lit(" + 0 in total\n0 + 0 secondary\n0 + 0 supplementary\n"), "b", F.lit(" + 0 duplicates")))
-    return rd.flagstat(spark, written(text.coalesce(1), "flagstat") + "/*.txt", {0: "total", 3: "duplicates"}).drop("path")
+    return rd.flagstat(spark, written(text.coalesce(1), sf, "flagstat") + "/*.txt", {0: "total", 3: "duplicates"}).drop("path")
 
 
 @query("src26_trim_log", "select count(*) as pairs, count(*) filter (mapq >= 10) as written from reads")
 def src26(spark, sf):
     n = reads(spark, sf).agg(F.count("*").alias("a"), F.count(F.when(F.col("mapq") >= 10, 1)).alias("b"))
     text = n.select(F.concat(F.lit("Total read pairs processed:   "), F.format_number("a", 0), F.lit("\nPairs written (passing filters):   "), F.format_number("b", 0), F.lit(" (9.9%)")))
-    return rd.trim_log(spark, written(text.coalesce(1), "trim") + "/*.txt").drop("path")
+    return rd.trim_log(spark, written(text.coalesce(1), sf, "trim") + "/*.txt").drop("path")
 
 
 @query("src28_last_columns", "select chrom, start_pos, end_pos, n_reads as reads, round(n_reads / 60.0, 6) as rpm from peaks")
 def src28(spark, sf):
     """The last two of a number of columns that isn't known, after the first three."""
     line = F.concat_ws("\t", "chrom", F.col("start_pos").cast("string"), F.col("end_pos").cast("string"), F.when(F.col("n_reads") > 25, F.lit("x\ty")).otherwise("z"), F.col("n_reads").cast("string"), F.round(F.col("n_reads") / 60.0, 6).cast("string"))
-    return rd.last_columns(spark, written(peaks(spark, sf).select(line), "coverage"), {"reads": "long", "rpm": "double"})
+    return rd.last_columns(spark, written(peaks(spark, sf).select(line), sf, "coverage"), {"reads": "long", "rpm": "double"})
 
 
 @query("src29_blast", "select concat('chr', s_nationkey % 5) as chrom, s_suppkey - 1 as start_pos, s_suppkey + 20 as end_pos, s_name as name, case when s_suppkey % 2 = 0 then '+' else '-' end as strand from supplier")
@@ -253,28 +246,25 @@ def src29(spark, sf):
     even = F.col("s_suppkey") % 2 == 0
     ends = F.when(even, F.concat_ws("\t", "s_suppkey", F.col("s_suppkey") + 20)).otherwise(F.concat_ws("\t", F.col("s_suppkey") + 20, "s_suppkey"))
     line = F.concat_ws("\t", "s_name", F.concat(F.lit("chr"), F.col("s_nationkey") % 5), F.lit("99.0\t20\t0\t0\t1\t20"), ends, F.lit("1e-5\t40.0"), F.when(even, "plus").otherwise("minus"), F.lit("100.0"))
-    return rd.blast_intervals(rd.delimited(spark, written(table(spark, sf, "supplier").select(line), "blast"), rd.BLAST, header=False))
+    return rd.blast_intervals(rd.delimited(spark, written(table(spark, sf, "supplier").select(line), sf, "blast"), rd.BLAST, header=False))
 
 
 @query("src32_values_of_paths", "select event_type as kind, count(*) as n from events group by 1")
 def src32(spark, sf):
-    path = shared_path(spark, "kinds")
-    table(spark, sf, "events").select("event_type", "event_id").write.partitionBy("event_type").parquet(path)
+    path = written_once(spark, f"kinds-{sf}", lambda path: table(spark, sf, "events").select("event_type", "event_id").write.partitionBy("event_type").parquet(path))
     files = spark.read.option("recursiveFileLookup", True).schema("event_id long").parquet(path)
     return rd.from_paths(files, r"event_type=([^/]+)/", "kind").groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query("snk01_region_table", "select chrom, start_pos, end_pos, anno_id, concat(chrom, ':', start_pos, '-', end_pos) as locus from anno")
 def snk01(spark, sf):
-    path = shared_path(spark, "regions")
-    rd.table_file(anno(spark, sf).select("chrom", "start_pos", "end_pos", "anno_id"), path)
+    path = written_once(spark, f"table-{sf}", lambda path: rd.table_file(anno(spark, sf).select("chrom", "start_pos", "end_pos", "anno_id"), path))
     return rd.tabix(spark, path, "chrom string, start_pos long, end_pos long, anno_id long")
 
 
 @query("snk02_parquet_by_contig", "select chrom, count(*) as n, sum(start_pos)::bigint as total from anno group by 1")
 def snk02(spark, sf):
-    path = shared_path(spark, "contigs")
-    rd.parquet_by_contig(anno(spark, sf), path, 1000)
+    path = written_once(spark, f"contigs-{sf}", lambda path: rd.parquet_by_contig(anno(spark, sf), path, 1000))
     return spark.read.parquet(path).groupBy("chrom").agg(F.count("*").alias("n"), F.sum("start_pos").alias("total"))
 
 
@@ -282,15 +272,14 @@ def snk02(spark, sf):
 def snk05(spark, sf):
     """A signal as wiggle text, with a header before each contig's lines, and read back."""
     h = reads(spark, sf).groupBy("chrom", F.expr("start_pos div 3600").alias("hour")).agg(F.count("*").alias("n"))
-    path = shared_path(spark, "wig")
-    rd.write_wig(h.select("chrom", (F.col("hour") * 3600).alias("start_pos"), F.col("n").alias("value")), path, 3600)
+    signal = h.select("chrom", (F.col("hour") * 3600).alias("start_pos"), F.col("n").alias("value"))
+    path = written_once(spark, f"wig-{sf}", lambda path: rd.write_wig(signal, path, 3600))
     return rd.wig(spark, path)
 
 
 @query("snk06_json", "select c_custkey, c_name, round(c_acctbal, 2) as c_acctbal from customer")
 def snk06(spark, sf):
-    path = shared_path(spark, "json")
-    table(spark, sf, "customer").select("c_custkey", "c_name", F.round("c_acctbal", 2).alias("c_acctbal")).write.json(path)
+    path = written_once(spark, f"json-{sf}", lambda path: table(spark, sf, "customer").select("c_custkey", "c_name", F.round("c_acctbal", 2).alias("c_acctbal")).write.json(path))
     return spark.read.schema("c_custkey long, c_name string, c_acctbal double").json(path)
 
 

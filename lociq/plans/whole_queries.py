@@ -1,16 +1,13 @@
-"""Second names of queries that once kept to a part of their table; tests hold these against brute force as well as SQL."""
+"""A query whose result is too large for a comparison with SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from lociq.operators import intervals as iv
-from lociq.plans.registry import ORACLE_SQL, QUERIES, query
+from lociq.plans.registry import query
 from lociq.sources.proxies import peaks
 
-for name in ("src14_region_fetch", "a17_track_max", "w19_motif_score", "a33_allele_frequency", "f04_membership", "j07_overlap_left", "j08_overlap_bases", "j12_nearest", "j13_nearest_self", "j14_nearest_by_donor"):
-    QUERIES[f"{name}_whole"], ORACLE_SQL[f"{name}_whole"] = QUERIES[name], ORACLE_SQL[name]
-
 
 @query("src16_dense_values_whole")
 def src16(spark, sf):

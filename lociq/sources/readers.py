@@ -237,15 +237,36 @@ def write_bed(df: DataFrame, path: str) -> None:
     df.orderBy(*df.columns[:3]).write.option("sep", "\t").csv(path)
 
 
+HEADER_EACH = 1000  # lines of a wiggle file under one header, so that files can be split
+
+
 def write_wig(signal: DataFrame, path: str, span: int) -> None:
-    """Write (chrom, start_pos, value) as wiggle text: before each line of a 1-based position its header with contig and span, so that files can be split anywhere."""
-    line = F.concat(F.lit("variableStep chrom="), "chrom", F.lit(f" span={span}\n"), (F.col("start_pos") + 1).cast("string"), F.lit(" "), F.col("value").cast("string"))
-    signal.repartitionByRange("chrom", "start_pos").sortWithinPartitions("chrom", "start_pos").select(line).write.text(path)
+    """Write (chrom, start_pos, value) as wiggle text of 1-based positions: a header with contig and span where a task's contig changes, and every ``HEADER_EACH`` lines."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        last, n = None, 0
+        for batch in batches:
+            out = []
+            for chrom, at, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if chrom != last or n % HEADER_EACH == 0:
+                    out.append(f"variableStep chrom={chrom} span={span}")
+                    last, n = chrom, 0
+                out.append(f"{at} {value}")
+                n += 1
+            yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
+
+    sorted_ = signal.repartitionByRange("chrom", "start_pos").sortWithinPartitions("chrom", "start_pos")
+    sorted_.select("chrom", F.col("start_pos") + 1, F.col("value").cast("string")).mapInArrow(run, "value string").write.text(path)
 
 
 def wig(spark: SparkSession, path: str) -> DataFrame:
-    """Read wiggle text whose blocks each name their contig: chrom, 1-based start_pos, value."""
-    block = spark.read.option("lineSep", "variableStep ").text(path).where(F.trim("value") != "")
-    lines = F.filter(F.split("value", "\n"), lambda x: x.rlike(r"^\d"))
-    rows = block.select(packed(F.col("value"), r"chrom=(\S+)").alias("chrom"), F.explode(lines).alias("line"))
-    return rows.select("chrom", F.split("line", " ")[0].cast("long").alias("start_pos"), F.split("line", " ")[1].cast("double").alias("value"))
+    """Read wiggle text, blocks of variable or of fixed steps that each name their contig: chrom, 1-based start_pos, value. Lines that are no data (tracks, comments) go."""
+    block = spark.read.option("lineSep", "Step ").text(path)
+    # a block ends with the word that begins the next one's header
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: x.rlike(r"^[\d.+-]"))
+    named = block.where(F.col("value").startswith("chrom=") | F.col("value").rlike("^[^\n]*chrom=")).select(packed(F.col("value"), r"chrom=(\S+)").alias("chrom"), packed(F.col("value"), r"^[^\n]*start=(\d+)").cast("long").alias("first"), packed(F.col("value"), r"^[^\n]*step=(\d+)").cast("long").alias("step"), F.posexplode(lines).alias("k", "line"))
+    cells = F.split(F.trim("line"), r"\s+")
+    fixed = F.col("first").isNotNull()
+    return named.select("chrom", F.when(fixed, F.col("first") + F.col("k") * F.coalesce("step", F.lit(1))).otherwise(F.get(cells, F.lit(0)).try_cast("long")).alias("start_pos"), F.when(fixed, F.get(cells, F.lit(0))).otherwise(F.get(cells, F.lit(1))).try_cast("double").alias("value"))

@@ -133,6 +133,12 @@ def test_folds_and_splits(spark, rows):
         ln.donor_split(f, 0, ["u"], ["x"], "kind")
 
 
+def test_folds_of_many_groups(rows):
+    """Beyond the bound groups are dealt without the driver: whole, and as even."""
+    f = ln.grouped_folds(rows.drop("fold"), "id", "label", 4, most=10).groupBy("fold").agg(F.count("*").alias("n"), F.sum("label").alias("pos")).collect()
+    assert sum(r["n"] for r in f) == 900 and max(r["n"] for r in f) - min(r["n"] for r in f) <= 1 and max(r["pos"] for r in f) - min(r["pos"] for r in f) <= 1
+
+
 def test_cross_prediction_uses_the_other_folds(rows):
     """Each row's probability is that of a model fitted without its fold."""
     got = {r["id"]: r["test_proba"] for r in ln.cross_predict(rows.withColumn("fold", F.col("fold") % 2), NAMES, LogisticRegression(maxIter=5), 2).collect()}

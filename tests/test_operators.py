@@ -178,3 +178,14 @@ def test_greedy_peaks_across_stretches(spark):
             chosen.append((c, s, e))
     assert sorted((x["chrom"], x["start_pos"], x["end_pos"]) for x in rg.greedy_peaks(df, 5, 20, span=1000).collect()) == sorted(chosen)
     assert rg.greedy_peaks(df, 10**6, 20).count() == 0
+
+
+def test_wiggle(spark, tmp_path):
+    from lociq.sources import readers as rd
+
+    (tmp_path / "a.wig").write_text("track type=wiggle_0\n# a comment\nfixedStep chrom=chr3 start=400 step=100 span=5\n11\n22.5\nvariableStep chrom=chrX\n300 -1\n7 2\nfixedStep chrom=chr4 start=1\n9\n8\n")
+    assert [tuple(r) for r in rd.wig(spark, str(tmp_path / "a.wig")).collect()] == [("chr3", 400, 11.0), ("chr3", 500, 22.5), ("chrX", 300, -1.0), ("chrX", 7, 2.0), ("chr4", 1, 9.0), ("chr4", 2, 8.0)]
+    rows = [(f"chr{k % 3}", k * 7, float(k)) for k in range(5000)]
+    rd.write_wig(spark.createDataFrame(rows, "chrom string, start_pos long, value double"), str(tmp_path / "w"), 7)
+    assert sorted(map(tuple, rd.wig(spark, str(tmp_path / "w")).collect())) == sorted((c, s + 1, v) for c, s, v in rows)
+    assert sum(f.read_text().count("Step") for f in (tmp_path / "w").glob("part*")) < 40

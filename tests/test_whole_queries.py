@@ -44,7 +44,7 @@ def dense(peak):
 def test_region_fetch(spark, place):
     r = rows(reads(spark, SF).select("event_id", "chrom", "start_pos", "end_pos"))
     want = [(a["anno_id"], x["event_id"]) for a in place for x in r if a["chrom"] == x["chrom"] and a["start_pos"] - 500 < x["end_pos"] and x["start_pos"] < a["end_pos"] + 500]
-    assert found(spark, "src14_region_fetch_whole") == sorted(want, key=str) and len({a for a, _ in want}) > 100
+    assert found(spark, "src14_region_fetch") == sorted(want, key=str) and len({a for a, _ in want}) > 100
 
 
 def test_dense_values(spark, dense):
@@ -53,7 +53,7 @@ def test_dense_values(spark, dense):
 
 
 def test_track_max(spark, dense):
-    got = sorted((r["chrom"], r["start_pos"], r["end_pos"], r["n_reads"]) for r in rows(catalog.QUERIES["a17_track_max_whole"](spark, SF)))
+    got = sorted((r["chrom"], r["start_pos"], r["end_pos"], r["n_reads"]) for r in rows(catalog.QUERIES["a17_track_max"](spark, SF)))
     assert sum(e - s for _, s, e, _ in got) == sum(v > 10 for v in dense.values())
     assert all(dense[c, at] == v for c, s, e, v in got for at in range(s, e))
     assert all(a[0] != b[0] or a[2] < b[1] or (a[2] == b[1] and a[3] != b[3]) for a, b in zip(got, got[1:], strict=False))
@@ -64,7 +64,7 @@ def test_motif_score(spark):
         return max(sum(w.get(b, 0) for w, b in zip(WEIGHTS, s[i:], strict=False)) for i in range(len(s) - len(WEIGHTS) + 1))
 
     want = {r["event_id"]: max(best(r["seq"]), best(r["seq"][::-1].translate(str.maketrans("ACGT", "TGCA")))) for r in rows(aligned(spark, SF))}
-    got = {r["event_id"]: r["best"] for r in rows(catalog.QUERIES["w19_motif_score_whole"](spark, SF))}
+    got = {r["event_id"]: r["best"] for r in rows(catalog.QUERIES["w19_motif_score"](spark, SF))}
     assert got.keys() == want.keys() and len(got) > 500 and all(math.isclose(got[k], want[k], abs_tol=1e-5) for k in got)
 
 
@@ -72,7 +72,7 @@ def test_allele_frequency(spark):
     li, total = rows(table(spark, SF, "lineitem")), defaultdict(float)
     for r in li:
         total[r["l_partkey"]] += float(r["l_discount"])
-    got = rows(catalog.QUERIES["a33_allele_frequency_whole"](spark, SF))
+    got = rows(catalog.QUERIES["a33_allele_frequency"](spark, SF))
     want = sorted((r["l_orderkey"], r["l_linenumber"], r["l_suppkey"], round(total[r["l_partkey"]], 4)) for r in li)
     assert sorted((r["l_orderkey"], r["l_linenumber"], r["l_suppkey"], round(float(r["af"]), 4)) for r in got) == want
 
@@ -80,7 +80,7 @@ def test_allele_frequency(spark):
 def test_membership(spark):
     bad = {r["l_suppkey"] for r in rows(table(spark, SF, "lineitem")) if r["l_quantity"] > 49}
     want = [(r["s_suppkey"], c := r["s_nationkey"] in (1, 3, 5), r["s_suppkey"] in bad, c and r["s_suppkey"] not in bad) for r in rows(table(spark, SF, "supplier"))]
-    assert found(spark, "f04_membership_whole") == sorted(want, key=str)
+    assert found(spark, "f04_membership") == sorted(want, key=str)
 
 
 def overlapping(peak, place):
@@ -98,8 +98,8 @@ def test_overlap_left_and_bases(spark, peak, place):
         head = tuple(p[c] for c in ("l_orderkey", "l_linenumber", "cell_id", "start_pos", "end_pos"))
         left += [(*head, a["anno_id"], a["start_pos"], a["end_pos"]) for a in hit] or [(*head, -1, -1, -1)]
         bases += [(*head, a["anno_id"], min(p["end_pos"], a["end_pos"]) - max(p["start_pos"], a["start_pos"])) for a in hit] or [(*head, -1, 0)]
-    assert found(spark, "j07_overlap_left_whole") == sorted(left, key=str)
-    assert found(spark, "j08_overlap_bases_whole") == sorted(bases, key=str)
+    assert found(spark, "j07_overlap_left") == sorted(left, key=str)
+    assert found(spark, "j08_overlap_bases") == sorted(bases, key=str)
 
 
 def gaps(a, b, by):
@@ -119,7 +119,7 @@ def gaps(a, b, by):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("name", "own", "by"), [("j12_nearest_whole", False, ("chrom",)), ("j13_nearest_self_whole", True, ("chrom",)), ("j14_nearest_by_donor_whole", False, ("donor_id", "chrom"))])
+@pytest.mark.parametrize(("name", "own", "by"), [("j12_nearest", False, ("chrom",)), ("j13_nearest_self", True, ("chrom",)), ("j14_nearest_by_donor", False, ("donor_id", "chrom"))])
 def test_nearest(spark, peak, place, name, own, by):
     names = [*dict.fromkeys((*by, "chrom", "start_pos", "end_pos")), "distance"]
     got = sorted((tuple(r[c] for c in names) for r in rows(catalog.QUERIES[name](spark, SF))), key=str)

@@ -213,16 +213,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: floa
     Tokens are runs of letters and digits in lower case, and single characters in scripts without spaces. A pair counts if aligned tokens hold a stretch of ``least`` tokens (or of the whole
     item, if that is shorter) that begins and ends with a match and of which ``share`` agree; the seeds leave out none of these, for which ``least`` must be
     13 and ``share`` 0.75 at the least. Items go to the tasks in blocks of at most ``block_tokens`` tokens, each with
-    one scan of all documents, so that what is sent has a fixed bound whatever the benchmark's size. Documents are never shuffled, and long ones are read whole.
+    one scan of all documents, one after another, so that what is held and sent has a fixed bound whatever the benchmark's size. Documents are never shuffled, and long ones are read whole.
 
     Nulls, empty texts and items of under five tokens overlap with nothing. Repeated rows give repeated rows. Empty tables give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), searched(F.col("text")).alias("text"))
-    parts = [docs.mapInArrow(_scan(block, least, share), FOUND_DDL) for block in item_blocks(benchmark, block_tokens)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    out = last = None
+    for block in item_blocks(benchmark, block_tokens):
+        if last is not None:  # done before the next block's seeds are made, so the driver holds those of one block
+            done = staged(last, "overlaps")
+            out = done if out is None else out.unionByName(done)
+        last = docs.mapInArrow(_scan(block, least, share), FOUND_DDL)
+    return last if out is None else out.unionByName(last)
 
 
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: float = 0.75, block_tokens: int = 1_000_000) -> DataFrame:

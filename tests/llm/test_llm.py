@@ -899,3 +899,60 @@ def test_near_duplicates_of_regular_words(spark):
     rows = [(k + 1, t) for k, t in enumerate(texts)] + [(10, " ".join(texts[:2] * 4)), (11, " ".join([texts[0]] * 8))]
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, rows)).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 1, 10: 10, 11: 11}
+
+
+# ------------------------------------------------------------------------------------------ whole tables by brute force
+
+
+def overlapping(doc, item, least=13, share=0.75):
+    """Whether aligned tokens hold a stretch of ``least`` (or the whole of a shorter item) that begins and ends with a match and agrees by ``share``."""
+    i, j = np.nonzero(np.array(doc, object)[:, None] == np.array(item, object)[None, :])
+    n = len(item)
+    shift, count = np.unique(i - j, return_counts=True)
+    for d in shift[count >= share * min(n, least)].tolist():
+        at = np.sort(j[i - j == d])
+        if n < least:
+            if len(at) >= share * n and at[0] == 0 and at[-1] == n - 1:
+                return True
+            continue
+        for a in range(len(at)):
+            length = at[a:] - at[a] + 1
+            if ((length >= least) & (np.arange(1, len(length) + 1) >= share * length)).any():
+                return True
+    return False
+
+
+def test_decontamination_of_whole_tables(spark):
+    docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    cut = lambda t: re.findall("[0-9a-z\x80-\U0010ffff]+", (t or "").lower())
+    bench = [(r["item_id"], cut(r["text"])) for r in items.collect()]
+    want = {}
+    for r in docs.collect():
+        tokens_ = cut(r["text"])
+        if found := sorted(i for i, t in bench if len(t) >= decontaminate.SHORTEST and tokens_ and overlapping(tokens_, t)):
+            want[r["doc_id"]] = found
+    got = {r["doc_id"]: list(r["item_ids"]) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == want and len(want) >= 3
+
+
+def entropy_spans(text):
+    """Candidates with a window of enough bits, by counting each window anew."""
+    for m in re.finditer(secrets.CANDIDATE, text):
+        left = re.sub(secrets.ALLOWED, "\x03", m[0])
+        limits = [(secrets.RUN + "{20,}", secrets.BASE64_BITS if re.search("[0-9]", m[0]) else secrets.PLAIN_BITS), *secrets.CLASSES]
+        runs = [(x[0], bits) for pattern, bits in limits for x in re.finditer(pattern, left) if re.search("[A-Za-z]", x[0])]
+        bits_of = lambda w: -sum(c / 20 * np.log2(c / 20) for c in Counter(w).values())
+        if any(max(bits_of(x[k : k + 20]) for k in range(len(x) - 19)) >= bits for x, bits in runs):
+            yield m.start(), m.end()
+
+
+def test_entropy_spans_both_ways(spark):
+    """All strings that the definition names, and no others: in the table, and in strings of many kinds."""
+    r = random.Random(17)
+    kinds = ["0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "0123456789", "ab1", "abcdefgh-/=_"]
+    word = lambda: "".join(r.choice(k) for k in [r.choice(kinds)] for _ in range(r.choice([5, 19, 20, 21, 32, 40, 64])))
+    texts = [" ".join(r.choice([word(), word() + r.choice(["=", "/", "é", ":"]) + word(), "the", "example" + word(), "550e8400-e29b-41d4-a716-446655440000"]) for _ in range(12)) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").union(spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id + 1000", "text"))
+    got = {x["doc_id"]: [tuple(map(int, s.split(":")[1:])) for s in x["spans"].split(",") if s.startswith("entropy:")] for x in secrets.scan(docs).select("doc_id", "spans").collect()}
+    want = {x["doc_id"]: list(entropy_spans(x["text"] or "")) for x in docs.collect()}
+    assert {i: (got[i], w) for i, w in want.items() if got[i] != w} == {} and sum(map(len, want.values())) > 100

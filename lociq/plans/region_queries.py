@@ -316,8 +316,8 @@ def w16(spark, sf):
 
 @query("w17_running_totals", "select event_id, sum(mapq) over (partition by cell_id order by start_pos, event_id)::bigint as total, row_number() over (partition by cell_id order by start_pos, event_id) as i from reads")
 def w17(spark, sf):
-    w = Window.partitionBy("cell_id").orderBy("start_pos", "event_id")
-    return reads(spark, sf).select("event_id", F.sum("mapq").over(w).alias("total"), F.row_number().over(w).cast("long").alias("i"))
+    out = iv.running(reads(spark, sf).select("cell_id", "start_pos", "event_id", "mapq"), ("cell_id",), F.col("start_pos"), ["start_pos", "event_id"], {"total": ("sum", F.col("mapq")), "i": ("sum", F.lit(1))})
+    return out.select("event_id", F.col("total").cast("long").alias("total"), F.col("i").cast("long").alias("i"))
 
 
 @query("w07_ecdf", "select distinct donor_id, n_reads, count(*) over (partition by donor_id order by n_reads) as upto, round(cume_dist() over (partition by donor_id order by n_reads), 6) as ecdf, round(1 - cume_dist() over (partition by donor_id order by n_reads), 6) as complement from peaks")

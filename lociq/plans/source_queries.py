@@ -12,6 +12,7 @@ from lociq.plans.registry import query
 from lociq.plans.region_queries import R6
 from lociq.sources import alignment_files as af
 from lociq.sources import fastq_files as fq
+from lociq.sources import genotypes as gt
 from lociq.sources import readers as rd
 from lociq.sources import region_files as rf
 from lociq.sources import sequences as sq
@@ -88,6 +89,26 @@ def src10(spark, sf):
     return rd.sources(spark, f"{path}/donor=*", "chrom string, start_pos long, end_pos long", r"donor=(\d+)", "donor").groupBy("donor", "chrom").agg(F.count("*").alias("n"))
 
 
+@query(
+    "src10_donor_genotypes",
+    "with e as (select chrom, greatest(0, case when strand = '-' then start_pos - 100 else end_pos - 201 end) as s, case when strand = '-' then start_pos + 201 else end_pos + 100 end as e from anno where anno = '2-HIGH' and anno_id % 3 = 2 and strand is not null), "
+    "d as (select distinct donor_id from peaks), x as (select e.chrom, e.s, e.e, d.donor_id, row_number() over () as i from e cross join d), "
+    "n as (select x.i, count(p.cell_id) filter (p.l_linenumber % 3 = 1) as het, count(p.cell_id) filter (p.l_linenumber % 3 = 2) as hom from x left join (select * from peaks where label = 'KRGL' and n_reads > 3 and cell_id % 2 = 0) p on p.donor_id = x.donor_id and p.chrom = x.chrom and p.start_pos < x.e and x.s < p.end_pos group by 1) "
+    "select donor_id, chrom, s as start_pos, e as end_pos, case when het > 0 then 'reference_het' else 'reference_hom' end as class from x join n using (i) where hom = 0 union all "
+    "select donor_id, chrom, greatest(0, start_pos - 10), end_pos + 10, case when l_linenumber % 3 = 1 then 'inserted_het' else 'inserted_hom' end from peaks where label = 'KNRGL' and n_reads > 3 and cell_id % 2 = 0 and l_linenumber % 3 > 0",
+)
+def src10_genotypes(spark, sf):
+    """Genotypes of all donors from files of repeats and of calls, each parsed once."""
+    repeat = anno(spark, sf).where("strand is not null").select("chrom", "start_pos", "end_pos", "anno", F.lit(0.0), "strand", F.lit(1), F.lit(1), F.lit(1), F.lit("(5)"), F.lit("LINE"), F.lit("1"), (5999 + F.col("anno_id") % 3).cast("string"), F.lit("(0)"))
+    calls = peaks(spark, sf).select("chrom", "start_pos", "end_pos", "donor_id", F.when(F.col("cell_id") % 2 == 0, "x").otherwise("y"), F.col("l_linenumber") % 3, (F.col("n_reads") > 3).cast("string"), "label")
+    at = lambda df, name: written_once(spark, f"{name}-{sf}", lambda path: df.write.option("sep", "\t").csv(path))
+    call_rows = lambda label: rd.delimited(spark, at(calls, "calls"), "chrom string, start_pos long, end_pos long, donor_id long, family string, genotype int, passed boolean, label string", header=False).where(F.col("label") == label)
+    repeats = gt.loaded(spark, f"repeats-{sf}", lambda: rd.repeats(spark, at(repeat, "repeat-file"))).withColumns({"rep_end": F.col("rep_end").cast("int"), "family": F.lit("x")})
+    parts = [gt.loaded(spark, f"calls-{label}-{sf}", lambda label=label: call_rows(label)) for label in ("KNRGL", "KRGL")]
+    named = repeats.withColumn("rep_name", F.when(F.col("rep_name") == "2-HIGH", "x").otherwise(F.col("rep_name")))
+    return gt.donor_genotypes(named, *parts, "x")
+
+
 @query("src12_vcf", "select concat('chr', o_custkey % 5) as chrom, o_orderkey - 1 as start_pos, o_orderkey as end_pos, cast(o_orderkey as varchar) as id, (o_orderkey % 4)::int as ac, case when o_orderstatus = 'F' then '0/1' else '1/1' end as genotype from orders where o_orderkey % 4 > 0")
 def src12(spark, sf):
     line = "concat_ws('\t', concat('chr', o_custkey % 5), o_orderkey, o_orderkey, 'A', 'ACG', '.', 'PASS', concat('AN=2;AC=', o_orderkey % 4), 'GT:DP', concat(case when o_orderstatus = 'F' then '0/1' else '1/1' end, ':30')) as value"

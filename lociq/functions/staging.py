@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -15,7 +16,7 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if found:
         return found
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lociq-"))
     return spark.sparkContext.getCheckpointDir()
@@ -28,7 +29,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 @functools.cache
 def _once(app: str, folder: str, name: str) -> tuple[str, list]:
-    return f"{folder}/{name.replace('/', '_')}-{uuid.uuid4().hex}", []
+    return f"{folder}/{re.sub('[^A-Za-z0-9.-]', '_', name)}-{uuid.uuid4().hex}", []
 
 
 def written_once(spark: SparkSession, name: str, write: Callable[[str], None]) -> str:

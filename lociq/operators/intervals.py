@@ -31,40 +31,39 @@ FOLD = {"sum": F.sum, "max": F.max}
 
 
 def dealt(df: DataFrame, by: tuple[str, ...], at: Column, span: int = SPAN) -> DataFrame:
-    """Rows exchanged by ``by`` and the bin of a position (_bin). All sweeps of an operator run on this one exchange: they neither move nor sort rows again."""
-    return df.withColumn("_bin", bins(by, at, span)).repartition(*by, "_bin")
+    """Rows with the bin of a position (_bin), by which sweeps exchange them."""
+    return df.withColumn("_bin", bins(by, at, span))
 
 
-def swept(df: DataFrame, by: tuple[str, ...], order: list, values: dict[str, tuple[str, Column]], before: bool = False) -> DataFrame:
-    """Add running sums or maxima ('sum' or 'max' of a column, by name) over the dealt rows of ``by`` in ``order``, whose bins follow each other; each row included unless ``before``.
+def swept(df: DataFrame, by: tuple[str, ...], order: list, values: dict[str, tuple[str, Column]] | None = None, before: bool = False, beside: dict[str, tuple[Column, bool]] | None = None) -> DataFrame:
+    """Add running sums or maxima ('sum' or 'max' of a column, by name) over the rows of ``by`` in ``order``, whose bins follow each other; each row included unless ``before``.
 
-    Rows are sorted within bins, so the work is spread over many more tasks than there are contigs; what stands before a bin comes from a table of a row for each bin.
+    ``beside`` adds, by name, a column of the next row (True) or of the row before (False) in the order of the leading sort column, which is then unique. Rows move once, to be
+    sorted within bins, so the work is spread over many more tasks than there are contigs. What stands before, or next to, a bin comes from a table of a row for each bin, folded
+    where the rows are read. As that reads the rows too, an operator that sweeps again writes the first sweep's rows (``staged``), and its plan grows with its sweeps, not with their powers.
     """
-    keys = [*by, "_bin"]
-    back = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    total = df.groupBy(*keys).agg(*(FOLD[how](c).alias(f"_of_{n}") for n, (how, c) in values.items()))
-    carry = total.select(*keys, *(FOLD[how](f"_of_{n}").over(back).alias(f"_to_{n}") for n, (how, _) in values.items()))
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+    values, beside = values or {}, beside or {}
+    keys, at = [*by, "_bin"], order[0]
+    line = Window.partitionBy(*by).orderBy("_bin")
+    back = line.rowsBetween(Window.unboundedPreceding, -1)
+    edges = [(F.min_by if ahead else F.max_by)(c, at).alias(f"_of_{n}") for n, (c, ahead) in beside.items()]
+    total = df.groupBy(*keys).agg(*(FOLD[how](c).alias(f"_of_{n}") for n, (how, c) in values.items()), *edges)
+    step = lambda ahead: F.lead if ahead else F.lag
+    carry = total.select(*keys, *(FOLD[how](f"_of_{n}").over(back).alias(f"_to_{n}") for n, (how, _) in values.items()), *(step(ahead)(f"_of_{n}").over(line).alias(f"_to_{n}") for n, (_, ahead) in beside.items()))
+    sorted_ = Window.partitionBy(*keys).orderBy(*order)
+    inside = sorted_.rowsBetween(Window.unboundedPreceding, -1 if before else 0)
 
     def whole(n: str, how: str, c: Column) -> Column:
         own = FOLD[how](c).over(inside)
         return F.coalesce(f"_to_{n}", F.lit(0)) + F.coalesce(own, F.lit(0)) if how == "sum" else F.greatest(F.col(f"_to_{n}"), own)
 
-    out = df.join(carry, keys, "left").withColumns({f"_own_{n}": whole(n, how, c) for n, (how, c) in values.items()})
-    return out.select(*(F.col(f"`{c}`") for c in df.columns if c not in values), *(F.col(f"_own_{n}").alias(n) for n in values))
-
-
-def beside(df: DataFrame, by: tuple[str, ...], at: str, value: Column, name: str, ahead: bool) -> DataFrame:
-    """Add ``value`` of the dealt row before, or behind, in the order of ``at`` (which is unique), also across bins."""
-    keys = [*by, "_bin"]
-    edge = df.groupBy(*keys).agg((F.min_by if ahead else F.max_by)(value, at).alias("_edge"))
-    step, over, inside = (F.lead if ahead else F.lag), Window.partitionBy(*by).orderBy("_bin"), Window.partitionBy(*keys).orderBy(at)
-    out = df.join(edge.select(*keys, step("_edge").over(over).alias("_next")), keys, "left")
-    return out.withColumn(name, F.coalesce(step(value).over(inside), "_next")).drop("_next")
+    added = {f"_own_{n}": whole(n, how, c) for n, (how, c) in values.items()} | {f"_own_{n}": F.coalesce(step(ahead)(c).over(sorted_), f"_to_{n}") for n, (c, ahead) in beside.items()}
+    out = df.join(carry, keys, "left").withColumns(added)
+    return out.select(*(F.col(f"`{c}`") for c in df.columns if c not in values), *(F.col(f"_own_{n}").alias(n) for n in [*values, *beside]))
 
 
 def running(df: DataFrame, by: tuple[str, ...], at: Column, order: list, values: dict[str, tuple[str, Column]], before: bool = False) -> DataFrame:
-    """``swept`` on rows that are dealt by ``at``, the leading sort column."""
+    """``swept`` on rows binned by ``at``, the leading sort column."""
     return swept(dealt(df, by, at), by, order, values, before).drop("_bin")
 
 
@@ -169,13 +168,13 @@ def count_kinds(a: DataFrame, b: DataFrame, kinds: dict[str, Column], by: tuple[
     """
     fold = lambda side: {f"{side}{n}": F.count(F.when(c, 1)) for n, c in kinds.items()}
     sums = lambda side: {f"{side}{n}": ("sum", F.coalesce(f"`{side}{n}`", F.lit(0))) for n in kinds}
-    found = _beyond(a, b, by, "start_pos", "end_pos", sums("_ended "), True, fold("_ended "))
-    found = _beyond(found, b, by, "end_pos", "start_pos", sums("_begun "), False, fold("_begun "))
+    found = staged(_beyond(a, b, by, "start_pos", "end_pos", sums("_ended_"), True, fold("_ended_")), "counted")
+    found = _beyond(found, b, by, "end_pos", "start_pos", sums("_begun_"), False, fold("_begun_"))
     # a null in the key overlaps nothing
     known = F.lit(True)
     for c in by:
         known = known & F.col(c).isNotNull()
-    number = lambda n: F.when(known, F.greatest(F.lit(0), F.col(f"`_begun {n}`") - F.col(f"`_ended {n}`"))).otherwise(0)
+    number = lambda n: F.when(known, F.greatest(F.lit(0), F.col(f"`_begun_{n}`") - F.col(f"`_ended_{n}`"))).otherwise(0)
     return found.select(*a.columns, *(number(n).cast("long").alias(n) for n in kinds))
 
 
@@ -191,7 +190,7 @@ def anti(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def nearest(a: DataFrame, b: DataFrame, name: str = "distance", by: tuple[str, ...] = ("chrom",)) -> DataFrame:
     """Gap to the nearest interval of ``b`` that doesn't overlap (bookended: 0), null where there is none. Ties need no rule: only the distance counts."""
-    found = _beyond(a, b, by, "start_pos", "end_pos", {"_left": ("max", F.col("_left"))}, True, {"_left": F.max("end_pos")})
+    found = staged(_beyond(a, b, by, "start_pos", "end_pos", {"_left": ("max", F.col("_left"))}, True, {"_left": F.max("end_pos")}), "nearest")
     found = _beyond(found, b, by, "-end_pos", "-start_pos", {"_right": ("max", F.col("_right"))}, True, {"_right": F.max(-F.col("start_pos"))})
     gap = F.least(F.col("start_pos") - F.col("_left"), -F.col("_right") - F.col("end_pos"))
     for c in by:
@@ -208,6 +207,7 @@ def _clustered(df: DataFrame, slack: int, by: tuple[str, ...], name: str, order:
     sort = ["start_pos", "end_pos", *order]
     out = swept(df, by, sort, {"_reach": ("max", F.col("end_pos"))}, before=True)
     out = out.withColumn("_new", F.when(F.col("_reach").isNull() | (F.col("start_pos") > F.col("_reach") + slack), 1).otherwise(0)).drop("_reach")
+    out = staged(out, "clusters")
     return swept(out, by, [*sort, F.desc("_new")], {name: ("sum", F.col("_new"))}).drop("_new")
 
 
@@ -219,8 +219,8 @@ def merge(df: DataFrame, slack: int = 0, by: tuple[str, ...] = ("chrom",)) -> Da
 def _segments(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """Covered elementary segments with their depth, dealt by start."""
     edge = df.select(*by, F.explode(F.array(F.struct(F.col("start_pos").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end_pos").alias("at"), F.lit(-1).alias("d")))).alias("x")).select(*by, "x.at", "x.d")
-    edge = dealt(edge.groupBy(*by, "at").agg(F.sum("d").alias("d")), by, F.col("at"))
-    out = beside(swept(edge, by, ["at"], {"depth": ("sum", F.col("d"))}), by, "at", F.col("at"), "end_pos", True)
+    edge = staged(dealt(edge.groupBy(*by, "at").agg(F.sum("d").alias("d")), by, F.col("at")), "edges")
+    out = swept(edge, by, ["at"], {"depth": ("sum", F.col("d"))}, beside={"end_pos": (F.col("at"), True)})
     return out.where("depth > 0 and end_pos is not null").select(*by, F.col("at").alias("start_pos"), "end_pos", F.col("depth").cast("long").alias("depth"), "_bin")
 
 
@@ -231,8 +231,8 @@ def segments(df: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
 
 def elementary(df: DataFrame) -> DataFrame:
     """The stretches between neighbouring starts and ends."""
-    cuts = dealt(df.select("chrom", F.explode(F.array("start_pos", "end_pos")).alias("start_pos")).distinct(), ("chrom",), F.col("start_pos"))
-    return beside(cuts, ("chrom",), "start_pos", F.col("start_pos"), "end_pos", True).where("end_pos is not null").drop("_bin")
+    cuts = staged(dealt(df.select("chrom", F.explode(F.array("start_pos", "end_pos")).alias("start_pos")).distinct(), ("chrom",), F.col("start_pos")), "cuts")
+    return swept(cuts, ("chrom",), ["start_pos"], beside={"end_pos": (F.col("start_pos"), True)}).where("end_pos is not null").drop("_bin")
 
 
 def multi_intersect(df: DataFrame, source: str) -> DataFrame:
@@ -243,10 +243,10 @@ def multi_intersect(df: DataFrame, source: str) -> DataFrame:
 
 
 def _runs(df: DataFrame, value: str, by: tuple[str, ...]) -> DataFrame:
-    """Joined segments of dealt ones."""
-    out = beside(df, by, "start_pos", F.struct(F.col("end_pos").alias("e"), F.col(value).alias("v")), "_last", False)
+    """Joined segments of binned ones."""
+    out = swept(staged(df, "segments"), by, ["start_pos"], beside={"_last": (F.struct(F.col("end_pos").alias("e"), F.col(value).alias("v")), False)})
     new = ~F.coalesce((F.col("_last.e") == F.col("start_pos")) & F.col("_last.v").eqNullSafe(F.col(value)), F.lit(False))
-    runs = swept(out.withColumn("_new", new), by, ["start_pos"], {"run": ("max", F.when(F.col("_new"), F.col("start_pos")))})
+    runs = swept(staged(out.withColumn("_new", new).drop("_last"), "runs"), by, ["start_pos"], {"run": ("max", F.when(F.col("_new"), F.col("start_pos")))})
     return runs.groupBy(*by, "run").agg(F.max("end_pos").alias("end_pos"), F.first(value).alias(value)).select(*by, F.col("run").alias("start_pos"), "end_pos", value)
 
 
@@ -256,7 +256,7 @@ def run_lengths(df: DataFrame, value: str, by: tuple[str, ...] = ("chrom",)) ->
 
 
 def depth(df: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
-    """Run-length coverage depth: all sweeps on one exchange of the intervals' edges."""
+    """Run-length coverage depth."""
     return _runs(_segments(df, by), "depth", by)
 
 

@@ -26,7 +26,9 @@ PAYLOAD = 65_280  # decompressed bytes of a full block
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a local path or a URI that pyarrow knows, and the path there."""
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 def listed(path: str, suffix: str) -> list[tuple[str, int]]:

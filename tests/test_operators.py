@@ -189,3 +189,23 @@ def test_wiggle(spark, tmp_path):
     rd.write_wig(spark.createDataFrame(rows, "chrom string, start_pos long, value double"), str(tmp_path / "w"), 7)
     assert sorted(map(tuple, rd.wig(spark, str(tmp_path / "w")).collect())) == sorted((c, s + 1, v) for c, s, v in rows)
     assert sum(f.read_text().count("Step") for f in (tmp_path / "w").glob("part*")) < 40
+
+
+def exchanges(df) -> int:
+    """Exchanges of a plan as it stands, without adaptive changes and broadcasts."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") + df._jdf.queryExecution().executedPlan().toString().count("Exchange rangepartitioning")
+
+
+def test_sweeps_move_rows_once(spark):
+    """A last sweep holds one exchange of its rows, and small ones of a row for each bin; earlier sweeps are written, so plans don't grow with their powers."""
+    rows = spark.createDataFrame([("c", k, k + 5, k) for k in range(50)], "chrom string, start_pos long, end_pos long, v long")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        plans = {"cluster": iv.cluster(rows), "segments": iv.segments(rows), "depth": iv.depth(rows), "runs": iv.run_lengths(rows.where("v % 5 = 0"), "v"), "count": iv.count_overlaps(rows, rows, "n"), "nearest": iv.nearest(rows, rows)}
+        found = {k: exchanges(df) for k, df in plans.items()}
+        assert all(n <= {"depth": 5, "runs": 5, "count": 8, "nearest": 8}.get(k, 4) for k, n in found.items()), found
+    finally:
+        for k in settings:
+            spark.conf.unset(k)

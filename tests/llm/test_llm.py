@@ -757,7 +757,7 @@ def misspelt():
     bank = ["".join(r.choice("abé") for _ in range(r.randrange(5, 9))) for _ in range(260)] + ["aaaaaa", "aaaaaaa", "aaaaaaaa", "baaaaaa", "aaaaaab", "×÷ÿÀabc"]
     rows = [(k, " ".join(r.choice(bank[: 1 + int(len(bank) * r.random() ** 2)]).title() for _ in range(40)) + "_0œ ABABAB") for k in range(150)]
     rows += [(None, "aaaaaa bababa Ÿaaaaaa"), (7, None), (8, ""), (9, " \n"), (10, ("ab" * 1500 + " ") * 6 + ("ab" * 1499 + "a ") * 40)]
-    return rows + rows[:3] + [(400 + k, "kettle " * 5**k) for k in range(4)] + [(410 + k, "kettles " * 5**k) for k in range(2)] + [(420, "kettless " * 5)]
+    return rows + rows[:3] + [(400, "kettle " * 800), (401, "kettles " * 130), (402, "kettless " * 5)]
 
 
 @pytest.mark.parametrize(("every", "shortest", "least"), [(199, 6, 5), (3, 5, 2)])
@@ -765,7 +765,7 @@ def test_spelling_variants(spark, every, shortest, least):
     rows = misspelt()
     got = sorted((r["word"], r["form"] or "", r["root"], r["n"], r["n_near"], r["form_n"] or 0) for r in spelling.variants(frame(spark, rows), every, shortest, least).collect())
     want = brute_variants(rows, every, shortest, least)
-    assert got == want and sum(1 for r in got if r[1]) > 20 and max(r[4] for r in got) > 5
+    assert got == want and sum(1 for r in got if r[1]) >= 10 and max(r[4] for r in got) > 3
     assert any(f != z for _, f, z, *_ in got if f)  # a form that has a form itself
     assert spelling.variants(empty(spark)).count() == 0
 

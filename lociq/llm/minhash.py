@@ -208,7 +208,7 @@ def _verified(percent):
 
 
 def _block(least, percent):
-    """Pairs of two chunks of a large bucket, but those already of one component and those that meet in an earlier band; the links that join components."""
+    """Pairs of two chunks of a large bucket, but those already of one component and those that meet in an earlier band (a bucket of a shingle has none); the links that join components."""
     import pandas as pd
 
     def run(key, pdf):
@@ -242,6 +242,24 @@ def _block(least, percent):
     return run
 
 
+def _shingles(batches):
+    """mapInArrow function over (id, comp, members): a row for each shingle of a set, with the set's size and a hash that tells sets of one id apart."""
+    import pyarrow as pa
+
+    for batch in batches:
+        column = batch.column("members")
+        off = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        ids, comp = batch.column("id").to_numpy(), batch.column("comp").to_numpy()
+        for i, j in row_blocks(off, TEXT_BLOCK):
+            h = np.frombuffer(column.buffers()[2], U64, (off[j] - off[i]) // 8, off[i])
+            size = np.diff(off[i : j + 1]) // 8
+            total = np.zeros(len(h) + 1, U64)
+            np.cumsum(mix64(h), out=total[1:])
+            ends = np.cumsum(size)
+            kind = (total[ends] - total[ends - size]).view(np.int64)
+            yield pa.RecordBatch.from_pydict({"key": pa.array(h.view(np.int64)), **{n: pa.array(np.repeat(v, size)) for n, v in (("id", ids[i:j]), ("comp", comp[i:j]), ("size", size), ("kind", kind))}})
+
+
 def _marks(bits: int):
     """mapInArrow function over ids: each partition's set bytes of the bitmap."""
     import pyarrow as pa
@@ -281,7 +299,7 @@ def _sets(docs, ids, at_most: int, most_bits: int, fill: float):
     return staged(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sketch(True), kind), "sets", batch_rows=TEXT_ROWS)
 
 
-def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to: int = 32, chunk: int = 256, chunk_bytes: int = 8 << 20, most_bits: int = 1 << 26, fill: float = 0.2):
+def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to: int = 32, chunk: int = 256, chunk_bytes: int = 8 << 20, most_bits: int = 1 << 26, fill: float = 0.2, copies: int = 64):
     """Near-duplicate classes of ``docs`` (doc_id, text, any more columns): Jaccard of 5-word shingle sets >= percent / 100.
 
     Returns doc_id, n_shingles, component_id, kept, text_hash (xxhash64 of the text). MinHash signatures of 128 hashes are cut into 32 bands of 4 (a pair
@@ -289,6 +307,8 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
     Within each band bucket every member is compared with the bucket's smallest one; buckets whose members still
     fall into several components then compare members across components: pair by pair where the bucket is small, and in blocks
     of two chunks of about ``chunk`` documents or ``chunk_bytes`` of sets where it is large, so no bucket is ever emitted as all its pairs.
+    Where a bucket would repeat its documents more than ``copies`` times for its blocks, as one of many unrelated documents would, its documents are joined by their rarest
+    shingles instead (prefix filter): two sets at the threshold share one of the first n - ceil(n * percent / 100) + 1 in order of rarity.
     Candidates pass the sequential Bayesian test (``miss``: posterior probability below which a pair is pruned), and the
     survivors are confirmed on full sets.
     Nulls, empty texts and texts without words have n_shingles 0 and stay alone. doc_id names a document:
@@ -334,15 +354,30 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
     open_ = staged(labelled.join(open_, "key", "left_semi"), "open")
     release(member)
     release(labelled)
-    small = open_.where(F.col("n") <= all_pairs_up_to)
-    other = small.select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = small.select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a")).join(other, "key").where("a < b and comp_a <> comp_b").select("a", "b").distinct()
-    found = links.union(confirmed(pairs.join(star, ["a", "b"], "left_anti")))
+    made = [star, need, open_]
+
+    def by_pairs(buckets):
+        small = buckets.where(F.col("n") <= all_pairs_up_to)
+        other = small.select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
+        pairs = small.select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a")).join(other, "key").where("a < b and comp_a <> comp_b").select("a", "b").distinct()
+        return confirmed(pairs.join(star, ["a", "b"], "left_anti"))
+
+    def by_blocks(chunks):
+        return staged(_blocks(chunks, need, _block(least, percent)), "links")
+
+    found = links.union(by_pairs(open_))
     large = open_.where(F.col("n") > all_pairs_up_to)
     if not large.isEmpty():
-        found = found.union(staged(_large_buckets(large, need, chunk, chunk_bytes, _block(least, percent)), "links"))
+        chunks = staged(_chunks(large, need, chunk, chunk_bytes), "chunks")
+        dense = staged(_dense(chunks, copies), "dense")
+        found = found.union(by_blocks(chunks.join(dense, "key", "left_anti")))
+        made += [chunks, dense]
+        if not dense.isEmpty():
+            rare = staged(_rarest(chunks.join(dense, "key", "left_semi"), need, percent), "rarest")
+            found = found.union(by_pairs(rare)).union(by_blocks(_chunks(rare.where(F.col("n") > all_pairs_up_to), need, chunk, chunk_bytes)))
+            made.append(rare)
     comp = components(found)
-    for done in (star, need, open_):
+    for done in made:
         release(done)
     rep_of = rep.join(comp, rep.rep == comp.id, "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = sketch.join(rep_of, (sketch.s1 == rep_of.s1) & (sketch.s2 == rep_of.s2) & (sketch.n_shingles > 0), "left")
@@ -350,8 +385,8 @@ def near_duplicates(docs, percent: int = 75, miss: float = 1e-6, all_pairs_up_to
     return out.select(sketch.doc_id, sketch.n_shingles, component.alias("component_id"), component.eqNullSafe(sketch.doc_id).alias("kept"), "text_hash")
 
 
-def _large_buckets(large, need, chunk, chunk_bytes, block):
-    """Links across components within large buckets, by blocks of two chunks of one bucket; a pair of several buckets is compared in its first."""
+def _chunks(large, need, chunk, chunk_bytes):
+    """Large buckets (key, id, comp) cut into chunks of about ``chunk`` documents or ``chunk_bytes`` of sets: key, part, comp, id, chunk."""
     from pyspark.sql import functions as F
 
     bytes_ = need.select(F.col("doc_id").alias("id"), F.octet_length("members").alias("bytes"))
@@ -361,7 +396,43 @@ def _large_buckets(large, need, chunk, chunk_bytes, block):
     docs = docs.join(docs.groupBy("key", "comp").agg(*sums("own")), ["key", "comp"])
     docs = docs.withColumn("part", F.when(parts("own") > 1, F.col("comp")).otherwise(F.lit(-1)))  # a component that fills chunks has them to itself
     docs = docs.join(docs.groupBy("key", "part").agg(*sums("part")), ["key", "part"])
-    docs = docs.select("key", "part", "comp", "id", F.concat_ws("/", "part", F.pmod(F.xxhash64("id"), parts("part"))).alias("chunk"))
+    return docs.select("key", "part", "comp", "id", F.concat_ws("/", "part", F.pmod(F.xxhash64("id"), parts("part"))).alias("chunk"))
+
+
+def _dense(chunks, copies: int):
+    """Keys of buckets whose blocks of two chunks repeat a document more than ``copies`` times on average."""
+    from pyspark.sql import functions as F
+
+    size = chunks.select("key", "part", "chunk").distinct().groupBy("key", "part").agg(F.count("*").alias("m"))
+    apart = F.when(F.col("part") == -1, 0).otherwise(F.col("m") * F.col("m"))
+    return size.groupBy("key").agg(F.sum("m").alias("n"), F.sum(apart).alias("apart")).where(F.expr(f"n * n - apart > {copies} * n")).select("key")
+
+
+def _rarest(rows, need, percent: int):
+    """Buckets (key, id, comp, n) by shingle: each document of ``rows`` stands in those of its rarest shingles; buckets of one component are left out.
+
+    Shingles of one document come first in the order of rarity and need no bucket, so only shared ones are ranked.
+    """
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from lociq.llm.common import staged
+
+    sets = rows.select("id", "comp").distinct().join(need.select(F.col("doc_id").alias("id"), "members"), "id")
+    shingle = staged(sets.select("id", "comp", "members").mapInArrow(_shingles, "key long, id long, comp long, size long, kind long"), "shingles", batch_rows=TEXT_ROWS)
+    shared = shingle.groupBy("key").agg(F.count("*").alias("docs")).where("docs > 1")
+    own = Window.partitionBy("id", "kind")
+    place = F.row_number().over(own.orderBy("docs", "key")) + F.col("size") - F.count("*").over(own)
+    first = shingle.join(shared, "key").withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
+    first = staged(first.select("key", "id", "comp").distinct(), "first")
+    several = first.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key", "n")
+    return first.join(several, "key").select("key", "id", "comp", "n")
+
+
+def _blocks(docs, need, block):
+    """Links across components within chunked buckets, by blocks of two chunks of one bucket; a pair of several bands' buckets is compared in its first."""
+    from pyspark.sql import functions as F
+
     chunks = docs.select("key", "part", "chunk").distinct()
     other = chunks.select("key", F.col("part").alias("part_b"), F.col("chunk").alias("chunk_b"))
     pairs = chunks.join(other, "key").where("chunk <= chunk_b and (part <> part_b or part = -1)").select("key", F.col("chunk").alias("c1"), F.col("chunk_b").alias("c2"))

@@ -4,6 +4,7 @@ import base64
 import bisect
 import functools
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -168,11 +169,47 @@ def test_large_buckets_of_several_components(spark):
     rows = list(enumerate(texts))
     sets = {i: shingles(t) for i, t in rows}
     want = classes(sets, lambda a, b: 100 * len(a & b) >= 75 * len(a | b))
-    for limits in ({"all_pairs_up_to": 3, "chunk": 16}, {"all_pairs_up_to": 3, "chunk_bytes": 4000}):
+    for limits in ({"all_pairs_up_to": 3, "chunk": 16}, {"all_pairs_up_to": 3, "chunk_bytes": 4000}, {"all_pairs_up_to": 3, "chunk": 4, "copies": 2}, {"all_pairs_up_to": 1, "chunk": 2, "copies": 1}):
         got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame(spark, rows), **limits).collect()}
         assert got == want and len(set(want.values())) > 20
 
 
+def test_rarest_shingles_of_a_dense_bucket(spark):
+    """Documents that share most of a bucket: all pairs at the threshold share a rare shingle, and what all hold makes no bucket."""
+    r = random.Random(4)
+    hot = r.sample(range(1 << 60), 30)
+    sets = []
+    for _ in range(150):
+        own = r.sample(range(1 << 60), r.randint(45, 90))
+        sets.append({*hot, *own})
+        if r.random() < 0.4:
+            sets.append({*hot, *own[: int(len(own) * r.choice([0.75, 0.85, 0.95]))], *r.sample(range(1 << 60), 3)})
+    sets.append(set())
+    sets.append({7})
+    r.shuffle(sets)
+    need = spark.createDataFrame([(k, b"", np.sort(np.array(sorted(x), np.uint64)).tobytes()) for k, x in enumerate(sets)], "doc_id long, sig binary, members binary")
+    ids = spark.range(len(sets)).select("id", F.col("id").alias("comp"))
+    rows = minhash._rarest(ids, need, 75).collect()
+    assert minhash._rarest(ids.where("id < 0"), need, 75).count() == 0
+    holders = {}
+    for x in rows:
+        holders.setdefault(x["key"], set()).add(x["id"])
+    assert all(x["n"] == len(holders[x["key"]]) for x in rows) and not holders.keys() & set(hot)
+    met = {(a, b) for h in holders.values() for a in h for b in h if a < b}
+    near = {(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert len(near) > 30 and near <= met and len(met) < 200
+
+
+def test_dense_buckets(spark):
+    """A bucket of many chunks of unrelated documents is dense; one of a large component and few others isn't."""
+    need = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(b"12345678").alias("members"))
+    rows = spark.range(4000).select(F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("key"), "id")
+    rows = rows.withColumn("comp", F.expr("case when key = 1 then id when id < 3900 then 0 else id end"))
+    chunks = minhash._chunks(rows, need, 50, 1 << 20)
+    assert [x[0] for x in minhash._dense(chunks, 16).collect()] == [1]
+    assert minhash._dense(chunks, 200).count() == 0
+
+
 def test_bayesian_limits():
     least = minhash.least_matches(0.75, 1e-6)
     assert (np.diff(least) >= 0).all() and least[-1] > 60

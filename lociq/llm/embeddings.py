@@ -1,11 +1,11 @@
 """Embedding near-duplicates by collision-counting projections.
 
-Windows along single projections can't tell near from far well enough to sort by: at cosine 0.9 a window that holds most partners of a vector also
-holds about a quarter of all vectors, on every projection. So vectors are sorted by bundles of one-dimensional projections (the signs of the
-projections make the key, one order a table), and vectors that lie next to each other then count query-centred window collisions: in how many
+Windows along single projections can't serve as candidates: at cosine 0.9 a window that holds most partners of a vector also holds about a
+quarter of all vectors, on every projection. So nothing is sorted along a projection. The signs of a bundle of projections are hashed into a key,
+in several tables, and only vectors of equal keys meet; these then count query-centred window collisions: in how many
 of WINDOWS further projections the pair differs by at most ``width``. The least count is calibrated from the collision probability at
 the cosine limit, so that a pair at the limit falls below it with probability ``miss``. What passes is verified by its cosine in
-double precision. The length of a bundle grows with the logarithm of the number of vectors, which keeps the neighbours of a vector few at
+double precision. The length of a bundle grows with the logarithm of the number of vectors, which keeps the vectors of a key few at
 every size, and the number of tables follows from the recall wanted of pairs at the limit; pairs above it are found more surely.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lociq.llm.common import U64, components, mix64, release, shuffle_partitions, staged
 
 WINDOWS = 32
-SPARE = 3  # signs of a bundle beyond the logarithm of the number of vectors: 2 ** -SPARE unrelated neighbours a table
+SPARE = 3  # signs of a bundle beyond the logarithm of the number of vectors: 2 ** -SPARE unrelated vectors of equal key a table
 BLOCK = 512  # vectors of a block
 
 
@@ -194,7 +194,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, miss: float = 1e-4, mi
     """Links of ``vectors`` (vec_id, embedding, any more columns) with cosine >= ``cosine``: vec_id, n_links, component_id, kept.
 
     A pair at ``cosine`` is missed with probability ``missed`` for lying together in no table, and ``miss`` for too few collisions.
-    Equal vectors fold into one first and count with their number. Only ids are sorted; vectors go to cells of two or more. Cells of more than BLOCK vectors are cut into
+    Equal vectors fold into one first and count with their number. Ids are grouped by key; vectors go to cells of two or more. Cells of more than BLOCK vectors are cut into
     parts, and each pair of parts is a block of its own, so no cell is ever gathered in one task nor emitted as pairs: blocks return counts by
     vector and the links that join components. Embeddings that are null, empty, zero, or hold null or non-finite components link with
     nothing, vectors of different dimensions don't link. Repeated rows of a vec_id are vectors of their own with one component.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,6 +69,32 @@ def motif_scores(seq: Column, weights: list[dict[str, float]]) -> Column:
     return F.when(F.length(seq) >= k, F.transform(F.sequence(F.lit(1), F.length(seq) - k + 1), at)).otherwise(F.array().cast("array<double>"))
 
 
+def motif_best(seq: Column, weights: list[dict[str, float]]) -> Column:
+    """The highest of ``motif_scores``, null where the motif doesn't fit in: a batch of sequences is scored as one row of characters."""
+    k = len(weights)
+    table = np.zeros((k, 129))
+    for j, w in enumerate(weights):
+        for b, v in w.items():
+            table[j, ord(b)] = v
+
+    @F.pandas_udf("double")
+    def best(texts: pd.Series) -> pd.Series:
+        n = texts.str.len().fillna(0).to_numpy(np.int64)
+        out = np.full(len(n), np.nan)
+        fits = n >= k
+        if fits.any():
+            codes = np.minimum(np.frombuffer("".join(texts[fits]).encode("utf-32-le", "surrogatepass"), np.uint32), 128)
+            score = np.zeros(len(codes) - k + 1)
+            for j in range(k):
+                score += table[j, codes[j : j + len(score)]]
+            first = np.cumsum(n[fits]) - n[fits]
+            bounds = np.stack([first, first + n[fits] - k + 1], 1).reshape(-1)  # windows over the end of a sequence fall between
+            out[fits] = np.maximum.reduceat(np.append(score, -np.inf), bounds)[::2]
+        return pd.Series(out).astype(object).where(fits, None)
+
+    return best(seq)
+
+
 def motif_weights(instances: list[str], background: float = 0.25, pseudo: float = 0.5) -> list[dict[str, float]]:
     """Log-odds weights from motif instances (cleavage marks '/' are dropped)."""
     import math

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lociq.functions import alignment as al
+from lociq.functions.staging import staged
 from lociq.operators import intervals as iv
 from lociq.plans.registry import query
 from lociq.plans.region_queries import R6
@@ -54,10 +55,16 @@ def o06(spark, sf):
 @query("o07_downsample", "select label, cell_id, start_pos, n_reads from (select *, row_number() over (partition by label order by md5(concat_ws(':', cell_id, start_pos, n_reads)), cell_id, start_pos, n_reads) as i from peaks) where i <= least(10000, (select min(n) from (select count(*) as n from peaks group by label)))")
 def o07(spark, sf):
     """As many rows of each label as the smallest label has, 10,000 at most, in hash order."""
-    p = peaks(spark, sf).select("label", "cell_id", "start_pos", "n_reads")
-    least = p.groupBy("label").agg(F.count("*").alias("n")).agg(F.least(F.min("n"), F.lit(10_000))).first()[0] or 0
-    w = Window.partitionBy("label").orderBy(F.md5(F.concat_ws(":", "cell_id", "start_pos", "n_reads")), "cell_id", "start_pos", "n_reads")
-    return p.withColumn("i", F.row_number().over(w)).where(F.col("i") <= least).drop("i")  # a literal limit, so each task passes on no more rows than that
+    names = ["label", "cell_id", "start_pos", "n_reads"]
+    p = peaks(spark, sf).select(*names).withColumn("h", F.md5(F.concat_ws(":", *names[1:]))).withColumn("slot", F.substring("h", 1, 4))
+    # counts by the hash's beginning show up to where each label's rows can matter; only these are sorted
+    n = staged(p.groupBy("label", "slot").agg(F.count("*").alias("n")), "slots")
+    least = n.groupBy("label").agg(F.sum("n").alias("n")).agg(F.least(F.min("n"), F.lit(10_000))).first()[0] or 0
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("label").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = n.withColumn("before", before).where(F.col("before") < least).groupBy(F.col("label").alias("of")).agg(F.max("slot").alias("last"))
+    near = p.join(F.broadcast(last), F.col("label").eqNullSafe(F.col("of"))).where("slot <= last")  # a row for each label
+    w = Window.partitionBy("label").orderBy("h", *names[1:])
+    return near.withColumn("i", F.row_number().over(w)).where(F.col("i") <= least).select(*names)  # a literal limit, so each task passes on no more rows than that
 
 
 @query("o08_concat_sort", "select k, row_number() over (order by k) as i from (select s_suppkey as k from supplier union all select c_custkey + 100000 from customer)")
@@ -261,7 +268,7 @@ STRANDS = f"(select event_id, seq from {ALIGNED} union all select event_id, reve
 @query("w19_motif_score", f"select event_id, round(max({MOTIF})::double, 6) as best from (select event_id, seq, unnest(generate_series(1, length(seq) - {len(WEIGHTS) - 1})) as i from {STRANDS}) group by 1")
 def w19(spark, sf):
     """Best score of the motif on either strand."""
-    best = lambda s: F.array_max(al.motif_scores(s, WEIGHTS))
+    best = lambda s: al.motif_best(s, WEIGHTS)
     return aligned(spark, sf).select("event_id", R6(F.greatest(best(F.col("seq")), best(al.reverse_complement(F.col("seq")))), "best"))
 
 

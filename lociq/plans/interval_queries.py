@@ -162,9 +162,10 @@ def j16(spark, sf):
 
 @query("j21_strand_blind", "select count(*) filter (a.strand = '+') as plus, count(*) filter (a.strand = '-') as minus, count(*) filter (a.strand is null) as none from " + JOIN.format(kind="inner"))
 def j21(spark, sf):
-    pair = iv.overlap_pairs(peaks(spark, sf).select("cell_id", *iv.KEY), anno(spark, sf).select("strand", *iv.KEY))
-    n = lambda c: F.count(F.when(c, 1))
-    return pair.agg(n(F.col("b_strand") == "+").alias("plus"), n(F.col("b_strand") == "-").alias("minus"), n(F.col("b_strand").isNull()).alias("none"))
+    p = peaks(spark, sf).groupBy(*iv.KEY).agg(F.count("*").alias("same"))
+    kinds = {"plus": F.col("strand") == "+", "minus": F.col("strand") == "-", "none": F.col("strand").isNull()}
+    found = iv.count_kinds(p, anno(spark, sf).select("strand", *iv.KEY), kinds)
+    return found.agg(*(F.coalesce(F.sum(F.col(k) * F.col("same")), F.lit(0)).cast("long").alias(k) for k in kinds))
 
 
 CLUSTERED = """select *, sum(new) over (partition by chrom order by start_pos, end_pos, anno_id rows unbounded preceding)::bigint as cluster from (select *, case when reach is null or start_pos > reach + {slack} then 1 else 0 end as new from (

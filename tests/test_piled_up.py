@@ -39,6 +39,13 @@ def test_sums_without_pairs(spark):
         assert "sequence(" not in plan(catalog.QUERIES[name](spark, SF)), name
 
 
+def test_left_overlaps_exchange_no_pairs(spark):
+    """Pairs are joined once and not made distinct to find the rows without partners."""
+    for name in ("j07_overlap_left", "j08_overlap_bases"):
+        text = plan(catalog.QUERIES[name](spark, SF)).partition("== Initial Plan ==")[0]
+        assert text.count("sequence(") == 2, name
+
+
 def test_downsample_sorts_what_can_matter(spark):
     """Rows whose hash lies far beyond the last one taken never reach the sort."""
     assert "slot" in plan(catalog.QUERIES["o07_downsample"](spark, SF))

@@ -287,21 +287,26 @@ def scored(spark, sf):
     return table(spark, sf, "events").select(F.col("value").alias("s"), (F.col("event_id") % 2 == 1).alias("y"))
 
 
+def D6(c, name):
+    """A double to six digits as DuckDB rounds it, by the binary product; Spark's own rounding goes by the decimal digits and parts from it at ties."""
+    return (F.round(c * 1e6) / 1e6).alias(name)
+
+
 @query("w08_pr_curve", f"select threshold, round(tp / (tp + fp), 6) as precision, round(tp / (np + 100), 6) as recall from ({CUM}) union all select null, 1.0, 0.0")
 def w08(spark, sf):
     c = ev.pr_curve(scored(spark, sf), F.col("y"), "s", 100)
-    return c.select("threshold", R6(F.col("precision"), "precision"), R6(F.col("recall"), "recall"))
+    return c.select("threshold", D6(F.col("precision"), "precision"), D6(F.col("recall"), "recall"))
 
 
 @query("w09_recall_extra", f"select round(count(*) filter (y and s >= 10) / (count(*) filter (y) + 100), 6) as recall from {SCORED}")
 def w09(spark, sf):
-    return scored(spark, sf).agg(R6(ev.recall(F.col("y"), F.col("s") >= 10, 100), "recall"))
+    return scored(spark, sf).agg(D6(ev.recall(F.col("y"), F.col("s") >= 10, 100), "recall"))
 
 
 @query("w18_roc_curve", f"select threshold, round(tp / np, 6) as tpr, round(fp / nn, 6) as fpr from ({CUM})")
 def w18(spark, sf):
     c = ev.roc_curve(scored(spark, sf), F.col("y"), "s")
-    return c.select("threshold", R6(F.col("tpr"), "tpr"), R6(F.col("fpr"), "fpr"))
+    return c.select("threshold", D6(F.col("tpr"), "tpr"), D6(F.col("fpr"), "fpr"))
 
 
 @query("w18_areas", f"select round(sum((fp - fp0) * (tp + tp0) / 2) / any_value(np * nn), 6) as auc, round(sum((tp - tp0) * tp / (tp + fp)) / any_value(np), 6) as average_precision from (select *, coalesce(lag(tp) over (order by threshold desc), 0) as tp0, coalesce(lag(fp) over (order by threshold desc), 0) as fp0 from ({CUM}))")

@@ -62,9 +62,10 @@ def range_summaries(regions: DataFrame, key: str, signal: DataFrame, value: str,
     blocks = levels(signal, value) if blocks is None else blocks
     asked = regions.where("end_pos > start_pos").select(F.col(key), "chrom", "start_pos", "end_pos")
     whole = asked.select(key, "chrom", F.explode(blocks_of(F.col("start_pos"), F.col("end_pos"))).alias("x")).select(key, "chrom", "x.level", "x.block")
-    inner = whole.join(blocks, ["chrom", "level", "block"]).select(key, "top", "total", "bases")
+    # rows grow where ranges become blocks, which Spark's estimate of a side doesn't see: it would send them all through the driver
+    inner = whole.hint("merge").join(blocks, ["chrom", "level", "block"]).select(key, "top", "total", "bases")
     rim = asked.select(key, "chrom", F.explode(edges_of(F.col("start_pos"), F.col("end_pos"))).alias("x")).select(key, "chrom", F.col("x.s").alias("start_pos"), F.col("x.e").alias("end_pos"))
-    pair = overlap_pairs(rim, signal.select("chrom", "start_pos", "end_pos", F.col(value).alias("v")), WIDTH)
+    pair = overlap_pairs(rim.hint("merge"), signal.select("chrom", "start_pos", "end_pos", F.col(value).alias("v")), WIDTH)
     outer = pair.select(key, F.col("b_v").alias("top"), (F.col("b_v") * F.col("overlap")).alias("total"), F.col("overlap").alias("bases"))
     return inner.unionByName(outer).groupBy(key).agg(F.max("top").alias("top"), F.sum("total").alias("total"), F.sum("bases").alias("bases"))
 

@@ -97,3 +97,19 @@ def test_best_overlap_and_track_max_against_all_pairs(spark):
     assert not any((x["chrom"], x["start_pos"], x["v"]) in ends for x in runs)
     for name in ("w11_peak_summit", "src17_signal_max"):
         assert "FlatMapCoGroupsInPandas" in plan(catalog.QUERIES[name](spark, SF)), name
+
+
+def test_ratios_round_as_in_sql(spark):
+    """Ratios that end in a five at the seventh digit: 249 of 2,000,000 is 0.000124 in SQL."""
+    import duckdb
+
+    from lociq.plans.locus_queries import D6
+
+    rows = [(k, k / 2_000_000) for k in (249, 251, 253, 493, 507, 1_999_999, 0)] + [(None, None)]
+    found = {x["k"]: x["r"] for x in spark.createDataFrame(rows, "k long, x double").select("k", D6(F.col("x"), "r")).collect()}
+    assert found == {k: duckdb.execute("select round(?::double, 6)", [x]).fetchone()[0] for k, x in rows}
+
+
+def test_blocks_of_ranges_are_not_sent(spark):
+    """Ranges become many blocks each, so neither these nor their edges go through the driver."""
+    assert "BroadcastExchange" not in plan(catalog.QUERIES["src17_range_summaries"](spark, SF))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociq.functions.staging import staged
 from lociq.operators.intervals import cluster, locus
 from lociq.operators.regions import quantile_columns, quantiles
 
@@ -20,10 +21,23 @@ def best_label(column: str, precedence: tuple[str, ...]) -> Column:
     return out.otherwise(precedence[-1])
 
 
-def clustered(df: DataFrame, slack: int = 0) -> DataFrame:
-    """Cluster the distinct loci, so that repeats in many cells cost nothing, and join the number back."""
-    loci = cluster(df.select("chrom", "start_pos", "end_pos").distinct(), slack)
-    return df.join(loci, ["chrom", "start_pos", "end_pos"])
+def cluster_places(df: DataFrame, slack: int = 0, width: int = 1024) -> DataFrame:
+    """Written table of a row for each cluster and bin of ``width`` bases: chrom, _bin, cluster and its first and last place (start, end) in order.
+
+    Loci of one start that are not apart fold before they are swept, so the sweeps grow with the distinct starts, of which a contig has at most its length.
+    """
+    fits = F.coalesce(F.col("end_pos") >= F.col("start_pos") - slack, F.lit(False))  # a locus of the same start that follows is of the same cluster
+    loci = df.groupBy("chrom", "start_pos", fits.alias("_fits"), F.when(~fits, F.col("end_pos")).alias("_end")).agg(F.min("end_pos").alias("_least"), F.max("end_pos").alias("end_pos")).drop("_fits", "_end")
+    place = lambda end: F.struct(F.col("start_pos").alias("s"), F.col(end).alias("e"))
+    spans = cluster(staged(loci, "places"), slack, order=("_least",)).groupBy("chrom", "cluster").agg(F.min(place("_least")).alias("_first"), F.max(place("end_pos")).alias("_last"))
+    return staged(spans.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_first.s") / width), F.floor(F.col("_last.s") / width)))), "clusters")
+
+
+def clustered(df: DataFrame, slack: int = 0, width: int = 1024) -> DataFrame:
+    """Add the cluster of each row's locus: clusters are found among distinct places, and a row looks up the one whose first and last place hold its own. Rows without a place are left out."""
+    own = F.struct(F.col("start_pos").alias("s"), F.col("end_pos").alias("e"))
+    rows = df.where("start_pos is not null and end_pos is not null").withColumn("_bin", F.floor(F.col("start_pos") / width))
+    return rows.join(cluster_places(df, slack, width), ["chrom", "_bin"]).where((F.col("_first") <= own) & (own <= F.col("_last"))).select(*df.columns, "cluster")
 
 
 def cluster_stats(df: DataFrame, slack: int = 0, precedence: tuple[str, ...] = PRECEDENCE) -> DataFrame:

@@ -142,8 +142,8 @@ def j12(spark, sf):
 
 @query("j13_nearest_self", near_sql("(select * from peaks)", "chrom"))
 def j13(spark, sf):
-    p = peaks(spark, sf).select(*iv.KEY).distinct()
-    return iv.nearest(p, p)
+    p = peaks(spark, sf).select(*iv.KEY)
+    return iv.nearest(p.distinct(), p)
 
 
 @query("j14_nearest_by_donor", near_sql(URGENT, "donor_id", "chrom"))

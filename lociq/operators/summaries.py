@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociq.operators.intervals import overlap_pairs
+from lociq.operators.intervals import _covering, _highest, binned
 
 WIDTH, FACTOR, LEVELS = 4096, 8, 6  # bases of a block of the lowest level, how much wider each level is, and how many there are
 
@@ -52,21 +53,56 @@ def edges_of(start: Column, end: Column) -> Column:
     return F.filter(F.when(low < high, F.array(one(start, low), one(high, end))).otherwise(F.array(one(start, end))), lambda x: x["s"] < x["e"])
 
 
+def _within(key: str, value: str):
+    """Summaries of pieces of a block of the lowest level from its bases: the largest value at each, and running sums of values and of intervals."""
+
+    def run(of, pieces, rows):
+        import pyarrow as pa
+
+        low = of[1].as_py() * WIDTH
+        place = lambda t, c: np.clip(t[c].to_numpy() - low, 0, WIDTH)
+        begin, end, some = place(rows, "start_pos"), place(rows, "end_pos"), rows[value].is_valid().to_numpy()
+        values, rank = np.unique(rows[value].drop_null().to_numpy(), return_inverse=True)
+        best = _covering(begin[some], end[some], rank.reshape(-1), 0, WIDTH)
+        weight = rows[value].fill_null(0).to_numpy()
+        weight = weight.astype(np.float64 if weight.dtype.kind == "f" else np.int64)
+
+        def sums(of_row: np.ndarray) -> np.ndarray:
+            step = np.zeros(WIDTH + 1, of_row.dtype)
+            np.add.at(step, begin, of_row)
+            np.subtract.at(step, end, of_row)
+            return np.append(step[:1] * 0, np.cumsum(np.cumsum(step)[:-1]))
+
+        first, last = place(pieces, "start_pos"), place(pieces, "end_pos")
+        bases, total = (x[last] - x[first] for x in (sums(np.ones(len(begin), np.int64)), sums(weight)))
+        met = bases > 0
+        top = _highest(best, first[met], last[met])
+        own = pa.array(values[np.maximum(top, 0)] if len(values) else np.zeros(len(top), weight.dtype), mask=top < 0)
+        return pa.table({key: pieces[key].filter(pa.array(met)), "top": own, "total": pa.array(total[met], mask=top < 0), "bases": bases[met]})
+
+    return run
+
+
 def range_summaries(regions: DataFrame, key: str, signal: DataFrame, value: str, blocks: DataFrame | None = None) -> DataFrame:
     """Largest value, value times bases and bases of the intervals of ``signal`` within each region: ``key``, top, total, bases; regions that touch none have no row.
-    Empty intervals and regions count for nothing.
+    Empty intervals and regions count for nothing. ``value`` is a whole number or a float.
 
-    A region meets a number of blocks that grows with the logarithm of its width, and intervals only at its edges. ``blocks`` are the signal's ``levels``, if they are stored.
+    The whole blocks that regions are made of, many of them the same ones, are looked up once for each first and last block, by a number of rows that grows with the logarithm of the
+    width. Edges are answered from the bases of their block, so no pair is made. ``blocks`` are the signal's ``levels``, if they are stored.
     """
-    signal = signal.where("end_pos > start_pos")
+    signal = signal.where("end_pos > start_pos and chrom is not null").select("chrom", "start_pos", "end_pos", value)
     blocks = levels(signal, value) if blocks is None else blocks
-    asked = regions.where("end_pos > start_pos").select(F.col(key), "chrom", "start_pos", "end_pos")
-    whole = asked.select(key, "chrom", F.explode(blocks_of(F.col("start_pos"), F.col("end_pos"))).alias("x")).select(key, "chrom", "x.level", "x.block")
+    asked = regions.where("end_pos > start_pos and chrom is not null").select(F.col(key), "chrom", "start_pos", "end_pos")
+    run_ = ["chrom", "_low", "_high"]
+    wide = asked.select(key, "chrom", F.ceil(F.col("start_pos") / WIDTH).alias("_low"), F.floor(F.col("end_pos") / WIDTH).alias("_high")).where("_low < _high")
+    whole = wide.select(*run_).distinct().select(*run_, F.explode(blocks_of(F.col("_low") * WIDTH, F.col("_high") * WIDTH)).alias("x")).select(*run_, "x.level", "x.block")
     # rows grow where ranges become blocks, which Spark's estimate of a side doesn't see: it would send them all through the driver
-    inner = whole.hint("merge").join(blocks, ["chrom", "level", "block"]).select(key, "top", "total", "bases")
+    middle = whole.hint("merge").join(blocks, ["chrom", "level", "block"]).groupBy(*run_).agg(F.max("top").alias("top"), F.sum("total").alias("total"), F.sum("bases").alias("bases"))
+    inner = wide.hint("merge").join(middle, run_).select(key, "top", "total", "bases")
     rim = asked.select(key, "chrom", F.explode(edges_of(F.col("start_pos"), F.col("end_pos"))).alias("x")).select(key, "chrom", F.col("x.s").alias("start_pos"), F.col("x.e").alias("end_pos"))
-    pair = overlap_pairs(rim.hint("merge"), signal.select("chrom", "start_pos", "end_pos", F.col(value).alias("v")), WIDTH)
-    outer = pair.select(key, F.col("b_v").alias("top"), (F.col("b_v") * F.col("overlap")).alias("total"), F.col("overlap").alias("bases"))
+    of, many = dict(regions.dtypes)[key], dict(signal.dtypes)[value]
+    kind = f"`{key}` {of}, top {many}, total {'double' if many in ('float', 'double') else 'bigint'}, bases bigint"
+    outer = binned(rim, WIDTH).groupBy("chrom", "bin").cogroup(binned(signal, WIDTH).groupBy("chrom", "bin")).applyInArrow(_within(key, value), kind)
     return inner.unionByName(outer).groupBy(key).agg(F.max("top").alias("top"), F.sum("total").alias("total"), F.sum("bases").alias("bases"))
 
 

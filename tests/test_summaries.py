@@ -30,6 +30,21 @@ def test_ranges(spark):
     assert {r["k"]: (r["top"], r["total"], r["bases"]) for r in got.collect()} == want and len(want) > 60
 
 
+def test_edges_of_ranges_make_no_pairs(spark):
+    """A piled-up edge, null values and contigs, floats: the sums come from the bases of a block, and no pair is read from lists."""
+    signal = [("x", 100 + k % 7, 4000 + k % 300, None if k % 5 == 0 else k / 4) for k in range(3000)] + [(None, 0, 9000, 1.0), ("y", 4095, 4097, None)]
+    regions = [(k, c, s, e) for k, (c, s, e) in enumerate([("x", 90, 4200), ("x", 0, 8192), ("x", 4297, 9000), ("x", 4200, 4296), (None, 0, 9000), ("y", 4000, 4096), ("y", 4097, 20000), ("y", 0, 20000)])]
+    out = sm.range_summaries(spark.createDataFrame(regions, "k int, chrom string, start_pos int, end_pos int"), "k", spark.createDataFrame(signal, "chrom string, start_pos long, end_pos long, v double"), "v")
+    want = {}
+    for k, c, a, b in regions:
+        hit = [(v, min(b, e) - max(a, s)) for d, s, e, v in signal if d == c and c is not None and max(a, s) < min(b, e)]
+        if hit:
+            known = [(v, n) for v, n in hit if v is not None]
+            want[k] = (max((v for v, _ in known), default=None), sum(v * n for v, n in known) if known else None, sum(n for _, n in hit))
+    assert {r["k"]: (r["top"], r["total"], r["bases"]) for r in out.collect()} == want and len(want) == 6
+    assert "inline(" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_wide_range_is_few_blocks(spark):
     wide = spark.createDataFrame([(3, 3 * 10**8 + 7), (0, 2 * sm.block(5)), (5, 9), (sm.WIDTH, 2 * sm.WIDTH)], "s long, e long")
     got = wide.select(F.size(sm.blocks_of(F.col("s"), F.col("e"))).alias("n"), F.expr("0").alias("z"), sm.edges_of(F.col("s"), F.col("e")).alias("edges")).collect()

@@ -100,16 +100,34 @@ def leaf_values(leaf: Leaf, fits: np.ndarray) -> np.ndarray:
     return out
 
 
+def _alike(leaves: list[Leaf], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A row of each kind that no path tells apart, and the kind of each row: each feature's values fall between the limits that paths set, and kinds are combinations of these."""
+    kind = np.zeros(len(x), np.int64)
+    for f in sorted({f for leaf in leaves for f in leaf.steps}):
+        steps = [leaf.steps[f] for leaf in leaves if f in leaf.steps]
+        limits = np.unique([t for s in steps for t in (s.low, s.high)])
+        own = np.searchsorted(limits, x[:, f]) + np.isnan(x[:, f])  # nan, which fits no path, stands after all others
+        if any(s.among is not None for s in steps):
+            _, own = np.unique(x[:, f], return_inverse=True)
+        kind = kind * (int(own.max(initial=0)) + 1) + own.reshape(-1)
+        kind = np.unique(kind, return_inverse=True)[1].reshape(-1)  # stays below the number of rows
+    _, first, kind = np.unique(kind, return_index=True, return_inverse=True)
+    return first, kind.reshape(-1)
+
+
 def values(leaves: list[Leaf], x: np.ndarray) -> tuple[np.ndarray, float]:
-    """Shapley values (row, feature), and the expected margin."""
-    out = np.zeros(x.shape)
+    """Shapley values (row, feature), and the expected margin. Leaves are asked once for all rows that no path tells apart."""
+    first, kind = _alike(leaves, x)
+    some = x[first]
+    out = np.zeros(some.shape)
     for leaf in leaves:
         if leaf.steps:
             which = list(leaf.steps)
-            fits = np.stack([s.fits(x[:, f]) for f, s in leaf.steps.items()], 1).astype(np.uint8)
-            pattern, at = np.unique(fits, axis=0, return_inverse=True)
-            out[:, which] += leaf_values(leaf, pattern.astype(float))[at.reshape(-1)]
-    return out, sum(leaf.value * float(np.prod([s.share for s in leaf.steps.values()])) for leaf in leaves)
+            places = np.arange(len(which))
+            code = sum(s.fits(some[:, f]).astype(np.int64) << k for k, (f, s) in enumerate(leaf.steps.items()))
+            pattern, at = np.unique(code, return_inverse=True)
+            out[:, which] += leaf_values(leaf, (pattern[:, None] >> places & 1).astype(float))[at.reshape(-1)]
+    return out[kind], sum(leaf.value * float(np.prod([s.share for s in leaf.steps.values()])) for leaf in leaves)
 
 
 def tree_attributions(model, df: DataFrame, features: list[str], rows: int = 10_000) -> DataFrame:

@@ -70,6 +70,33 @@ def test_shapley_values(spark, rows, kind):
         assert [got[i][f"phi_{f}"] for f in NAMES] == pytest.approx(phi.tolist(), abs=1e-9) and got[i]["phi_0"] == pytest.approx(base, abs=1e-9)
 
 
+def test_shapley_values_ask_leaves_once_for_rows_alike(monkeypatch):
+    """Rows between the same limits are one kind, whatever their number; each row's values are those of its own."""
+    leaves = [sh.Leaf(1.5, {0: sh.Step(high=0.5, share=0.4), 1: sh.Step(low=2.0, share=0.3)}), sh.Leaf(-2.0, {0: sh.Step(low=0.5, share=0.6)}), sh.Leaf(0.7, {2: sh.Step(among=frozenset([1.0, 4.0]), share=0.2)}), sh.Leaf(3.0)]
+    r = np.random.default_rng(5)
+    x = np.stack([r.choice([0.1, 0.5, 0.50001, 0.9, np.inf, -np.inf], 5000), r.normal(2, 3, 5000), r.choice([0.0, 1.0, 4.0, 7.0], 5000)], 1)
+    x[:50, 1] = np.nan
+    asked, own = [], sh.Step.fits
+    monkeypatch.setattr(sh.Step, "fits", lambda s, v: (asked.append(len(v)), own(s, v))[1])
+    got, base = sh.values(leaves, x)
+    assert max(asked) <= 3 * 4 * 4
+    one = [sh.values(leaves, x[k : k + 1]) for k in range(0, 5000, 37)]
+    assert np.allclose(got[::37], np.concatenate([p for p, _ in one])) and all(b == base for _, b in one)
+
+
+def test_fit_of_kinds_is_the_fit_of_all_rows(spark, rows):
+    """Repeated rows weigh as often as they stand; the estimator sees each kind once."""
+    few = rows.select(F.round("a", 1).alias("a"), "b", F.round("c").alias("c"), (F.col("id") % 3).cast("double").alias("d"), "label")
+    many = few.unionByName(few.where("label = 1"))
+    for e in (GBTClassifier(maxIter=3, maxDepth=3, seed=1), DecisionTreeClassifier(maxDepth=4, seed=1)):
+        whole, kinds = ln.pipeline(NAMES, e).fit(many), ln.fit_of_kinds(many, NAMES, e)
+        score = lambda m: np.array([r["p"] for r in m.transform(few.orderBy(*NAMES, "label")).select(vector_to_array("probability")[1].alias("p")).collect()])
+        assert score(kinds) == pytest.approx(score(whole), abs=1e-9)
+        assert not e.isSet("weightCol")
+    root = kinds.stages[-1]._java_obj.rootNode().impurityStats()
+    assert root.count() == many.count() and root.rawCount() == many.select(*NAMES, "label").distinct().count()
+
+
 def test_search_is_never_worse_than_the_fixed_candidates(spark, rows):
     train, valid = rows.where("fold > 1"), rows.where("fold = 1")
     found = sr.search(train, valid, NAMES, trials=4, rungs=2, keep=2, seed=5)

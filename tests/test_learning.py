@@ -144,6 +144,17 @@ def test_experiment(spark, rows):
             sr.experiment(bad, NAMES, "label", "kind", ["u"])
 
 
+def test_the_tuned_experiment_searches_all_it_can(spark, monkeypatch):
+    """No parameter of the query cuts the search: all trials and rungs, and the fixed candidates beside them."""
+    from lociq.plans import learning_queries as lq
+
+    budgets = []
+    empty = spark.createDataFrame([("low", 1, 1, 0.5, "x")], "kind string, n long, positive long, average_precision double, candidate string")
+    monkeypatch.setattr(sr, "experiment", lambda *a, where, **budget: (budgets.append((a[-1], budget)), (empty, None))[1])
+    assert lq.m09_tuned(spark, "/root/testdata/sf0.001").count() == 1
+    assert budgets == [(["low", "high"], {})]
+
+
 def test_folds_and_splits(spark, rows):
     f = ln.grouped_folds(rows.drop("fold"), "grp", "label", 4).cache()
     seen = {}
